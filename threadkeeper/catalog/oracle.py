@@ -19,3 +19,371 @@ ORACLE["hash_content"] = (
     + S.content_hash("p.title", "p.selftext", "f.fragments")
     + " AS content_hash FROM posts p LEFT JOIN frags f ON f.post_id = p.id"
 )
+
+# ---------------------------------------------------------------------------
+# Scans / sources
+# ---------------------------------------------------------------------------
+EV = (S.event_observations(), S.GOOD_SQL)
+
+ORACLE["src_window_scan"] = (
+    _with(*EV, S.WINDOW_SQL)
+    + "SELECT id, subreddit, feed_pos, " + S.ts_from_epoch("created_utc") + " AS created_utc, observed_at FROM win"
+)
+ORACLE["src_hot_top50"] = _with(*EV, S.HOT_SQL) + "SELECT id, subreddit, feed_pos, observed_at FROM hot"
+ORACLE["src_failed_sources"] = (
+    _with(*EV)
+    + "SELECT subreddit FROM (VALUES ('src0'), ('src1'), ('src2'), ('src3'), ('src4'), ('src5'), ('gone')) t(subreddit) "
+    "WHERE subreddit NOT IN (SELECT subreddit FROM good WHERE created_utc >= " + S.CUTOFF_S + ")"
+)
+ORACLE["src_refresh_outcome"] = (
+    _with(S.doc_base(), S.doc_observed(S.RUN_MICROS))
+    + "SELECT b.post_id, CASE WHEN o.id IS NULL THEN 'FETCH_FAILED' "
+    "WHEN o.author IS NULL OR coalesce(o.selftext, '') IN ('[deleted]', '[removed]') THEN 'DELETED' ELSE 'FOUND' END AS outcome "
+    "FROM doc_base b LEFT JOIN doc_obs o ON o.id = b.post_id WHERE b.rule <> 0"
+)
+ORACLE["src_rejects"] = (
+    _with(S.event_observations())
+    + "SELECT (id IS NOT NULL AND subreddit IS NOT NULL AND title IS NOT NULL AND url IS NOT NULL AND permalink IS NOT NULL "
+    "AND score IS NOT NULL AND upvote_ratio IS NOT NULL AND num_comments IS NOT NULL AND created_utc IS NOT NULL) AS valid, "
+    "count(*) AS n FROM raw_obs GROUP BY ALL"
+)
+ORACLE["src_cached_post"] = (
+    _with(*CONV)
+    + ", known AS (SELECT * FROM posts WHERE CAST(substring(id, 2) AS BIGINT) % 4 = 0), "
+    "agg AS (SELECT post_id, count(*) AS n, first(id ORDER BY score DESC, listing_pos, id) AS top, "
+    "string_agg(id, ',' ORDER BY score DESC, listing_pos, id) AS ord FROM comments "
+    "WHERE post_id IN (SELECT id FROM known) GROUP BY post_id) "
+    "SELECT k.id AS post_id, k.selftext, coalesce(a.n, 0) AS n_comments, a.top AS top_comment, "
+    "coalesce(a.ord, '') AS comment_order FROM known k LEFT JOIN agg a ON a.post_id = k.id"
+)
+ORACLE["src_tracked_lookup"] = (
+    _with(S.events_tracked())
+    + "SELECT r.id AS post_id, t.post_id IS NOT NULL AS tracked, t.content_hash FROM ev_ref r LEFT JOIN ev_tracked t ON t.post_id = r.id"
+)
+
+# ---------------------------------------------------------------------------
+# Projections / functions
+# ---------------------------------------------------------------------------
+ORACLE["prj_normalize_post"] = (
+    _with(*CONV) + "SELECT *, '" + S.SITE + "' || permalink AS full_url, " + S.age_days("created_utc") + " AS age_days FROM posts"
+)
+ORACLE["prj_normalize_comment"] = (
+    _with(*CONV) + "SELECT *, " + S.comment_permalink("parent_id", "id") + " AS permalink FROM comments"
+)
+ORACLE["fn_media_url"] = _with(S.page_urls()) + "SELECT page_id, url, " + S.MEDIA_SQL + " AS media_url FROM urls"
+LARGE_C = (S.lineitem_raw_comments("raw_comments"), S.normalize_comments("raw_comments"))
+ORACLE["fn_permalinks"] = (
+    _with(*LARGE_C)
+    + "SELECT post_id, id, '" + S.SITE + "/comments/' || post_id AS thread_url, "
+    + S.comment_permalink("parent_id", "id") + " AS permalink FROM comments"
+)
+LARGE_P = (S.order_raw_posts("raw_posts"), S.normalize_posts("raw_posts"))
+ORACLE["fn_age_days"] = (
+    _with(*LARGE_P)
+    + "SELECT id, " + S.age_days("created_utc") + " AS age_days, " + S.age_days("created_utc") + " <= 2.0 AS in_window FROM posts"
+)
+ORACLE["fn_pacific_date"] = _with(S.order_instants()) + "SELECT o_orderkey, " + S.pacific_date("ts") + " AS pacific_date FROM inst"
+ORACLE["fn_dual_time"] = _with(S.order_instants()) + "SELECT o_orderkey, " + S.dual_time("ts") + " AS label FROM inst"
+ORACLE["fn_iso_time"] = (
+    _with(S.order_instants()) + "SELECT o_orderkey, " + S.iso_utc("ts") + " AS iso_utc, " + S.iso_pacific("ts") + " AS iso_pacific FROM inst"
+)
+ORACLE["fn_ratio_bp"] = (
+    "SELECT o_orderkey, CAST(round_even(CAST(o_orderkey % 20001 AS DOUBLE) / 20000 * 10000, 0) AS INTEGER) AS ratio_bp FROM orders"
+)
+ORACLE["fn_html_escape"] = "SELECT doc_id, " + S.html_escape("text") + " AS escaped FROM documents"
+ORACLE["fn_comment_tags"] = _with(*CONV) + "SELECT id, " + S.comment_tags("is_submitter", "edited", "depth") + " AS tags FROM comments"
+ORACLE["fn_doc_id"] = (
+    _with(*CONV)
+    + "SELECT id, '" + S.DOC_ID_PREFIX + "' || id AS doc_id, '" + S.DOC_ID_PREFIX + "' || id || '.html' AS file_name, "
+    "CAST(strlen(selftext) AS BIGINT) AS selftext_bytes, substring(title, 1, 50) AS preview50 FROM posts"
+)
+
+# ---------------------------------------------------------------------------
+# Filters
+# ---------------------------------------------------------------------------
+ORACLE["flt_bots"] = (
+    _with(S.conv_raw_comments())
+    + "SELECT id, coalesce(author, '[deleted]') AS author FROM raw_comments WHERE lower(coalesce(author, '[deleted]')) IN ("
+    + S.BOTS_SQL + ")"
+)
+ORACLE["flt_update_window"] = _with(*LARGE_P) + "SELECT id FROM posts WHERE " + S.age_days("created_utc") + " <= 2.0"
+ORACLE["flt_deleted"] = (
+    _with(S.conv_raw_posts()) + "SELECT id FROM raw_posts WHERE author IS NULL OR coalesce(selftext, '') IN ('[deleted]', '[removed]')"
+)
+ORACLE["flt_processed_today"] = (
+    _with(S.events_tracked())
+    + "SELECT post_id FROM ev_tracked WHERE " + S.pacific_date("last_updated") + " = " + S.pacific_date(S.RUN)
+)
+ORACLE["flt_due_update"] = (
+    _with(S.events_tracked()) + "SELECT post_id, update_count, first_scraped FROM ev_tracked WHERE status <> 'frozen' AND update_count < 2"
+)
+ORACLE["flt_due_freeze"] = _with(S.events_tracked()) + "SELECT post_id FROM ev_tracked WHERE status <> 'frozen' AND update_count >= 2"
+ORACLE["flt_missing_hash"] = (
+    _with(S.events_tracked())
+    + "SELECT post_id FROM ev_tracked WHERE (content_hash IS NULL OR content_hash = '') AND status <> 'frozen'"
+)
+ORACLE["flt_queue_due"] = (
+    _with(S.event_queue()) + "SELECT post_id, action FROM queue0 WHERE attempts < max_attempts AND scheduled_for <= " + S.RUN
+)
+
+# ---------------------------------------------------------------------------
+# Windows, sets, joins
+# ---------------------------------------------------------------------------
+ORACLE["win_first_n_comments"] = (
+    _with(S.lineitem_raw_comments("raw_comments"), S.normalize_comments("raw_comments", 3))
+    + "SELECT post_id, id, listing_pos FROM comments"
+)
+ORACLE["win_comment_rank"] = (
+    _with(*CONV)
+    + "SELECT post_id, id, CAST(ROW_NUMBER() OVER (PARTITION BY post_id ORDER BY score DESC, listing_pos, id) AS INTEGER) AS rank "
+    "FROM comments"
+)
+ORACLE["win_latest_observation"] = (
+    _with(*EV, S.latest_cte("lat", "good")) + "SELECT id, observed_at, feed, feed_pos, score FROM lat"
+)
+ORACLE["set_new_hot"] = (
+    _with(*EV, S.WINDOW_SQL, S.HOT_SQL, "both_ AS (SELECT * FROM win UNION ALL SELECT * FROM hot)", S.latest_cte("lat", "both_"))
+    + "SELECT id, feed, feed_pos FROM lat"
+)
+CONV_INTAKE = (
+    S.conv_raw_posts(),
+    "good AS (SELECT * FROM raw_posts)",
+    S.WINDOW_SQL,
+    S.HOT_SQL,
+    "both_ AS (SELECT * FROM win UNION ALL SELECT * FROM hot)",
+    S.latest_cte("lat", "both_"),
+    "conv_tracked AS (SELECT id AS post_id, '" + S.DOC_ID_PREFIX + "' || id AS contextual_doc_id FROM raw_posts "
+    "WHERE CAST(substring(id, 2) AS BIGINT) % 4 = 0)",
+)
+ORACLE["jn_new_posts"] = _with(*CONV_INTAKE) + "SELECT id FROM lat WHERE id NOT IN (SELECT post_id FROM conv_tracked)"
+ORACLE["jn_existing"] = _with(*CONV_INTAKE) + "SELECT l.id, t.contextual_doc_id FROM lat l JOIN conv_tracked t ON t.post_id = l.id"
+ORACLE["jn_orphans"] = (
+    _with(S.events_tracked()) + "SELECT id FROM ev_ref WHERE u % 3 <> 0 AND id NOT IN (SELECT post_id FROM ev_tracked)"
+)
+ORACLE["jn_exists"] = (
+    _with(S.events_tracked(), S.event_queue())
+    + "SELECT DISTINCT q.post_id, q.post_id IN (SELECT post_id FROM ev_tracked) AS exists FROM queue0 q"
+)
+
+# ---------------------------------------------------------------------------
+# Documents
+# ---------------------------------------------------------------------------
+_HEAD = (
+    "('<article class=\"reply\" id=\"c-' || " + S.html_attr("id") + " || '\" data-depth=\"' || depth || '\">\n<header>#')"
+)
+_TAIL = (
+    "(' u/' || " + S.html_escape("author") + " || ' | ' || score || ' points' || " + S.comment_tags("is_submitter", "edited", "depth")
+    + " || '</header>\n<p class=\"when\">' || " + S.dual_time("created_utc") + " || ' | <a href=\"' || "
+    + S.html_attr(S.comment_permalink("parent_id", "id")) + " || '\">permalink</a></p>\n<blockquote>' || "
+    + S.html_escape("body") + " || '</blockquote>\n</article>\n')"
+)
+
+
+def disc_cte(comments: str) -> str:
+    return (
+        "ranked AS (SELECT post_id, score, listing_pos, id, " + _HEAD + " || ROW_NUMBER() OVER (PARTITION BY post_id ORDER BY score DESC, "
+        "listing_pos, id) || " + _TAIL + " AS block FROM " + comments + "), "
+        "disc AS (SELECT post_id, count(*) AS n, '<section class=\"discussion\">\n<h2>Discussion: ' || count(*) || ' comments</h2>\n' "
+        "|| string_agg(block, '' ORDER BY score DESC, listing_pos, id) || '</section>\n' AS discussion FROM ranked GROUP BY post_id)"
+    )
+
+
+def post_html(p: str, disc: str) -> str:
+    furl = "('" + S.SITE + "' || " + p + ".permalink)"
+    title = S.html_escape(p + ".title")
+    link = (
+        "CASE WHEN NOT " + p + ".is_self AND " + p + ".url IS NOT NULL AND " + p + ".url <> '' AND " + p + ".url <> " + furl
+        + " THEN '<dt>Links to</dt><dd><a href=\"' || " + S.html_attr(p + ".url") + " || '\">' || " + S.html_escape(p + ".url")
+        + " || '</a></dd>\n' ELSE '' END"
+    )
+    body = (
+        "CASE WHEN coalesce(" + p + ".selftext, '') <> '' THEN '<div class=\"text\">' || " + S.html_escape(p + ".selftext")
+        + " || '</div>\n' ELSE '<p class=\"empty\">No text: this post links elsewhere.</p>\n' END"
+    )
+    return (
+        "('<!doctype html>\n<html lang=\"en\">\n<head><meta charset=\"utf-8\"><title>' || " + title
+        + " || '</title></head>\n<body>\n<main class=\"thread\" id=\"post-' || " + S.html_attr(p + ".id")
+        + " || '\" data-source=\"' || " + S.html_attr(p + ".subreddit") + " || '\">\n<h1>' || " + title
+        + " || '</h1>\n<dl class=\"facts\">\n<dt>Source</dt><dd>r/' || " + S.html_escape(p + ".subreddit")
+        + " || '</dd>\n<dt>Posted by</dt><dd>u/' || " + S.html_escape(p + ".author")
+        + " || '</dd>\n<dt>Posted</dt><dd>' || " + S.dual_time(p + ".created_utc")
+        + " || '</dd>\n<dt>Thread</dt><dd><a href=\"' || " + S.html_attr(furl) + " || '\">' || " + S.html_escape(furl)
+        + " || '</a></dd>\n' || " + link + " || '<dt>Engagement</dt><dd>' || coalesce(" + p + ".score, 0) || ' points, ' || coalesce("
+        + p + ".num_comments, 0) || ' comments</dd>\n</dl>\n<section class=\"post\">\n' || " + body
+        + " || '</section>\n' || coalesce(" + disc + ", '') || '</main>\n</body>\n</html>\n')"
+    )
+
+
+ORACLE["doc_html"] = (
+    _with(*CONV, disc_cte("comments"))
+    + "SELECT p.id, h.html, CAST(strlen(h.html) AS BIGINT) AS size_bytes FROM posts p, "
+    "LATERAL (SELECT " + post_html("p", "(SELECT discussion FROM disc WHERE disc.post_id = p.id)") + " AS html) h"
+)
+ORACLE["doc_metadata"] = (
+    _with(*CONV)
+    + "SELECT '" + S.SITE + "' || permalink AS url, subreddit, author, title, CAST(coalesce(score, 0) AS INTEGER) AS score, "
+    "CAST(coalesce(num_comments, 0) AS INTEGER) AS num_comments, "
+    "CAST(round_even(upvote_ratio * 10000, 0) AS INTEGER) AS upvote_ratio_bp, "
+    + S.iso_utc("created_utc") + " AS created_utc, " + S.iso_pacific("created_utc") + " AS created_pacific, "
+    "strftime(" + S.pac("created_utc") + ", '%Y-%m-%d') AS date_pacific, id AS post_id, coalesce(is_self, false) AS is_self, "
+    "CAST(coalesce(total_awards_received, 0) AS INTEGER) AS total_awards_received, "
+    "CASE WHEN NOT is_self AND url IS NOT NULL AND url <> '' AND url <> '" + S.SITE + "' || permalink THEN url END AS external_url, "
+    "link_flair_text AS flair, media_url FROM posts"
+)
+
+# ---------------------------------------------------------------------------
+# Queue
+# ---------------------------------------------------------------------------
+BATCH = (
+    "batch AS (SELECT * FROM queue0 WHERE attempts < max_attempts AND scheduled_for <= " + S.RUN + " "
+    "ORDER BY priority DESC, created_at ASC, post_id ASC, action ASC LIMIT 50)"
+)
+ORACLE["top_queue_batch"] = _with(S.event_queue(), BATCH) + "SELECT post_id, action, priority, created_at FROM batch"
+ORACLE["mut_success"] = (
+    _with(S.event_queue(), BATCH)
+    + "SELECT post_id, action FROM queue0 q WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.post_id = q.post_id AND b.action = q.action)"
+)
+ORACLE["mut_backoff"] = (
+    _with(S.event_queue())
+    + ", f AS (SELECT *, attempts < max_attempts AND scheduled_for <= " + S.RUN + " AS hit FROM queue0) "
+    "SELECT post_id, subreddit, action, priority, CAST(CASE WHEN hit THEN attempts + 1 ELSE attempts END AS INTEGER) AS attempts, "
+    "max_attempts, CASE WHEN hit THEN 'HTTP 503' ELSE last_error END AS last_error, created_at, "
+    "CASE WHEN hit THEN " + S.RUN + " + to_minutes(CAST(5 * pow(2, attempts) AS BIGINT)) ELSE scheduled_for END AS scheduled_for FROM f"
+)
+ORACLE["mut_enqueue"] = (
+    _with(S.event_queue())
+    + ", req AS (SELECT 'e' || user_id AS post_id, min('src' || (user_id % 5)) AS n_subreddit, 'update' AS action, "
+    "CAST(max(event_id % 4) AS INTEGER) AS n_priority FROM events WHERE event_type = 'click' GROUP BY 1, 3) "
+    "SELECT coalesce(q.post_id, r.post_id) AS post_id, coalesce(q.subreddit, r.n_subreddit) AS subreddit, "
+    "coalesce(q.action, r.action) AS action, "
+    "CAST(CASE WHEN q.post_id IS NULL THEN r.n_priority WHEN r.post_id IS NOT NULL THEN greatest(q.priority, r.n_priority) "
+    "ELSE q.priority END AS INTEGER) AS priority, CAST(coalesce(q.attempts, 0) AS INTEGER) AS attempts, "
+    "CAST(coalesce(q.max_attempts, 5) AS INTEGER) AS max_attempts, q.last_error, "
+    "coalesce(q.created_at, " + S.RUN + ") AS created_at, coalesce(q.scheduled_for, " + S.RUN + ") AS scheduled_for "
+    "FROM queue0 q FULL OUTER JOIN req r ON q.post_id = r.post_id AND q.action = r.action"
+)
+
+# ---------------------------------------------------------------------------
+# State mutations
+# ---------------------------------------------------------------------------
+_TR = ["post_id", "subreddit", "created_utc", "first_scraped", "last_updated", "update_count", "status", "contextual_doc_id", "content_hash"]
+
+
+def _merge_sql(old: str, new: str, key: str, cols: list[str], take_new: set[str], coalesce_new: set[str] = frozenset()) -> str:
+    out = []
+    for c in cols:
+        if c == key:
+            out.append("coalesce(o." + c + ", n." + c + ") AS " + c)
+        elif c in coalesce_new:
+            out.append("CASE WHEN n." + key + " IS NULL THEN o." + c + " ELSE coalesce(n." + c + ", o." + c + ") END AS " + c)
+        elif c in take_new:
+            out.append("CASE WHEN n." + key + " IS NULL THEN o." + c + " ELSE n." + c + " END AS " + c)
+        else:
+            out.append("CASE WHEN o." + key + " IS NULL THEN n." + c + " ELSE o." + c + " END AS " + c)
+    return "SELECT " + ", ".join(out) + " FROM " + old + " o FULL OUTER JOIN " + new + " n ON o." + key + " = n." + key
+
+
+ORACLE["mut_upsert_tracked"] = (
+    _with(S.events_tracked())
+    + ", delta AS (SELECT id AS post_id, 'changed' AS subreddit, created_utc, " + S.RUN + " AS first_scraped, " + S.RUN
+    + " AS last_updated, 7 AS update_count, 'updating' AS status, CASE WHEN u % 9 <> 0 THEN 'new_' || id END AS contextual_doc_id, "
+    "h AS content_hash FROM ev_ref WHERE u % 3 = 0 OR u % 5 = 0) "
+    + _merge_sql("ev_tracked", "delta", "post_id", _TR, {"last_updated", "update_count", "status", "content_hash"}, {"contextual_doc_id"})
+)
+_PC = ["id", "title", "score", "num_comments", "upvote_ratio", "update_count", "scraped_at"]
+ORACLE["mut_upsert_posts"] = (
+    _with(S.events_tracked())
+    + ", cached AS (SELECT id, title, score - (u % 2) AS score, num_comments, upvote_ratio, 0 AS update_count, "
+    + S.RUN + " - INTERVAL 1 DAY AS scraped_at FROM ev_ref WHERE u % 3 <> 0), "
+    "fresh AS (SELECT id, 'new title' AS title, score, num_comments, upvote_ratio, 3 AS update_count, " + S.RUN + " AS scraped_at "
+    "FROM ev_ref WHERE u % 4 <> 1) "
+    + _merge_sql("cached", "fresh", "id", _PC, {"score", "num_comments", "upvote_ratio", "update_count"})
+)
+ORACLE["mut_replace_comments"] = (
+    _with(*CONV, S.normalize_comments("raw_comments", 2, "comments2"))
+    + ", saved AS (SELECT id FROM posts WHERE CAST(substring(id, 2) AS BIGINT) % 3 = 0) "
+    "SELECT post_id, id FROM comments WHERE post_id NOT IN (SELECT id FROM saved) "
+    "UNION ALL SELECT post_id, id FROM comments2 WHERE post_id IN (SELECT id FROM saved)"
+)
+ORACLE["mut_delete_cascade"] = (
+    _with(S.events_tracked())
+    + ", del AS (SELECT id AS post_id FROM ev_ref WHERE deleted) "
+    "SELECT post_id, post_id IN (SELECT post_id FROM ev_tracked) AS existed FROM del "
+    "UNION ALL SELECT post_id, CAST(NULL AS BOOLEAN) AS existed FROM ev_tracked WHERE post_id NOT IN (SELECT post_id FROM del)"
+)
+ORACLE["mut_retention"] = (
+    "WITH tr AS (SELECT 'o' || o_orderkey AS post_id, o_orderkey % 40 AS age FROM orders WHERE o_orderkey % 5 <> 0), "
+    "expired AS (SELECT post_id FROM tr WHERE age > 30), rem AS (SELECT post_id FROM tr WHERE age <= 30) "
+    "SELECT 'post' AS kind, 'o' || o_orderkey AS key, CAST(1 AS BIGINT) AS n FROM orders WHERE o_orderkey % 7 <> 0 "
+    "AND ((SELECT count(*) FROM expired) = 0 OR 'o' || o_orderkey IN (SELECT post_id FROM rem)) "
+    "UNION ALL SELECT 'tracked', post_id, CAST(1 AS BIGINT) FROM rem "
+    "UNION ALL SELECT 'comments', 'o' || l_orderkey, count(*) FROM lineitem "
+    "WHERE 'o' || l_orderkey NOT IN (SELECT post_id FROM expired) GROUP BY 2"
+)
+ORACLE["mut_freeze"] = (
+    _with(S.events_tracked())
+    + "SELECT post_id, CASE WHEN status <> 'frozen' AND update_count >= 2 THEN 'frozen' ELSE status END AS status, "
+    "CASE WHEN status <> 'frozen' AND update_count >= 2 THEN " + S.RUN + " ELSE last_updated END AS last_updated FROM ev_tracked"
+)
+
+# ---------------------------------------------------------------------------
+# Lifecycle: classifier, delivery, outbox (documents snapshot pair)
+# ---------------------------------------------------------------------------
+DOCS = (
+    S.doc_base(),
+    S.doc_stored(S.RUN_MICROS),
+    S.doc_observed(S.RUN_MICROS),
+    S.normalize_posts("doc_obs", "doc_norm"),
+    "doc_fresh AS (SELECT n.*, " + S.content_hash("n.title", "n.selftext", "CAST(NULL AS VARCHAR)") + " AS f_hash, "
+    "(o.author IS NULL OR coalesce(o.selftext, '') IN ('[deleted]', '[removed]')) AS f_deleted "
+    "FROM doc_norm n JOIN doc_obs o ON o.id = n.id)",
+    "classified AS (SELECT t.*, CASE "
+    "WHEN " + S.pacific_date("t.last_updated") + " = " + S.pacific_date(S.RUN) + " THEN 'NOOP' "
+    "WHEN t.update_count < 0 THEN 'SKIP_INCREMENT' WHEN f.id IS NULL THEN 'ENQUEUE_UPDATE' WHEN f.f_deleted THEN 'DELETE' "
+    "WHEN coalesce(t.content_hash, '') <> f.f_hash THEN 'REINGEST' "
+    "WHEN c.id IS NOT NULL AND (c.score IS DISTINCT FROM f.score OR c.num_comments IS DISTINCT FROM f.num_comments "
+    "OR c.upvote_ratio IS DISTINCT FROM f.upvote_ratio) AND t.contextual_doc_id IS NOT NULL THEN 'SET_METADATA' "
+    "ELSE 'SKIP_INCREMENT' END AS action FROM doc_tracked t LEFT JOIN doc_fresh f ON f.id = t.post_id "
+    "LEFT JOIN doc_cached c ON c.id = t.post_id WHERE t.status <> 'frozen' AND t.update_count < 2)",
+    "ops AS (SELECT *, CASE WHEN action = 'REINGEST' AND contextual_doc_id IS NULL THEN 'INGEST' WHEN action = 'REINGEST' THEN 'REINGEST' "
+    "WHEN action = 'SET_METADATA' THEN 'SET_METADATA' WHEN action = 'DELETE' AND contextual_doc_id IS NOT NULL THEN 'DELETE' END AS op "
+    "FROM classified)",
+    "ops2 AS (SELECT *, CASE WHEN op = 'INGEST' THEN '" + S.DOC_ID_PREFIX + "' || post_id ELSE contextual_doc_id END AS doc_key "
+    "FROM ops WHERE op IS NOT NULL)",
+    "sinks AS (SELECT '" + S.DOC_ID_PREFIX + "d' || doc_id AS doc_key, doc_id % 7 <> 1 AS ok, "
+    "CASE WHEN doc_id % 7 = 2 THEN 'idx-' || doc_id END AS returned_doc_id FROM documents WHERE doc_id % 7 IN (1, 2))",
+    "delivered AS (SELECT o.*, coalesce(s.ok, true) AS ok, CASE WHEN coalesce(s.ok, true) THEN coalesce(s.returned_doc_id, o.doc_key) END "
+    "AS result_doc_id FROM ops2 o LEFT JOIN sinks s ON s.doc_key = o.doc_key)",
+)
+ORACLE["life_classify"] = _with(*DOCS) + "SELECT post_id, action FROM classified"
+ORACLE["snk_delivery"] = _with(*DOCS) + "SELECT post_id, op, ok, result_doc_id FROM delivered"
+ORACLE["snk_outbox"] = (
+    _with(*DOCS)
+    + ", rendered AS (SELECT o.post_id, o.op, o.doc_key, " + post_html("p", "CAST(NULL AS VARCHAR)") + " AS html "
+    "FROM ops2 o JOIN doc_fresh p ON p.id = o.post_id WHERE o.op IN ('INGEST', 'REINGEST')) "
+    "SELECT post_id, op, doc_key, CAST(strlen(html) AS BIGINT) AS size_bytes, md5(html) AS html_md5, true AS has_metadata FROM rendered "
+    "UNION ALL SELECT post_id, op, doc_key, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), op = 'SET_METADATA' FROM ops2 "
+    "WHERE op NOT IN ('INGEST', 'REINGEST')"
+)
+
+# ---------------------------------------------------------------------------
+# Aggregations
+# ---------------------------------------------------------------------------
+ORACLE["agg_status"] = _with(S.events_tracked()) + "SELECT status, count(*) AS n FROM ev_tracked GROUP BY status"
+ORACLE["agg_subreddit"] = "SELECT o_orderpriority AS subreddit, count(*) AS n FROM orders WHERE o_orderkey % 5 <> 0 GROUP BY 1"
+ORACLE["agg_db_totals"] = (
+    _with(*CONV, S.event_queue())
+    + ", known AS (SELECT id FROM posts WHERE CAST(substring(id, 2) AS BIGINT) % 4 = 0) "
+    "SELECT (SELECT count(*) FROM known) AS total_tracked, "
+    "(SELECT count(*) FROM comments WHERE post_id IN (SELECT id FROM known)) AS total_comments, "
+    "(SELECT count(*) FROM queue0 WHERE attempts < max_attempts) AS queue_pending"
+)
+ORACLE["agg_dry_run"] = (
+    _with(*EV, S.WINDOW_SQL, S.HOT_SQL, "both_ AS (SELECT * FROM win UNION ALL SELECT * FROM hot)", S.latest_cte("lat", "both_"))
+    + "SELECT subreddit, count(*) AS posts FROM lat GROUP BY subreddit"
+)
+ORACLE["top_dry_run_sample"] = (
+    _with(*EV, S.latest_cte("lat", "good"), S.normalize_posts("lat", "np"))
+    + "SELECT id, subreddit, substring(title, 1, 60) AS title_preview, score, num_comments FROM np "
+    "ORDER BY created_utc DESC, id LIMIT 5"
+)

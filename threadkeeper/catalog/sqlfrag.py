@@ -190,7 +190,7 @@ def event_observations(name: str = "raw_obs") -> str:
         "CASE WHEN " + u + " % 13 <> 0 THEN 'u' || " + u + " END AS author, "
         "'Post by user ' || " + u + " AS title, "
         "'Last event ' || event_type || ' ' || props AS selftext, "
-        "'" + SITE + "' || " + perm + " AS url, " + perm + " AS permalink, "
+        "CASE WHEN event_id % 97 <> 0 THEN '" + SITE + "' || " + perm + " END AS url, " + perm + " AS permalink, "
         "CAST(floor(value) AS INTEGER) AS score, CAST(event_id % 100 AS DOUBLE) / 100 AS upvote_ratio, "
         "CAST(event_id % 17 AS INTEGER) AS num_comments, " + created + " AS created_utc, 0.0 AS edited, "
         "CAST(NULL AS VARCHAR) AS link_flair_text, CAST(NULL AS VARCHAR) AS link_flair_css_class, "
@@ -299,3 +299,117 @@ def normalize_comments(src: str, max_comments: int = 100, name: str = "comments"
         + ts_from_epoch("created_utc") + " AS created_utc, parent_id, is_submitter, "
         "(coalesce(edited, 0.0) <> 0) AS edited, depth, listing_pos FROM " + name + "_kept WHERE rn <= " + str(max_comments) + ")"
     )
+
+
+# ---------------------------------------------------------------------------
+# Shared pieces of the registered-query oracles
+# ---------------------------------------------------------------------------
+RUN_MICROS = ANCHOR_S * 1_000_000
+RUN = lit_ts(RUN_MICROS)
+CUTOFF_S = str(float(ANCHOR_S - 26 * 3600))
+
+
+def pac(ts: str) -> str:
+    """Pacific wall clock of a UTC wall-clock timestamp."""
+    return "timezone('America/Los_Angeles', timezone('UTC', " + ts + "))"
+
+
+def pac_offset_hours(ts: str) -> str:
+    return "((epoch_us(" + pac(ts) + ") - epoch_us(" + ts + ")) // 3600000000)"
+
+
+def dual_time(ts: str) -> str:
+    return (
+        "(strftime(" + pac(ts) + ", '%b %d, %Y at %I:%M %p ') || CASE WHEN " + pac_offset_hours(ts) + " = -8 THEN 'PST' ELSE 'PDT' END "
+        "|| ' (' || strftime(" + ts + ", '%Y-%m-%d %H:%M') || ' UTC)')"
+    )
+
+
+def iso_frac(ts: str) -> str:
+    return "CASE WHEN epoch_us(" + ts + ") % 1000000 <> 0 THEN '.' || lpad(CAST(epoch_us(" + ts + ") % 1000000 AS VARCHAR), 6, '0') ELSE '' END"
+
+
+def iso_utc(ts: str) -> str:
+    return "(strftime(" + ts + ", '%Y-%m-%dT%H:%M:%S') || " + iso_frac(ts) + " || '+00:00')"
+
+
+def iso_pacific(ts: str) -> str:
+    return (
+        "(strftime(" + pac(ts) + ", '%Y-%m-%dT%H:%M:%S') || " + iso_frac(ts) + " || CASE WHEN " + pac_offset_hours(ts)
+        + " = -8 THEN '-08:00' ELSE '-07:00' END)"
+    )
+
+
+def pacific_date(ts: str) -> str:
+    return "CAST(" + pac(ts) + " AS DATE)"
+
+
+def html_escape(x: str) -> str:
+    return "replace(replace(replace(" + x + ", '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def html_attr(x: str) -> str:
+    return "replace(" + html_escape(x) + ", '\"', '&quot;')"
+
+
+def comment_permalink(parent_id: str, id_: str) -> str:
+    return "('" + SITE + "/comments/' || string_split(" + parent_id + ", '_')[-1] || '/_/' || " + id_ + ")"
+
+
+def comment_tags(is_submitter: str, edited: str, depth: str) -> str:
+    t = (
+        "concat_ws(', ', CASE WHEN " + is_submitter + " THEN 'OP' END, CASE WHEN " + edited + " THEN 'edited' END, "
+        "CASE WHEN " + depth + " > 0 THEN 'reply depth ' || " + depth + " END)"
+    )
+    return "CASE WHEN " + t + " <> '' THEN ' [' || " + t + " || ']' ELSE '' END"
+
+
+def age_days(ts: str) -> str:
+    return "(CAST(" + str(RUN_MICROS) + " - epoch_us(" + ts + ") AS DOUBLE) / 86400000000.0)"
+
+
+def latest_cte(name: str, src: str) -> str:
+    return (
+        name + " AS (SELECT * EXCLUDE (rn_) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY observed_at DESC, "
+        "(feed = 'hot') DESC, feed_pos DESC) AS rn_ FROM " + src + ") WHERE rn_ = 1)"
+    )
+
+
+GOOD_SQL = (
+    "good AS (SELECT * FROM raw_obs WHERE id IS NOT NULL AND subreddit IS NOT NULL AND title IS NOT NULL AND url IS NOT NULL "
+    "AND permalink IS NOT NULL AND score IS NOT NULL AND upvote_ratio IS NOT NULL AND num_comments IS NOT NULL "
+    "AND created_utc IS NOT NULL)"
+)
+
+WINDOW_SQL = "win AS (SELECT * FROM good WHERE feed = 'new' AND created_utc >= " + CUTOFF_S + ")"
+HOT_SQL = (
+    "hot AS (SELECT * EXCLUDE (rk_) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY subreddit ORDER BY feed_pos, observed_at) AS rk_ "
+    "FROM good WHERE feed = 'hot') WHERE rk_ <= 50 AND created_utc >= " + CUTOFF_S + ")"
+)
+
+
+def events_tracked() -> str:
+    """ev_ref (refresh = latest good observation, normalised) and ev_tracked."""
+    run = RUN
+    return (
+        event_observations() + ", " + GOOD_SQL + ", " + latest_cte("ev_latest", "good") + ", "
+        + normalize_posts("ev_latest", "ev_norm") + ", "
+        "ev_ref AS (SELECT n.*, CAST(substring(n.id, 2) AS BIGINT) AS u, "
+        + content_hash("n.title", "n.selftext", "CAST(NULL AS VARCHAR)") + " AS h, "
+        "(l.author IS NULL OR coalesce(l.selftext, '') IN ('[deleted]', '[removed]')) AS deleted "
+        "FROM ev_norm n JOIN ev_latest l ON l.id = n.id), "
+        "ev_tracked AS (SELECT id AS post_id, subreddit, created_utc, " + run + " - INTERVAL 2 DAY AS first_scraped, "
+        "CASE WHEN u % 8 = 0 THEN " + run + " ELSE " + run + " - INTERVAL 1 DAY END AS last_updated, "
+        "CAST(u % 4 - 1 AS INTEGER) AS update_count, CASE WHEN u % 10 = 0 THEN 'frozen' ELSE 'new' END AS status, "
+        "CASE WHEN u % 6 <> 4 THEN '" + DOC_ID_PREFIX + "' || id END AS contextual_doc_id, "
+        "CASE WHEN u % 12 = 2 THEN '' WHEN u % 4 = 0 THEN h ELSE 'stale' || u END AS content_hash, u "
+        "FROM ev_ref WHERE u % 2 = 0)"
+    )
+
+
+def order_instants(name: str = "inst") -> str:
+    k = "o_orderkey"
+    return (
+        name + " AS (SELECT " + k + ", make_timestamp(epoch_us(o_orderdate) + (" + k + " % 24) * 3600000000 + (" + k
+        + " % 60) * 60000000 + CASE WHEN " + k + " % 3 = 0 THEN 0 ELSE " + k + " % 1000000 END) AS ts FROM orders)"
+    )

@@ -218,7 +218,8 @@ def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "author": F.when(u % 13 != 0, F.concat(F.lit("u"), u)),
         "title": F.concat(F.lit("Post by user "), u),
         "selftext": F.concat(F.lit("Last event "), F.col("event_type"), F.lit(" "), F.col("props")),
-        "url": F.concat(F.lit(SITE), permalink),
+        # one observation in 97 arrives without a url: a malformed record
+        "url": F.when(F.col("event_id") % 97 != 0, F.concat(F.lit(SITE), permalink)),
         "permalink": permalink,
         "score": F.floor(F.col("value")),
         "upvote_ratio": (F.col("event_id") % 100).cast("double") / 100,
@@ -276,7 +277,7 @@ def event_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
             "last_error"
         ),
         "created_at",
-        (F.col("last_ts") + F.make_dt_interval(F.col("n") % 3 * 24)).alias("scheduled_for"),
+        (F.col("last_ts") + F.make_dt_interval((F.col("n") % 3).cast("int"))).alias("scheduled_for"),
     )
 
 
