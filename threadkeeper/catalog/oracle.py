@@ -387,3 +387,4 @@ ORACLE["top_dry_run_sample"] = (
     + "SELECT id, subreddit, substring(title, 1, 60) AS title_preview, score, num_comments FROM np "
     "ORDER BY created_utc DESC, id LIMIT 5"
 )
+ORACLE["str_intake"] = _with(*EV) + "SELECT DISTINCT id, subreddit FROM good WHERE created_utc >= " + S.CUTOFF_S

@@ -605,3 +605,54 @@ QUERIES = {
 
 def registered() -> dict:
     return {name: (lambda f: (lambda spark, d: wall_clock(f(spark, d))))(f) for name, f in QUERIES.items()}
+
+
+# ---------------------------------------------------------------------------
+# streaming
+# ---------------------------------------------------------------------------
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    import uuid
+
+    from threadkeeper.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/threadkeeper-{name}-{uuid.uuid4().hex}"
+
+
+def str_intake(spark, d):
+    """STR-1: de-duplicating intake stream (watermark + dropDuplicatesWithinWatermark)."""
+    from threadkeeper.streaming.stream import intake_stream
+
+    root = _scratch(spark, "intake")
+    obs = A.event_observations(spark, d).withColumn("day", F.to_date("observed_at"))
+    # one landed file group per observation day
+    obs.repartition(8, "day").drop("day").write.parquet(f"{root}/landing")
+    out = intake_stream(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt", P, files_per_trigger=2)
+    return out.select("id", "subreddit")
+
+
+SYNC_DAYS = ("2024-01-31 16:00:00", "2024-02-01 16:00:00", "2024-02-02 16:00:00")
+
+
+def str_sync(spark, d):
+    """STR-2: one lifecycle run per landed daily snapshot (foreachBatch), state
+    versions committed with the batch id."""
+    from threadkeeper.plans.store import StateStore
+    from threadkeeper.streaming.stream import sync_stream
+
+    root = _scratch(spark, "sync")
+    params = P.with_(time_window_hours=24 * 5, update_window_days=5)
+    state, _, sinks = SC.conv(spark, d, params)
+    store = StateStore(spark, f"{root}/state")
+    empty = L.State(tracked=state.tracked.limit(0), posts=state.posts.limit(0), comments=state.comments.limit(0), queue=state.queue)
+    store.write(empty, "initial", SYNC_DAYS[0])
+    raw = A.conv_raw_posts(spark, d)
+    for ts in SYNC_DAYS:  # each landed snapshot is one file
+        snap = raw.withColumn("observed_at", C.run_ts_lit(params.at(ts).run_micros))
+        snap.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    sync_stream(spark, f"{root}/landing", A.conv_raw_comments(spark, d), sinks, store, f"{root}/ckpt", params)
+    return store.read().tracked.select("post_id", "update_count", "status", "contextual_doc_id")
+
+
+QUERIES["str_intake"] = str_intake
+QUERIES["str_sync"] = str_sync

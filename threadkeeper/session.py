@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,12 +69,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint folder).
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and continue from the written files.
 
-    Survives the loss of executors, unlike a local checkpoint.
+    Survives the loss of executors (the data lives on the shared file
+    system, not in executor memory or local disks), keeps later plans small,
+    and gives the next joins real file-size statistics for AQE's broadcast /
+    skew decisions.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tk-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def wall_clock(df: DataFrame) -> DataFrame:
