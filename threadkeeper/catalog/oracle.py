@@ -337,7 +337,7 @@ DOCS = (
     "doc_fresh AS (SELECT n.*, " + S.content_hash("n.title", "n.selftext", "CAST(NULL AS VARCHAR)") + " AS f_hash, "
     "(o.author IS NULL OR coalesce(o.selftext, '') IN ('[deleted]', '[removed]')) AS f_deleted "
     "FROM doc_norm n JOIN doc_obs o ON o.id = n.id)",
-    "classified AS (SELECT t.*, CASE "
+    "classified AS (SELECT t.*, f.f_hash, CASE "
     "WHEN " + S.pacific_date("t.last_updated") + " = " + S.pacific_date(S.RUN) + " THEN 'NOOP' "
     "WHEN t.update_count < 0 THEN 'SKIP_INCREMENT' WHEN f.id IS NULL THEN 'ENQUEUE_UPDATE' WHEN f.f_deleted THEN 'DELETE' "
     "WHEN coalesce(t.content_hash, '') <> f.f_hash THEN 'REINGEST' "
@@ -388,3 +388,44 @@ ORACLE["top_dry_run_sample"] = (
     "ORDER BY created_utc DESC, id LIMIT 5"
 )
 ORACLE["str_intake"] = _with(*EV) + "SELECT DISTINCT id, subreddit FROM good WHERE created_utc >= " + S.CUTOFF_S
+
+
+# ---------------------------------------------------------------------------
+# Lifecycle phases
+# ---------------------------------------------------------------------------
+ORACLE["life_new"] = (
+    _with(*CONV, S.fragments_cte("frags", "comments"), "good AS (SELECT * FROM raw_posts)", S.WINDOW_SQL, S.HOT_SQL,
+          "both_ AS (SELECT * FROM win UNION ALL SELECT * FROM hot)", S.latest_cte("lat", "both_"), S.normalize_posts("lat", "intake_n"))
+    + ", cand AS (SELECT n.id, " + S.content_hash("n.title", "n.selftext", "f.fragments") + " AS content_hash, "
+    "CAST(substring(n.id, 2) AS BIGINT) % 9 <> 0 AS ok FROM intake_n n LEFT JOIN frags f ON f.post_id = n.id "
+    "WHERE " + S.age_days("n.created_utc") + " <= 2.0 AND CAST(substring(n.id, 2) AS BIGINT) % 4 <> 0) "
+    "SELECT id AS post_id, CASE WHEN ok THEN 'INGESTED' ELSE 'QUEUED' END AS action, "
+    "CASE WHEN ok THEN '" + S.DOC_ID_PREFIX + "' || id END AS contextual_doc_id, CASE WHEN ok THEN content_hash END AS content_hash, "
+    "CASE WHEN ok THEN CAST(-1 AS INTEGER) END AS update_count, CASE WHEN NOT ok THEN CAST(1 AS INTEGER) END AS priority FROM cand"
+)
+ORACLE["life_repair"] = (
+    _with(S.events_tracked())
+    + ", cand AS (SELECT t.post_id, r.deleted, r.h, t.u FROM ev_tracked t JOIN ev_ref r ON r.id = t.post_id "
+    "WHERE (t.content_hash IS NULL OR t.content_hash = '') AND t.status <> 'frozen'), "
+    "fixed AS (SELECT post_id, h FROM cand WHERE NOT deleted AND u % 5 <> 1) "
+    "SELECT t.post_id, t.update_count, t.status, "
+    "CASE WHEN f.post_id IS NOT NULL THEN '" + S.DOC_ID_PREFIX + "' || t.post_id ELSE t.contextual_doc_id END AS contextual_doc_id, "
+    "CASE WHEN f.post_id IS NOT NULL THEN f.h ELSE t.content_hash END AS content_hash, "
+    "CASE WHEN f.post_id IS NOT NULL THEN " + S.RUN + " ELSE t.last_updated END AS last_updated "
+    "FROM ev_tracked t LEFT JOIN fixed f ON f.post_id = t.post_id "
+    "WHERE t.post_id NOT IN (SELECT post_id FROM cand WHERE deleted)"
+)
+ORACLE["life_reingest"] = (
+    _with(*DOCS)
+    + ", dl AS (SELECT c.*, coalesce(d.ok, true) AS ok, d.result_doc_id FROM classified c LEFT JOIN delivered d ON d.post_id = c.post_id), "
+    "newt AS (SELECT post_id, "
+    "CASE WHEN action IN ('SKIP_INCREMENT', 'SET_METADATA') OR (action = 'REINGEST' AND ok) THEN update_count + 1 ELSE update_count END "
+    "AS update_count, CASE WHEN action = 'REINGEST' AND ok THEN 'updating' ELSE status END AS status, "
+    "CASE WHEN action = 'REINGEST' AND ok THEN coalesce(result_doc_id, contextual_doc_id) ELSE contextual_doc_id END AS contextual_doc_id, "
+    "CASE WHEN action = 'REINGEST' AND ok THEN f_hash ELSE content_hash END AS content_hash, "
+    "CASE WHEN action IN ('SKIP_INCREMENT', 'SET_METADATA') OR (action = 'REINGEST' AND ok) THEN " + S.RUN + " ELSE last_updated END "
+    "AS last_updated FROM dl WHERE action <> 'DELETE'), "
+    "q AS (SELECT post_id, 'update' AS queued, 0 AS priority FROM dl WHERE action = 'ENQUEUE_UPDATE' OR (action = 'REINGEST' AND NOT ok)) "
+    "SELECT coalesce(t.post_id, q.post_id) AS post_id, t.update_count, t.status, t.contextual_doc_id, t.content_hash, t.last_updated, "
+    "q.queued, q.priority FROM newt t FULL OUTER JOIN q ON q.post_id = t.post_id"
+)

@@ -400,7 +400,7 @@ def events_tracked() -> str:
         "FROM ev_norm n JOIN ev_latest l ON l.id = n.id), "
         "ev_tracked AS (SELECT id AS post_id, subreddit, created_utc, " + run + " - INTERVAL 2 DAY AS first_scraped, "
         "CASE WHEN u % 8 = 0 THEN " + run + " ELSE " + run + " - INTERVAL 1 DAY END AS last_updated, "
-        "CAST(u % 4 - 1 AS INTEGER) AS update_count, CASE WHEN u % 10 = 0 THEN 'frozen' ELSE 'new' END AS status, "
+        "CAST((u // 2) % 4 - 1 AS INTEGER) AS update_count, CASE WHEN u % 10 = 0 THEN 'frozen' ELSE 'new' END AS status, "
         "CASE WHEN u % 6 <> 4 THEN '" + DOC_ID_PREFIX + "' || id END AS contextual_doc_id, "
         "CASE WHEN u % 12 = 2 THEN '' WHEN u % 4 = 0 THEN h ELSE 'stale' || u END AS content_hash, u "
         "FROM ev_ref WHERE u % 2 = 0)"

@@ -135,7 +135,7 @@ def events(spark: SparkSession, d: str, params: SyncParams) -> tuple[State, Obse
         F.col("id").alias("post_id"), "subreddit", "created_utc",
         (run - F.make_dt_interval(F.lit(2))).alias("first_scraped"),
         F.when(F.col("u") % 8 == 0, run).otherwise(run - F.make_dt_interval(F.lit(1))).alias("last_updated"),
-        ((F.col("u") % 4) - 1).cast("int").alias("update_count"),
+        ((F.floor(F.col("u") / 2) % 4) - 1).cast("int").alias("update_count"),
         F.when(F.col("u") % 10 == 0, F.lit("frozen")).otherwise(F.lit("new")).alias("status"),
         F.when(F.col("u") % 6 != 4, C.doc_id("id")).alias("contextual_doc_id"),
         F.when(F.col("u") % 12 == 2, F.lit("")).when(F.col("u") % 4 == 0, F.col("content_hash"))
