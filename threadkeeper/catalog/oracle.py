@@ -429,3 +429,66 @@ ORACLE["life_reingest"] = (
     "SELECT coalesce(t.post_id, q.post_id) AS post_id, t.update_count, t.status, t.contextual_doc_id, t.content_hash, t.last_updated, "
     "q.queued, q.priority FROM newt t FULL OUTER JOIN q ON q.post_id = t.post_id"
 )
+
+_INTAKE_NEW = (
+    ", cand2 AS (SELECT n.id, n.subreddit, CAST(substring(n.id, 2) AS BIGINT) % 4 <> 0 AS untracked, "
+    + S.age_days("n.created_utc") + " <= 2.0 AS in_win, CAST(substring(n.id, 2) AS BIGINT) % 9 <> 0 AS ok FROM intake_n n) "
+)
+ORACLE["agg_scraped_new"] = (
+    _with(*CONV, "good AS (SELECT * FROM raw_posts)", S.WINDOW_SQL, S.HOT_SQL,
+          "both_ AS (SELECT * FROM win UNION ALL SELECT * FROM hot)", S.latest_cte("lat", "both_"), S.normalize_posts("lat", "intake_n"))
+    + _INTAKE_NEW
+    + "SELECT subreddit, count(*) AS scraped, count_if(untracked AND in_win AND ok) AS new FROM cand2 GROUP BY subreddit"
+)
+_COUNTER_EXPRS = {
+    "posts_scraped": "false", "new_posts": "false",
+    "updated_posts": "(action = 'SET_METADATA' AND ok) OR (action = 'REINGEST' AND ok)", "frozen_posts": "false",
+    "posts_deleted": "action = 'DELETE'", "documents_ingested": "false", "documents_reingested": "action = 'REINGEST' AND ok",
+    "skipped_unchanged": "action = 'SKIP_INCREMENT' OR (action = 'SET_METADATA' AND NOT ok)",
+    "sync_errors": "action = 'REINGEST' AND NOT ok", "queued_for_retry": "action = 'ENQUEUE_UPDATE' OR (action = 'REINGEST' AND NOT ok)",
+}
+ORACLE["agg_run_counters"] = (
+    _with(*DOCS)
+    + ", dl AS (SELECT c.*, coalesce(d.ok, true) AS ok FROM classified c LEFT JOIN delivered d ON d.post_id = c.post_id) "
+    "SELECT " + S.RUN + " AS started_at, " + S.lit_ts(S.RUN_MICROS + 90_000_000) + " AS completed_at, CAST(90.0 AS DOUBLE) AS duration_seconds, "
+    + ", ".join("CAST(count_if(" + e + ") AS BIGINT) AS " + c for c, e in _COUNTER_EXPRS.items())
+    + " FROM dl"
+)
+ORACLE["snk_apply_index"] = (
+    _with(*DOCS)
+    + ", idx AS (SELECT contextual_doc_id AS doc_id, post_id, CAST(2 AS BIGINT) AS size_bytes FROM doc_tracked WHERE contextual_doc_id IS NOT NULL), "
+    "rendered AS (SELECT o.post_id, o.op, o.doc_key, CAST(strlen(" + post_html("p", "CAST(NULL AS VARCHAR)") + ") AS BIGINT) AS size_bytes "
+    "FROM ops2 o JOIN doc_fresh p ON p.id = o.post_id WHERE o.op IN ('INGEST', 'REINGEST') "
+    "UNION ALL SELECT post_id, op, doc_key, CAST(NULL AS BIGINT) FROM ops2 WHERE op NOT IN ('INGEST', 'REINGEST')), "
+    "okbox AS (SELECT r.* FROM rendered r LEFT JOIN sinks s ON s.doc_key = r.doc_key WHERE coalesce(s.ok, true)) "
+    "SELECT coalesce(i.doc_id, b.doc_key) AS doc_id, CASE WHEN b.op IN ('INGEST', 'REINGEST') THEN b.post_id ELSE i.post_id END AS post_id, "
+    "CASE WHEN b.op IN ('INGEST', 'REINGEST') THEN b.size_bytes ELSE i.size_bytes END AS size_bytes "
+    "FROM idx i FULL OUTER JOIN okbox b ON b.doc_key = i.doc_id "
+    "WHERE coalesce(b.op, '') <> 'DELETE' AND (i.doc_id IS NOT NULL OR b.op IN ('INGEST', 'REINGEST'))"
+)
+
+_CHANGED = "action IN ('SKIP_INCREMENT', 'SET_METADATA') OR (action = 'REINGEST' AND ok)"
+ORACLE["life_freeze"] = (
+    _with(S.events_tracked())
+    + ", cls AS (SELECT t.*, r.h AS f_hash, CASE WHEN " + S.pacific_date("t.last_updated") + " = " + S.pacific_date(S.RUN)
+    + " THEN 'NOOP' WHEN t.update_count < 0 THEN 'SKIP_INCREMENT' WHEN r.id IS NULL THEN 'ENQUEUE_UPDATE' WHEN r.deleted THEN 'DELETE' "
+    "WHEN coalesce(t.content_hash, '') <> r.h THEN 'REINGEST' "
+    "WHEN c.id IS NOT NULL AND (c.score IS DISTINCT FROM r.score OR c.num_comments IS DISTINCT FROM r.num_comments "
+    "OR c.upvote_ratio IS DISTINCT FROM r.upvote_ratio) AND t.contextual_doc_id IS NOT NULL THEN 'SET_METADATA' ELSE 'SKIP_INCREMENT' END "
+    "AS action FROM ev_tracked t LEFT JOIN ev_ref r ON r.id = t.post_id "
+    "LEFT JOIN (SELECT id, score - (u % 2) AS score, num_comments, upvote_ratio FROM ev_ref WHERE u % 3 <> 0) c ON c.id = t.post_id "
+    "WHERE t.status <> 'frozen' AND t.update_count < 2), "
+    "dl AS (SELECT *, CASE WHEN action IN ('REINGEST', 'SET_METADATA') OR (action = 'DELETE' AND contextual_doc_id IS NOT NULL) "
+    "THEN u % 5 <> 1 ELSE true END AS ok FROM cls), "
+    "upd AS (SELECT post_id, CASE WHEN " + _CHANGED + " THEN update_count + 1 ELSE update_count END AS update_count, "
+    "CASE WHEN action = 'REINGEST' AND ok THEN 'updating' ELSE status END AS status, "
+    "CASE WHEN action = 'REINGEST' AND ok THEN '" + S.DOC_ID_PREFIX + "' || post_id ELSE contextual_doc_id END AS contextual_doc_id, "
+    "CASE WHEN action = 'REINGEST' AND ok THEN f_hash ELSE content_hash END AS content_hash, "
+    "CASE WHEN " + _CHANGED + " THEN " + S.RUN + " ELSE last_updated END AS last_updated, action FROM dl), "
+    "allt AS (SELECT post_id, update_count, status, contextual_doc_id, content_hash, last_updated FROM upd WHERE action <> 'DELETE' "
+    "UNION ALL SELECT post_id, update_count, status, contextual_doc_id, content_hash, last_updated FROM ev_tracked "
+    "WHERE NOT (status <> 'frozen' AND update_count < 2)) "
+    "SELECT post_id, update_count, CASE WHEN status <> 'frozen' AND update_count >= 2 THEN 'frozen' ELSE status END AS status, "
+    "contextual_doc_id, content_hash, CASE WHEN status <> 'frozen' AND update_count >= 2 THEN " + S.RUN + " ELSE last_updated END "
+    "AS last_updated FROM allt"
+)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadkeeper.functions import columns as C
-from threadkeeper.functions.fingerprint import fingerprint_posts
+from threadkeeper.functions.fingerprint import comment_fragments, content_hash
 from threadkeeper.operators import outbox as O
 from threadkeeper.operators import queue as Q
 from threadkeeper.operators import state as S
@@ -85,15 +85,19 @@ def observe(raw_posts: DataFrame, raw_comments: DataFrame, params: SyncParams) -
     flagged = latest.withColumn("_deleted", deleted)
     refresh = I.normalize_posts(flagged).join(flagged.select("id", F.col("_deleted").alias("deleted")), "id")
     comments = cut_lineage(comments)
-    refresh = cut_lineage(_with_hash(refresh, comments))
+    # one aggregation of the comments serves both fingerprints
+    frags = cut_lineage(comment_fragments(comments.select("post_id", "id", "body")))
+    refresh = cut_lineage(_with_hash(refresh, frags=frags))
     both = I.window_scan(good, params).unionByName(I.hot_top(good, params))
-    intake = cut_lineage(_with_hash(I.normalize_posts(I.latest_observation(both)), comments))
+    intake = cut_lineage(_with_hash(I.normalize_posts(I.latest_observation(both)), frags=frags))
     return Observation(intake=intake, refresh=refresh, comments=comments)
 
 
-def _with_hash(posts: DataFrame, comments: DataFrame) -> DataFrame:
-    fp = fingerprint_posts(posts.withColumnRenamed("id", "post_id"), comments.select("post_id", "id", "body"))
-    return fp.withColumnRenamed("post_id", "id").drop("n_comments")
+def _with_hash(posts: DataFrame, comments: DataFrame | None = None, frags: DataFrame | None = None) -> DataFrame:
+    if frags is None:
+        frags = comment_fragments(comments.select("post_id", "id", "body"))
+    j = posts.join(frags.withColumnRenamed("post_id", "id"), "id", "left")
+    return j.withColumn("content_hash", content_hash("title", "selftext", "fragments")).drop("fragments", "n_comments")
 
 
 # ---------------------------------------------------------------------------
@@ -497,9 +501,6 @@ def run(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mo
             return st
         return replace(st, tracked=cut_lineage(st.tracked), queue=cut_lineage(st.queue))
 
-    def cut_df(df):
-        return cut_lineage(df) if checkpoint else df
-
     def add(acc, more):
         return more if acc is None else acc.unionByName(more)
 
@@ -532,9 +533,11 @@ def run(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mo
             st = State(tracked=tracked, posts=posts, comments=comments, queue=st.queue)
             events = None
             break
+        # events / actions are unions of per-phase pieces that are already
+        # built on materialised inputs, so they grow linearly: no write here.
         if ev is not None:
-            events = cut_df(events_add(ev))
-        actions = cut_df(add(actions, ac))
+            events = events_add(ev)
+        actions = add(actions, ac)
         st = cut(st)
     if events is not None:
         posts, comments = apply_cache_events(st.posts, st.comments, events, obs.comments)
