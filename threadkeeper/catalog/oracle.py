@@ -492,3 +492,30 @@ ORACLE["life_freeze"] = (
     "contextual_doc_id, content_hash, CASE WHEN status <> 'frozen' AND update_count >= 2 THEN " + S.RUN + " ELSE last_updated END "
     "AS last_updated FROM allt"
 )
+
+ORACLE["life_queue"] = (
+    _with(S.events_tracked(), S.event_queue(), BATCH)
+    + ", cachedp AS (SELECT id, score - (u % 2) AS score, num_comments, upvote_ratio FROM ev_ref WHERE u % 3 <> 0), "
+    "ing AS (SELECT b.post_id, c.id IS NOT NULL AS has_post, CAST(substring(b.post_id, 2) AS BIGINT) % 5 <> 1 AS ok "
+    "FROM batch b LEFT JOIN cachedp c ON c.id = b.post_id WHERE b.action = 'ingest'), "
+    "t1 AS (SELECT t.post_id, t.update_count, t.status, t.last_updated, t.content_hash, "
+    "CASE WHEN i.post_id IS NOT NULL THEN '" + S.DOC_ID_PREFIX + "' || t.post_id ELSE t.contextual_doc_id END AS contextual_doc_id, t.u "
+    "FROM ev_tracked t LEFT JOIN (SELECT post_id FROM ing WHERE has_post AND ok) i ON i.post_id = t.post_id "
+    "UNION ALL SELECT post_id, -1, 'new', " + S.RUN + ", CAST(NULL AS VARCHAR), '" + S.DOC_ID_PREFIX + "' || post_id, "
+    "CAST(substring(post_id, 2) AS BIGINT) FROM ing WHERE has_post AND ok AND post_id NOT IN (SELECT post_id FROM ev_tracked)), "
+    "cls AS (SELECT t.post_id, t.u, CASE WHEN " + S.pacific_date("t.last_updated") + " = " + S.pacific_date(S.RUN)
+    + " THEN 'NOOP' WHEN t.update_count < 0 THEN 'SKIP_INCREMENT' WHEN r.id IS NULL THEN 'ENQUEUE_UPDATE' WHEN r.deleted THEN 'DELETE' "
+    "WHEN coalesce(t.content_hash, '') <> r.h THEN 'REINGEST' "
+    "WHEN c.id IS NOT NULL AND (c.score IS DISTINCT FROM r.score OR c.num_comments IS DISTINCT FROM r.num_comments "
+    "OR c.upvote_ratio IS DISTINCT FROM r.upvote_ratio) AND t.contextual_doc_id IS NOT NULL THEN 'SET_METADATA' ELSE 'SKIP_INCREMENT' END "
+    "AS action FROM t1 t JOIN (SELECT post_id FROM batch WHERE action = 'update') b ON b.post_id = t.post_id "
+    "LEFT JOIN ev_ref r ON r.id = t.post_id LEFT JOIN cachedp c ON c.id = t.post_id WHERE t.status <> 'frozen'), "
+    "fails AS (SELECT post_id, 'ingest' AS action, 'HTTP 503' AS error FROM ing WHERE has_post AND NOT ok "
+    "UNION ALL SELECT post_id, 'update', CASE WHEN action = 'ENQUEUE_UPDATE' THEN 'refresh failed' ELSE 'sync failed' END "
+    "FROM cls WHERE action = 'ENQUEUE_UPDATE' OR (action = 'REINGEST' AND u % 5 = 1)) "
+    "SELECT q.post_id, q.action, CAST(CASE WHEN f.post_id IS NOT NULL THEN q.attempts + 1 ELSE q.attempts END AS INTEGER) AS attempts, "
+    "CASE WHEN f.post_id IS NOT NULL THEN f.error ELSE q.last_error END AS last_error, "
+    "CASE WHEN f.post_id IS NOT NULL THEN " + S.RUN + " + to_minutes(CAST(5 * pow(2, q.attempts) AS BIGINT)) ELSE q.scheduled_for END "
+    "AS scheduled_for FROM queue0 q LEFT JOIN fails f ON f.post_id = q.post_id AND f.action = q.action "
+    "WHERE f.post_id IS NOT NULL OR NOT EXISTS (SELECT 1 FROM batch b WHERE b.post_id = q.post_id AND b.action = q.action)"
+)

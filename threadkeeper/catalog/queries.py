@@ -497,7 +497,7 @@ def life_repair(spark, d):
 def life_queue(spark, d):
     """LIFE-10, TOP-1, JN-5, MUT-7/8: one pass over the due batch."""
     state, obs, sinks = SC.events(spark, d, P)
-    st, _, _ = L.phase_queue(state, obs, sinks, P, state.posts)
+    st, _, _ = L.phase_queue(state, obs, sinks, P)
     q = st.queue.select("post_id", "action", "attempts", "last_error", "scheduled_for")
     return q
 

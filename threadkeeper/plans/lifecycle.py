@@ -20,6 +20,8 @@ Delivery outcomes come from ``sink_results``; a missing result = success.
 
 from __future__ import annotations
 
+import logging
+import time
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +45,8 @@ from threadkeeper.schemas import CACHED_COMMENT_COLS, CACHED_POST_COLS, TRACKED_
 from threadkeeper.session import cut_lineage
 from threadkeeper.sources import intake as I
 
+log = logging.getLogger("threadkeeper.lifecycle")
+
 # Update classifier outcomes (LIFE-2).
 NOOP, SKIP, ENQUEUE, DELETE, REINGEST, SET_METADATA = (
     "NOOP", "SKIP_INCREMENT", "ENQUEUE_UPDATE", "DELETE", "REINGEST", "SET_METADATA",
@@ -225,7 +229,9 @@ def _tracked_from(rows: DataFrame, **set_cols: Column) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Phases
 # ---------------------------------------------------------------------------
-def apply_updates(state: State, obs: Observation, classified: DataFrame, sinks: DataFrame, params: SyncParams, seq: int, phase: str):
+def apply_updates(
+    state: State, obs: Observation, classified: DataFrame, sinks: DataFrame, params: SyncParams, seq: int, phase: str, bounded: bool = False
+):
     """LIFE-3..6 for classified rows: new tracked rows, queue requests,
     cache events, document ops and counters."""
     run = _run(params)
@@ -247,7 +253,10 @@ def apply_updates(state: State, obs: Observation, classified: DataFrame, sinks:
         contextual_doc_id=F.when(F.col("_re_ok"), F.col("result_doc_id")).otherwise(F.col("contextual_doc_id")),
     )
     deleted = d.where(a == DELETE).select("post_id")
-    tracked = S.upsert_tracked(state.tracked, new_rows).join(deleted, "post_id", "left_anti")
+    if bounded:  # at most queue_limit rows: broadcast merge, tracked is not shuffled
+        tracked = S.apply_bounded_updates(state.tracked, new_rows, deletes=deleted)
+    else:
+        tracked = S.upsert_tracked(state.tracked, new_rows).join(deleted, "post_id", "left_anti")
     requests = d.where((a == ENQUEUE) | F.col("_re_fail")).select(
         "post_id", "subreddit", F.lit(ACTION_UPDATE).alias("action"), F.lit(0).alias("priority")
     )
@@ -365,7 +374,7 @@ def phase_repair(state: State, obs: Observation, sinks: DataFrame, params: SyncP
     return replace(state, tracked=tracked), events, actions
 
 
-def phase_queue(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, cache_view: DataFrame, seq: int = 10):
+def phase_queue(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, events: DataFrame | None = None, seq: int = 10):
     """LIFE-10 over the due batch (TOP-1, at most ``queue_limit`` rows).
 
     ingest -> cached post (JN-5) -> INGEST; ok sets the doc id, or creates the
@@ -376,11 +385,13 @@ def phase_queue(state: State, obs: Observation, sinks: DataFrame, params: SyncPa
     """
     run = _run(params)
     batch = F.broadcast(cut_lineage(Q.due_batch(state.queue, params).select("post_id", "action", "subreddit")))
+    # the post cache as of now, looked up for the batch ids only (never shuffled)
+    view = cache_view(state.posts, events, batch.select(F.col("post_id").alias("id")).distinct())
     # --- ingest items
     ing = batch.where(F.col("action") == ACTION_INGEST)
-    cached = cache_view.join(ing.select(F.col("post_id").alias("id")), "id", "left_semi")
+    cached = view.join(F.broadcast(ing.select(F.col("post_id").alias("id"))), "id", "left_semi")
     ing_j = ing.join(cached.select(F.col("id").alias("post_id"), F.lit(True).alias("c_found")), "post_id", "left")
-    ing_j = ing_j.join(state.tracked.join(ing.select("post_id"), "post_id", "left_semi").select(
+    ing_j = ing_j.join(state.tracked.join(F.broadcast(ing.select("post_id")), "post_id", "left_semi").select(
         "post_id", F.lit(True).alias("t_found")), "post_id", "left")
     ing_ops = ing_j.withColumn("op", F.when(F.col("c_found").isNotNull(), F.lit(O.OP_INGEST))).withColumn(
         "doc_key", F.when(F.col("op").isNotNull(), C.doc_id("post_id"))
@@ -390,9 +401,9 @@ def phase_queue(state: State, obs: Observation, sinks: DataFrame, params: SyncPa
     # tracked rows: set doc id, or create (hash from the cached copy)
     cached_hash = _with_hash(
         cached.select("id", "title", "selftext", "subreddit", "created_utc"),
-        state.comments.join(ing.select("post_id"), "post_id", "left_semi"),
+        state.comments.join(F.broadcast(ing.select("post_id")), "post_id", "left_semi"),
     )
-    set_doc = ing_ok.where(F.col("t_found").isNotNull()).select("post_id", F.col("result_doc_id").alias("new_doc"))
+    set_doc = F.broadcast(ing_ok.where(F.col("t_found").isNotNull()).select("post_id", F.col("result_doc_id").alias("new_doc")))
     set_rows = state.tracked.join(set_doc, "post_id").select(
         *[F.col("new_doc").alias(c) if c == "contextual_doc_id" else F.col(c) for c in TRACKED_COLS]
     )
@@ -413,13 +424,13 @@ def phase_queue(state: State, obs: Observation, sinks: DataFrame, params: SyncPa
     ing_fail = ing_d.where(F.col("op").isNotNull() & ~F.col("ok")).select(
         "post_id", F.lit(ACTION_INGEST).alias("action"), F.coalesce(F.col("error"), F.lit("ingest failed")).alias("error")
     )
-    tracked = cut_lineage(S.upsert_tracked(state.tracked, set_rows.unionByName(create_rows)))
+    tracked = S.apply_bounded_updates(state.tracked, set_rows, inserts=create_rows)
     st = replace(state, tracked=tracked)
     # --- update items
     upd = batch.where(F.col("action") == ACTION_UPDATE).select("post_id")
-    t_upd = st.tracked.join(upd, "post_id", "left_semi").where(F.col("status") != STATUS_FROZEN)
-    classified = classify(t_upd, obs, cache_view.join(upd.select(F.col("post_id").alias("id")), "id", "left_semi"), params, apply_due_filter=False)
-    st2, upd_events, upd_actions = apply_updates(st, obs, classified, sinks, params, seq, "queue")
+    t_upd = st.tracked.join(F.broadcast(upd), "post_id", "left_semi").where(F.col("status") != STATUS_FROZEN)
+    classified = classify(t_upd, obs, view.join(F.broadcast(upd.select(F.col("post_id").alias("id"))), "id", "left_semi"), params, apply_due_filter=False)
+    st2, upd_events, upd_actions = apply_updates(st, obs, classified, sinks, params, seq, "queue", bounded=True)
     upd_fail = upd_actions.where((F.col("action") == ENQUEUE) | ((F.col("action") == REINGEST) & ~F.col("ok"))).select(
         "post_id", F.lit(ACTION_UPDATE).alias("action"),
         F.when(F.col("action") == ENQUEUE, F.lit("refresh failed")).otherwise(F.lit("sync failed")).alias("error"),
@@ -467,9 +478,17 @@ def apply_cache_events(posts: DataFrame, comments: DataFrame, events: DataFrame,
     return new_posts, new_comments
 
 
-def cache_view(posts: DataFrame, events: DataFrame) -> DataFrame:
+def cache_view(posts: DataFrame, events: DataFrame | None, ids: DataFrame | None = None) -> DataFrame:
     """The post cache as of now (pre-run cache overlaid with this run's
-    events), for lookups by a handful of ids (the queue batch)."""
+    events).  With ``ids`` (a bounded key set, e.g. the queue batch) both
+    sides are first reduced by a broadcast semi-join, so nothing large is
+    shuffled."""
+    if ids is not None:
+        posts = posts.join(F.broadcast(ids), "id", "left_semi")
+    if events is None:
+        return posts.select(*CACHED_POST_COLS)
+    if ids is not None:
+        events = events.join(F.broadcast(ids), "id", "left_semi")
     ev = events.groupBy("id").agg(
         F.max_by(F.struct(*[F.col(c) for c in CACHED_POST_COLS if c != "id"], "is_delete"), "seq").alias("e")
     ).select("id", "e.*")
@@ -515,9 +534,9 @@ def run(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mo
     }[mode]
     st = state
     for ph in phases:
+        t0 = time.time()
         if ph in ("queue", "queue2"):
-            view = cache_view(st.posts, events)
-            st, ev, ac = phase_queue(st, obs, sinks, params, view, seq=10 if ph == "queue" else 60)
+            st, ev, ac = phase_queue(st, obs, sinks, params, events, seq=10 if ph == "queue" else 60)
         elif ph == "repair":
             st, ev, ac = phase_repair(st, obs, sinks, params)
         elif ph == "new":
@@ -539,6 +558,7 @@ def run(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mo
             events = events_add(ev)
         actions = add(actions, ac)
         st = cut(st)
+        log.info("phase %s done in %.1fs", ph, time.time() - t0)
     if events is not None:
         posts, comments = apply_cache_events(st.posts, st.comments, events, obs.comments)
         st = replace(st, posts=posts, comments=comments)

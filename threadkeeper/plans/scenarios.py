@@ -163,10 +163,13 @@ def orders(spark: SparkSession, d: str, params: SyncParams) -> tuple[State, Obse
     raw_c = A.lineitem_raw_comments(spark, d)
     k = F.col("o_orderkey")
     keys = A.table(spark, d, "orders").select(F.concat(F.lit("o"), k).alias("id"), k)
-    landed = raw.join(keys.where(k % 17 != 3).select("id"), "id", "left_semi")
-    obs = observe(landed, raw_c, params)
-    full = observe(raw, raw_c, params).refresh  # content as first seen
-    base = full.join(keys, "id").where(k % 5 != 0)
+    # one observation of everything; the landed snapshot lacks 1 in 17 orders
+    seen = observe(raw, raw_c, params)
+    gone = keys.where(k % 17 == 3).select("id")
+    obs = Observation(
+        intake=seen.intake.join(gone, "id", "left_anti"), refresh=seen.refresh.join(gone, "id", "left_anti"), comments=seen.comments
+    )
+    base = seen.refresh.join(keys, "id").where(k % 5 != 0)
     tracked = base.select(
         F.col("id").alias("post_id"), "subreddit", "created_utc",
         (run - F.make_dt_interval((k % 40).cast("int"))).alias("first_scraped"),

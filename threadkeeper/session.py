@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import os
+import logging
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger("threadkeeper.session")
+
 # Runtime SQL settings applied to whatever session the caller hands us.  All
 # are session-scoped, so they can be set on a shared cluster session.
 RUNTIME_CONF = {
@@ -79,7 +83,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tk-{uuid.uuid4().hex}"
+    t0 = time.time()
     df.write.parquet(path)
+    if log.isEnabledFor(logging.DEBUG):
+        import traceback
+
+        caller = traceback.extract_stack(limit=3)[0]
+        log.debug("materialised %s:%s in %.2fs", caller.name, caller.lineno, time.time() - t0)
     return spark.read.parquet(path)
 
 
