@@ -36,10 +36,15 @@ def _escape_char(c: Column) -> Column:
     expr = None
     for raw, esc in _SHORT_ESCAPES.items():
         expr = F.when(c == raw, F.lit(esc)) if expr is None else expr.when(c == raw, F.lit(esc))
-    printable = (c >= F.lit(" ")) & (c <= F.lit("~")) & (F.octet_length(c) == 1)
-    # Code unit(s) in UTF-16 give the \\uXXXX form, surrogate pairs included.
-    utf16 = F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", "\\\\u$1")
-    return expr.when(printable, c).otherwise(utf16)
+    cp = F.ascii(c)  # the code point of the (single) character
+    printable = (cp >= 0x20) & (cp <= 0x7E)
+    # \\uXXXX of the UTF-16 code unit(s); above U+FFFF a surrogate pair.
+    bmp = F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(cp), 4, "0")))
+    off = cp - 0x10000
+    pair = F.concat(
+        F.lit("\\u"), F.lower(F.hex(F.shiftright(off, 10) + 0xD800)), F.lit("\\u"), F.lower(F.hex(off.bitwiseAND(F.lit(0x3FF)) + 0xDC00))
+    )
+    return expr.when(printable, c).when(cp < 0x10000, bmp).otherwise(pair)
 
 
 _SAFE = r"[ !#-\[\]-~]"
@@ -53,7 +58,8 @@ def json_string(text) -> Column:
     """JSON string literal (with the quotes) of a non-null string column."""
     t = col(text)
     toks = F.regexp_extract_all(t, F.lit(_TOKENS), 0)
-    escaped = F.array_join(F.transform(toks, lambda tok: F.when(tok.rlike("^" + _SAFE), tok).otherwise(_escape_char(tok))), "")
+    # a token longer than one character is always a run of safe characters
+    escaped = F.array_join(F.transform(toks, lambda tok: F.when(F.length(tok) > 1, tok).otherwise(_escape_char(tok))), "")
     body = F.when(t.rlike(_NEEDS_ESCAPE), F.coalesce(escaped, F.lit(""))).otherwise(t)
     return F.concat(F.lit('"'), body, F.lit('"'))
 
