@@ -67,3 +67,30 @@ def test_rerun_same_day_changes_nothing(spark, sf):
     second = L.run(first, obs, sinks, p).state
     cols = ["post_id", "update_count", "status", "contextual_doc_id", "content_hash", "last_updated"]
     assert sorted(map(tuple, first.tracked.select(*cols).collect())) == sorted(map(tuple, second.tracked.select(*cols).collect()))
+
+
+def test_full_run_invariants(spark, sf):
+    p = SyncParams()
+    state, obs, sinks = SC.orders(spark, sf, p)
+    res = L.run(state, obs, sinks, p)
+    t = res.state.tracked.collect()
+    ids = [r.post_id for r in t]
+    assert len(ids) == len(set(ids))  # one tracked row per post
+    posts = {r.id for r in res.state.posts.select("id").collect()}
+    assert set(ids) <= posts  # every tracked post is cached
+    assert {r.post_id for r in res.state.comments.select("post_id").distinct().collect()} <= posts
+    cutoff = p.run_micros - p.cleanup_after_days * 86_400_000_000
+    import datetime as dt
+
+    epoch = dt.datetime(1970, 1, 1)
+    frozen_now = {r.post_id for r in res.actions.where(F.col("phase") == "freeze").select("post_id").collect()}
+    for r in t:
+        assert (r.first_scraped.replace(tzinfo=None) - epoch) // dt.timedelta(microseconds=1) >= cutoff
+        if r.post_id in frozen_now:  # frozen by this run: its updates are complete
+            assert r.status == "frozen" and r.update_count >= 2
+    c = res.actions.agg(*[F.sum(F.col(x).cast("int")).alias(x) for x in ("posts_scraped", "new_posts", "frozen_posts")]).first()
+    assert c.posts_scraped == obs.intake.count()
+    assert c.frozen_posts == res.actions.where(F.col("phase") == "freeze").count()
+    # queue items left are keyed uniquely
+    q = [(r.post_id, r.action) for r in res.state.queue.collect()]
+    assert len(q) == len(set(q))

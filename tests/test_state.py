@@ -56,7 +56,7 @@ def test_retention_boundary_and_orphans(spark):
     t = _tracked(spark, [("old", "s", 0, p.run_micros - 31 * day, 0, 0, "frozen", None, "h"),
                          ("edge", "s", 0, p.run_micros - 30 * day, 0, 0, "frozen", None, "h")])
     posts = spark.createDataFrame([("old",), ("edge",), ("orphan",)], "id string")
-    com = spark.createDataFrame([("old", "c1"), ("edge", "c2")], "post_id string, id string")
+    com = spark.createDataFrame([("old", "c1"), ("edge", "c2"), ("orphan", "c3")], "post_id string, id string")
     np, nc, nt = S.retention(posts, com, t, p)
     assert {r.id for r in np.collect()} == {"edge"}
     assert {r.id for r in nc.collect()} == {"c2"}

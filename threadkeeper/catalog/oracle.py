@@ -318,7 +318,9 @@ ORACLE["mut_retention"] = (
     "AND ((SELECT count(*) FROM expired) = 0 OR 'o' || o_orderkey IN (SELECT post_id FROM rem)) "
     "UNION ALL SELECT 'tracked', post_id, CAST(1 AS BIGINT) FROM rem "
     "UNION ALL SELECT 'comments', 'o' || l_orderkey, count(*) FROM lineitem "
-    "WHERE 'o' || l_orderkey NOT IN (SELECT post_id FROM expired) GROUP BY 2"
+    "WHERE 'o' || l_orderkey NOT IN (SELECT post_id FROM expired) AND NOT ((SELECT count(*) FROM expired) > 0 "
+    "AND 'o' || l_orderkey IN (SELECT 'o' || o_orderkey FROM orders WHERE o_orderkey % 7 <> 0) "
+    "AND 'o' || l_orderkey NOT IN (SELECT post_id FROM rem)) GROUP BY 2"
 )
 ORACLE["mut_freeze"] = (
     _with(S.events_tracked())
@@ -519,3 +521,6 @@ ORACLE["life_queue"] = (
     "AS scheduled_for FROM queue0 q LEFT JOIN fails f ON f.post_id = q.post_id AND f.action = q.action "
     "WHERE f.post_id IS NOT NULL OR NOT EXISTS (SELECT 1 FROM batch b WHERE b.post_id = q.post_id AND b.action = q.action)"
 )
+ORACLE["src_landing_json"] = (
+    "SELECT (event_id % 89 <> 0 AND event_id % 97 <> 0) AS valid, count(*) AS n FROM events GROUP BY 1"
+)

@@ -656,3 +656,24 @@ def str_sync(spark, d):
 
 QUERIES["str_intake"] = str_intake
 QUERIES["str_sync"] = str_sync
+
+
+def src_landing_json(spark, d):
+    """SRC-7 through the file reader: observations landed as JSON lines, one
+    line in 89 truncated; malformed lines and rows missing required fields
+    become rejects, the rest is read with the fixed schema."""
+    from threadkeeper.schemas import RAW_POST_COLS
+
+    root = _scratch(spark, "landing-json")
+    obs = A.event_observations(spark, d)
+    line = F.to_json(F.struct(*RAW_POST_COLS))
+    broken = F.when(F.col("feed_pos") % 89 == 0, F.expr("substring(line, 1, length(line) - 1)")).otherwise(F.col("line"))
+    obs.select(line.alias("line"), "feed_pos").select(broken.alias("value")).write.text(f"{root}/landing")
+    raw = I.read_landing(spark, f"{root}/landing", "posts", fmt="json")
+    good, bad = I.split_rejects(raw)
+    return good.select(F.lit(True).alias("valid")).unionByName(bad.select(F.lit(False).alias("valid"))).groupBy("valid").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+QUERIES["src_landing_json"] = src_landing_json

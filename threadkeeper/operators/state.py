@@ -101,8 +101,9 @@ def freeze(tracked: DataFrame, params: SyncParams) -> DataFrame:
 
 def retention(posts: DataFrame, comments: DataFrame, tracked: DataFrame, params: SyncParams):
     """MUT-9: purge rows first scraped before run - days (strict), then posts
-    no remaining tracked row refers to.  Nothing happens when no tracked row
-    expired (orphans then stay) or when days <= 0.
+    no remaining tracked row refers to, with their comments (the comment rows
+    cascade with their post).  Nothing happens when no tracked row expired
+    (orphans then stay) or when days <= 0.
 
     Returns (posts, comments, tracked, removed_count_column_df).  The "any
     expired" guard is a scalar subquery, so the plan stays lazy.
@@ -113,10 +114,12 @@ def retention(posts: DataFrame, comments: DataFrame, tracked: DataFrame, params:
     expired = tracked.where(F.col("first_scraped") < cutoff).select("post_id")
     any_expired = expired.select((F.count(F.lit(1)) > 0).alias("x")).scalar()
     new_tracked = tracked.join(expired, "post_id", "left_anti")
-    new_comments = comments.join(expired, "post_id", "left_anti")
     remaining = new_tracked.select(F.col("post_id").alias("id"), F.lit(True).alias("_tracked"))
     flagged = posts.join(remaining, "id", "left")
     new_posts = flagged.where(~any_expired | F.col("_tracked").isNotNull()).drop("_tracked")
+    # comments go with expired posts and, by the cascade, with purged orphans
+    orphans = flagged.where(any_expired & F.col("_tracked").isNull()).select(F.col("id").alias("post_id"))
+    new_comments = comments.join(expired.unionByName(orphans), "post_id", "left_anti")
     return new_posts, new_comments, new_tracked
 
 
