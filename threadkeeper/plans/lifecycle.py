@@ -158,11 +158,28 @@ def in_update_window(params: SyncParams) -> Column:
 # ---------------------------------------------------------------------------
 # LIFE-2: the update classifier
 # ---------------------------------------------------------------------------
-def classify(tracked: DataFrame, obs: Observation, cached_posts: DataFrame, params: SyncParams, apply_due_filter: bool = True) -> DataFrame:
+def classify(
+    tracked: DataFrame,
+    obs: Observation,
+    cached_posts: DataFrame,
+    params: SyncParams,
+    apply_due_filter: bool = True,
+    restrict_to: DataFrame | None = None,
+) -> DataFrame:
     """tracked rows (FLT-6 applied unless ``apply_due_filter`` is False)
-    ⟕ fresh observation ⟕ cached post  ->  one action per row (JN-4)."""
+    ⟕ fresh observation ⟕ cached post  ->  one action per row (JN-4).
+
+    ``restrict_to`` (post_id), a key set bounded at plan time such as the
+    queue batch, first reduces the observation and the cache by a broadcast
+    semi-join, so a lookup of a few rows never shuffles the large tables
+    (a left join cannot broadcast its left side)."""
     cand = tracked.where(due_for_update(params)) if apply_due_filter else tracked
-    fresh = obs.refresh.select(
+    refresh = obs.refresh
+    if restrict_to is not None:
+        keys = F.broadcast(restrict_to.select(F.col("post_id").alias("id")))
+        refresh = refresh.join(keys, "id", "left_semi")
+        cached_posts = cached_posts.join(keys, "id", "left_semi")
+    fresh = refresh.select(
         F.col("id").alias("post_id"),
         F.lit(True).alias("f_found"),
         F.col("deleted").alias("f_deleted"),
@@ -429,7 +446,7 @@ def phase_queue(state: State, obs: Observation, sinks: DataFrame, params: SyncPa
     # --- update items
     upd = batch.where(F.col("action") == ACTION_UPDATE).select("post_id")
     t_upd = st.tracked.join(F.broadcast(upd), "post_id", "left_semi").where(F.col("status") != STATUS_FROZEN)
-    classified = classify(t_upd, obs, view.join(F.broadcast(upd.select(F.col("post_id").alias("id"))), "id", "left_semi"), params, apply_due_filter=False)
+    classified = classify(t_upd, obs, view, params, apply_due_filter=False, restrict_to=upd)
     st2, upd_events, upd_actions = apply_updates(st, obs, classified, sinks, params, seq, "queue", bounded=True)
     upd_fail = upd_actions.where((F.col("action") == ENQUEUE) | ((F.col("action") == REINGEST) & ~F.col("ok"))).select(
         "post_id", F.lit(ACTION_UPDATE).alias("action"),

@@ -19,6 +19,7 @@ from threadkeeper.functions import columns as C
 from threadkeeper.functions.fingerprint import content_hash
 from threadkeeper.params import DOC_ID_PREFIX, SITE, SyncParams
 from threadkeeper.plans.lifecycle import Observation, State, observe
+from threadkeeper.session import cut_lineage
 from threadkeeper.schemas import (
     CACHED_COMMENT_COLS,
     CACHED_POST_COLS,
@@ -45,6 +46,13 @@ def empty_comments(spark: SparkSession, params: SyncParams) -> DataFrame:
     return I.normalize_comments(empty_raw_comments(spark), params).select(*CACHED_COMMENT_COLS)
 
 
+def stored(state: State) -> State:
+    """The state as a run finds it: written tables (as read from the store)."""
+    return State(
+        tracked=cut_lineage(state.tracked), posts=cut_lineage(state.posts), comments=cut_lineage(state.comments), queue=cut_lineage(state.queue)
+    )
+
+
 def cache_rows(posts: DataFrame, scraped_at, update_count) -> DataFrame:
     cols = {"scraped_at": scraped_at, "last_updated": scraped_at, "update_count": update_count}
     return posts.select(*[(cols[c] if c in cols else F.col(c)).alias(c) for c in CACHED_POST_COLS])
@@ -115,7 +123,7 @@ def conv(spark: SparkSession, d: str, params: SyncParams) -> tuple[State, Observ
     )
     posts = cache_rows(known, run - F.make_dt_interval(F.lit(1)), F.lit(0))
     comments = obs.comments.join(known.select(F.col("id").alias("post_id")), "post_id", "left_semi").select(*CACHED_COMMENT_COLS)
-    state = State(tracked=tracked.select(*TRACKED_COLS), posts=posts, comments=comments, queue=empty_queue(spark))
+    state = stored(State(tracked=tracked.select(*TRACKED_COLS), posts=posts, comments=comments, queue=empty_queue(spark)))
     k = A.table(spark, d, "conversations").where(F.col("turn") == 0).select(
         F.concat(F.lit(DOC_ID_PREFIX + "t"), F.col("conv_id")).alias("doc_key"), "conv_id"
     )
@@ -190,7 +198,7 @@ def orders(spark: SparkSession, d: str, params: SyncParams) -> tuple[State, Obse
         (run - F.make_dt_interval((k % 5).cast("int"))).alias("created_at"),
         (run - F.make_dt_interval(F.lit(0), (k % 3).cast("int") - 1)).alias("scheduled_for"),
     )
-    state = State(tracked=tracked, posts=posts, comments=comments, queue=queue)
+    state = stored(State(tracked=tracked, posts=posts, comments=comments, queue=queue))
     sk = keys.select(F.concat(F.lit(DOC_ID_PREFIX), F.col("id")).alias("doc_key"), k)
     sinks = sink_rows(sk, k % 19 == 7)
     return state, obs, sinks
