@@ -524,3 +524,21 @@ ORACLE["life_queue"] = (
 ORACLE["src_landing_json"] = (
     "SELECT (event_id % 89 <> 0 AND event_id % 97 <> 0) AS valid, count(*) AS n FROM events GROUP BY 1"
 )
+
+_H = S.content_hash
+ORACLE["life_modes"] = (
+    _with(*CONV, S.fragments_cte("frags", "comments"), "good AS (SELECT * FROM raw_posts)", S.WINDOW_SQL, S.HOT_SQL,
+          "both_ AS (SELECT * FROM win UNION ALL SELECT * FROM hot)", S.latest_cte("lat", "both_"), S.normalize_posts("lat", "intake_n"))
+    + ", ct AS (SELECT p.id AS post_id, " + _H("p.title", "p.selftext", "f.fragments") + " AS content_hash FROM posts p "
+    "LEFT JOIN frags f ON f.post_id = p.id WHERE CAST(substring(p.id, 2) AS BIGINT) % 4 = 0), "
+    "created AS (SELECT n.id AS post_id, " + _H("n.title", "n.selftext", "f.fragments") + " AS content_hash FROM intake_n n "
+    "LEFT JOIN frags f ON f.post_id = n.id WHERE " + S.age_days("n.created_utc") + " <= 2.0 "
+    "AND CAST(substring(n.id, 2) AS BIGINT) % 4 <> 0 AND CAST(substring(n.id, 2) AS BIGINT) % 9 <> 0) "
+    "SELECT post_id, CAST(-1 AS INTEGER) AS update_count, 'new' AS status, '" + S.DOC_ID_PREFIX + "' || post_id AS contextual_doc_id, "
+    "content_hash, " + S.RUN + " - INTERVAL 1 DAY AS last_updated, 'scrape' AS mode FROM ct "
+    "UNION ALL SELECT post_id, CAST(-1 AS INTEGER), 'new', '" + S.DOC_ID_PREFIX + "' || post_id, content_hash, " + S.RUN + ", 'scrape' "
+    "FROM created "
+    "UNION ALL SELECT post_id, CAST(0 AS INTEGER), 'new', '" + S.DOC_ID_PREFIX + "' || post_id, content_hash, " + S.RUN + ", 'update' FROM ct "
+    "UNION ALL SELECT post_id, CAST(-1 AS INTEGER), 'new', '" + S.DOC_ID_PREFIX + "' || post_id, content_hash, " + S.RUN
+    + " - INTERVAL 1 DAY, 'queue' FROM ct"
+)
