@@ -175,7 +175,8 @@ def failed_sources(raw: DataFrame, params: SyncParams) -> DataFrame:
     """SRC-4: configured sources that delivered nothing in this run's window."""
     spark = raw.sparkSession
     configured = spark.createDataFrame([(s,) for s in params.subreddits], "subreddit string")
-    delivered = raw.where(F.col("created_utc") >= F.lit(cutoff_seconds(params))).select("subreddit")
+    # distinct (partially aggregated map-side) -> one row per source reaches the join
+    delivered = raw.where(F.col("created_utc") >= F.lit(cutoff_seconds(params))).select("subreddit").distinct()
     return configured.join(delivered, "subreddit", "left_anti")
 
 
