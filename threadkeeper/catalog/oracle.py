@@ -542,3 +542,27 @@ ORACLE["life_modes"] = (
     "UNION ALL SELECT post_id, CAST(-1 AS INTEGER), 'new', '" + S.DOC_ID_PREFIX + "' || post_id, content_hash, " + S.RUN
     + " - INTERVAL 1 DAY, 'queue' FROM ct"
 )
+
+# Four daily runs (window and update window 5 days) over the conversation posts: a post ingested on
+# day 1 is skipped on day 2, refreshed on day 3 (deleted if the source shows it deleted) and frozen
+# on day 4; a post deleted on day 3 is ingested again on day 4 while still inside the window.
+ORACLE["life_day_progression"] = (
+    "WITH f AS (SELECT 't' || conv_id AS post_id, conv_id % 9 <> 0 AS ok, "
+    "(conv_id % 17 = 0) OR (conv_id % 23 = 5 AND conv_id % 6 <> 2) AS del, "
+    "(conv_id % 97) * 3600 + (conv_id % 7) * 60 - (conv_id % 4) * 0.25 AS age0 FROM conversations WHERE turn = 0), "
+    "t AS (SELECT * FROM f WHERE ok AND age0 <= 432000) "
+    "SELECT post_id, CAST(-1 AS INTEGER) AS update_count, 'new' AS status, 1 AS day FROM t "
+    "UNION ALL SELECT post_id, CAST(0 AS INTEGER), 'new', 2 FROM t "
+    "UNION ALL SELECT post_id, CAST(1 AS INTEGER), 'new', 3 FROM t WHERE NOT del "
+    "UNION ALL SELECT post_id, CAST(2 AS INTEGER), 'frozen', 4 FROM t WHERE NOT del "
+    "UNION ALL SELECT post_id, CAST(-1 AS INTEGER), 'new', 4 FROM t WHERE del AND age0 + 3 * 86400 <= 432000"
+)
+
+# Three landed daily snapshots synced by the stream end in the day-3 state of the progression above.
+ORACLE["str_sync"] = (
+    "WITH f AS (SELECT 't' || conv_id AS post_id, conv_id % 9 <> 0 AS ok, "
+    "(conv_id % 17 = 0) OR (conv_id % 23 = 5 AND conv_id % 6 <> 2) AS del, "
+    "(conv_id % 97) * 3600 + (conv_id % 7) * 60 - (conv_id % 4) * 0.25 AS age0 FROM conversations WHERE turn = 0) "
+    "SELECT post_id, CAST(1 AS INTEGER) AS update_count, 'new' AS status, '" + S.DOC_ID_PREFIX + "' || post_id AS contextual_doc_id "
+    "FROM f WHERE ok AND age0 <= 432000 AND NOT del"
+)
