@@ -56,3 +56,30 @@ def test_window_boundary_inclusive_and_hot_override(spark):
     assert latest["p3"] == "hot"
     got = {r.id for r in I.intake_posts(df, p).collect()}
     assert got == {"p1", "p3"}
+
+
+def test_hot_post_is_capped_before_the_shuffle(spark):
+    """One post holds a third of all comments: the cap is planned as a
+    pre-shuffle group limit, so the hot post never travels whole."""
+    from pyspark.sql import functions as F
+
+    n = 9000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), (F.col("id") % 100).cast("string"))).alias("post_id"),
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("id"),
+        F.lit("someone").alias("author"),
+        F.lit("text").alias("body"),
+        F.lit(1).alias("score"),
+        F.lit(1.7e9).alias("created_utc"),
+        F.lit("t3_x").alias("parent_id"),
+        F.lit(False).alias("is_submitter"),
+        F.lit(0.0).alias("edited"),
+        F.lit(0).alias("depth"),
+        F.col("id").cast("int").alias("listing_pos"),
+        F.lit(False).alias("is_placeholder"),
+    )
+    out = I.normalize_comments(df.repartition(8), SyncParams())
+    counts = {r.post_id: r.n for r in out.groupBy("post_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts["hot"] == 100
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
