@@ -83,3 +83,29 @@ def test_hot_post_is_capped_before_the_shuffle(spark):
     assert counts["hot"] == 100
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_hot_post_observations_reduce_map_side(spark):
+    """A post observed in a third of all rows is de-duplicated with a partial
+    aggregate before the shuffle, and the latest observation wins."""
+    from pyspark.sql import functions as F
+
+    p = SyncParams()
+    n = 9000
+    raw = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("id"),
+        F.lit("s").alias("subreddit"), F.lit("a").alias("author"), F.lit("t").alias("title"), F.lit("x").alias("selftext"),
+        F.lit("https://reddit.com/r/s/1").alias("url"), F.lit("/r/s/1").alias("permalink"), F.col("id").cast("int").alias("score"),
+        F.lit(0.5).alias("upvote_ratio"), F.lit(0).alias("num_comments"), F.lit(p.run_micros / 1e6).alias("created_utc"),
+        F.lit(0.0).alias("edited"), F.lit(None).cast("string").alias("link_flair_text"), F.lit(None).cast("string").alias("link_flair_css_class"),
+        F.lit(0).alias("total_awards_received"), F.lit(True).alias("is_self"), F.lit(False).alias("is_video"),
+        F.lit(False).alias("is_original_content"), F.lit(False).alias("over_18"), F.lit(False).alias("spoiler"),
+        F.lit(False).alias("stickied"), F.lit(False).alias("locked"), F.lit(False).alias("archived"), F.lit("self").alias("thumbnail"),
+        F.lit("new").alias("feed"), F.col("id").alias("feed_pos"), F.timestamp_micros(F.col("id") * 1_000_000).alias("observed_at"),
+    )
+    out = I.latest_observation(raw.repartition(8))
+    hot = out.where(F.col("id") == "hot").first()
+    assert hot.feed_pos == n - 3  # the latest of the hot post's observations
+    assert out.count() == 1 + (n - n // 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
