@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_mixing
+from . import op1_mixing, op3_minhash, op9_embeddings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mixing.op1_mix,
+    "op3_near_dedup": op3_minhash.op3_near_dedup,
+    "op9_near_vectors": op9_embeddings.op9_near_vectors,
+}
+ORACLE: dict[str, str] = {
+    "op9_near_vectors": op9_embeddings.OP9_SQL,
 }
-ORACLE: dict[str, str] = {}
