@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_mixing, op2_language, op3_minhash, op4_suffix_dedup, op9_embeddings, op10_bpe
+from . import op1_mixing, op2_language, op3_minhash, op4_suffix_dedup, op6_toxicity, op8_lm, op9_embeddings, op10_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mixing.op1_mix,
     "op2_language": op2_language.op2_language,
     "op3_near_dedup": op3_minhash.op3_near_dedup,
     "op4_suffix_dedup": op4_suffix_dedup.op4_suffix_dedup,
+    "op6_toxicity": op6_toxicity.op6_toxicity,
+    "op8_lm": op8_lm.op8_lm,
     "op9_near_vectors": op9_embeddings.op9_near_vectors,
     "op10_bpe": op10_bpe.op10_bpe,
 }
 ORACLE: dict[str, str] = {
+    "op6_toxicity": op6_toxicity.op6_toxicity,
+    "op8_lm": op8_lm.op8_lm,
     "op9_near_vectors": op9_embeddings.OP9_SQL,
 }

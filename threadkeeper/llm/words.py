@@ -41,6 +41,8 @@ FOLDED_VALUE = BYTE_VALUE.copy()
 FOLDED_VALUE[ord("A") : ord("Z") + 1] = BYTE_VALUE[ord("a") : ord("z") + 1]
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+NO_LETTER = np.zeros(256, bool)  # ASCII but for letters; bytes of other code points stay in words
+NO_LETTER[:128] = [not chr(b).isalpha() for b in range(128)]
 POW = _powers(int(_MULT), STEP + 1)
 INV = _powers(_inverse_pow2(int(_MULT)), STEP + 1)
 
@@ -73,11 +75,11 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iterator[
         row = end
 
 
-def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, at: np.ndarray, blanks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Byte positions where words start and end; none crosses a text's edge."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    blank = SPACE[data]
+    blank = blanks[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     before = np.empty(len(data), bool)  # a blank or a text's edge stands before the byte
@@ -117,8 +119,8 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values:
     return mix(out)
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(column: pa.Array, blanks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, first word of each text and the end)."""
     data, at = text_buffer(column)
-    starts, ends = word_bounds(data, at)
+    starts, ends = word_bounds(data, at, blanks)
     return span_hashes(data, starts, ends), np.searchsorted(starts, at)
