@@ -6,20 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_mixing, op2_language, op3_minhash, op4_suffix_dedup, op6_toxicity, op8_lm, op9_embeddings, op10_bpe
+import corpus_pipeline
+
+from . import op1_mixing, op2_language, op3_minhash, op4_suffix_dedup, op5_preference, op6_toxicity, op7_fingerprint, op8_lm, op9_embeddings, op10_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mixing.op1_mix,
     "op2_language": op2_language.op2_language,
     "op3_near_dedup": op3_minhash.op3_near_dedup,
     "op4_suffix_dedup": op4_suffix_dedup.op4_suffix_dedup,
+    "op5_preference": op5_preference.op5_preference,
     "op6_toxicity": op6_toxicity.op6_toxicity,
+    "op7_fingerprint": op7_fingerprint.op7_fingerprint,
     "op8_lm": op8_lm.op8_lm,
     "op9_near_vectors": op9_embeddings.op9_near_vectors,
     "op10_bpe": op10_bpe.op10_bpe,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
+    "op5_preference": op5_preference.OP5_SQL,
+    "op5_preference": op5_preference.op5_preference,
     "op6_toxicity": op6_toxicity.op6_toxicity,
+    "op7_fingerprint": op7_fingerprint.op7_fingerprint,
     "op8_lm": op8_lm.op8_lm,
     "op9_near_vectors": op9_embeddings.OP9_SQL,
 }
