@@ -24,10 +24,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
+    "op3_near_dedup": op3_minhash.OP3_SQL,
+    "op4_suffix_dedup": op4_suffix_dedup.OP4_SQL,
     "op5_preference": op5_preference.OP5_SQL,
-    "op5_preference": op5_preference.op5_preference,
-    "op6_toxicity": op6_toxicity.op6_toxicity,
-    "op7_fingerprint": op7_fingerprint.op7_fingerprint,
-    "op8_lm": op8_lm.op8_lm,
     "op9_near_vectors": op9_embeddings.OP9_SQL,
 }

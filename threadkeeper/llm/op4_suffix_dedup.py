@@ -278,6 +278,27 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.mapInArrow(_digest(WINDOW), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+OP4_SQL = """
+WITH b AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT doc_id, p, substr(h, (2 * p + 1)::BIGINT, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM b WHERE n >= 100)
+), r AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS nth FROM w) WHERE nth > 1
+), g AS (
+  SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run
+  FROM (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS fresh FROM r)
+), span AS (SELECT doc_id, run, min(p) AS a, max(p) + 100 AS z FROM g GROUP BY doc_id, run
+), piece AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS z FROM span
+  UNION ALL SELECT b.doc_id, coalesce(max(z), 0), b.n FROM b LEFT JOIN span USING (doc_id) GROUP BY b.doc_id, b.n
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, (2 * a + 1)::BIGINT, (2 * (z - a))::BIGINT), '' ORDER BY a, z) AS kept FROM piece JOIN b USING (doc_id) GROUP BY doc_id
+), t AS (SELECT doc_id, sum(z - a)::BIGINT AS removed, count(*) AS spans FROM span GROUP BY doc_id)
+SELECT b.doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM b JOIN kept USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated passages leave the texts; n_chars follows, rows stay."""
     out = remove_repeats(docs)

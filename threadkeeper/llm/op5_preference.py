@@ -6,12 +6,16 @@ follows in each conversation is its completion, and a mask says which code
 points of a completion are trained on: the content and end mark of assistant
 turns.  The mask is a run-length list "flag:code points" in order.
 
-``preference_pairs`` finds pairs in a table of conversations: those that open
-with the same turn answer the same prompt; in each such group the conversation
-with the most assistant text (the smallest conv_id on ties) is chosen, and
-every other one is rejected against it.  That is one pair less than the group
-has conversations, and the choice is an aggregate that combines map-side, so a
-very common opening costs no more than its rows.
+Two kinds of pairs are made from a table of conversations.  ``opening``:
+conversations that open with the same turn answer the same prompt; in each
+such group the one with the most assistant text (the smallest conv_id on ties)
+is chosen, and every other one is rejected against it.  That is one pair less
+than the group has conversations, and the choice is an aggregate that combines
+map-side, so a very common opening costs no more than its rows.  ``stale``: a
+conversation up to its last assistant turn is chosen, and rejected is the same
+with that turn's text replaced by the assistant's text before it (the user's,
+if there is none; else the empty text), a reply that repeats instead of
+answering.  That is one pair for each conversation with an assistant turn.
 
 Defined results: rows without conv_id belong to no conversation; turns order
 by turn, role and text (null first), repeated rows are turns of their own; a
@@ -85,7 +89,7 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def preference_pairs(turns: DataFrame) -> DataFrame:
-    """(chosen_id, rejected_id, chosen, rejected) of conversations that open with the same turn."""
+    """(kind, chosen_id, rejected_id, chosen, rejected) of the pairs of a table of conversations."""
     scratch = Scratch(turns.sparkSession, "preference")
     weight = F.aggregate(
         F.filter("turns", lambda t: t["role"] == TRAINED), F.lit(0).cast("long"), lambda n, t: n + F.coalesce(F.char_length(t["text"]), F.lit(0))
@@ -98,37 +102,62 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
     best = best.select("o1", "o2", (-F.col("top.minus")).alias("chosen_id"))
     rejected = convs.join(best, ["o1", "o2"]).where("conv_id <> chosen_id").select("chosen_id", F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
     chosen = convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"))
-    return rejected.join(chosen, "chosen_id").select("chosen_id", "rejected_id", "chosen", "rejected")
+    opening = rejected.join(chosen, "chosen_id").select(F.lit("opening").alias("kind"), "chosen_id", "rejected_id", "chosen", "rejected")
+    return opening.union(stale_pairs(convs))
+
+
+def stale_pairs(convs: DataFrame) -> DataFrame:
+    """Pairs of conversations (conv_id, turns) with themselves, ending in a stale reply."""
+    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == TRAINED, i + 1)))
+    before = F.slice("turns", 1, F.col("last") - 1)
+    said = lambda role: F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.transform(F.filter(before, lambda t: t["role"] == role), lambda t: F.coalesce(t["text"], F.lit("")))), -1)
+    reply = F.element_at("turns", F.col("last"))
+    stale = F.struct(reply["turn"].alias("turn"), reply["role"].alias("role"), F.coalesce(said(TRAINED), said("user"), F.lit("")).alias("text"))
+    pairs = convs.select("conv_id", "turns", last.alias("last")).where("last is not null")
+    return pairs.select(F.lit("stale").alias("kind"), F.col("conv_id").alias("chosen_id"), F.col("conv_id").alias("rejected_id"), F.slice("turns", 1, F.col("last")).alias("chosen"), F.concat(before, F.array(stale)).alias("rejected"))
 
 
 def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations as prompt and masked completions against the best with the same opening."""
+    """Pairs of all conversations, as prompt and masked completions."""
     return format_pairs(preference_pairs(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
 
 
 OP5_SQL = """
 WITH t AS (
-  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i,
-         '<|' || coalesce(role, 'none') || '|>' || chr(10) AS head, coalesce(text, '') || '<|end|>' || chr(10) AS body
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i
   FROM conversations WHERE conv_id IS NOT NULL
 ), c AS (
-  SELECT conv_id, sum(CASE WHEN role = 'assistant' THEN length(coalesce(text, '')) ELSE 0 END) AS weight, count(*) AS n FROM t GROUP BY conv_id
+  SELECT conv_id, sum(CASE WHEN role = 'assistant' THEN length(coalesce(text, '')) ELSE 0 END) AS weight,
+         max(i) FILTER (role = 'assistant') AS last FROM t GROUP BY conv_id
 ), o AS (SELECT c.*, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.i = 1
-), g AS (
-  SELECT *, first_value(conv_id) OVER (PARTITION BY role, text ORDER BY weight DESC, conv_id) AS chosen_id FROM o
-), p AS (SELECT g.chosen_id, g.conv_id AS rejected_id, least(g.n, c.n) AS shorter FROM g JOIN c ON c.conv_id = g.chosen_id WHERE g.conv_id <> g.chosen_id
+), g AS (SELECT *, first_value(conv_id) OVER (PARTITION BY role, text ORDER BY weight DESC, conv_id) AS chosen_id FROM o
+), alt AS (
+  SELECT c.conv_id, coalesce(arg_max(coalesce(t.text, ''), t.i) FILTER (t.role = 'assistant'), arg_max(coalesce(t.text, ''), t.i) FILTER (t.role = 'user'), '') AS stale
+  FROM c LEFT JOIN t ON t.conv_id = c.conv_id AND t.i < c.last WHERE c.last IS NOT NULL GROUP BY c.conv_id
+), u AS (
+  SELECT 'opening' AS kind, g.chosen_id, g.conv_id AS rejected_id, TRUE AS is_chosen, t.i, t.role, t.text FROM g JOIN t ON t.conv_id = g.chosen_id WHERE g.conv_id <> g.chosen_id
+  UNION ALL
+  SELECT 'opening', g.chosen_id, g.conv_id, FALSE, t.i, t.role, t.text FROM g JOIN t ON t.conv_id = g.conv_id WHERE g.conv_id <> g.chosen_id
+  UNION ALL
+  SELECT 'stale', conv_id, conv_id, TRUE, i, role, text FROM c JOIN t USING (conv_id) WHERE i <= last
+  UNION ALL
+  SELECT 'stale', conv_id, conv_id, FALSE, i, role, CASE WHEN i = last THEN stale ELSE text END FROM c JOIN t USING (conv_id) JOIN alt USING (conv_id) WHERE i <= last
+), s AS (
+  SELECT kind, chosen_id, rejected_id, least(count(*) FILTER (is_chosen), count(*) FILTER (NOT is_chosen)) AS shorter FROM u GROUP BY 1, 2, 3
 ), d AS (
-  SELECT p.chosen_id, p.rejected_id, min(a.i) - 1 AS differs
-  FROM p JOIN t a ON a.conv_id = p.chosen_id JOIN t b ON b.conv_id = p.rejected_id AND b.i = a.i
-  WHERE a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text GROUP BY 1, 2
-), s AS (SELECT p.*, coalesce(d.differs, p.shorter)::INT AS k FROM p LEFT JOIN d USING (chosen_id, rejected_id)
+  SELECT a.kind, a.chosen_id, a.rejected_id, min(a.i) - 1 AS differs
+  FROM u a JOIN u b ON a.kind = b.kind AND a.chosen_id = b.chosen_id AND a.rejected_id = b.rejected_id AND a.i = b.i AND a.is_chosen AND NOT b.is_chosen
+  WHERE a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text GROUP BY 1, 2, 3
+), k AS (SELECT s.*, coalesce(d.differs, s.shorter)::INT AS k FROM s LEFT JOIN d USING (kind, chosen_id, rejected_id)
+), w AS (
+  SELECT u.*, k.k, '<|' || coalesce(role, 'none') || '|>' || chr(10) AS head, coalesce(text, '') || '<|end|>' || chr(10) AS body FROM u JOIN k USING (kind, chosen_id, rejected_id)
 ), r AS (
-  SELECT s.chosen_id, s.rejected_id, s.k, a.conv_id = s.chosen_id AS is_chosen,
+  SELECT kind, chosen_id, rejected_id, k, is_chosen,
          coalesce(string_agg(head || body, '' ORDER BY i) FILTER (i <= k), '') AS prompt,
          coalesce(string_agg(head || body, '' ORDER BY i) FILTER (i > k), '') AS rest,
          coalesce(string_agg(CASE WHEN role = 'assistant' THEN '0:' || length(head) || ',1:' || length(body) ELSE '0:' || length(head || body) END, ',' ORDER BY i) FILTER (i > k), '') AS mask
-  FROM s JOIN t a ON a.conv_id IN (s.chosen_id, s.rejected_id) GROUP BY 1, 2, 3, 4
+  FROM w GROUP BY 1, 2, 3, 4, 5
 )
-SELECT x.chosen_id, x.rejected_id, x.k AS n_prompt_turns, x.prompt, x.rest AS chosen, x.mask AS chosen_mask, y.rest AS rejected, y.mask AS rejected_mask
-FROM r x JOIN r y ON x.chosen_id = y.chosen_id AND x.rejected_id = y.rejected_id AND x.is_chosen AND NOT y.is_chosen
+SELECT x.kind, x.chosen_id, x.rejected_id, x.k AS n_prompt_turns, x.prompt, x.rest AS chosen, x.mask AS chosen_mask, y.rest AS rejected, y.mask AS rejected_mask
+FROM r x JOIN r y ON x.kind = y.kind AND x.chosen_id = y.chosen_id AND x.rejected_id = y.rejected_id AND x.is_chosen AND NOT y.is_chosen
 """
