@@ -29,6 +29,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,9 +69,9 @@ class Transducer:
         self.id_of = {b: i for i, b in self.bytes_of.items()}
         ids = model["vocab"]
         self.rank = {(ids[a], ids[b]): (n, ids[a + b]) for n, (a, b) in reversed(list(enumerate(merges))) if a in ids and b in ids and a + b in ids}
-        # tokens that merging can make; others never appear
-        made = {self.id_of[bytes([b])] for b in range(256)} | {m for _, m in self.rank.values()}
-        self.tokens = {self.bytes_of[i]: i for i in made}
+        # tokens that merging makes from their own bytes; others never appear
+        made = [self.id_of[bytes([b])] for b in range(256)] + sorted({m for _, m in self.rank.values()})
+        self.tokens = {self.bytes_of[i]: i for i in made if len(self.bytes_of[i]) <= 2 or self.merge(self.bytes_of[i]) == [i]}
         self.longest = max(map(len, self.tokens))
         self.added = sorted(((t["content"], t["id"]) for t in spec.get("added_tokens", [])), key=lambda x: -len(x[0]))
         for text, i in self.added:
@@ -78,15 +79,18 @@ class Transducer:
         self.split = regex.compile("|".join(regex.escape(t) for t, _ in self.added)) if self.added else None
         self.added_id = dict(self.added)
         self.pattern = regex.compile(PATTERN)
-        self.pairs: dict[tuple[int, int], bool] = {}
-        # tokens that end in the same byte, longest first, by that byte
+        self.never = len(merges)
+        self.pairs: dict[int, bool] = {}
+        self.spines: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        self.half: dict[int, tuple[int, int, int] | None] = {}
         self.memo: dict[str, bytes] = {}
+        self.sizes = {t: len(b) for b, t in self.tokens.items()}
 
-    def merge(self, data: bytes) -> list[int]:
-        """The merge list applied to a short byte string."""
+    def merge(self, data: bytes, least: int = 1) -> list[int]:
+        """The merge list applied to a short byte string, until ``least`` ids are left."""
         ids = [self.id_of[data[i : i + 1]] for i in range(len(data))]
         rank = self.rank
-        while len(ids) > 1:
+        while len(ids) > least:
             best, at = None, -1
             for i in range(len(ids) - 1):
                 r = rank.get((ids[i], ids[i + 1]))
@@ -105,46 +109,76 @@ class Transducer:
             ids = out
         return ids
 
+    def spine(self, token: int, side: int) -> list[tuple[int, int]]:
+        """(token, rank of the merge that ends it) of the pieces that are first
+        (side 0) or last (side 1) in a token while its bytes are merged."""
+        known = self.spines.get((token, side))
+        if known is None:
+            known = [(token, self.never)]
+            part = token
+            while (two := self.halves(part)) is not None:
+                known.append((two[side], two[2]))
+                part = two[side]
+            self.spines[token, side] = known
+        return known
+
+    def halves(self, token: int) -> tuple[int, int, int] | None:
+        """The last merge that makes a token from its bytes: (left, right, rank)."""
+        known = self.half.get(token, 0)
+        if known == 0:
+            data, known = self.bytes_of[token], None
+            if len(data) > 1:
+                left, right = self.merge(data, 2)
+                known = (left, right, self.rank[left, right][0])
+            self.half[token] = known
+        return known
+
     def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
+        """Whether the bytes of two tokens encode to just them: no merge of the
+        last piece of one and the first of the other comes before either piece
+        ends (at equal rank the merge further left goes first)."""
+        key = left << 32 | right
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MEMO:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+            known, rank = True, self.rank
+            for b, b_ends in self.spine(right, 0):
+                for a, a_ends in self.spine(left, 1):
+                    r = rank.get((a, b))
+                    if r is not None and r[0] < a_ends and r[0] <= b_ends:
+                        known = False
+                        break
+                if not known:
+                    break
+            self.pairs[key] = known
         return known
 
-    def whole(self, token: int) -> bool:
-        """Whether a token's bytes encode to the token itself."""
-        known = self.pairs.get((token, -1))
-        if known is None:
-            known = self.pairs[token, -1] = self.merge(self.bytes_of[token]) == [token]
-        return known
+    def ending(self, data: bytes, end: int, ends: list[int] | dict[int, int]) -> int:
+        """The token that ends at a position: the longest that fits after the one before it."""
+        tokens, pairs = self.tokens, self.pairs
+        for start in range(max(0, end - self.longest), end):
+            t = tokens.get(data[start:end])
+            if t is not None:
+                if start == 0:
+                    return t
+                left = ends[start]
+                fits = pairs.get(left << 32 | t)
+                if self.compatible(left, t) if fits is None else fits:
+                    return t
+        raise ValueError("the vocabulary lacks a byte")
 
     def stream(self, data: bytes) -> Iterator[int]:
         """Ids of one pre-token, emitted as soon as they are stable."""
-        longest, tokens = self.longest, self.tokens
+        longest = self.longest
         ends: dict[int, int] = {}  # position -> token that ends there
         done = 0  # everything before is emitted
         for end in range(1, len(data) + 1):
-            for size in range(min(longest, end), 0, -1):
-                t = tokens.get(data[end - size : end])
-                if t is None:
-                    continue
-                start = end - size
-                if start == 0:
-                    if self.whole(t):
-                        ends[end] = t
-                        break
-                elif start in ends and self.compatible(ends[start], t):
-                    ends[end] = t
-                    break
-            ends.pop(end - longest - 1 - (end - done), None)
+            ends[end] = self.ending(data, end, ends)
             if end - done >= 4 * longest:
                 # what lies on the paths of all positions that a later token can start from
                 common: list[tuple[int, int]] | None = None
                 for p in range(end - longest + 1, end + 1):
-                    if p not in ends:
-                        continue
                     path = []
                     while p > done:
                         path.append((p, ends[p]))
@@ -154,7 +188,7 @@ class Transducer:
                 for p, t in common or []:
                     yield t
                     done = p
-                for p in [p for p in ends if p < done]:
+                for p in [p for p in ends if p <= min(done, end - longest)]:
                     del ends[p]
         path, p = [], len(data)
         while p > done:
@@ -162,15 +196,33 @@ class Transducer:
             p -= len(self.bytes_of[ends[p]])
         yield from reversed(path)
 
+    def prepare(self, words: set[str]) -> None:
+        """Puts the ids of short pre-tokens into the memo.  In order, a word goes on
+        from the state at the prefix it shares with the word before."""
+        if len(self.memo) >= MEMO:
+            self.memo.clear()
+        before, ends = b"", [0]
+        ending, size = self.ending, self.sizes
+        for word, data in sorted(((w, w.encode("utf-8", "replace")) for w in words.difference(self.memo) if len(w) <= MEMO_LENGTH), key=lambda x: x[1]):
+            same = 0
+            for x, y in zip(before, data):  # noqa: B905
+                if x != y:
+                    break
+                same += 1
+            del ends[same + 1 :]
+            for end in range(same + 1, len(data) + 1):
+                ends.append(ending(data, end, ends))
+            path, p = [], len(data)
+            while p:
+                path.append(ends[p])
+                p -= size[ends[p]]
+            path.reverse()
+            self.memo[word] = struct.pack(f"<{len(path)}I", *path)
+            before = data
+
     def packed(self, word: str) -> bytes:
-        data = word.encode("utf-8", "replace")
-        short = len(word) <= MEMO_LENGTH
-        ids = np.fromiter(self.stream(data), "<u4").tobytes()
-        if short:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[word] = ids
-        return ids
+        known = self.memo.get(word)
+        return np.fromiter(self.stream(word.encode("utf-8", "replace")), "<u4").tobytes() if known is None else known
 
     def pieces(self, text: str) -> Iterator[str]:
         """A long text in pieces whose matches are the text's."""
@@ -192,20 +244,38 @@ class Transducer:
                 parts += [(text[at : m.start()], None), ("", self.added_id[m[0]])]
                 at = m.end()
             parts.append((text[at:], None))
-        memo, packed = self.memo, self.packed
         for part, added in parts:
             if added is not None:
                 yield added.to_bytes(4, "little")
             elif part:
                 for piece in self.pieces(part):
-                    yield b"".join([memo.get(w) or packed(w) for w in self.pattern.findall(piece)])
+                    words = self.pattern.findall(piece)
+                    self.prepare(set(words))
+                    yield b"".join(map(self.packed, words))
+
+    def encode_all(self, texts: list[str]) -> list[list[bytes]]:
+        """Chunks of ids for several texts; their new pre-tokens are prepared together."""
+        plain = [len(t) <= PIECE and not (self.split and self.split.search(t)) for t in texts]
+        words = [self.pattern.findall(t) if ok else [] for t, ok in zip(texts, plain, strict=True)]
+        self.prepare(set().union(*words))
+        known, packed = self.memo.__getitem__, self.packed
+        out = []
+        for t, ok, w in zip(texts, plain, words, strict=True):
+            if not ok:
+                out.append(list(self.encode(t)))
+                continue
+            try:
+                out.append([b"".join(map(known, w))])
+            except KeyError:  # a long pre-token is among them, or another text emptied the memo
+                out.append([b"".join(map(packed, w))])
+        return out
 
     def decode(self, chunks: Iterator[bytes]) -> Iterator[str]:
         """Text of packed ids, chunk by chunk."""
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        table = self.bytes_of
+        bytes_of = self.bytes_of.__getitem__
         for chunk in chunks:
-            yield machine.decode(b"".join([table[i] for i in np.frombuffer(chunk, "<u4").tolist()]))
+            yield machine.decode(b"".join(map(bytes_of, np.frombuffer(chunk, "<u4").tolist())))
         yield machine.decode(b"", True)
 
 
@@ -224,8 +294,7 @@ def _round_trip(path: str, names: list[str], full: bool):
         for whole in batches:
             for batch in slices(whole, "text", 1 << 22):
                 n, ids_sha, text_sha, ids = [], [], [], []
-                for text in batch.column("text").to_pylist():
-                    chunks = list(t.encode(text or ""))
+                for chunks in t.encode_all([x or "" for x in batch.column("text").to_pylist()]):
                     a, b = hashlib.sha256(), hashlib.sha256()
                     for c in chunks:
                         a.update(c)
