@@ -21,7 +21,7 @@ Defined results: a null or empty text has size 0 and takes 0 words; a null
 margin value is a group of its own (last in order); repeated rows are
 documents of their own; an empty table gives an empty mix.  A group without
 words has target 0.  Other columns of the input pass through untouched, under
-their own names, unless ``columns`` selects some.
+their own names, in the pipeline stage; the query returns the digest alone.
 """
 
 from __future__ import annotations
@@ -31,12 +31,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, shield, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 CAP = 3.0
 STRATUM = 2048
-TOLERANCE = 1e-12
+TOLERANCE = 1e-9
 MAX_ITERATIONS = 60
 
 
@@ -76,7 +76,7 @@ def weighted_targets(sizes: DataFrame, group: str, weights: tuple[int, ...] = (1
     return g.select(group, "source_size", target.cast("double").alias("target"))
 
 
-def balance(cells: DataFrame, margins: dict[str, DataFrame], scratch: Scratch, cap: float = CAP) -> DataFrame:
+def balance(cells: DataFrame, margins: dict[str, DataFrame], scratch: Scratch, cap: float = CAP, tolerance: float = TOLERANCE) -> DataFrame:
     """Rates of cells (margin columns, ``words``) that meet the margins' targets.
 
     ``margins`` maps a column to a table (column, target).  Adds ``rate``.  A
@@ -108,7 +108,7 @@ def balance(cells: DataFrame, margins: dict[str, DataFrame], scratch: Scratch, c
             worst = max(worst, done.agg(F.max("off")).first()[0] or 0.0)
             scratch.drop(lam[m])
             lam[m] = done
-        if worst < TOLERANCE:
+        if worst < tolerance:
             break
     out, tilt = cells, F.lit(0.0)
     for k, t in lam.items():
@@ -179,9 +179,10 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document as many times as the mix takes it."""
+    docs, named = shield(docs, "text", "source")
     key = F.concat(*[F.hex(F.xxhash64(F.lit(salt), *docs.columns)) for salt in (1, 2)])
     keyed = docs.withColumn("_key", key)
     mixed = mix(keyed, n_words(F.col("text")), key="_key").groupBy("_key").agg(F.sum("_copies").cast("int").alias("_copies"))
     # wholly equal rows share a key: one of them stands for all their copies
     out = keyed.join(mixed.where("_copies > 0"), "_key").dropDuplicates(["_key"])
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    return named(out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ready, table
+from .common import ready, shield, table
 from .words import slices
 
 SAMPLE_TEXTS = 64
@@ -43,7 +43,7 @@ ALL_SYMBOLS = 1 << 20
 BLOCK = 2048
 FREQUENT = 95  # letters with a symbol of their own; the others share RARE
 RARE = 32
-BREAK = 1 << 30
+BREAK = 1 << 29  # a transition holds the phrases it ends above this bit
 UNDETERMINED = "und"
 
 
@@ -117,7 +117,7 @@ def suffix_automaton(text: np.ndarray) -> list[dict[int, int]]:
 
 
 class CrossParser:
-    """All languages' automata as one table: state * width + symbol -> next state, plus BREAK where a phrase ends."""
+    """All languages' automata as one table: state * width + symbol -> next state, plus BREAK for each phrase that ends."""
 
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
@@ -130,8 +130,10 @@ class CrossParser:
             pieces = [np.append(symbols(t, self.ids)[:share], np.uint8(0)) for t in samples[name]]
             text = np.concatenate(pieces)[:most] if pieces else np.zeros(0, np.uint8)
             go = suffix_automaton(text)
-            root = np.array([base + go[0][c] if c in go[0] else base for c in range(self.width)], np.int32)
-            t = np.broadcast_to(root | BREAK, (len(go), self.width)).copy()
+            # a symbol that doesn't go on ends the phrase; one that the root lacks is a phrase by itself, too
+            root = np.array([base + go[0][c] + BREAK if c in go[0] else base + 2 * BREAK for c in range(self.width)], np.int32)
+            t = np.broadcast_to(root, (len(go), self.width)).copy()
+            t[0] -= BREAK  # at the root no phrase is open
             state = np.repeat(np.arange(len(go)), [len(x) for x in go])
             t[state, np.fromiter((c for x in go for c in x), np.int64, len(state))] = base + np.fromiter((s for x in go for s in x.values()), np.int32, len(state))
             parts.append(t)
@@ -139,7 +141,7 @@ class CrossParser:
             base += len(go)
         whole = np.concatenate(parts) if parts else np.zeros((0, self.width), np.int32)
         # columns of symbols that no sample has are one column
-        seen = [c for c in range(self.width) if any(((p[:, c] & BREAK) == 0).any() for p in parts)]
+        seen = [c for c in range(self.width) if any((p[:, c] < BREAK).any() for p in parts)]
         self.column = np.full(self.width, len(seen), np.uint8)
         self.column[seen] = np.arange(len(seen))
         unseen = next((c for c in range(self.width) if c not in seen), 0)
@@ -165,13 +167,14 @@ class CrossParser:
         for j, i in enumerate(order):
             grid[: len(blocks[i]), j] = blocks[i]
         state = np.repeat(self.roots[:, None], len(blocks), axis=1)
-        count = np.ones(state.shape, np.int64)  # the phrase that the block's end closes
+        count = np.zeros(state.shape, np.int64)
         active = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")
         for step in range(int(size[0])):
             k = active[step]
             to = self.table[state[:, :k] * self.width + grid[step, :k]]
-            count[:, :k] += to >> 30
+            count[:, :k] += to >> 29
             state[:, :k] = to & (BREAK - 1)
+        count += state != self.roots[:, None]  # the block's end ends the last phrase
         np.add.at(out, np.array(owner)[order], count.T)
         return out
 
@@ -241,7 +244,5 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without a determined language (no text, no letter) go."""
     samples = learn(docs.where(fold(F.col("doc_id"), 4) != 2))
-    names = docs.columns
-    renamed = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(names) if c != "text"], "text")
-    kept = predict(renamed, samples, renamed.columns).where(F.col("lang_pred") != UNDETERMINED)
-    return kept.select(*[F.col("text") if c == "text" else F.col(f"_{i}").alias(c) for i, c in enumerate(names)])
+    docs, named = shield(docs, "text")
+    return named(predict(docs, samples, docs.columns).where(F.col("lang_pred") != UNDETERMINED))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, shield, table
 from .words import BYTE_VALUE, INV, POW, STEP, mix, slices, text_buffer
 
 WINDOW = 100
@@ -266,9 +266,10 @@ def with_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataF
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``docs`` (doc_id, text and more) with the repeated bytes taken out of the texts."""
+    docs, named = shield(docs, "doc_id", "text")
     names = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return with_spans(docs, window, gram).select(*names, "spans").mapInArrow(_kept_text(window, names), schema)
+    return named(with_spans(docs, window, gram).select(*names, "spans").mapInArrow(_kept_text(window, names), schema))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
