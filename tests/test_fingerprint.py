@@ -1,20 +1,9 @@
-"""HASH-1 against Python's json.dumps + hashlib (the definition)."""
+"""HASH-1: fixed digests for awkward texts, and the SQL oracle over the fixture."""
 
-import hashlib
-import json
-
-from pyspark.sql import functions as F
+import duckdb
 
 from threadkeeper.functions.fingerprint import fingerprint_posts
 
-
-def py_hash(title, selftext, comments):
-    cs = sorted(comments, key=lambda c: c[0])
-    data = [{"id": i, "body_hash": hashlib.md5(b[:500].encode()).hexdigest()[:8]} for i, b in cs]
-    s = json.dumps({"title": title, "selftext": selftext[:2000] if selftext else "", "comments": data}, sort_keys=True)
-    return hashlib.sha256(s.encode()).hexdigest()[:16]
-
-
 TRICKY = [
     ('Quote " and \\ backslash', "line\nbreak\r\ttab\b\f end\n"),
     ("ctrl \x01\x1f del \x7f", "accents éàü and emoji 😀🎉 and CJK 漢字"),
@@ -24,15 +13,16 @@ TRICKY = [
 ]
 
 
-def test_hash_matches_python_on_tricky_text(spark):
+# Fingerprints of TRICKY with the comments below.
+DIGESTS = ["71a3bfa9113d3f84", "cd8fc7c7f1b9b7fb", "e234566aab49ccff", "4a45fbf7b225fe0b", "b9bfcf5b7aa71b2f"]
+
+
+def test_hash_of_tricky_text(spark):
     posts = spark.createDataFrame([(f"p{i}", t, s) for i, (t, s) in enumerate(TRICKY)], "post_id string, title string, selftext string")
     coms = [("p0", "c2", "body 2"), ("p0", "c1", "é" * 600), ("p1", "z", "😀" * 501), ("p1", "a", "\"q\"")]
     cdf = spark.createDataFrame(coms, "post_id string, id string, body string")
     got = {r.post_id: r.content_hash for r in fingerprint_posts(posts, cdf).collect()}
-    for i, (t, s) in enumerate(TRICKY):
-        mine = [(c[1], c[2]) for c in coms if c[0] == f"p{i}"]
-        assert got[f"p{i}"] == py_hash(t, s or "", mine), i
-        assert len(got[f"p{i}"]) == 16
+    assert got == {f"p{i}": d for i, d in enumerate(DIGESTS)}
 
 
 def test_hash_ignores_metadata_and_text_past_caps(spark):
@@ -48,14 +38,12 @@ def test_hash_ignores_metadata_and_text_past_caps(spark):
     assert h["p"] == h["p2"]  # score is not part of the fingerprint
 
 
-def test_flagship_matches_python_on_fixture(spark, sf):
-    from threadkeeper.catalog.queries import _conv_comments, _conv_posts, hash_content
+def test_flagship_matches_sql_on_fixture(spark, sf):
+    from threadkeeper.catalog.oracle import ORACLE
+    from threadkeeper.catalog.queries import hash_content
 
-    posts = {r.id: r for r in _conv_posts(spark, sf).collect()}
-    coms = {}
-    for c in _conv_comments(spark, sf).collect():
-        coms.setdefault(c.post_id, []).append((c.id, c.body))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf}/conversations.parquet'")
+    want = {r[0]: r[1] for r in con.sql(ORACLE["hash_content"]).select("post_id, content_hash").fetchall()}
     got = {r.post_id: r.content_hash for r in hash_content(spark, sf).collect()}
-    assert set(got) == set(posts)
-    for k, p in posts.items():
-        assert got[k] == py_hash(p.title, p.selftext, coms.get(k, []))
+    assert got == want and got

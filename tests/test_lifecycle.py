@@ -57,7 +57,7 @@ def test_same_day_rerun_is_noop_and_days_progress(spark, sf):
         assert v[1] == (-1, "new")
         assert v[2][0] == 0
         assert v[3][0] == 1
-        assert v[4] == (2, "frozen") or v[4][1] == "frozen"
+        assert v[4] == (2, "frozen")
 
 
 def test_rerun_same_day_changes_nothing(spark, sf):

@@ -32,8 +32,14 @@ ORACLE["src_window_scan"] = (
 ORACLE["src_hot_top50"] = _with(*EV, S.HOT_SQL) + "SELECT id, subreddit, feed_pos, observed_at FROM hot"
 ORACLE["src_failed_sources"] = (
     _with(*EV)
-    + "SELECT subreddit FROM (VALUES ('src0'), ('src1'), ('src2'), ('src3'), ('src4'), ('src5'), ('gone')) t(subreddit) "
-    "WHERE subreddit NOT IN (SELECT subreddit FROM good WHERE created_utc >= " + S.CUTOFF_S + ")"
+    + ", manifest AS (SELECT DISTINCT subreddit, subreddit <> 'src3' AS ok FROM good) "
+    "SELECT t.subreddit, CASE WHEN m.subreddit IS NULL THEN 'not polled' ELSE 'HTTP 429' END AS error "
+    "FROM (VALUES ('src0'), ('src1'), ('src2'), ('src3'), ('src4'), ('src5'), ('gone')) t(subreddit) "
+    "LEFT JOIN manifest m ON m.subreddit = t.subreddit WHERE NOT coalesce(m.ok, false)"
+)
+ORACLE["src_configured"] = (
+    _with(*EV, S.WINDOW_SQL)
+    + "SELECT id, subreddit, feed_pos, observed_at FROM win WHERE subreddit IN ('src1', 'src4')"
 )
 ORACLE["src_refresh_outcome"] = (
     _with(S.doc_base(), S.doc_observed(S.RUN_MICROS))
@@ -234,11 +240,11 @@ ORACLE["doc_metadata"] = (
 # ---------------------------------------------------------------------------
 # Queue
 # ---------------------------------------------------------------------------
-BATCH = (
-    "batch AS (SELECT * FROM queue0 WHERE attempts < max_attempts AND scheduled_for <= " + S.RUN + " "
-    "ORDER BY priority DESC, created_at ASC, post_id ASC, action ASC LIMIT 50)"
+BATCH = "batch AS (SELECT * FROM queue0 WHERE attempts < max_attempts AND scheduled_for <= " + S.RUN + ")"
+ORACLE["top_queue_batch"] = (
+    _with(S.event_queue(), BATCH)
+    + "SELECT post_id, action, priority, created_at FROM batch ORDER BY priority DESC, created_at ASC, post_id ASC, action ASC LIMIT 50"
 )
-ORACLE["top_queue_batch"] = _with(S.event_queue(), BATCH) + "SELECT post_id, action, priority, created_at FROM batch"
 ORACLE["mut_success"] = (
     _with(S.event_queue(), BATCH)
     + "SELECT post_id, action FROM queue0 q WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.post_id = q.post_id AND b.action = q.action)"
@@ -354,7 +360,8 @@ DOCS = (
     "FROM ops WHERE op IS NOT NULL)",
     "sinks AS (SELECT '" + S.DOC_ID_PREFIX + "d' || doc_id AS doc_key, doc_id % 7 <> 1 AS ok, "
     "CASE WHEN doc_id % 7 = 2 THEN 'idx-' || doc_id END AS returned_doc_id FROM documents WHERE doc_id % 7 IN (1, 2))",
-    "delivered AS (SELECT o.*, coalesce(s.ok, true) AS ok, CASE WHEN coalesce(s.ok, true) THEN coalesce(s.returned_doc_id, o.doc_key) END "
+    "delivered AS (SELECT o.*, coalesce(s.ok, true) AS ok, CASE WHEN coalesce(s.ok, true) THEN coalesce(s.returned_doc_id, "
+    "CASE WHEN o.op = 'REINGEST' THEN '" + S.DOC_ID_PREFIX + "' || o.post_id ELSE o.doc_key END) END "
     "AS result_doc_id FROM ops2 o LEFT JOIN sinks s ON s.doc_key = o.doc_key)",
 )
 ORACLE["life_classify"] = _with(*DOCS) + "SELECT post_id, action FROM classified"
@@ -462,11 +469,32 @@ ORACLE["snk_apply_index"] = (
     "rendered AS (SELECT o.post_id, o.op, o.doc_key, CAST(strlen(" + post_html("p", "CAST(NULL AS VARCHAR)") + ") AS BIGINT) AS size_bytes "
     "FROM ops2 o JOIN doc_fresh p ON p.id = o.post_id WHERE o.op IN ('INGEST', 'REINGEST') "
     "UNION ALL SELECT post_id, op, doc_key, CAST(NULL AS BIGINT) FROM ops2 WHERE op NOT IN ('INGEST', 'REINGEST')), "
-    "okbox AS (SELECT r.* FROM rendered r LEFT JOIN sinks s ON s.doc_key = r.doc_key WHERE coalesce(s.ok, true)) "
-    "SELECT coalesce(i.doc_id, b.doc_key) AS doc_id, CASE WHEN b.op IN ('INGEST', 'REINGEST') THEN b.post_id ELSE i.post_id END AS post_id, "
-    "CASE WHEN b.op IN ('INGEST', 'REINGEST') THEN b.size_bytes ELSE i.size_bytes END AS size_bytes "
-    "FROM idx i FULL OUTER JOIN okbox b ON b.doc_key = i.doc_id "
-    "WHERE coalesce(b.op, '') <> 'DELETE' AND (i.doc_id IS NOT NULL OR b.op IN ('INGEST', 'REINGEST'))"
+    "okbox AS (SELECT r.*, d.result_doc_id FROM rendered r JOIN delivered d ON d.doc_key = r.doc_key AND d.op = r.op WHERE d.ok), "
+    "made AS (SELECT result_doc_id AS doc_id, post_id, size_bytes FROM okbox WHERE op IN ('INGEST', 'REINGEST')) "
+    "SELECT doc_id, post_id, size_bytes FROM idx WHERE doc_id NOT IN (SELECT doc_key FROM okbox WHERE op <> 'SET_METADATA') "
+    "AND doc_id NOT IN (SELECT doc_id FROM made) UNION ALL SELECT doc_id, post_id, size_bytes FROM made"
+)
+
+# Deliveries over documents: operations by doc_id % 4, reports by doc_id % 5 (1 failed, 2 another id, 3 a failure and then another id).
+SINK_CASE = (
+    "sops AS (SELECT doc_id % 4 AS k, 'd' || doc_id AS post_id, doc_id, CASE doc_id % 4 WHEN 0 THEN 'INGEST' WHEN 1 THEN 'REINGEST' "
+    "WHEN 2 THEN 'SET_METADATA' ELSE 'DELETE' END AS op, CASE WHEN doc_id % 4 = 0 THEN '" + S.DOC_ID_PREFIX + "d' ELSE 'idx-' END || doc_id AS doc_key "
+    "FROM documents)",
+    "sdel AS (SELECT *, doc_id % 5 <> 1 AS ok, CASE WHEN doc_id % 5 = 1 THEN NULL WHEN doc_id % 5 IN (2, 3) THEN 'new-' || doc_id "
+    "WHEN op = 'REINGEST' THEN '" + S.DOC_ID_PREFIX + "' || post_id ELSE doc_key END AS result_doc_id FROM sops)",
+    "sindex AS (SELECT 'idx-' || doc_id AS doc_id, post_id FROM sops WHERE op <> 'INGEST')",
+    "snext AS (SELECT doc_id, post_id FROM sindex WHERE doc_id NOT IN (SELECT doc_key FROM sdel WHERE ok AND op <> 'SET_METADATA') "
+    "UNION ALL SELECT result_doc_id, post_id FROM sdel WHERE ok AND op IN ('INGEST', 'REINGEST'))",
+)
+ORACLE["snk_duplicate_results"] = _with(*SINK_CASE) + "SELECT post_id, op, ok, result_doc_id FROM sdel"
+ORACLE["snk_ids_agree"] = (
+    _with(*SINK_CASE)
+    + "SELECT d.post_id, CASE WHEN d.ok AND op IN ('INGEST', 'REINGEST') THEN result_doc_id WHEN op <> 'INGEST' THEN 'idx-' || d.doc_id END AS tracked_id, "
+    "n.doc_id AS index_id FROM sdel d LEFT JOIN snext n ON n.post_id = d.post_id WHERE op <> 'DELETE'"
+)
+ORACLE["snk_redelivery"] = (
+    _with(*SINK_CASE)
+    + "SELECT post_id, doc_id, post_id IN (SELECT post_id FROM sdel WHERE op = 'DELETE' AND NOT ok) AS removed_later FROM snext"
 )
 
 _CHANGED = "action IN ('SKIP_INCREMENT', 'SET_METADATA') OR (action = 'REINGEST' AND ok)"
@@ -543,14 +571,15 @@ ORACLE["life_modes"] = (
     + " - INTERVAL 1 DAY, 'queue' FROM ct"
 )
 
-# Four daily runs (window and update window 5 days) over the conversation posts: a post ingested on
+# Four daily runs (window and update window 5 days) over the conversation posts (an ingest that fails in the
+# phase "new" is delivered by the second queue pass of the same run): a post ingested on
 # day 1 is skipped on day 2, refreshed on day 3 (deleted if the source shows it deleted) and frozen
 # on day 4; a post deleted on day 3 is ingested again on day 4 while still inside the window.
 ORACLE["life_day_progression"] = (
-    "WITH f AS (SELECT 't' || conv_id AS post_id, conv_id % 9 <> 0 AS ok, "
+    "WITH f AS (SELECT 't' || conv_id AS post_id, "
     "(conv_id % 17 = 0) OR (conv_id % 23 = 5 AND conv_id % 6 <> 2) AS del, "
     "(conv_id % 97) * 3600 + (conv_id % 7) * 60 - (conv_id % 4) * 0.25 AS age0 FROM conversations WHERE turn = 0), "
-    "t AS (SELECT * FROM f WHERE ok AND age0 <= 432000) "
+    "t AS (SELECT * FROM f WHERE age0 <= 432000) "
     "SELECT post_id, CAST(-1 AS INTEGER) AS update_count, 'new' AS status, 1 AS day FROM t "
     "UNION ALL SELECT post_id, CAST(0 AS INTEGER), 'new', 2 FROM t "
     "UNION ALL SELECT post_id, CAST(1 AS INTEGER), 'new', 3 FROM t WHERE NOT del "
@@ -560,9 +589,9 @@ ORACLE["life_day_progression"] = (
 
 # Three landed daily snapshots synced by the stream end in the day-3 state of the progression above.
 ORACLE["str_sync"] = (
-    "WITH f AS (SELECT 't' || conv_id AS post_id, conv_id % 9 <> 0 AS ok, "
+    "WITH f AS (SELECT 't' || conv_id AS post_id, "
     "(conv_id % 17 = 0) OR (conv_id % 23 = 5 AND conv_id % 6 <> 2) AS del, "
     "(conv_id % 97) * 3600 + (conv_id % 7) * 60 - (conv_id % 4) * 0.25 AS age0 FROM conversations WHERE turn = 0) "
     "SELECT post_id, CAST(1 AS INTEGER) AS update_count, 'new' AS status, '" + S.DOC_ID_PREFIX + "' || post_id AS contextual_doc_id "
-    "FROM f WHERE ok AND age0 <= 432000 AND NOT del"
+    "FROM f WHERE age0 <= 432000 AND NOT del"
 )

@@ -16,7 +16,7 @@ from threadkeeper.operators import outbox as O
 from threadkeeper.operators import queue as Q
 from threadkeeper.operators import state as S
 from threadkeeper.operators import stats as ST
-from threadkeeper.params import SyncParams
+from threadkeeper.params import DOC_ID_PREFIX, SyncParams
 from threadkeeper.plans import lifecycle as L
 from threadkeeper.plans import scenarios as SC
 from threadkeeper.session import wall_clock
@@ -57,7 +57,15 @@ def src_hot_top50(spark, d):
 
 def src_failed_sources(spark, d):
     """SRC-4: configured sources with no delivered rows in the window."""
-    return I.failed_sources(_events_good(spark, d), P.with_(subreddits=CONFIGURED_SOURCES))
+    polled = _events_good(spark, d).select("subreddit").distinct()
+    ok = F.col("subreddit") != "src3"
+    manifest = polled.select("subreddit", ok.alias("ok"), F.when(~ok, F.lit("HTTP 429")).alias("error"))
+    return I.failed_sources(manifest, P.with_(subreddits=CONFIGURED_SOURCES))
+
+
+def src_configured(spark, d):
+    """SRC-3: the window scan of a configured list of sources."""
+    return I.window_scan(_events_good(spark, d), P.with_(subreddits=("src1", "src4"))).select("id", "subreddit", "feed_pos", "observed_at")
 
 
 def src_refresh_outcome(spark, d):
@@ -445,7 +453,64 @@ def snk_apply_index(spark, d):
     )
     box = O.outbox(ops.select("post_id", "op", "doc_key"), obs.refresh, obs.comments).withColumn("seq", F.lit(1))
     ok = O.delivery(box, sinks).where(F.col("ok"))
-    return O.apply_to_index(index, ok.drop("ok", "result_doc_id", "error")).select("doc_id", "post_id", "size_bytes")
+    return O.apply_to_index(index, ok).select("doc_id", "post_id", "size_bytes")
+
+
+def _sink_case(spark, d):
+    """Operations and reports over documents: a failure, another id, and a
+    report that came twice (a failure, then a success with another id)."""
+    k = F.col("doc_id")
+    op = F.element_at(F.array(*[F.lit(o) for o in (O.OP_INGEST, O.OP_REINGEST, O.OP_SET_METADATA, O.OP_DELETE)]), (k % 4 + 1).cast("int"))
+    base = A.table(spark, d, "documents").select("doc_id")
+    ops = base.select(
+        F.concat(F.lit("d"), k).alias("post_id"), op.alias("op"),
+        F.when(k % 4 == 0, F.concat(F.lit(DOC_ID_PREFIX + "d"), k)).otherwise(F.concat(F.lit("idx-"), k)).alias("doc_key"), "doc_id",
+    )
+    key = ops.select("doc_key", "op", "doc_id")
+    new_id = F.concat(F.lit("new-"), k)
+    none = F.lit(None).cast("string")
+    failed = key.where((k % 5 == 1) | (k % 5 == 3)).select("doc_key", "op", F.lit(False).alias("ok"), none.alias("returned_doc_id"), F.lit("HTTP 503").alias("error"))
+    moved = key.where((k % 5 == 2) | (k % 5 == 3)).select("doc_key", "op", F.lit(True).alias("ok"), new_id.alias("returned_doc_id"), none.alias("error"))
+    index = ops.where(F.col("op") != O.OP_INGEST).select(
+        F.concat(F.lit("idx-"), k).alias("doc_id"), "post_id", F.lit("v0").alias("html"), F.lit("{}").alias("metadata_json"), F.lit(2).cast("bigint").alias("size_bytes")
+    )
+    return ops.drop("doc_id"), failed.unionByName(moved), index
+
+
+def _delivered_index(ops, results, index):
+    box = O.delivery(ops, results)
+    rows = box.where(F.col("ok")).select(
+        "post_id", "op", "doc_key", "result_doc_id", F.lit(1).alias("seq"), F.lit("v1").alias("html"), F.lit("{}").alias("metadata_json"), F.lit(2).cast("bigint").alias("size_bytes")
+    )
+    return box, O.apply_to_index(index, rows)
+
+
+def snk_duplicate_results(spark, d):
+    """SNK-6: one outcome per operation, however often it was reported."""
+    ops, results, _ = _sink_case(spark, d)
+    return O.delivery(ops, results).select("post_id", "op", "ok", "result_doc_id")
+
+
+def snk_ids_agree(spark, d):
+    """SNK-3/5: the id that tracked keeps for a post is its document's id in the index."""
+    ops, results, index = _sink_case(spark, d)
+    box, after = _delivered_index(ops, results, index)
+    content = F.col("op").isin(O.OP_INGEST, O.OP_REINGEST)
+    tracked = box.where(F.col("op") != O.OP_DELETE).select(
+        "post_id", F.when(F.col("ok") & content, F.col("result_doc_id")).when(F.col("op") != O.OP_INGEST, F.col("doc_key")).alias("tracked_id")
+    )
+    return tracked.join(after.select("post_id", F.col("doc_id").alias("index_id")), "post_id", "left")
+
+
+def snk_redelivery(spark, d):
+    """SNK-4: a failed DELETE is remembered, sent again and then takes effect."""
+    ops, results, index = _sink_case(spark, d)
+    box, after = _delivered_index(ops, results, index)
+    again = O.redelivery(O.undelivered_deletes(box, C.run_ts_lit(P.run_micros)))
+    second = O.delivery(again, results, attempt=2).where(F.col("ok"))
+    later = O.apply_to_index(after, second.select("post_id", "op", "doc_key", "result_doc_id", F.lit(2).alias("seq"), *[F.lit(None).cast(t).alias(c) for c, t in (("html", "string"), ("metadata_json", "string"), ("size_bytes", "bigint"))]))
+    left = later.select("doc_id", F.lit(True).alias("there"))
+    return after.select("post_id", "doc_id").join(left, "doc_id", "left").select("post_id", "doc_id", F.col("there").isNull().alias("removed_later"))
 
 
 # ---------------------------------------------------------------------------
@@ -540,7 +605,7 @@ def life_day_progression(spark, d):
 
 def top_queue_batch(spark, d):
     """TOP-1: due items by priority desc, oldest first, limit 50."""
-    return Q.due_batch(A.event_queue(spark, d), P).select("post_id", "action", "priority", "created_at")
+    return Q.due_batch(A.event_queue(spark, d), P.with_(queue_limit=50)).select("post_id", "action", "priority", "created_at")
 
 
 # ---------------------------------------------------------------------------

@@ -383,8 +383,9 @@ GOOD_SQL = (
 
 WINDOW_SQL = "win AS (SELECT * FROM good WHERE feed = 'new' AND created_utc >= " + CUTOFF_S + ")"
 HOT_SQL = (
-    "hot AS (SELECT * EXCLUDE (rk_) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY subreddit ORDER BY feed_pos, observed_at) AS rk_ "
-    "FROM good WHERE feed = 'hot') WHERE rk_ <= 50 AND created_utc >= " + CUTOFF_S + ")"
+    "hot AS (SELECT * EXCLUDE (rk_, day_) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY subreddit ORDER BY feed_pos, observed_at) AS rk_ "
+    "FROM (SELECT *, max(CAST(observed_at AS DATE)) OVER (PARTITION BY subreddit) AS day_ FROM good WHERE feed = 'hot') "
+    "WHERE CAST(observed_at AS DATE) = day_) WHERE rk_ <= 50 AND created_utc >= " + CUTOFF_S + ")"
 )
 
 

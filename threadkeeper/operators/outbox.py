@@ -2,14 +2,15 @@
 
 SNK-1..6.  The remote index is never called from a transformation: a run
 plans operations into an outbox (written once), a delivery step reports
-``sink_results(doc_key, op, ok, returned_doc_id, error)``, and the fold
-applies those results to state.  A missing result means the op succeeded
-and the index kept the deterministic document id.
+``sink_results(doc_key, op, ok, returned_doc_id, error)``, optionally with the
+``attempt`` it belongs to (the pass of the run that sent it, 1 by default), and
+the fold applies those results to state.  A missing result means the op
+succeeded and the index kept the deterministic document id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadkeeper.functions import columns as C
@@ -51,43 +52,60 @@ def outbox(ops: DataFrame, posts: DataFrame, comments: DataFrame) -> DataFrame:
     return with_html.unionByName(meta_rows)
 
 
-def delivery(ops: DataFrame, sink_results: DataFrame) -> DataFrame:
-    """SNK-6: attach the delivery outcome; no result = success."""
-    r = sink_results.select("doc_key", "op", F.col("ok").alias("_ok"), "returned_doc_id", "error")
+def one_result(sink_results: DataFrame) -> DataFrame:
+    """One result per (doc_key, op, attempt): a redelivered report may say the
+    same twice, and any success means the document is in place."""
+    best = F.max_by(F.struct("returned_doc_id", "error"), F.struct("ok", F.coalesce("returned_doc_id", F.lit("")), F.coalesce("error", F.lit(""))))
+    r = sink_results.groupBy("doc_key", "op", F.coalesce("attempt", F.lit(1)).alias("attempt")).agg(F.max("ok").alias("ok"), best.alias("b"))
+    return r.select("doc_key", "op", "attempt", "ok", "b.returned_doc_id", "b.error")
+
+
+def fallback_id(op: Column, doc_key: Column, post_id: Column) -> Column:
+    """The document's id when the index returns none: a re-ingest deletes the
+    old document and makes one under the deterministic id."""
+    return F.when(op == OP_REINGEST, C.doc_id(post_id)).otherwise(doc_key)
+
+
+def delivery(ops: DataFrame, sink_results: DataFrame, attempt: int = 1) -> DataFrame:
+    """SNK-6: attach the delivery outcome of this attempt; no result = success."""
+    if "attempt" not in sink_results.columns:
+        sink_results = sink_results.withColumn("attempt", F.lit(None).cast("int"))
+    r = one_result(sink_results).where(F.col("attempt") == attempt)
+    r = r.select("doc_key", "op", F.col("ok").alias("_ok"), "returned_doc_id", "error")
     j = ops.join(r, ["doc_key", "op"], "left")
-    return j.withColumn("ok", F.coalesce(F.col("_ok"), F.lit(True))).withColumn(
-        "result_doc_id", F.when(F.col("ok"), F.coalesce(F.col("returned_doc_id"), F.col("doc_key")))
-    ).drop("_ok", "returned_doc_id")
+    kept = F.coalesce(F.col("returned_doc_id"), fallback_id(F.col("op"), F.col("doc_key"), F.col("post_id")))
+    return j.withColumn("ok", F.coalesce(F.col("_ok"), F.lit(True))).withColumn("result_doc_id", F.when(F.col("ok"), kept)).drop("_ok", "returned_doc_id")
+
+
+def undelivered_deletes(ops: DataFrame, run: Column) -> DataFrame:
+    """Failed DELETEs, to be sent again: (post_id, doc_key, error, failed_at).
+    The post is gone from every other table, so this is what remembers the document."""
+    return ops.where((F.col("op") == OP_DELETE) & ~F.col("ok")).select("post_id", "doc_key", "error", run.alias("failed_at"))
+
+
+def redelivery(pending: DataFrame) -> DataFrame:
+    """DELETE operations of a later run for ``undelivered_deletes`` rows."""
+    return pending.select("post_id", F.lit(OP_DELETE).alias("op"), "doc_key").distinct()
 
 
 def apply_to_index(index: DataFrame, box: DataFrame) -> DataFrame:
-    """SNK-5: apply the latest successful op per document to the index
-    (doc_id, post_id, html, metadata_json, size_bytes).
+    """SNK-5: apply delivered operations (one per document: the latest by
+    ``seq``) to the index (doc_id, post_id, html, metadata_json, size_bytes).
 
-    INGEST / REINGEST replace content and metadata, SET_METADATA replaces
-    metadata only, DELETE removes the document.
+    ``box`` holds successful operations with ``result_doc_id``.  INGEST and
+    REINGEST put the document under the id the index returned; a REINGEST also
+    removes the one it replaces (``doc_key``).  SET_METADATA replaces metadata
+    only, DELETE removes the document; of an unknown one both leave nothing.
     """
     rank = F.create_map(*[x for k, v in OP_RANK.items() for x in (F.lit(k), F.lit(v))])
     w = Window.partitionBy("doc_key").orderBy(F.col("seq").desc(), rank[F.col("op")].desc())
     last = box.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    last = last.select(
-        F.col("doc_key").alias("doc_id"),
-        F.col("post_id").alias("n_post_id"),
-        F.col("op"),
-        F.col("html").alias("n_html"),
-        F.col("metadata_json").alias("n_metadata_json"),
-        F.col("size_bytes").alias("n_size_bytes"),
-    )
-    j = index.join(last, "doc_id", "full_outer")
-    op = F.col("op")
-    content = op.isin(OP_INGEST, OP_REINGEST)
-    out = j.select(
-        "doc_id",
-        F.when(content, F.col("n_post_id")).otherwise(F.col("post_id")).alias("post_id"),
-        F.when(content, F.col("n_html")).otherwise(F.col("html")).alias("html"),
-        F.when(content | (op == OP_SET_METADATA), F.col("n_metadata_json")).otherwise(F.col("metadata_json")).alias("metadata_json"),
-        F.when(content, F.col("n_size_bytes")).otherwise(F.col("size_bytes")).alias("size_bytes"),
-        op.alias("_op"),
-    )
-    # A metadata update or delete of an unknown document leaves nothing behind.
-    return out.where(F.col("_op").isNull() | (F.col("_op") != OP_DELETE)).where(F.col("html").isNotNull()).drop("_op")
+    content = F.col("op").isin(OP_INGEST, OP_REINGEST)
+    cols = ["post_id", "html", "metadata_json", "size_bytes"]
+    made = last.where(content).select(F.col("result_doc_id").alias("doc_id"), *cols)
+    removed = last.where(content | (F.col("op") == OP_DELETE)).select(F.col("doc_key").alias("doc_id"))
+    gone = removed.union(made.select("doc_id")).distinct()
+    meta = last.where(F.col("op") == OP_SET_METADATA).select(F.col("doc_key").alias("doc_id"), F.col("metadata_json").alias("n_metadata_json"))
+    kept = index.join(gone, "doc_id", "left_anti").join(meta, "doc_id", "left")
+    kept = kept.select("doc_id", "post_id", "html", F.coalesce("n_metadata_json", "metadata_json").alias("metadata_json"), "size_bytes")
+    return kept.unionByName(made)

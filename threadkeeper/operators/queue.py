@@ -48,16 +48,17 @@ def is_due(params: SyncParams):
 
 
 def due_batch(queue: DataFrame, params: SyncParams) -> DataFrame:
-    """TOP-1: due items, priority desc, oldest first, at most ``queue_limit``.
+    """Due items: all of them, or with ``queue_limit`` the first ones by
+    priority desc, oldest first (TOP-1).
 
-    A global top-k: each partition keeps its best ``queue_limit`` rows and
-    only those are merged (TakeOrderedAndProject), so no full sort.
+    With a limit this is a global top-k: each partition keeps its best rows
+    and only those are merged (TakeOrderedAndProject), so no full sort.
     """
-    return (
-        queue.where(is_due(params))
-        .orderBy(F.col("priority").desc(), F.col("created_at").asc(), F.col("post_id").asc(), F.col("action").asc())
-        .limit(params.queue_limit)
-    )
+    due = queue.where(is_due(params))
+    if params.queue_limit is None:
+        return due
+    order = [F.col("priority").desc(), F.col("created_at").asc(), F.col("post_id").asc(), F.col("action").asc()]
+    return due.orderBy(*order).limit(params.queue_limit)
 
 
 def mark_success(queue: DataFrame, done: DataFrame) -> DataFrame:
@@ -65,10 +66,6 @@ def mark_success(queue: DataFrame, done: DataFrame) -> DataFrame:
     return queue.join(done.select(*KEY).distinct(), KEY, "left_anti")
 
 
-def backoff_minutes(attempts_col):
-    return (F.lit(5) * F.pow(F.lit(2), attempts_col)).cast("int")
-
-
 def mark_failure(queue: DataFrame, failed: DataFrame, params: SyncParams) -> DataFrame:
     """MUT-8: attempts + 1, last error, next try after 5·2^attempts minutes
     (5, 10, 20, 40, 80)."""

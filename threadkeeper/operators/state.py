@@ -121,30 +121,3 @@ def retention(posts: DataFrame, comments: DataFrame, tracked: DataFrame, params:
     orphans = flagged.where(any_expired & F.col("_tracked").isNull()).select(F.col("id").alias("post_id"))
     new_comments = comments.join(expired.unionByName(orphans), "post_id", "left_anti")
     return new_posts, new_comments, new_tracked
-
-
-def apply_bounded_updates(tracked: DataFrame, updates: DataFrame, deletes: DataFrame | None = None, inserts: DataFrame | None = None) -> DataFrame:
-    """MUT-1 / MUT-4 for a delta whose size is bounded at plan time (the queue
-    batch, at most ``queue_limit`` rows).
-
-    The delta is broadcast, so tracked is rewritten by a narrow map (no
-    shuffle); ``updates`` must only hold keys present in ``tracked`` and
-    ``inserts`` only keys absent from it.
-    """
-    n = F.broadcast(updates.select(*[F.col(c).alias("n_" + c) for c in TRACKED_COLS]))
-    j = tracked.join(n, tracked["post_id"] == n["n_post_id"], "left")
-    hit = F.col("n_post_id").isNotNull()
-    out = []
-    for c in TRACKED_COLS:
-        if c in ("last_updated", "update_count", "status", "content_hash"):
-            out.append(F.when(hit, F.col("n_" + c)).otherwise(F.col(c)).alias(c))
-        elif c == "contextual_doc_id":
-            out.append(F.when(hit, F.coalesce(F.col("n_" + c), F.col(c))).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    res = j.select(*out)
-    if deletes is not None:
-        res = res.join(F.broadcast(deletes.select("post_id").distinct()), "post_id", "left_anti")
-    if inserts is not None:
-        res = res.unionByName(inserts.select(*TRACKED_COLS))
-    return res

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the behaviour being reproduced)
@@ -63,10 +63,9 @@ class SyncParams:
     freeze_at_count: int = 2
     always_reingest_on_refresh: bool = False
     cleanup_after_days: int = 30
-    queue_limit: int = 50
+    queue_limit: int | None = None  # due items a queue pass takes; None = all
     queue_max_attempts: int = 5
     queue_backoff_minutes: int = 5
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property
     def window_hours(self) -> int:

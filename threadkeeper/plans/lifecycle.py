@@ -11,9 +11,9 @@ retention.  Each phase is one DataFrame transformation:
 * the large *post / comment caches* are never rewritten per phase: phases
   emit save / delete events and ``apply_cache_events`` applies them once at
   the end (one shuffle of each cache per run);
-* the queue phases touch at most ``queue_limit`` rows, a size bound that is
-  known at plan time, so their joins with large tables are broadcasts of the
-  batch, never shuffles of the large side.
+* a queue phase takes every due item (or ``queue_limit`` of them) in the same
+  set-based way; which side of its joins is small is left to the optimizer's
+  measured sizes.
 
 Delivery outcomes come from ``sink_results``; a missing result = success.
 """
@@ -164,22 +164,11 @@ def classify(
     cached_posts: DataFrame,
     params: SyncParams,
     apply_due_filter: bool = True,
-    restrict_to: DataFrame | None = None,
 ) -> DataFrame:
     """tracked rows (FLT-6 applied unless ``apply_due_filter`` is False)
-    ⟕ fresh observation ⟕ cached post  ->  one action per row (JN-4).
-
-    ``restrict_to`` (post_id), a key set bounded at plan time such as the
-    queue batch, first reduces the observation and the cache by a broadcast
-    semi-join, so a lookup of a few rows never shuffles the large tables
-    (a left join cannot broadcast its left side)."""
+    ⟕ fresh observation ⟕ cached post  ->  one action per row (JN-4)."""
     cand = tracked.where(due_for_update(params)) if apply_due_filter else tracked
-    refresh = obs.refresh
-    if restrict_to is not None:
-        keys = F.broadcast(restrict_to.select(F.col("post_id").alias("id")))
-        refresh = refresh.join(keys, "id", "left_semi")
-        cached_posts = cached_posts.join(keys, "id", "left_semi")
-    fresh = refresh.select(
+    fresh = obs.refresh.select(
         F.col("id").alias("post_id"),
         F.lit(True).alias("f_found"),
         F.col("deleted").alias("f_deleted"),
@@ -227,7 +216,7 @@ def _ops_for(actions: DataFrame) -> DataFrame:
     return actions.withColumn("op", op).withColumn("doc_key", F.when(op.isNotNull(), key))
 
 
-def _deliver(rows: DataFrame, sinks: DataFrame) -> DataFrame:
+def _deliver(rows: DataFrame, sinks: DataFrame, attempt: int = 1) -> DataFrame:
     """Attach (ok, result_doc_id) to rows with an op; rows without op: ok."""
     with_op = rows.where(F.col("op").isNotNull())
     without = (
@@ -236,7 +225,7 @@ def _deliver(rows: DataFrame, sinks: DataFrame) -> DataFrame:
         .withColumn("ok", F.lit(True))
         .withColumn("result_doc_id", F.lit(None).cast("string"))
     )
-    return O.delivery(with_op, sinks).unionByName(without)
+    return O.delivery(with_op, sinks, attempt).unionByName(without)
 
 
 def _tracked_from(rows: DataFrame, **set_cols: Column) -> DataFrame:
@@ -247,12 +236,12 @@ def _tracked_from(rows: DataFrame, **set_cols: Column) -> DataFrame:
 # Phases
 # ---------------------------------------------------------------------------
 def apply_updates(
-    state: State, obs: Observation, classified: DataFrame, sinks: DataFrame, params: SyncParams, seq: int, phase: str, bounded: bool = False
+    state: State, obs: Observation, classified: DataFrame, sinks: DataFrame, params: SyncParams, seq: int, phase: str, attempt: int = 1
 ):
     """LIFE-3..6 for classified rows: new tracked rows, queue requests,
     cache events, document ops and counters."""
     run = _run(params)
-    d = cut_lineage(_deliver(_ops_for(classified), sinks))
+    d = cut_lineage(_deliver(_ops_for(classified), sinks, attempt))
     a, ok = F.col("action"), F.col("ok")
     meta_ok = (a == SET_METADATA) & ok
     skip = (a == SKIP) | ((a == SET_METADATA) & ~ok)
@@ -270,10 +259,7 @@ def apply_updates(
         contextual_doc_id=F.when(F.col("_re_ok"), F.col("result_doc_id")).otherwise(F.col("contextual_doc_id")),
     )
     deleted = d.where(a == DELETE).select("post_id")
-    if bounded:  # at most queue_limit rows: broadcast merge, tracked is not shuffled
-        tracked = S.apply_bounded_updates(state.tracked, new_rows, deletes=deleted)
-    else:
-        tracked = S.upsert_tracked(state.tracked, new_rows).join(deleted, "post_id", "left_anti")
+    tracked = S.upsert_tracked(state.tracked, new_rows).join(deleted, "post_id", "left_anti")
     requests = d.where((a == ENQUEUE) | F.col("_re_fail")).select(
         "post_id", "subreddit", F.lit(ACTION_UPDATE).alias("action"), F.lit(0).alias("priority")
     )
@@ -391,43 +377,39 @@ def phase_repair(state: State, obs: Observation, sinks: DataFrame, params: SyncP
     return replace(state, tracked=tracked), events, actions
 
 
-def phase_queue(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, events: DataFrame | None = None, seq: int = 10):
-    """LIFE-10 over the due batch (TOP-1, at most ``queue_limit`` rows).
+def phase_queue(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, events: DataFrame | None = None, seq: int = 10, attempt: int = 1):
+    """LIFE-10 over the due items (all of them unless ``queue_limit`` is set).
 
     ingest -> cached post (JN-5) -> INGEST; ok sets the doc id, or creates the
     tracked row when there is none (decision Q3); no cached post = no-op.
     update -> the classifier on that tracked row without FLT-6; frozen or
     untracked = no-op (Q17); a failed outcome counts as a failure (Q4).
-    Success removes the item (MUT-7), failure backs it off (MUT-8).
+    Success removes the item (MUT-7), failure backs it off (MUT-8).  A second
+    pass of a run reads the delivery results of its own ``attempt``.
     """
     run = _run(params)
-    batch = F.broadcast(cut_lineage(Q.due_batch(state.queue, params).select("post_id", "action", "subreddit")))
-    # the post cache as of now, looked up for the batch ids only (never shuffled)
-    view = cache_view(state.posts, events, batch.select(F.col("post_id").alias("id")).distinct())
-    # --- ingest items
+    batch = cut_lineage(Q.due_batch(state.queue, params).select("post_id", "action", "subreddit"))
+    # --- ingest items, with the post cache as of now
     ing = batch.where(F.col("action") == ACTION_INGEST)
-    cached = view.join(F.broadcast(ing.select(F.col("post_id").alias("id"))), "id", "left_semi")
+    cached = cache_view(state.posts, events).join(ing.select(F.col("post_id").alias("id")), "id", "left_semi")
     ing_j = ing.join(cached.select(F.col("id").alias("post_id"), F.lit(True).alias("c_found")), "post_id", "left")
-    ing_j = ing_j.join(state.tracked.join(F.broadcast(ing.select("post_id")), "post_id", "left_semi").select(
-        "post_id", F.lit(True).alias("t_found")), "post_id", "left")
+    ing_j = ing_j.join(state.tracked.select("post_id", F.lit(True).alias("t_found")), "post_id", "left")
     ing_ops = ing_j.withColumn("op", F.when(F.col("c_found").isNotNull(), F.lit(O.OP_INGEST))).withColumn(
         "doc_key", F.when(F.col("op").isNotNull(), C.doc_id("post_id"))
     )
-    ing_d = cut_lineage(_deliver(ing_ops, sinks))
+    ing_d = cut_lineage(_deliver(ing_ops, sinks, attempt))
     ing_ok = ing_d.where(F.col("op").isNotNull() & F.col("ok"))
-    # tracked rows: set doc id, or create (hash from the cached copy)
-    cached_hash = _with_hash(
-        cached.select("id", "title", "selftext", "subreddit", "created_utc"),
-        state.comments.join(F.broadcast(ing.select("post_id")), "post_id", "left_semi"),
-    )
-    set_doc = F.broadcast(ing_ok.where(F.col("t_found").isNotNull()).select("post_id", F.col("result_doc_id").alias("new_doc")))
-    set_rows = state.tracked.join(set_doc, "post_id").select(
+    # tracked rows: set the doc id, or create (hash from the cached copy and its comments as of now)
+    set_rows = state.tracked.join(ing_ok.select("post_id", F.col("result_doc_id").alias("new_doc")), "post_id").select(
         *[F.col("new_doc").alias(c) if c == "contextual_doc_id" else F.col(c) for c in TRACKED_COLS]
     )
-    create = ing_ok.where(F.col("t_found").isNull()).select("post_id", "result_doc_id").join(
-        cached_hash.withColumnRenamed("id", "post_id"), "post_id"
+    create = ing_ok.where(F.col("t_found").isNull()).select("post_id", "result_doc_id")
+    wanted = create.select("post_id")
+    cached_hash = _with_hash(
+        cached.select("id", "title", "selftext", "subreddit", "created_utc").join(wanted.withColumnRenamed("post_id", "id"), "id", "left_semi"),
+        comments_view(state.comments, events, obs.comments).join(wanted, "post_id", "left_semi"),
     )
-    create_rows = create.select(
+    create_rows = create.join(cached_hash.withColumnRenamed("id", "post_id"), "post_id").select(
         "post_id", "subreddit", "created_utc", run.alias("first_scraped"), run.alias("last_updated"),
         F.lit(-1).cast("int").alias("update_count"), F.lit(STATUS_NEW).alias("status"),
         F.col("result_doc_id").alias("contextual_doc_id"), "content_hash",
@@ -441,13 +423,12 @@ def phase_queue(state: State, obs: Observation, sinks: DataFrame, params: SyncPa
     ing_fail = ing_d.where(F.col("op").isNotNull() & ~F.col("ok")).select(
         "post_id", F.lit(ACTION_INGEST).alias("action"), F.coalesce(F.col("error"), F.lit("ingest failed")).alias("error")
     )
-    tracked = S.apply_bounded_updates(state.tracked, set_rows, inserts=create_rows)
-    st = replace(state, tracked=tracked)
+    st = replace(state, tracked=cut_lineage(S.upsert_tracked(state.tracked, set_rows.unionByName(create_rows))))
     # --- update items
     upd = batch.where(F.col("action") == ACTION_UPDATE).select("post_id")
-    t_upd = st.tracked.join(F.broadcast(upd), "post_id", "left_semi").where(F.col("status") != STATUS_FROZEN)
-    classified = classify(t_upd, obs, view, params, apply_due_filter=False, restrict_to=upd)
-    st2, upd_events, upd_actions = apply_updates(st, obs, classified, sinks, params, seq, "queue", bounded=True)
+    t_upd = st.tracked.join(upd, "post_id", "left_semi").where(F.col("status") != STATUS_FROZEN)
+    classified = classify(t_upd, obs, cache_view(state.posts, events), params, apply_due_filter=False)
+    st2, upd_events, upd_actions = apply_updates(st, obs, classified, sinks, params, seq, "queue", attempt)
     upd_fail = upd_actions.where((F.col("action") == ENQUEUE) | ((F.col("action") == REINGEST) & ~F.col("ok"))).select(
         "post_id", F.lit(ACTION_UPDATE).alias("action"),
         F.when(F.col("action") == ENQUEUE, F.lit("refresh failed")).otherwise(F.lit("sync failed")).alias("error"),
@@ -495,17 +476,10 @@ def apply_cache_events(posts: DataFrame, comments: DataFrame, events: DataFrame,
     return new_posts, new_comments
 
 
-def cache_view(posts: DataFrame, events: DataFrame | None, ids: DataFrame | None = None) -> DataFrame:
-    """The post cache as of now (pre-run cache overlaid with this run's
-    events).  With ``ids`` (a bounded key set, e.g. the queue batch) both
-    sides are first reduced by a broadcast semi-join, so nothing large is
-    shuffled."""
-    if ids is not None:
-        posts = posts.join(F.broadcast(ids), "id", "left_semi")
+def cache_view(posts: DataFrame, events: DataFrame | None) -> DataFrame:
+    """The post cache as of now: the pre-run cache overlaid with this run's events."""
     if events is None:
         return posts.select(*CACHED_POST_COLS)
-    if ids is not None:
-        events = events.join(F.broadcast(ids), "id", "left_semi")
     ev = events.groupBy("id").agg(
         F.max_by(F.struct(*[F.col(c) for c in CACHED_POST_COLS if c != "id"], "is_delete"), "seq").alias("e")
     ).select("id", "e.*")
@@ -514,6 +488,16 @@ def cache_view(posts: DataFrame, events: DataFrame | None, ids: DataFrame | None
     return untouched.select(*CACHED_POST_COLS).unionByName(live_ev.select(*CACHED_POST_COLS))
 
 
+def comments_view(comments: DataFrame, events: DataFrame | None, observed: DataFrame) -> DataFrame:
+    """The comment cache as of now: a post that this run saved has the observed comments."""
+    if events is None:
+        return comments.select(*CACHED_COMMENT_COLS)
+    last = events.groupBy(F.col("id").alias("post_id")).agg(F.max_by("is_delete", "seq").alias("is_delete"))
+    saved = last.where(~F.col("is_delete"))
+    untouched = comments.join(last.select("post_id"), "post_id", "left_anti")
+    return untouched.select(*CACHED_COMMENT_COLS).unionByName(observed.join(saved, "post_id", "left_semi").select(*CACHED_COMMENT_COLS))
+
+
 # ---------------------------------------------------------------------------
 # LIFE-11 / LIFE-12: a whole run
 # ---------------------------------------------------------------------------
@@ -553,7 +537,7 @@ def run(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mo
     for ph in phases:
         t0 = time.time()
         if ph in ("queue", "queue2"):
-            st, ev, ac = phase_queue(st, obs, sinks, params, events, seq=10 if ph == "queue" else 60)
+            st, ev, ac = phase_queue(st, obs, sinks, params, events, seq=10 if ph == "queue" else 60, attempt=1 if ph == "queue" else 2)
         elif ph == "repair":
             st, ev, ac = phase_repair(st, obs, sinks, params)
         elif ph == "new":

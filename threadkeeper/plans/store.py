@@ -11,8 +11,8 @@ version.  A batch id that is already committed is not applied again, which
 makes replays of a micro-batch a no-op.  All I/O goes through Spark, so the
 store works on HDFS / object stores as well as local disks.
 
-At scale the tables are bucketed by ``post_id`` when written (one shuffle per
-version) so the next run's key joins find them co-partitioned.
+``partitions`` fixes the number of files of a version; the files are hashed by
+``post_id``, but they are no catalog buckets, so key joins still shuffle.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ class StateStore:
     def _log(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(f"{self.root}/_versions")
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # an unreadable log is no empty store
+                raise
             return None
 
     def current_version(self) -> int | None:

@@ -139,9 +139,14 @@ def window_scan(raw: DataFrame, params: SyncParams) -> DataFrame:
 
 
 def hot_top(raw: DataFrame, params: SyncParams) -> DataFrame:
-    """SRC-2 / TOP-2: first ``hot_limit`` entries of each source's engagement
-    feed, then the same inclusive cutoff (applied after the top-N)."""
+    """SRC-2 / TOP-2: first ``hot_limit`` entries of each source's latest
+    engagement feed, then the same inclusive cutoff (applied after the top-N).
+
+    The latest feed of a source is its last landed day; the days are one small
+    row per source, so the landing is filtered before it is ranked."""
     hot = in_sources(raw, params).where(F.col("feed") == "hot")
+    days = hot.groupBy("subreddit").agg(F.max(F.to_date("observed_at")).alias("_day"))
+    hot = hot.join(days, "subreddit").where(F.to_date("observed_at") == F.col("_day")).select(*raw.columns)
     w = Window.partitionBy("subreddit").orderBy("feed_pos", "observed_at")
     top = hot.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= params.hot_limit).drop("_rk")
     return top.where(F.col("created_utc") >= F.lit(cutoff_seconds(params)))
@@ -164,20 +169,14 @@ def latest_observation(obs: DataFrame) -> DataFrame:
     return agg.select(*[F.col("r")[c].alias(c) for c in cols])
 
 
-def intake_posts(raw: DataFrame, params: SyncParams) -> DataFrame:
-    """SET-1: new-feed window ∪ hot top-N, de-duplicated by id, normalised."""
-    good, _ = split_rejects(raw)
-    both = window_scan(good, params).unionByName(hot_top(good, params))
-    return normalize_posts(latest_observation(both))
-
-
-def failed_sources(raw: DataFrame, params: SyncParams) -> DataFrame:
-    """SRC-4: configured sources that delivered nothing in this run's window."""
-    spark = raw.sparkSession
-    configured = spark.createDataFrame([(s,) for s in params.subreddits], "subreddit string")
-    # distinct (partially aggregated map-side) -> one row per source reaches the join
-    delivered = raw.where(F.col("created_utc") >= F.lit(cutoff_seconds(params))).select("subreddit").distinct()
-    return configured.join(delivered, "subreddit", "left_anti")
+def failed_sources(manifest: DataFrame, params: SyncParams) -> DataFrame:
+    """SRC-4: configured sources whose poll raised an error, or that were not
+    polled, by the run's manifest (subreddit, ok, error).  A source that was
+    polled and had nothing new did not fail."""
+    configured = manifest.sparkSession.createDataFrame([(s,) for s in params.subreddits], "subreddit string")
+    per_source = manifest.groupBy("subreddit").agg(F.min("ok").alias("ok"), F.max("error").alias("error"))
+    j = configured.join(per_source, "subreddit", "left").where(~F.coalesce("ok", F.lit(False)))
+    return j.select("subreddit", F.when(F.col("ok").isNull(), F.lit("not polled")).otherwise(F.col("error")).alias("error"))
 
 
 def refresh_outcome(wanted: DataFrame, snapshot: DataFrame) -> DataFrame:
