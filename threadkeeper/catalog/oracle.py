@@ -571,6 +571,37 @@ ORACLE["life_modes"] = (
     + " - INTERVAL 1 DAY, 'queue' FROM ct"
 )
 
+_CONV_RUN = (
+    _with(*CONV, S.fragments_cte("frags", "comments"), disc_cte("comments"), "good AS (SELECT * FROM raw_posts)", S.WINDOW_SQL, S.HOT_SQL,
+          "both_ AS (SELECT * FROM win UNION ALL SELECT * FROM hot)", S.latest_cte("lat", "both_"), S.normalize_posts("lat", "intake_n"))
+    + ", known AS (SELECT p.id, " + _H("p.title", "p.selftext", "f.fragments") + " AS content_hash FROM posts p LEFT JOIN frags f ON f.post_id = p.id "
+    "WHERE CAST(substring(p.id, 2) AS BIGINT) % 4 = 0), "
+    "cand AS (SELECT n.*, " + _H("n.title", "n.selftext", "f.fragments") + " AS content_hash, CAST(substring(n.id, 2) AS BIGINT) % 9 <> 0 AS ok "
+    "FROM intake_n n LEFT JOIN frags f ON f.post_id = n.id WHERE " + S.age_days("n.created_utc") + " <= 2.0 AND CAST(substring(n.id, 2) AS BIGINT) % 4 <> 0) "
+)
+ORACLE["life_run_state"] = (
+    _CONV_RUN
+    + "SELECT 'tracked' AS kind, id AS key, CAST(0 AS BIGINT) AS n FROM known UNION ALL SELECT 'tracked', id, -1 FROM cand "
+    "UNION ALL SELECT 'post', id, 0 FROM known UNION ALL SELECT 'post', id, 0 FROM cand "
+    "UNION ALL SELECT 'comments', post_id, count(*) FROM comments WHERE post_id IN (SELECT id FROM known UNION SELECT id FROM cand) GROUP BY 2 "
+    "UNION ALL SELECT 'counter', 'posts_scraped', count(*) FROM intake_n "
+    "UNION ALL SELECT 'counter', unnest(['new_posts', 'documents_ingested', 'sync_errors', 'queued_for_retry']), "
+    "unnest([count_if(ok), count(*), count_if(NOT ok), count_if(NOT ok)]) FROM cand "
+    "UNION ALL SELECT 'counter', 'skipped_unchanged', count(*) FROM known "
+    "UNION ALL SELECT 'counter', unnest(['updated_posts', 'frozen_posts', 'posts_deleted', 'documents_reingested']), 0"
+)
+ORACLE["life_documents"] = (
+    _CONV_RUN
+    + "SELECT '" + S.DOC_ID_PREFIX + "' || p.id AS doc_id, p.id AS post_id, CAST(strlen(h.html) AS BIGINT) AS size_bytes, md5(h.html) AS html_md5 "
+    "FROM cand p, LATERAL (SELECT " + post_html("p", "(SELECT discussion FROM disc WHERE disc.post_id = p.id)") + " AS html) h"
+)
+ORACLE["life_queue_tracked"] = (
+    _CONV_RUN
+    + "SELECT id AS post_id, CAST(-1 AS INTEGER) AS update_count, 'new' AS status, '" + S.DOC_ID_PREFIX + "' || id AS contextual_doc_id, content_hash, "
+    + S.RUN + " - INTERVAL 1 DAY AS last_updated FROM known "
+    "UNION ALL SELECT id, -1, 'new', '" + S.DOC_ID_PREFIX + "' || id, content_hash, " + S.RUN + " FROM cand"
+)
+
 # Four daily runs (window and update window 5 days) over the conversation posts (an ingest that fails in the
 # phase "new" is delivered by the second queue pass of the same run): a post ingested on
 # day 1 is skipped on day 2, refreshed on day 3 (deleted if the source shows it deleted) and frozen

@@ -19,7 +19,7 @@ from threadkeeper.operators import stats as ST
 from threadkeeper.params import DOC_ID_PREFIX, SyncParams
 from threadkeeper.plans import lifecycle as L
 from threadkeeper.plans import scenarios as SC
-from threadkeeper.session import wall_clock
+from threadkeeper.session import cut_lineage, wall_clock
 from threadkeeper.sources import adapters as A
 from threadkeeper.sources import intake as I
 
@@ -568,12 +568,44 @@ def life_queue(spark, d):
 
 
 def life_full_run(spark, d):
-    """LIFE-11, MUT-9, AGG-8: a full run at scale (orders + lineitem): final tracked."""
+    """LIFE-11, MUT-9: a full run at scale (orders + lineitem): final tracked."""
     state, obs, sinks = SC.orders(spark, d, P)
     res = L.run(state, obs, sinks, P)
     return _tracked_out(res.state.tracked)
 
 
+def life_run_state(spark, d):
+    """LIFE-11, AGG-8: a whole run over conversations, all its state and
+    counters as long rows; ingests that fail in the phase "new" are delivered
+    by the second queue pass."""
+    state, obs, sinks = SC.conv(spark, d, P)
+    res = L.run(state, obs, sinks, P)
+    st, n = res.state, lambda c: F.col(c).cast("bigint").alias("n")
+    rows = st.tracked.select(F.lit("tracked").alias("kind"), F.col("post_id").alias("key"), n("update_count"))
+    rows = rows.unionByName(st.posts.select(F.lit("post").alias("kind"), F.col("id").alias("key"), n("update_count")))
+    rows = rows.unionByName(st.comments.groupBy(F.col("post_id").alias("key")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("comments").alias("kind"), "key", "n"))
+    rows = rows.unionByName(st.queue.select(F.lit("queue").alias("kind"), F.col("post_id").alias("key"), n("attempts")))
+    counters = res.counters.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in ST.COUNTERS]), F.array(*ST.COUNTERS))))
+    return rows.unionByName(counters.select(F.lit("counter").alias("kind"), F.col("key"), F.col("value").alias("n")))
+
+
+def life_documents(spark, d):
+    """LIFE-11, SNK-1..5: the document index that a whole run over conversations leaves."""
+    state, obs, sinks = SC.conv(spark, d, P)
+    return L.run(state, obs, sinks, P).documents.select("doc_id", "post_id", "size_bytes", F.md5("html").alias("html_md5"))
+
+
+def life_queue_tracked(spark, d):
+    """LIFE-10, JN-5: ingests that fail in the phase "new" and succeed in the
+    queue pass of the same run; the created rows are hashed from this run's
+    posts and comments."""
+    state, obs, sinks = SC.conv(spark, d, P)
+    st, ev, _ = L.phase_new(state, obs, sinks, P)
+    st = L.State(tracked=cut_lineage(st.tracked), posts=st.posts, comments=st.comments, queue=cut_lineage(st.queue))
+    st, _, _ = L.phase_queue(st, obs, sinks, P, ev.select(*L.EMPTY_EVENTS_COLS), seq=60, attempt=2)
+    return _tracked_out(st.tracked)
+
+
 def life_modes(spark, d):
     """LIFE-12: scrape-only, update-only and queue-only runs."""
     out = None

@@ -32,7 +32,7 @@ from threadkeeper.functions.fingerprint import comment_fragments, content_hash
 from threadkeeper.operators import outbox as O
 from threadkeeper.operators import queue as Q
 from threadkeeper.operators import state as S
-from threadkeeper.operators.stats import COUNTERS
+from threadkeeper.operators.stats import COUNTERS, db_stats, run_counters, scraped_new_by_subreddit
 from threadkeeper.params import (
     ACTION_INGEST,
     ACTION_UPDATE,
@@ -41,7 +41,7 @@ from threadkeeper.params import (
     STATUS_UPDATING,
     SyncParams,
 )
-from threadkeeper.schemas import CACHED_COMMENT_COLS, CACHED_POST_COLS, TRACKED_COLS
+from threadkeeper.schemas import CACHED_COMMENT_COLS, CACHED_POST_COLS, POST_COLS, TRACKED_COLS
 from threadkeeper.session import cut_lineage
 from threadkeeper.sources import intake as I
 
@@ -75,6 +75,12 @@ class RunResult:
     state: State
     actions: DataFrame  # one row per (seq, post_id): phase, action, op, ok, counters
     ops: DataFrame  # document operations (seq, post_id, op, doc_key, ok, result_doc_id)
+    outbox: DataFrame  # delivered operations with html and metadata (the latest per document)
+    documents: DataFrame  # the document index after the run
+    pending_deletes: DataFrame  # failed DELETEs, for the next run's redelivery
+    counters: DataFrame  # the ten run counters (AGG-8), one row
+    by_source: DataFrame  # scraped and newly tracked per source (AGG-7)
+    totals: DataFrame  # database totals after the run (AGG-2..6)
 
 
 # ---------------------------------------------------------------------------
@@ -504,15 +510,36 @@ def comments_view(comments: DataFrame, events: DataFrame | None, observed: DataF
 EMPTY_EVENTS_COLS = CACHED_POST_COLS + ["seq", "refresh_content", "is_delete"]
 
 
-def run(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mode: str = "full", checkpoint: bool = True) -> RunResult:
+def document_rows(obs: Observation, posts: DataFrame) -> DataFrame:
+    """Posts as documents show them: the observation where there is one, else the cached copy."""
+    cached = posts.join(obs.refresh.select("id"), "id", "left_anti")
+    return obs.refresh.select(*POST_COLS).unionByName(cached.select(*[c for c in POST_COLS if c in CACHED_POST_COLS]), allowMissingColumns=True)
+
+
+def delivered_outbox(ops: DataFrame, obs: Observation, posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """The latest delivered operation of each document, with its content (SNK-1..4)."""
+    last = ops.where("ok").groupBy("doc_key").agg(F.max_by(F.struct("seq", "post_id", "op", "result_doc_id"), "seq").alias("o")).select("doc_key", "o.*")
+    box = O.outbox(last.select("post_id", "op", "doc_key"), document_rows(obs, posts), comments)
+    return box.join(last.select("doc_key", "seq", "result_doc_id"), "doc_key")
+
+
+def run(
+    state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mode: str = "full", checkpoint: bool = True, index: DataFrame | None = None
+) -> RunResult:
     """LIFE-11 (mode 'full') and LIFE-12 ('scrape', 'update', 'queue').
 
+    ``index`` is the document index before the run (doc_id, post_id, html,
+    metadata_json, size_bytes; empty if not given).  Outbox, documents and
+    statistics are part of the result; documents are rendered when they are
+    written.
+
     Order: queue -> hash repair -> new -> update -> freeze -> queue ->
     retention.  The tracked table and queue are cut (reliable checkpoint in
     the shared checkpoint folder) after each phase so the plan stays small
     and a lost executor only recomputes the current phase.
     """
     spark = state.tracked.sparkSession
+    before = state.posts, state.comments
     events = spark.createDataFrame([], _events_schema(state))
     actions = None
 
@@ -548,7 +575,7 @@ def run(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mo
             st, ac = phase_freeze(st, params)
             ev = None
         else:  # retention (MUT-9) runs on the caches after the events
-            posts, comments = apply_cache_events(st.posts, st.comments, events, obs.comments)
+            before = posts, comments = apply_cache_events(st.posts, st.comments, events, obs.comments)
             posts, comments, tracked = S.retention(posts, comments, st.tracked, params)
             st = State(tracked=tracked, posts=posts, comments=comments, queue=st.queue)
             events = None
@@ -561,7 +588,7 @@ def run(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mo
         st = cut(st)
         log.info("phase %s done in %.1fs", ph, time.time() - t0)
     if events is not None:
-        posts, comments = apply_cache_events(st.posts, st.comments, events, obs.comments)
+        before = posts, comments = apply_cache_events(st.posts, st.comments, events, obs.comments)
         st = replace(st, posts=posts, comments=comments)
     if checkpoint:
         # The new state version: written once per run (caches included).
@@ -569,7 +596,21 @@ def run(state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mo
             tracked=cut_lineage(st.tracked), posts=cut_lineage(st.posts), comments=cut_lineage(st.comments), queue=cut_lineage(st.queue)
         )
     ops = actions.where(F.col("op").isNotNull()).select("seq", "phase", "post_id", "op", "doc_key", "ok", "result_doc_id")
-    return RunResult(state=st, actions=actions, ops=ops)
+    if index is None:
+        index = spark.createDataFrame([], "doc_id string, post_id string, html string, metadata_json string, size_bytes bigint")
+    box = delivered_outbox(ops, obs, *before)
+    created = st.tracked.join(state.tracked.select("post_id"), "post_id", "left_anti")
+    return RunResult(
+        state=st,
+        actions=actions,
+        ops=ops,
+        outbox=box,
+        documents=O.apply_to_index(index, box),
+        pending_deletes=O.undelivered_deletes(ops.withColumn("error", F.lit(None).cast("string")), _run(params)),
+        counters=run_counters(actions),
+        by_source=scraped_new_by_subreddit(obs.intake, created),
+        totals=db_stats(st.tracked, st.comments, st.queue),
+    )
 
 
 def _events_schema(state: State):
