@@ -109,3 +109,10 @@ def test_hot_post_observations_reduce_map_side(spark):
     assert out.count() == 1 + (n - n // 3)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_landing_is_pruned_by_day(spark, sf):
+    from threadkeeper.catalog.queries import src_landing_pruned
+
+    plan = src_landing_pruned(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(observed_date" in plan and "observed_date" in plan.split("PartitionFilters")[1][:120]

@@ -1,13 +1,13 @@
 """Run parameters (no Spark needed)."""
 
-from threadkeeper.params import EXCLUDED_AUTHORS, SyncParams, epoch_micros, parse_sources
+from threadkeeper.params import EXCLUDED_AUTHORS, SyncParams, epoch_micros
 
 
 def test_defaults():
     p = SyncParams()
     assert (p.time_window_hours, p.max_comments, p.cleanup_after_days, p.update_window_days) == (26, 100, 30, 2)
     assert (p.refresh_at_count, p.freeze_at_count, p.always_reingest_on_refresh) == (0, 2, False)
-    assert (p.queue_limit, p.queue_max_attempts, p.queue_backoff_minutes, p.hot_limit) == (50, 5, 5, 50)
+    assert (p.queue_limit, p.queue_max_attempts, p.queue_backoff_minutes, p.hot_limit) == (None, 5, 5, 50)
 
 
 def test_zero_hours_falls_back_to_default():
@@ -15,11 +15,6 @@ def test_zero_hours_falls_back_to_default():
     assert SyncParams(time_window_hours=48).window_hours == 48
 
 
-def test_source_list_parsing():
-    assert parse_sources(" a, b ,,c ,") == ("a", "b", "c")
-    assert parse_sources("") == () and parse_sources(None) == ()
-
-
 def test_run_time_is_explicit_and_utc():
     p = SyncParams().at("2024-02-01 16:00:00")
     assert p.run_micros - SyncParams().run_micros == 86_400_000_000

@@ -29,6 +29,10 @@ ORACLE["src_window_scan"] = (
     _with(*EV, S.WINDOW_SQL)
     + "SELECT id, subreddit, feed_pos, " + S.ts_from_epoch("created_utc") + " AS created_utc, observed_at FROM win"
 )
+ORACLE["src_landing_pruned"] = (
+    _with(*EV, S.WINDOW_SQL)
+    + "SELECT id, subreddit, feed_pos, observed_at FROM win WHERE CAST(observed_at AS DATE) >= CAST(make_timestamp(CAST(" + S.CUTOFF_S + " * 1000000 AS BIGINT)) AS DATE)"
+)
 ORACLE["src_hot_top50"] = _with(*EV, S.HOT_SQL) + "SELECT id, subreddit, feed_pos, observed_at FROM hot"
 ORACLE["src_failed_sources"] = (
     _with(*EV)

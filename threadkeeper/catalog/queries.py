@@ -744,9 +744,9 @@ def str_sync(spark, d):
     empty = L.State(tracked=state.tracked.limit(0), posts=state.posts.limit(0), comments=state.comments.limit(0), queue=state.queue)
     store.write(empty, "initial", SYNC_DAYS[0])
     raw = A.conv_raw_posts(spark, d)
-    for ts in SYNC_DAYS:  # each landed snapshot is one file
+    for ts in SYNC_DAYS:  # each landed snapshot has several files
         snap = raw.withColumn("observed_at", C.run_ts_lit(params.at(ts).run_micros))
-        snap.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        snap.repartition(3).write.mode("append").parquet(f"{root}/landing")
     sync_stream(spark, f"{root}/landing", A.conv_raw_comments(spark, d), sinks, store, f"{root}/ckpt", params)
     return store.read().tracked.select("post_id", "update_count", "status", "contextual_doc_id")
 
@@ -773,4 +773,15 @@ def src_landing_json(spark, d):
     )
 
 
+def src_landing_pruned(spark, d):
+    """SRC-1 over a landing partitioned by the day of observation: only the days
+    that can hold posts of the window are read."""
+    root = _scratch(spark, "landing-days")
+    obs = A.event_observations(spark, d).withColumn("observed_date", F.to_date("observed_at"))
+    obs.repartition("observed_date").write.partitionBy("observed_date").parquet(f"{root}/landing")
+    good, _ = I.split_rejects(I.read_landing(spark, f"{root}/landing", since=I.first_window_day(P)))
+    return I.window_scan(good, P).select("id", "subreddit", "feed_pos", "observed_at")
+
+
 QUERIES["src_landing_json"] = src_landing_json
+QUERIES["src_landing_pruned"] = src_landing_pruned

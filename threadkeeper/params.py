@@ -81,10 +81,3 @@ class SyncParams:
 
     def with_(self, **kw) -> "SyncParams":
         return replace(self, **kw)
-
-
-def parse_sources(text: str | None) -> tuple[str, ...]:
-    """Comma list -> tuple; items trimmed, blanks dropped."""
-    if not text:
-        return ()
-    return tuple(s.strip() for s in text.split(",") if s.strip())

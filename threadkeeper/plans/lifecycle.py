@@ -86,23 +86,31 @@ class RunResult:
 # ---------------------------------------------------------------------------
 # Observation
 # ---------------------------------------------------------------------------
-def observe(raw_posts: DataFrame, raw_comments: DataFrame, params: SyncParams) -> Observation:
+def observe(raw_posts: DataFrame, raw_comments: DataFrame, params: SyncParams, wanted: DataFrame | None = None) -> Observation:
+    """Intake and refresh rows of a landing.
+
+    ``wanted`` (post_id) are the posts that the run may refresh (``refresh_ids``);
+    only their rows are then reduced, normalised and fingerprinted for it,
+    however much history the landing holds.
+    """
     good, _rejects = I.split_rejects(raw_posts)
-    comments = I.normalize_comments(raw_comments, params)
-    latest = I.latest_observation(good)
-    deleted = C.is_deleted_raw("author", "selftext")
+    comments = cut_lineage(I.normalize_comments(raw_comments, params))
+    seen = good if wanted is None else good.join(wanted.select(F.col("post_id").alias("id")).distinct(), "id", "left_semi")
     # FLT-4 runs on the raw row, before the author default is applied.
-    flagged = latest.withColumn("_deleted", deleted)
-    refresh = I.normalize_posts(flagged).join(flagged.select("id", F.col("_deleted").alias("deleted")), "id")
-    comments = cut_lineage(comments)
+    refresh = I.normalize_posts(I.latest_observation(seen.withColumn("deleted", C.is_deleted_raw("author", "selftext"))), "deleted")
     # one aggregation of the comments serves both fingerprints
     frags = cut_lineage(comment_fragments(comments.select("post_id", "id", "body")))
     refresh = cut_lineage(_with_hash(refresh, frags=frags))
-    both = I.window_scan(good, params).unionByName(I.hot_top(good, params))
-    intake = cut_lineage(_with_hash(I.normalize_posts(I.latest_observation(both)), frags=frags))
+    intake = cut_lineage(_with_hash(I.intake_posts(good, params), frags=frags))
     return Observation(intake=intake, refresh=refresh, comments=comments)
 
 
+def refresh_ids(state: State, params: SyncParams) -> DataFrame:
+    """Posts whose observation a run may need: due for an update, without a hash, or queued."""
+    due = state.tracked.where(due_for_update(params) | missing_hash()).select("post_id")
+    return due.union(state.queue.select("post_id"))
+
+
 def _with_hash(posts: DataFrame, comments: DataFrame | None = None, frags: DataFrame | None = None) -> DataFrame:
     if frags is None:
         frags = comment_fragments(comments.select("post_id", "id", "body"))
@@ -512,8 +520,10 @@ EMPTY_EVENTS_COLS = CACHED_POST_COLS + ["seq", "refresh_content", "is_delete"]
 
 def document_rows(obs: Observation, posts: DataFrame) -> DataFrame:
     """Posts as documents show them: the observation where there is one, else the cached copy."""
-    cached = posts.join(obs.refresh.select("id"), "id", "left_anti")
-    return obs.refresh.select(*POST_COLS).unionByName(cached.select(*[c for c in POST_COLS if c in CACHED_POST_COLS]), allowMissingColumns=True)
+    new = obs.intake.join(obs.refresh.select("id"), "id", "left_anti")
+    seen = obs.refresh.select(*POST_COLS).unionByName(new.select(*POST_COLS))
+    cached = posts.join(seen.select("id"), "id", "left_anti")
+    return seen.unionByName(cached.select(*[c for c in POST_COLS if c in CACHED_POST_COLS]), allowMissingColumns=True)
 
 
 def delivered_outbox(ops: DataFrame, obs: Observation, posts: DataFrame, comments: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from threadkeeper.functions import columns as C
 from threadkeeper.functions.fingerprint import content_hash
 from threadkeeper.params import DOC_ID_PREFIX, SITE, SyncParams
-from threadkeeper.plans.lifecycle import Observation, State, observe
+from threadkeeper.plans.lifecycle import Observation, State, observe, refresh_ids
 from threadkeeper.session import cut_lineage
 from threadkeeper.schemas import (
     CACHED_COMMENT_COLS,
@@ -100,7 +100,7 @@ def docs(spark: SparkSession, d: str, params: SyncParams) -> tuple[State, Observ
         F.when(F.col("rule") == 7, F.lit(-1)).otherwise(F.lit(0)).cast("int").alias("update_count"),
     )
     state = State(tracked=tracked, posts=cached, comments=empty_comments(spark, params), queue=empty_queue(spark))
-    obs = observe(A.doc_observed(spark, d, params.run_micros), empty_raw_comments(spark), params)
+    obs = observe(A.doc_observed(spark, d, params.run_micros), empty_raw_comments(spark), params, refresh_ids(state, params))
     k = A.table(spark, d, "documents").select(
         F.concat(F.lit(DOC_ID_PREFIX + "d"), F.col("doc_id")).alias("doc_key"), F.col("doc_id")
     )

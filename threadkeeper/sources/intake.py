@@ -6,6 +6,8 @@ source list is a filter, not a loop over sources.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,23 +22,27 @@ CORRUPT = "_corrupt_record"
 # ---------------------------------------------------------------------------
 # Reading landed files (SRC-7: bad records are isolated, not fatal)
 # ---------------------------------------------------------------------------
-def read_landing(spark: SparkSession, path: str, kind: str = "posts", fmt: str = "parquet") -> DataFrame:
+def read_landing(spark: SparkSession, path: str, kind: str = "posts", fmt: str = "parquet", since: str | None = None) -> DataFrame:
     """Read a landed snapshot with a fixed schema (no inference).
 
     JSON is read PERMISSIVE with a corrupt-record column, so a malformed line
-    becomes a reject row instead of failing the job.  A date-partitioned
-    landing (``observed_date=...``) is pruned by the window filter.
+    becomes a reject row instead of failing the job.  ``since`` (a date) keeps
+    the partitions of a landing by ``observed_date`` from that day on; the
+    others are not listed or read.
     """
     schema = RAW_POST_SCHEMA if kind == "posts" else RAW_COMMENT_SCHEMA
     if fmt == "json":
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-        return (
-            spark.read.schema(schema)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .json(path)
-        )
-    return spark.read.schema(schema).format(fmt).load(path)
+        raw = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    else:
+        raw = spark.read.schema(schema).format(fmt).load(path)
+    return raw if since is None else raw.where(F.col("observed_date") >= F.lit(since).cast("date")).drop("observed_date")
+
+
+def first_window_day(params: SyncParams) -> str:
+    """The first landed day that can hold posts of the window: a post created
+    at or after the cutoff is not observed before it."""
+    return dt.datetime.fromtimestamp(cutoff_seconds(params), tz=dt.timezone.utc).strftime("%Y-%m-%d")
 
 
 def post_is_valid(df: DataFrame) -> Column:
@@ -62,8 +68,8 @@ def split_rejects(raw_posts: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ---------------------------------------------------------------------------
 # Normalisation (PRJ-1, PRJ-2)
 # ---------------------------------------------------------------------------
-def normalize_posts(raw: DataFrame) -> DataFrame:
-    """PRJ-1 with FN-1..6: one projection, no shuffle."""
+def normalize_posts(raw: DataFrame, *extra: str) -> DataFrame:
+    """PRJ-1 with FN-1..6: one projection, no shuffle; ``extra`` columns pass."""
     exprs = {
         "author": C.author_or_deleted("author"),
         "selftext": C.text_or_empty("selftext"),
@@ -77,7 +83,7 @@ def normalize_posts(raw: DataFrame) -> DataFrame:
         exprs[flag] = F.coalesce(F.col(flag), F.lit(False))
     exprs["is_self"] = F.coalesce(F.col("is_self"), F.lit(True))
     cols = [exprs.get(c, F.col(c)).alias(c) for c in POST_COLS]
-    return raw.select(*cols)
+    return raw.select(*cols, *extra)
 
 
 def is_bot(author_after_default: Column) -> Column:
@@ -169,6 +175,11 @@ def latest_observation(obs: DataFrame) -> DataFrame:
     return agg.select(*[F.col("r")[c].alias(c) for c in cols])
 
 
+def intake_posts(good: DataFrame, params: SyncParams) -> DataFrame:
+    """SET-1: new-feed window ∪ hot top-N, de-duplicated by id, normalised."""
+    return normalize_posts(latest_observation(window_scan(good, params).unionByName(hot_top(good, params))))
+
+
 def failed_sources(manifest: DataFrame, params: SyncParams) -> DataFrame:
     """SRC-4: configured sources whose poll raised an error, or that were not
     polled, by the run's manifest (subreddit, ok, error).  A source that was

@@ -5,10 +5,12 @@ STR-1  overlapping intake windows without duplicates: a file-source stream
        time (the intake window is the lateness allowance) and
        ``dropDuplicatesWithinWatermark(["id"])``: every post id is emitted
        once, however many overlapping snapshots contain it.
-STR-2  incremental sync: each landed snapshot is one micro-batch; the batch
-       runs the whole lifecycle fold with the run time taken from the data
-       and commits a new state version tagged with the batch id, so a replay
-       of the same batch is a no-op.
+STR-2  incremental sync: a landed snapshot is all rows of one ``observed_at``,
+       however many files it has (its files land together, as one committed
+       write); each snapshot runs the whole lifecycle fold with the run time
+       taken from the data and commits a new state version tagged with that
+       time, so a replay, or a new checkpoint, applies no snapshot twice and
+       skips none.
 
 Both use ``trigger(availableNow=True)``: process what has landed, then stop
 (the scheduled-job form of a stream), with the progress kept in the
@@ -17,6 +19,8 @@ checkpoint location so a restarted job resumes where it stopped.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,25 +59,21 @@ def sync_stream(
     checkpoint: str,
     params: SyncParams,
 ) -> None:
-    """STR-2: one lifecycle run per landed snapshot file (micro-batch)."""
-    src = spark.readStream.schema(RAW_POST_SCHEMA).option("maxFilesPerTrigger", 1).parquet(landing)
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        key = f"snapshot-{batch_id}"
-        if store.has_batch(key):
-            return  # replayed micro-batch: already committed
-        # the run time is the snapshot's observation time (a one-row aggregate)
-        row = batch.agg(F.max(F.unix_micros("observed_at")).alias("m")).first()
-        if row is None or row["m"] is None:
-            return
-        import datetime as dt
+    """STR-2: one lifecycle run per landed snapshot, in order of observation."""
+    src = spark.readStream.schema(RAW_POST_SCHEMA).parquet(landing)
 
-        run_ts = dt.datetime.fromtimestamp(row["m"] / 1_000_000, tz=dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        p = params.at(run_ts)
-        state = store.read()
-        obs = L.observe(batch, raw_comments, p)
-        res = L.run(state, obs, sinks, p)
-        store.write(res.state, key, run_ts)
+    def apply(batch: DataFrame, _batch_id: int) -> None:
+        # one row per snapshot in the batch
+        for row in batch.where("observed_at is not null").select(F.unix_micros("observed_at").alias("m")).distinct().orderBy("m").collect():
+            run_ts = dt.datetime.fromtimestamp(row["m"] / 1_000_000, tz=dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+            key = f"snapshot-{row['m']}"
+            if store.has_batch(key):
+                continue  # already committed
+            p = params.at(run_ts)
+            state = store.read()
+            snapshot = batch.where(F.unix_micros("observed_at") == row["m"])
+            obs = L.observe(snapshot, raw_comments, p, L.refresh_ids(state, p))
+            store.write(L.run(state, obs, sinks, p).state, key, run_ts)
 
     q = src.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
