@@ -9,6 +9,7 @@ folder), cut lineage by writing Parquet into the shared checkpoint folder
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,13 @@ from pyspark.sql import functions as F
 from threadkeeper.session import checkpoint_dir, prepare
 
 
+# Before a shuffle join, rows without a partner are dropped by a Bloom filter of
+# the other side's keys (8 MB at most; a fuller filter only lets more rows by).
+SESSION = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1m",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10g",
+}
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -29,6 +37,8 @@ def ready(spark: SparkSession) -> SparkSession:
     known = [p for p in env.get("PYTHONPATH", "").split(":") if p]
     if PACKAGE_ROOT not in known:
         env["PYTHONPATH"] = ":".join([*known, PACKAGE_ROOT])
+    for name, value in SESSION.items():
+        spark.conf.set(name, value)
     return prepare(spark)
 
 
@@ -38,6 +48,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def shield(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but ``used`` under neutral names, so that none
+    clashes with an operator's own, and the function that names them again."""
+    names = {c: c if c in used else f"_x{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(x) for c, x in names.items()]), lambda out: out.select(*[F.col(x).alias(c) for c, x in names.items()])
+
+
 class Scratch:
     """Tables of one run in the shared checkpoint folder.
 
