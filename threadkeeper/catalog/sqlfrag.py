@@ -151,20 +151,14 @@ def order_raw_posts(name: str = "raw_posts") -> str:
     )
 
 
-LINEITEM_ORDER_SQL = (
-    "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
-    "l_returnflag, l_linestatus, l_shipdate"
-)
-
-
 def lineitem_raw_comments(name: str = "raw_comments") -> str:
     k, supp = "l_orderkey", "l_suppkey"
     created = "(CAST(epoch_us(l_shipdate) AS DOUBLE) / 1000000)"
     return (
-        name + "_pos AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY " + LINEITEM_ORDER_SQL + ") AS pos "
-        "FROM lineitem), "
+        name + "_pos AS (SELECT *, l_linenumber AS pos FROM lineitem), "
         + name + " AS (SELECT "
-        "'o' || " + k + " AS post_id, 'l' || " + k + " || '-' || pos AS id, "
+        "'o' || " + k + " AS post_id, 'l' || " + k + " || '-' || pos || '-' || l_partkey || '-' || " + supp
+        + " || '-' || CAST(round(l_extendedprice * 100) AS BIGINT) AS id, "
         "CASE WHEN " + supp + " % 23 = 0 THEN 'AutoModerator' WHEN " + supp + " % 29 = 0 THEN 'SaveVideo' "
         "WHEN " + supp + " % 31 = 0 THEN NULL ELSE 's' || " + supp + " END AS author, "
         "'qty ' || CAST(l_quantity AS BIGINT) || ', price ' || CAST(round(l_extendedprice * 100) AS BIGINT) "

@@ -16,7 +16,7 @@ can derive exactly the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadkeeper.functions.columns import run_ts_lit
@@ -161,21 +161,12 @@ def order_raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(*_shape(exprs, RAW_POST_SCHEMA))
 
 
-LINEITEM_ORDER = [
-    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-]
-
-
 def lineitem_raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A comment per line item, by row-local rules: the line number is the
+    place in the listing, and the id also names part, supplier and price, as
+    (orderkey, linenumber) repeats."""
     li = table(spark, sf_dir, "lineitem")
-    # Listing order inside a post; (orderkey, linenumber) is not unique, so
-    # every column takes part in the order.  Partitioned by the post key, so
-    # later per-post work reuses this distribution.
-    li = li.withColumn("post_id", F.concat(F.lit("o"), F.col("l_orderkey")))
-    w = Window.partitionBy("post_id").orderBy(*LINEITEM_ORDER)
-    li = li.withColumn("pos", F.row_number().over(w))
-    k, pos, supp = F.col("l_orderkey"), F.col("pos"), F.col("l_suppkey")
+    k, pos, supp = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey")
     created = (F.unix_micros(F.col("l_shipdate").cast("timestamp")) / 1_000_000).cast("double")
     body = F.concat(
         F.lit("qty "), F.col("l_quantity").cast("bigint"),
@@ -185,8 +176,8 @@ def lineitem_raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(", flags "), F.col("l_returnflag"), F.col("l_linestatus"),
     )
     exprs = {
-        "post_id": F.col("post_id"),
-        "id": F.concat(F.lit("l"), k, F.lit("-"), pos),
+        "post_id": F.concat(F.lit("o"), k),
+        "id": F.concat_ws("-", F.concat(F.lit("l"), k), pos, "l_partkey", supp, F.round(F.col("l_extendedprice") * 100).cast("bigint")),
         "author": F.when(supp % 23 == 0, F.lit("AutoModerator"))
         .when(supp % 29 == 0, F.lit("SaveVideo"))
         .when(supp % 31 == 0, F.lit(None))
