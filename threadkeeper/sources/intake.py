@@ -166,13 +166,12 @@ def latest_observation(obs: DataFrame) -> DataFrame:
     """WIN-3: one row per post id: latest observation, 'hot' over 'new' at the
     same instant, then the later feed position.
 
-    Written as ``max_by`` so it aggregates map-side: a post observed millions
-    of times is reduced inside each partition before the shuffle.
+    A limit of one per id is planned as a WindowGroupLimit that also runs
+    before the shuffle: a post observed millions of times sends one row per
+    map partition.
     """
-    cols = obs.columns
-    order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(obs_order())])
-    agg = obs.groupBy("id").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("r"))
-    return agg.select(*[F.col("r")[c].alias(c) for c in cols])
+    w = Window.partitionBy("id").orderBy(*[c.desc_nulls_last() for c in obs_order()])
+    return obs.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") == 1).drop("_nth")
 
 
 def intake_posts(good: DataFrame, params: SyncParams) -> DataFrame:
