@@ -263,7 +263,7 @@ ORACLE["mut_backoff"] = (
 ORACLE["mut_enqueue"] = (
     _with(S.event_queue())
     + ", req AS (SELECT 'e' || user_id AS post_id, min('src' || (user_id % 5)) AS n_subreddit, 'update' AS action, "
-    "CAST(max(event_id % 4) AS INTEGER) AS n_priority FROM events WHERE event_type = 'click' GROUP BY 1, 3) "
+    "CAST(max(event_id % 4) AS INTEGER) AS n_priority FROM events GROUP BY 1, 3) "
     "SELECT coalesce(q.post_id, r.post_id) AS post_id, coalesce(q.subreddit, r.n_subreddit) AS subreddit, "
     "coalesce(q.action, r.action) AS action, "
     "CAST(CASE WHEN q.post_id IS NULL THEN r.n_priority WHEN r.post_id IS NOT NULL THEN greatest(q.priority, r.n_priority) "
@@ -383,7 +383,7 @@ ORACLE["snk_outbox"] = (
 # Aggregations
 # ---------------------------------------------------------------------------
 ORACLE["agg_status"] = _with(S.events_tracked()) + "SELECT status, count(*) AS n FROM ev_tracked GROUP BY status"
-ORACLE["agg_subreddit"] = "SELECT o_orderpriority AS subreddit, count(*) AS n FROM orders WHERE o_orderkey % 5 <> 0 GROUP BY 1"
+ORACLE["agg_subreddit"] = "SELECT o_orderpriority AS subreddit, count(*) AS n FROM orders GROUP BY 1"
 ORACLE["agg_db_totals"] = (
     _with(*CONV, S.event_queue())
     + ", known AS (SELECT id FROM posts WHERE CAST(substring(id, 2) AS BIGINT) % 4 = 0) "

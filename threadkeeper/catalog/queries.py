@@ -369,7 +369,7 @@ def mut_delete_cascade(spark, d):
 def mut_enqueue(spark, d):
     """MUT-6: enqueue with priority = greatest(old, new) on key conflict."""
     q = A.event_queue(spark, d)
-    e = A.table(spark, d, "events").where(F.col("event_type") == "click")
+    e = A.table(spark, d, "events")
     req = e.select(
         F.concat(F.lit("e"), F.col("user_id")).alias("post_id"), F.concat(F.lit("src"), F.col("user_id") % 5).alias("subreddit"),
         F.lit("update").alias("action"), (F.col("event_id") % 4).cast("int").alias("priority"),
@@ -652,8 +652,7 @@ def agg_status(spark, d):
 def agg_subreddit(spark, d):
     """AGG-4: tracked rows by source."""
     o = A.table(spark, d, "orders")
-    # tracked rows of the orders scenario: 4 of 5 orders, by source
-    tracked = o.where(F.col("o_orderkey") % 5 != 0).select(F.col("o_orderpriority").alias("subreddit"))
+    tracked = o.select(F.col("o_orderpriority").alias("subreddit"))
     return ST.by_subreddit(tracked)
 
 

@@ -201,7 +201,7 @@ def event_queue(name: str = "queue0") -> str:
         "CASE WHEN event_id % 2 = 0 THEN 'ingest' ELSE 'update' END AS action, "
         "min(event_id) AS id, CAST(max(CAST(floor(value) AS BIGINT) % 3) AS INTEGER) AS priority, count(*) AS n, "
         "max(event_id) AS last_event, min(ts) AS created_at, max(ts) AS last_ts "
-        "FROM events WHERE event_type = 'error' GROUP BY ALL), "
+        "FROM events GROUP BY ALL), "
         + name + " AS (SELECT id, post_id, subreddit, action, priority, CAST(n % 7 AS INTEGER) AS attempts, "
         "5 AS max_attempts, CASE WHEN n % 7 > 0 THEN 'HTTP 5' || lpad(CAST(last_event % 100 AS VARCHAR), 2, '0') END AS last_error, "
         "created_at, last_ts + to_hours(CAST((n % 3) * 24 AS BIGINT)) AS scheduled_for FROM " + name + "_g)"
