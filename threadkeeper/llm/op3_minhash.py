@@ -2,21 +2,23 @@
 
 A document's set is its distinct word shingles, held as 64-bit hashes.  Rows
 with equal sets form one class; only one row per class goes on, so copies cost
-one aggregation that combines map-side.  A class has ``bands * rows`` MinHash
-samples: bands of them are the candidate keys, and all of them are folded into
-a 256-bit odd sketch (each sample flips one bit), so that the popcount of the
-XOR of two sketches estimates their similarity.
+one aggregation that combines map-side.  Bands of ``rows`` MinHash samples are
+the candidate keys.  Classes that share a band get an odd sketch: each of
+``SAMPLES`` MinHash samples flips one of ``SKETCH_BITS`` bits, so that the
+popcount of the XOR of two sketches estimates their similarity closely.
 
 Candidates that share a band are never paired with each other all at once:
 
 1. each band's smallest class is its hub; every other member is paired with
    the hub, tested by sketch and confirmed on full sets; components follow;
-2. members of a band that is still in more than one component are paired with
-   the members outside their component, except that the band's largest
-   component is not paired with itself; the sketch is tested inside the join,
-   and again the full sets decide.
-
-After both, every candidate pair was confirmed, refused, or lies inside one
+2. in bands that still hold several components, the members outside the
+   band's largest one get a hub of their own (by hash, so bands differ), and
+   every member of another component is paired with it in the same way;
+3. in bands that still hold several components, members outside the largest
+   one meet the members of other components; sketch and full sets are tested
+   inside that join, so that only links come out of it.
+
+After these, every candidate pair was confirmed, refused, or lies inside one
 component, so the components are those of all candidate pairs.
 
 Defined results: without words (or text) the set is empty and the row is a
@@ -36,10 +38,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, table
+from .common import Scratch, components, shield, table
 from .words import mix, slices, text_buffer, word_hashes
 
-SKETCH_BITS = 256
+SAMPLES = 1024
+SKETCH_BITS = 2048
+DEVIATIONS = 4.5  # a pair at the threshold is refused by its sketch beyond so many
+SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 MISS = 1e-5  # chance that no band holds a pair at the threshold
 
 
@@ -54,11 +59,14 @@ def band_plan(threshold: float, miss: float = MISS, most_bands: int = 32) -> tup
     return best
 
 
-def sketch_limit(samples: int, threshold: float, slack: float = 0.25) -> int:
-    """Most bits in which the sketches of a similar pair can differ: the
-    expectation at ``threshold - slack``, over six deviations away."""
-    d = samples * (1 - (threshold - slack))
-    return math.ceil(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * d)))
+def sketch_limit(threshold: float) -> int:
+    """Most bits in which the sketches of a similar pair differ, but for
+    ``DEVIATIONS``: those of the samples that differ and of the bits they hit."""
+    d, n = SAMPLES * (1 - threshold), SKETCH_BITS
+    p = (1 - (1 - 2 / n) ** (2 * d)) / 2
+    per_sample = 2 * (1 - 2 / n) ** (2 * d)
+    deviation = math.sqrt(n * p * (1 - p) + SAMPLES * threshold * (1 - threshold) * per_sample**2)
+    return math.ceil(n * p + DEVIATIONS * deviation)
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,11 +158,10 @@ def _features(size: int, bands: int, rows: int):
                 k1, k2 = set_keys(values, offsets)
                 minima = min_hashes(values, offsets, bands * rows)
                 keys = band_keys(minima, bands, rows).view(np.int64)
-                sketch = odd_sketches(minima)
                 lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), keys.ravel())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("th"), pa.array(np.diff(offsets)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(4)]],
-                    names=["doc_id", "th", "n", "k1", "k2", "bands", "s0", "s1", "s2", "s3"],
+                    [part.column("doc_id"), part.column("th"), pa.array(np.diff(offsets)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists],
+                    names=["doc_id", "th", "n", "k1", "k2", "bands"],
                 )
 
     return run
@@ -166,42 +173,28 @@ def _sets(size: int):
             for part in slices(batch, "text"):
                 values, offsets = shingle_sets(part.column("text"), size)
                 k1, k2 = set_keys(values, offsets)
-                raw = pa.py_buffer(np.ascontiguousarray(values))
-                blobs = pa.Array.from_buffers(pa.binary(), len(k1), [None, pa.py_buffer((offsets * 8).astype(np.int32)), raw])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), blobs], names=["doc_id", "k1", "k2", "members"])
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
+                sketch = odd_sketches(min_hashes(values, offsets, SAMPLES))
+                cols = [part.column("doc_id"), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))]]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "k1", "k2", "members", *SKETCH])
 
     return run
 
 
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)] for c in ("set_a", "set_b")]
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(*sets, strict=True)):
-                if len(x) > len(y):
-                    x, y = y, x
-                if 100 * len(x) < percent * len(y):
-                    continue
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            keep = np.flatnonzero(keep)
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(keep)), batch.column("b").take(pa.array(keep))], names=["a", "b"])
-
-    return run
+def similar(a: Column, b: Column, percent: int) -> Column:
+    """100 * intersection >= percent * union of two sets held as arrays."""
+    both = F.size(F.array_intersect(a, b))
+    return (100 * F.least(F.size(a), F.size(b)) >= percent * F.greatest(F.size(a), F.size(b))) & (100 * both >= percent * (F.size(a) + F.size(b) - both))
 
 
 def sketch_distance(a: str, b: str) -> Column:
     """Bits in which two sketches (columns ``<a>s0``...) differ."""
     out = F.lit(0)
-    for i in range(4):
-        out = out + F.bit_count(F.col(f"{a}s{i}").bitwiseXOR(F.col(f"{b}s{i}")))
+    for s in SKETCH:
+        out = out + F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}")))
     return out
 
 
-SKETCH = ["s0", "s1", "s2", "s3"]
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """Components of documents (doc_id, text) whose shingle sets have
     100 * intersection >= percent * union, confirmed on the full sets.
@@ -212,58 +205,78 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
     bands, rows = band_plan(percent / 100)
-    limit = sketch_limit(bands * rows, percent / 100)
+    limit = sketch_limit(percent / 100)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     hashed = docs.withColumn("th", F.xxhash64("text"))
-    feats = scratch.cut(hashed.mapInArrow(_features(shingle, bands, rows), "doc_id long, th long, n long, k1 long, k2 long, bands array<long>, s0 long, s1 long, s2 long, s3 long"))
+    feats = scratch.cut(hashed.mapInArrow(_features(shingle, bands, rows), "doc_id long, th long, n long, k1 long, k2 long, bands array<long>"))
     linked = feats.where("n > 0 and doc_id is not null")
     classes = scratch.cut(linked.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
     # one row per class; a doc_id that is smallest in two classes (repeated with another text) stands for both
     nodes = classes.groupBy("rep").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2", F.col("rep").alias("doc_id"))
     reps = linked.join(nodes, ["k1", "k2", "doc_id"]).dropDuplicates(["k1", "k2", "doc_id"])
-    reps = scratch.cut(reps.select("k1", "k2", F.col("doc_id").alias("rep"), "bands", *SKETCH))
+    reps = scratch.cut(reps.select("k1", "k2", F.col("doc_id").alias("rep"), "bands"))
     keys = reps.select(F.explode("bands").alias("key"), "rep")
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("key", "hub")
     shared = scratch.cut(keys.join(hubs, "key").distinct())
-    sketches = reps.select("rep", "k1", "k2", *SKETCH)
     wanted = shared.select("rep").distinct()
-    near = scratch.cut(sketches.join(wanted, "rep", "left_semi"))
-    texts = docs.join(near.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets(shingle), "doc_id long, k1 long, k2 long, members binary")
-    sets = scratch.cut(sets.join(near.select(F.col("rep").alias("doc_id"), "k1", "k2"), ["doc_id", "k1", "k2"], "left_semi").dropDuplicates(["doc_id", "k1", "k2"]).select(F.col("doc_id").alias("rep"), "members"))
+    near = scratch.cut(reps.select("rep", "k1", "k2").join(wanted, "rep", "left_semi"))
+    # the comparison lets Spark build its runtime Bloom filter of the wanted ids, ahead of the shuffle of texts
+    texts = docs.join(near.where(F.col("rep") >= -(1 << 63)).select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = texts.mapInArrow(_sets(shingle), f"doc_id long, k1 long, k2 long, members array<long>, {', '.join(f'{s} long' for s in SKETCH)}")
+    sets = sets.join(near.withColumnRenamed("rep", "doc_id"), ["doc_id", "k1", "k2"], "left_semi").dropDuplicates(["doc_id", "k1", "k2"])
+    sets = scratch.cut(sets.drop("k1", "k2").withColumnRenamed("doc_id", "rep"))
+
+    def side(name: str, full: bool = False) -> DataFrame:
+        own = [F.col(s).alias(f"{name}_{s}") for s in SKETCH] + [F.col("members").alias(f"{name}_set")] * full
+        return sets.select(F.col("rep").alias(name), *own)
 
-    def side(name: str) -> DataFrame:
-        return near.select(F.col("rep").alias(name), *[F.col(s).alias(f"{name}_{s}") for s in SKETCH])
+    near_enough = sketch_distance("a_", "b_") <= limit
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        full = pairs.join(sets.select(F.col("rep").alias("b"), F.col("members").alias("set_b")), "b")
-        full = full.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("set_a")), "a")
-        return full.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "a long, b long")
-
-    pairs = shared.where("rep > hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(sketch_distance("a_", "b_") <= limit).select("a", "b")
-    tried = scratch.cut(pairs)
-    links = scratch.cut(confirmed(tried))
-    labels = scratch.cut(components(links, scratch))
-
-    label = F.coalesce("component", "rep")
-    members = shared.select("key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", label.alias("label"))
-    open_keys = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    members = scratch.cut(members.join(open_keys, "key", "left_semi"))
-    largest = members.groupBy("key", "label").count().groupBy("key").agg(F.max_by("label", "count").alias("largest"))
-    rest = members.join(largest, "key").where("label <> largest").drop("largest")
-    left = rest.select("key", F.col("rep").alias("x"), F.col("label").alias("lx")).join(side("x"), "x")
-    right = members.select("key", F.col("rep").alias("y"), F.col("label").alias("ly")).join(side("y"), "y")
-    across = left.join(right, (left["key"] == right["key"]) & (left["lx"] != right["ly"]) & (sketch_distance("x_", "y_") <= limit))
-    across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    links2 = scratch.cut(confirmed(across))
-    nodes = scratch.cut(components(links.union(links2), scratch))
+        """Of candidate pairs (a, b) those that the sketches let by and the full sets confirm."""
+        tried = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(near_enough).select("a", "b")
+        full = tried.join(sets.select(F.col("rep").alias("b"), F.col("members").alias("b_set")), "b")
+        full = full.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("a_set")), "a")
+        return full.where(similar(F.col("a_set"), F.col("b_set"), percent)).select("a", "b")
+
+    def several(labels: DataFrame) -> DataFrame:
+        """Members of bands that hold several components: key, rep, label, and the band's largest component."""
+        members = shared.select("key", "rep").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        sizes = members.groupBy("key", "label").count().groupBy("key").agg(F.max_by("label", "count").alias("largest"), F.count("*").alias("labels"))
+        return scratch.cut(members.join(sizes.where("labels > 1").drop("labels"), "key"))
+
+    def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+        """Components (rep, label) after more links, found between the components so far."""
+        old = labels.select(F.col("rep").alias("x"), F.col("label").alias("lx"))
+        ends = links.join(old.withColumnRenamed("x", "a").withColumnRenamed("lx", "la"), "a", "left").join(old.withColumnRenamed("x", "b").withColumnRenamed("lx", "lb"), "b", "left")
+        ends = scratch.cut(ends.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+        if ends.isEmpty():
+            return labels
+        found = components(ends, scratch).withColumnRenamed("node", "label").withColumnRenamed("component", "to")
+        known = labels.join(found, "label", "left").select("rep", F.coalesce("to", "label").alias("label"))
+        fresh = found.join(labels.select(F.col("rep").alias("label")), "label", "left_anti").select(F.col("label").alias("rep"), F.col("to").alias("label"))
+        return scratch.cut(known.union(fresh))
+
+    links = scratch.cut(confirmed(shared.where("rep > hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))))
+    labels = scratch.cut(components(links, scratch).select(F.col("node").alias("rep"), F.col("component").alias("label")))
+    members = several(labels)
+    if not members.isEmpty():
+        second = members.where("label <> largest").groupBy("key").agg(F.min_by(F.struct("rep", "label"), F.xxhash64("key", "rep")).alias("hub"))
+        pairs = members.join(second, "key").where("label <> hub.label").select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"))
+        labels = joined(labels, confirmed(pairs))
+        members = several(labels)
+    if not members.isEmpty():
+        rest = members.where("label <> largest").select("key", F.col("rep").alias("a"), F.col("label").alias("la")).join(side("a", True), "a")
+        all_ = members.select(F.col("key").alias("other"), F.col("rep").alias("b"), F.col("label").alias("lb")).join(side("b", True), "b")
+        across = rest.join(all_, (F.col("key") == F.col("other")) & (F.col("la") != F.col("lb")) & near_enough & similar(F.col("a_set"), F.col("b_set"), percent))
+        labels = joined(labels, across.select("a", "b").distinct())
+    nodes = labels.select(F.col("rep").alias("node"), F.col("label").alias("component"))
 
     named = classes.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = feats.select("doc_id", "th", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
     component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id"))
     out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "th")
-    scratch.drop(shared, near, sets, tried, links, links2, labels, members, reps)
+    scratch.drop(shared, near, sets, links, members, reps)
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
 
 
@@ -273,11 +286,30 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, shingle=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS shingle FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * common >= 85 * (p.n + q.n - common)
+), reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), comp AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, component_id = d.doc_id AS kept
+FROM documents d JOIN comp ON comp.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group of near-duplicates stays
     (five words a shingle, similarity 0.8)."""
-    found = near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null")
+    docs, named = shield(docs, "doc_id", "text")
+    found = near_duplicates(docs).where("kept and doc_id is not null")
     one = found.groupBy("doc_id").agg(F.min("th").alias("th"))  # of repeated rows one stays
-    keyed = docs.withColumn("th", F.xxhash64("text"))
-    named = keyed.join(one, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"]).select(*docs.columns)
-    return named.unionByName(docs.where("doc_id is null"))
+    kept = docs.withColumn("th", F.xxhash64("text")).join(one, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
+    return named(kept.select(*docs.columns).unionByName(docs.where("doc_id is null")))
