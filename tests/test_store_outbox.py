@@ -38,17 +38,17 @@ def test_index_apply_semantics(spark):
     )
     box = spark.createDataFrame(
         [
-            ("p1", "REINGEST", "d1", "new1", '{"a":1}', 4, 1),
-            ("p2", "SET_METADATA", "d2", None, '{"b":2}', None, 1),
-            ("p3", "DELETE", "d3", None, None, None, 1),
-            ("p4", "INGEST", "d4", "new4", '{"c":3}', 4, 1),
-            ("p5", "SET_METADATA", "d5", None, '{"d":4}', None, 1),
+            ("p1", "REINGEST", "d1", "d9", "new1", '{"a":1}', 4, 1),
+            ("p2", "SET_METADATA", "d2", "d2", None, '{"b":2}', None, 1),
+            ("p3", "DELETE", "d3", "d3", None, None, None, 1),
+            ("p4", "INGEST", "d4", "d4", "new4", '{"c":3}', 4, 1),
+            ("p5", "SET_METADATA", "d5", "d5", None, '{"d":4}', None, 1),
         ],
-        "post_id string, op string, doc_key string, html string, metadata_json string, size_bytes bigint, seq int",
+        "post_id string, op string, doc_key string, result_doc_id string, html string, metadata_json string, size_bytes bigint, seq int",
     )
     out = {r.doc_id: r for r in O.apply_to_index(index, box).collect()}
-    assert set(out) == {"d1", "d2", "d4"}  # deleted and unknown-metadata docs are absent
-    assert out["d1"].html == "new1" and out["d1"].metadata_json == '{"a":1}'
+    assert set(out) == {"d9", "d2", "d4"}  # deleted, replaced and unknown-metadata docs are absent
+    assert out["d9"].html == "new1" and out["d9"].metadata_json == '{"a":1}'
     assert out["d2"].html == "old2" and out["d2"].metadata_json == '{"b":2}'  # metadata only
     assert out["d4"].post_id == "p4"
 
@@ -61,3 +61,14 @@ def test_delivery_defaults_to_success(spark):
     )
     got = {r.post_id: (r.ok, r.result_doc_id) for r in O.delivery(ops, sinks).collect()}
     assert got == {"p1": (False, None), "p2": (True, "idx-2"), "p3": (True, "d3")}
+
+
+def test_reports_of_one_operation_are_reduced_and_belong_to_an_attempt(spark):
+    ops = spark.createDataFrame([("p1", "REINGEST", "idx-5"), ("p2", "INGEST", "d2")], "post_id string, op string, doc_key string")
+    sinks = spark.createDataFrame(
+        [("d2", "INGEST", False, None, "HTTP 503", 1), ("d2", "INGEST", True, "idx-2", None, 1), ("d2", "INGEST", False, None, "HTTP 500", 2)],
+        "doc_key string, op string, ok boolean, returned_doc_id string, error string, attempt int",
+    )
+    first = {r.post_id: (r.ok, r.result_doc_id) for r in O.delivery(ops, sinks).collect()}
+    assert first == {"p1": (True, "reddit_post_p1"), "p2": (True, "idx-2")}
+    assert {r.post_id: r.ok for r in O.delivery(ops, sinks, attempt=2).collect()} == {"p1": True, "p2": False}
