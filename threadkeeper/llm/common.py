@@ -25,6 +25,18 @@ SESSION = {
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1m",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10g",
 }
+_MODEL: dict[object, object] = {}
+
+
+def worker_model(key: object, build: Callable[[], object]) -> object:
+    """The model that a Python worker holds: the last one asked for, so that a
+    worker reused by another operator gives its memory back."""
+    if key not in _MODEL:
+        _MODEL.clear()
+        _MODEL[key] = build()
+    return _MODEL[key]
+
+
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 

@@ -37,13 +37,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ready, table
+from .common import ready, table, worker_model
 from .words import slices
 
 # Fixed value of byte-level BPE: how text is cut before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE = 1 << 16  # code points matched at once
-MEMO = 1 << 18  # pre-tokens whose ids are kept
+MEMO = 1 << 17  # pre-tokens whose ids are kept
 MEMO_LENGTH = 64
 # a match can't go on over a boundary between one of these and a blank that is followed by a letter
 CUT = regex.compile(r"(?<=\p{L}) (?=\p{L})")
@@ -279,18 +279,9 @@ class Transducer:
         yield machine.decode(b"", True)
 
 
-_LOADED: dict[str, Transducer] = {}
-
-
-def transducer(path: str) -> Transducer:
-    if path not in _LOADED:
-        _LOADED[path] = Transducer(path)
-    return _LOADED[path]
-
-
 def _round_trip(path: str, names: list[str], full: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = transducer(path)
+        t = worker_model(("tokens", path), lambda: Transducer(path))
         for whole in batches:
             for batch in slices(whole, "text", 1 << 22):
                 n, ids_sha, text_sha, ids = [], [], [], []

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ready, shield, table
+from .common import ready, shield, table, worker_model
 from .words import slices
 
 SAMPLE_TEXTS = 64
@@ -123,31 +123,29 @@ class CrossParser:
         self.languages = sorted(samples)
         self.ids = symbol_ids(samples)
         most = min(SAMPLE_SYMBOLS, ALL_SYMBOLS // max(1, len(samples)))
-        self.width = FREQUENT + RARE + 1
-        parts, roots, base = [], [], 0
+        texts = {}
         for name in self.languages:
             share = max(1024, most // max(1, len(samples[name])))
             pieces = [np.append(symbols(t, self.ids)[:share], np.uint8(0)) for t in samples[name]]
-            text = np.concatenate(pieces)[:most] if pieces else np.zeros(0, np.uint8)
-            go = suffix_automaton(text)
+            texts[name] = np.concatenate(pieces)[:most] if pieces else np.zeros(0, np.uint8)
+        # symbols that no sample has share the last column
+        seen = np.unique(np.concatenate([np.zeros(0, np.uint8), *texts.values()]))
+        self.width = len(seen) + 1
+        self.column = np.full(FREQUENT + RARE + 1, len(seen), np.uint8)
+        self.column[seen] = np.arange(len(seen))
+        parts, roots, base = [], [], 0
+        for name in self.languages:
+            go = suffix_automaton(self.column[texts[name]])
             # a symbol that doesn't go on ends the phrase; one that the root lacks is a phrase by itself, too
             root = np.array([base + go[0][c] + BREAK if c in go[0] else base + 2 * BREAK for c in range(self.width)], np.int32)
             t = np.broadcast_to(root, (len(go), self.width)).copy()
             t[0] -= BREAK  # at the root no phrase is open
-            state = np.repeat(np.arange(len(go)), [len(x) for x in go])
-            t[state, np.fromiter((c for x in go for c in x), np.int64, len(state))] = base + np.fromiter((s for x in go for s in x.values()), np.int32, len(state))
-            parts.append(t)
+            for state, to in enumerate(go):
+                t[state, list(to)] = base + np.fromiter(to.values(), np.int32, len(to))
+            parts.append(t.ravel())
             roots.append(base)
             base += len(go)
-        whole = np.concatenate(parts) if parts else np.zeros((0, self.width), np.int32)
-        # columns of symbols that no sample has are one column
-        seen = [c for c in range(self.width) if any((p[:, c] < BREAK).any() for p in parts)]
-        self.column = np.full(self.width, len(seen), np.uint8)
-        self.column[seen] = np.arange(len(seen))
-        unseen = next((c for c in range(self.width) if c not in seen), 0)
-        self.table = np.ascontiguousarray(whole[:, [*seen, unseen]])
-        self.width = len(seen) + 1
-        self.table = self.table.ravel()
+        self.table = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         self.roots = np.array(roots, np.int64)
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -190,15 +188,9 @@ class CrossParser:
         return [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best, some, strict=True)], np.where(some, 1 / odds.sum(axis=1), 0.0)
 
 
-_PARSERS: dict[int, CrossParser] = {}
-
-
 def _predict(samples, key: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _PARSERS:  # one automaton per worker and model
-            _PARSERS.clear()
-            _PARSERS[key] = CrossParser(samples.value)
-        parser = _PARSERS[key]
+        parser = worker_model(("language", key), lambda: CrossParser(samples.value))
         for whole in batches:
             for batch in slices(whole, "text", 1 << 22):
                 lang, score = parser.predict(batch.column("text").to_pylist())

@@ -224,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     z = F.sqrt(F.greatest(F.lit(0.0), 2 * (part("toxic", nt / (nt + nc)) + part("clean", nc / (nt + nc)))))
     # of a log-odds only what is beyond chance counts
     kept = counts.withColumn("z", z).where(F.col("z") > Z).select("h", "clean", (odds * (1 - F.lit(Z) / F.col("z"))).alias("weight"), "z")
-    rows = kept.orderBy(F.desc("z"), "h").limit(WEIGHTS).toPandas().sort_values("h", key=lambda h: h.to_numpy().view(np.uint64))
+    rows = kept.orderBy(F.desc("z"), "h").limit(WEIGHTS).toArrow().to_pandas().sort_values("h", key=lambda h: h.to_numpy().view(np.uint64))
     model = Model(rows["h"].to_numpy(np.int64).view(np.uint64), rows["weight"].to_numpy(np.float64))
     scores = np.append(model.weights - DRIFT, -DRIFT)
     clean = rows["clean"].to_numpy(np.float64) + 0.5
@@ -233,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if not (scores > 0).any() or float((scores * mass).sum()) >= 0:
         return empty
     model.lam = karlin_lambda(scores, mass)
-    measured = lambda: sample.mapInArrow(_features(spark.sparkContext.broadcast(model), ["toxic"]), "toxic int, n_tokens long, best double, x1 double, x2 double").toPandas()
+    measured = lambda: sample.mapInArrow(_features(spark.sparkContext.broadcast(model), ["toxic"]), "toxic int, n_tokens long, best double, x1 double, x2 double").toArrow().to_pandas()
     rows = measured()
     null = rows[(rows["toxic"] == 0) & (rows["n_tokens"] > 0)]
     model.k = float(len(null) / max(1e-9, (null["n_tokens"] * np.exp(-model.lam * null["best"])).sum()))

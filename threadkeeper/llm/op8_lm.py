@@ -39,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -202,27 +203,28 @@ def _fill(least: tuple[int, int], stretch: int, range_bits: int):
 
 
 class Model:
-    """What scoring needs on a worker: the filter, N, V, what levels stand for, and the head of exact word counts."""
+    """What scoring needs on a worker: N, V, what levels stand for, and the head
+    of exact word counts; the filter's bits are a broadcast of their own."""
 
-    def __init__(self, bits: bytes, range_bits: int, stretch: int, n: int, v: int, texts: int, values: list[np.ndarray], head: np.ndarray, counts: np.ndarray):
-        self.bits, self.range_bits, self.stretch, self.n, self.v, self.texts, self.values, self.head, self.counts = bits, range_bits, stretch, n, v, texts, values, head, counts
+    def __init__(self, range_bits: int, stretch: int, n: int, v: int, texts: int, values: list[np.ndarray], head: np.ndarray, counts: np.ndarray):
+        self.range_bits, self.stretch, self.n, self.v, self.texts, self.values, self.head, self.counts = range_bits, stretch, n, v, texts, values, head, counts
         self.pair_mass, self.gain = np.zeros(LEVELS), np.zeros(LEVELS)
         self.filter: Filter | None = None
 
-    def opened(self) -> Filter:
+    def opened(self, bits: bytes) -> Model:
         if self.filter is None:
-            self.filter = Filter(np.frombuffer(self.bits, np.uint8), self.range_bits, self.stretch)
-        return self.filter
+            self.filter = Filter(np.frombuffer(bits, np.uint8), self.range_bits, self.stretch)
+        return self
 
     def read(self, column: pa.Array) -> tuple[np.ndarray, ...]:
         """Distinct tokens and their levels; per token: which one, level of the token before it, level of the pair; and cuts."""
         toks, cuts = tokens(column)
         words, at = np.unique(toks, return_inverse=True)
-        seen = self.opened().levels(words)
+        seen = self.filter.levels(words)
         before = np.empty(len(toks), np.int64)
         before[1:] = seen[at][:-1]
         before[cuts[:-1]] = level(np.array([self.texts]))[0]  # a text's start was seen as often as there are texts
-        return words, seen, at, before, self.opened().levels(pairs(toks, cuts)), cuts
+        return words, seen, at, before, self.filter.levels(pairs(toks, cuts)), cuts
 
     def pair_use(self, column: pa.Array) -> np.ndarray:
         """(level of the token before, [tokens, in a known pair, in one that is known without this token])."""
@@ -251,19 +253,20 @@ class Model:
         return np.diff(cuts), add(known[at].astype(np.int64), cuts[:-1]), add(base, cuts[:-1]), np.minimum(add(logp, cuts[:-1]), 0.0), key // (len(words) + 1), words[key % (len(words) + 1)], times
 
 
-def _pair_use(shared):
+def _pair_use(bits, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value.opened(bits.value)
         total = np.zeros((LEVELS, 3))
         for whole in batches:
             for batch in slices(whole, "text"):
-                total += shared.value.pair_use(batch.column("text"))
+                total += model.pair_use(batch.column("text"))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(LEVELS, dtype=np.int32)), *[pa.array(total[:, i].astype(np.int64)) for i in range(3)]], names=["level", "n", "found", "again"])
 
     return run
 
 
-def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame, int]:
-    """Model of texts (text), the exact word counts (h, c), and the least count in the model's head."""
+def train(docs: DataFrame, scratch: Scratch) -> tuple[Broadcast, Model, DataFrame, int]:
+    """The filter's bits and the model of texts (text), the exact word counts (h, c), and the least count in the model's head."""
     spark = scratch.spark
     texts = docs.select("text")
     words = scratch.cut(texts.mapInArrow(_word_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
@@ -291,6 +294,8 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame, int]:
     bits = bytearray(parts * stretch // 8)
     for r in filled.toLocalIterator():  # MOST_BITS at most
         bits[r["part"] * stretch // 8 : (r["part"] + 1) * stretch // 8] = r["bits"]
+    shared = spark.sparkContext.broadcast(bytes(bits))
+    del bits
 
     # the least count that at most HEAD words reach
     tops = np.zeros(CLIP + 1, np.int64)
@@ -300,10 +305,10 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame, int]:
     floor = int(np.argmax(reach <= HEAD)) if (reach <= HEAD).any() else CLIP + 1
     floor = max(1, floor)
     if floor > CLIP:
-        head = words.limit(0).toPandas()
+        head = words.limit(0).toArrow()
     else:
-        head = words.where(F.col("c") >= floor).toPandas()
-    h = head["h"].to_numpy(np.int64).view(np.uint64)
+        head = words.where(F.col("c") >= floor).toArrow()
+    h, counts = head["h"].to_numpy().view(np.uint64), head["c"].to_numpy()
     order = np.argsort(h)
     values = []
     for t in (one, two):
@@ -313,16 +318,14 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame, int]:
                 mean[r["pos"]] = r["s"] / r["n"]
         values.append(mean)
     ends = words.where(F.col("h") == int(END.view(np.int64))).first()
-    model = Model(bytes(bits), range_bits, stretch, n, v, ends["c"] if ends else 0, values, h[order], head["c"].to_numpy(np.int64)[order])
+    model = Model(range_bits, stretch, n, v, ends["c"] if ends else 0, values, h[order], counts[order])
     first = spark.sparkContext.broadcast(model)
-    for r in texts.mapInArrow(_pair_use(first), "level int, n long, found long, again long").groupBy("level").agg(*[F.sum(c).alias(c) for c in ("n", "found", "again")]).collect():
+    for r in texts.mapInArrow(_pair_use(shared, first), "level int, n long, found long, again long").groupBy("level").agg(*[F.sum(c).alias(c) for c in ("n", "found", "again")]).collect():
         if r["again"]:
             model.pair_mass[r["level"]] = r["again"] / (r["n"] + 1)
             model.gain[r["level"]] = r["again"] / r["found"]
-    first.unpersist()
-    model.filter = None
     scratch.drop(one, two, filled)
-    return model, words, floor
+    return shared, model, words, floor
 
 
 def _word_blocks(bits: int):
@@ -343,9 +346,9 @@ def _word_blocks(bits: int):
     return run
 
 
-def _scores(shared, names: list[str]):
+def _scores(bits, shared, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared.value.opened(bits.value)
         for whole in batches:
             for batch in slices(whole, "text"):
                 if not batch.num_rows:
@@ -362,11 +365,11 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     """Scores of texts (doc_id, text, held_out) under the model of ``training`` texts."""
     spark = ready(docs.sparkSession)
     scratch = Scratch(spark, "lm")
-    model, words, floor = train(training, scratch)
+    bits, model, words, floor = train(training, scratch)
     shared = spark.sparkContext.broadcast(model)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", F.xxhash64("doc_id", "text").alias("row"), "text")
     names = ["doc_id", "held_out", "row"]
-    first = scratch.cut(keyed.mapInArrow(_scores(shared, names), "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<long>"))
+    first = scratch.cut(keyed.mapInArrow(_scores(bits, shared, names), "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<long>"))
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
     rare = first.select(key.alias("id"), "row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("id", "row", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
     found = rare.join(words.where(F.col("c") < floor), "h").dropDuplicates(["id", "row", "h"])  # repeated rows say the same

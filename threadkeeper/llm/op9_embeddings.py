@@ -3,11 +3,14 @@
 Equal vectors of one label collapse into one weighted row first.  Centroids
 are fitted by spherical k-means on a bounded sample (the ``SAMPLE`` vectors
 with the smallest hashes); every vector is assigned to its nearest centroid.
-Two vectors with cosine >= t are at most ``sqrt(2 - 2t)`` apart, so a vector
-whose distance from the plane halfway to another centroid is smaller than that
-may have a partner in that centroid's cell, and it is compared there as a
-guest (towards lower cell numbers only, so that a pair of different cells
-meets once).  No pair at or over the threshold is lost, whatever the centroids.
+Two vectors with cosine >= t are at most ``sqrt(2 - 2t)`` apart, so a partner
+of a vector is in another centroid's cell only if the vector is about that near
+to the plane halfway to it, and then it is compared there as a guest (towards
+lower cell numbers only, so that a pair of different cells meets once).  How
+near: a difference spread evenly over d dimensions has 1 / sqrt(d) of its
+length along any one line, and ``DEVIATIONS`` times that is searched; with
+``deviations=None`` the whole length is, and no pair is lost whatever the
+vectors, at the cost of nearly all cells for unstructured ones.
 
 A cell is cut into blocks of about ``BLOCK`` vectors, and one task compares
 two blocks: a product of two bounded matrices.  It returns per vector the
@@ -39,6 +42,7 @@ CELL = 2048  # vectors a cell has on average
 MOST_CELLS = 4096
 BLOCK = 1024
 ROUNDS = 12
+DEVIATIONS = 5.0
 
 
 def spherical_kmeans(unit: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -136,7 +140,7 @@ def _compare(threshold: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.93, cell_size: int = CELL, block: int = BLOCK) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.93, cell_size: int = CELL, block: int = BLOCK, deviations: float | None = DEVIATIONS) -> DataFrame:
     """Links and components of vectors (vec_id, embedding, label).
 
     Returns one row per input row: vec_id, n_links, component_id, kept.
@@ -162,7 +166,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, cell_size: int = C
         sample = units([r[0] for r in picked.collect()])
     centroids = spherical_kmeans(sample, max(1, min(MOST_CELLS, -(-n // cell_size)))) if len(sample) else sample
     shared = spark.sparkContext.broadcast(centroids)
-    reach = float(np.sqrt(2 - 2 * threshold))
+    along = 1.0 if deviations is None or not len(sample) else min(1.0, deviations / np.sqrt(sample.shape[1]))
+    reach = float(np.sqrt(2 - 2 * threshold)) * along
 
     placed = one.select("rep", "weight", "label", "dim", "embedding").mapInArrow(
         _assign(shared, reach), f"rep long, weight long, label {dict(one.dtypes)['label']}, dim int, embedding {dict(one.dtypes)['embedding']}, cell int, home boolean"
