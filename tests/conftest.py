@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from threadkeeper.session import local_session
 
-    s = local_session(cores="*", shuffle_partitions=8, app="tests")
+    s = local_session(cores="*", shuffle_partitions=4, app="tests")
     yield s
     s.stop()
 
