@@ -267,6 +267,21 @@ def test_language_model_looks_rare_words_up(spark, docs, corpus, monkeypatch):
         assert r.n_known == len(w) and r.base_score == pytest.approx(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w))
 
 
+def test_language_model_counts_the_most_frequent_words_when_none_fits_the_head(spark, docs, corpus, monkeypatch):
+    c = Counter(w for r in corpus for w in [*brute.words(r[1]), "</end>"])
+    n, v, text = sum(c.values()), len(c), {r[0]: r[1] for r in corpus}
+    flagged = docs.withColumn("held_out", F.lit(False))
+    choose, chosen = op8_lm.head_floor, []
+    monkeypatch.setattr(op8_lm, "head_floor", lambda words, most, clip: chosen.append(choose(words, most, 3)) or chosen[-1])
+    for head in (0, 5):
+        monkeypatch.setattr(op8_lm, "HEAD", head)
+        for r in op8_lm.score(flagged, flagged).collect():
+            w = [*brute.words(text[r.doc_id]), "</end>"]
+            assert r.n_known == len(w) and r.base_score == pytest.approx(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w))
+    assert chosen[0] > max(c.values()) and 3 < chosen[1] <= max(c.values())
+    assert sum(x >= chosen[1] for x in c.values()) <= 5
+
+
 # 9 embeddings
 
 

@@ -265,6 +265,19 @@ def _pair_use(bits, shared):
     return run
 
 
+def head_floor(words: DataFrame, most: int, clip: int) -> int:
+    """A count that at most ``most`` words reach: the least one up to ``clip``, or else the least of ``THRESHOLDS``, the last of which no word reaches."""
+    tops = np.zeros(clip + 1, np.int64)
+    for r in words.groupBy(F.least("c", F.lit(clip)).alias("c")).count().collect():
+        tops[r["c"]] = r["count"]
+    reach = np.cumsum(tops[::-1])[::-1]
+    if (reach <= most).any():
+        return max(1, int(np.argmax(reach <= most)))
+    above = [int(t) for t in THRESHOLDS if t > clip]
+    reach = words.where(F.col("c") > clip).agg(*[F.count_if(F.col("c") >= t) for t in above]).first()
+    return next(t for t, n in zip(above, reach, strict=True) if n <= most)
+
+
 def train(docs: DataFrame, scratch: Scratch) -> tuple[Broadcast, Model, DataFrame, int]:
     """The filter's bits and the model of texts (text), the exact word counts (h, c), and the least count in the model's head."""
     spark = scratch.spark
@@ -297,17 +310,8 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Broadcast, Model, DataFram
     shared = spark.sparkContext.broadcast(bytes(bits))
     del bits
 
-    # the least count that at most HEAD words reach
-    tops = np.zeros(CLIP + 1, np.int64)
-    for r in words.groupBy(F.least("c", F.lit(CLIP)).alias("c")).count().collect():
-        tops[r["c"]] = r["count"]
-    reach = np.cumsum(tops[::-1])[::-1]
-    floor = int(np.argmax(reach <= HEAD)) if (reach <= HEAD).any() else CLIP + 1
-    floor = max(1, floor)
-    if floor > CLIP:
-        head = words.limit(0).toArrow()
-    else:
-        head = words.where(F.col("c") >= floor).toArrow()
+    floor = head_floor(words, HEAD, CLIP)
+    head = words.where(F.col("c") >= floor).toArrow()
     h, counts = head["h"].to_numpy().view(np.uint64), head["c"].to_numpy()
     order = np.argsort(h)
     values = []
