@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -282,6 +283,24 @@ def test_language_model_counts_the_most_frequent_words_when_none_fits_the_head(s
     assert sum(x >= chosen[1] for x in c.values()) <= 5
 
 
+def test_language_model_is_the_same_when_its_filter_is_not_broadcast(spark, docs, corpus, monkeypatch):
+    from threadkeeper.llm.common import Scratch
+
+    flagged = docs.unionByName(docs.where("doc_id = 7")).withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
+    training = flagged.where("not held_out")
+    monkeypatch.setattr(op8_lm, "RANGE_TOKENS", 4000)  # several hash ranges
+    bits, _, model, _, _ = op8_lm.train(training, Scratch(spark, "t"))
+    texts = pa.array([r[1] for r in training.select("doc_id", "text").collect()], pa.string())
+    h, n = np.unique(np.concatenate([op8_lm.pairs(*op8_lm.tokens(texts))]), return_counts=True)
+    assert model.range_bits > 1 and (op8_lm.Filter(np.frombuffer(bits.value, np.uint8), model.range_bits, model.stretch).levels(h) >= op8_lm.level(n)).all()
+    want = sorted(map(tuple, op8_lm.score(flagged, training).collect()))
+    for most in (0, 1 << 12):
+        monkeypatch.setattr(op8_lm, "MOST_BITS", most)
+        got = sorted(map(tuple, op8_lm.score(flagged, training).collect()))
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-12)
+
+
 # 9 embeddings
 
 

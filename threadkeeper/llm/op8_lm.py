@@ -5,12 +5,13 @@ Counts of words and word pairs of the training texts are quantised to levels
 an n-gram of level q goes into a Bloom filter q times, once for each level
 1..q.  A reader probes level 1, 2, ... until one is missing, so a count costs
 bits by the logarithm of its size, and a false positive lifts it one level.
-The filter has ``BITS`` bits an insertion and ``MOST_BITS`` at most (64 MB,
-the bound of what is broadcast); when the corpus has more, the smallest count
-that is kept rises until it fits.  Counts come from the whole training corpus:
-each Arrow batch sums its own n-grams, sends them in a packed block for each
-hash range, and one bounded group per range adds them up and later fills its
-own stretch of the filter.
+Every n-gram goes in, and the filter has ``BITS`` bits an insertion.  Counts
+come from the whole training corpus: each Arrow batch sums its own n-grams,
+sends them in a packed block for each hash range, and one bounded group per
+range adds them up and later fills its own stretch of the filter.  A filter of
+up to ``MOST_BITS`` (64 MB) is broadcast.  The stretches of a larger one stay
+where they are: batches of texts send the hashes of their n-grams to the ranges
+and get the levels back, which gives the same scores.
 
     p(w)     = (c(w) + 0.5) / (N + 0.5 * (V + 1))
     p(w | v) = g * c(v w) / c(v) + (1 - l) * p(w)
@@ -39,18 +40,21 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .common import Scratch, ready, table
 from .op2_language import fold
 from .words import mix, slices, word_hashes
 
-MIN_COUNT = (1, 2)  # of words and of word pairs that the filter keeps
+MIN_COUNT = (1, 1)  # of words and of word pairs that the filter keeps
 BITS = 10
 PROBES = 4
-MOST_BITS = 1 << 29
+MOST_BITS = 1 << 29  # of a filter that is broadcast
+ASKING = 1 << 22  # bytes of text whose n-grams are looked up together
 HEAD = 1 << 19
 RANGE_TOKENS = 1 << 20  # tokens a hash range has about
 BASE = 1.5
@@ -137,19 +141,19 @@ def _add_up(least: int, bits: int):
         total = np.add.reduceat(n, first) if len(first) else n
         keep = total >= least
         h, total = h[first][keep], total[keep]
-        return pd.DataFrame({"part": [part], "names": [pack(h, bits).tobytes()], "counts": [np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], "nums": [np.bincount(level(total), minlength=LEVELS).tolist()], "sums": [np.bincount(level(total), weights=total, minlength=LEVELS).tolist()], "inserts": [np.bincount(np.minimum(total, CLIP), weights=level(total), minlength=CLIP + 1).tolist()]})
+        return pd.DataFrame({"part": [part], "names": [pack(h, bits).tobytes()], "counts": [np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], "nums": [np.bincount(level(total), minlength=LEVELS).tolist()], "sums": [np.bincount(level(total), weights=total, minlength=LEVELS).tolist()]})
 
     return run
 
 
-CLIP = 1024  # counts told apart when the least one to keep is chosen
+CLIP = 1024  # counts told apart when the least one of the head is chosen
 
 
 class Filter:
-    """The bits of a log-frequency filter; each hash range has a stretch of its own."""
+    """The bits of a log-frequency filter, from hash range ``first`` on; each range has a stretch of its own."""
 
-    def __init__(self, bits: np.ndarray, range_bits: int, stretch: int):
-        self.bits, self.range_bits, self.stretch = bits, np.uint64(range_bits), np.uint64(stretch)
+    def __init__(self, bits: np.ndarray, range_bits: int, stretch: int, first: int = 0):
+        self.bits, self.range_bits, self.stretch, self.first = bits, np.uint64(range_bits), np.uint64(stretch), np.uint64(first)
 
     @staticmethod
     def places(h: np.ndarray, q: int, stretch: int) -> Iterator[np.ndarray]:
@@ -171,7 +175,7 @@ class Filter:
         out = np.zeros(len(h), np.int64)
         if not len(self.bits):
             return out
-        base = (h >> (np.uint64(64) - self.range_bits)) * self.stretch if self.range_bits else np.zeros(len(h), np.uint64)
+        base = ((h >> (np.uint64(64) - self.range_bits)) - self.first) * self.stretch if self.range_bits else np.zeros(len(h), np.uint64)
         left = np.arange(len(h))
         for q in range(1, len(THRESHOLDS) + 1):
             hl, bl = h[left], base[left]
@@ -186,6 +190,16 @@ class Filter:
         return out
 
 
+class Known:
+    """Levels that were looked up, of ascending hashes."""
+
+    def __init__(self, h: np.ndarray, found: np.ndarray):
+        self.h, self.found = h, found
+
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        return self.found[np.searchsorted(self.h, h)].astype(np.int64)
+
+
 def _fill(least: tuple[int, int], stretch: int, range_bits: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         part = int(rows["part"].iloc[0])
@@ -209,7 +223,7 @@ class Model:
     def __init__(self, range_bits: int, stretch: int, n: int, v: int, texts: int, values: list[np.ndarray], head: np.ndarray, counts: np.ndarray):
         self.range_bits, self.stretch, self.n, self.v, self.texts, self.values, self.head, self.counts = range_bits, stretch, n, v, texts, values, head, counts
         self.pair_mass, self.gain = np.zeros(LEVELS), np.zeros(LEVELS)
-        self.filter: Filter | None = None
+        self.filter: Filter | Known | None = None
 
     def opened(self, bits: bytes) -> Model:
         if self.filter is None:
@@ -253,18 +267,99 @@ class Model:
         return np.diff(cuts), add(known[at].astype(np.int64), cuts[:-1]), add(base, cuts[:-1]), np.minimum(add(logp, cuts[:-1]), 0.0), key // (len(words) + 1), words[key % (len(words) + 1)], times
 
 
+def _use(model: Model, batch: pa.RecordBatch) -> np.ndarray:
+    return sum((model.pair_use(part.column("text")) for part in slices(batch, "text")), np.zeros((LEVELS, 3)))
+
+
+def _use_rows(total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(LEVELS, dtype=np.int32)), *[pa.array(total[:, i].astype(np.int64)) for i in range(3)]], names=["level", "n", "found", "again"])
+
+
 def _pair_use(bits, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value.opened(bits.value)
-        total = np.zeros((LEVELS, 3))
+        yield _use_rows(sum((_use(model, batch) for batch in batches), np.zeros((LEVELS, 3))))
+
+    return run
+
+
+def _packets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts by numbered packets, each one Arrow stream."""
+    part, n = TaskContext.get().partitionId(), 0
+    for whole in batches:
+        for batch in slices(whole, "text", ASKING):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as out:
+                out.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([part << 32 | n], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["packet", "texts"])
+            n += 1
+
+
+def _packed(texts: bytes) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The texts of a packet, and the hashes of their words and pairs."""
+    batch = pa.ipc.open_stream(texts).read_next_batch()
+    found = []
+    for part in slices(batch, "text"):
+        toks, cuts = tokens(part.column("text"))
+        found += [np.unique(toks), np.unique(pairs(toks, cuts))]
+    return batch, np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+
+
+def _ask(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.uint64)
         for whole in batches:
-            for batch in slices(whole, "text"):
-                total += model.pair_use(batch.column("text"))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(LEVELS, dtype=np.int32)), *[pa.array(total[:, i].astype(np.int64)) for i in range(3)]], names=["level", "n", "found", "again"])
+            for packet, texts in zip(whole.column("packet").to_pylist(), whole.column("texts"), strict=True):
+                _, h = _packed(texts.as_buffer())
+                cut = np.append(np.searchsorted(h, edges), len(h))
+                some, names = np.flatnonzero(np.diff(cut)), pack(h, bits)
+                for i in range(0, len(some), 256):
+                    own = some[i : i + 256]
+                    yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array([packet] * len(own), pa.int64()), pa.array([names[cut[p] : cut[p + 1]].tobytes() for p in own], pa.binary())], names=["part", "packet", "names"])
 
     return run
 
 
+def _answer(bits: int, stretch: int):
+    """Levels of the hashes that packets ask of one range, in their order."""
+
+    def run(asked: pa.Table, own: pa.Table) -> pa.Table:
+        found = []
+        if asked.num_rows:
+            part = asked.column("part")[0].as_py()
+            filled = Filter(np.frombuffer(own.column("bits")[0].as_py() if own.num_rows else b"", np.uint8), bits, stretch, part)
+            found = [filled.levels(unpack(x, part, bits)).astype(np.uint8).tobytes() for x in asked.column("names").to_pylist()]
+        return pa.table({"packet": asked.column("packet"), "part": asked.column("part"), "levels": pa.array(found, pa.binary())})
+
+    return run
+
+
+def _with_levels(shared, result, shape: pa.Schema):
+    """``result`` (model, texts) of each packet, with the levels that its ranges gave."""
+
+    def run(packet: pa.Table, answers: pa.Table) -> pa.Table:
+        model, out = shared.value, []
+        for texts in packet.column("texts"):
+            batch, h = _packed(texts.as_buffer())
+            got = answers.sort_by("part").column("levels").to_pylist()
+            model.filter = Known(h, np.frombuffer(b"".join(got), np.uint8))
+            out += result(model, batch)
+        model.filter = None
+        return pa.Table.from_batches(out) if out else shape.empty_table()
+
+    return run
+
+
+def looked_up(texts: DataFrame, filled: DataFrame, model: Model, shared: Broadcast, result, shape: str, scratch: Scratch) -> DataFrame:
+    """``result`` of all texts under a filter whose stretches (part, bits) aren't broadcast."""
+    packets = scratch.cut(texts.mapInArrow(_packets, "packet long, texts binary"))
+    asked = packets.mapInArrow(_ask(model.range_bits), "part int, packet long, names binary")
+    answers = asked.groupBy("part").cogroup(filled.groupBy("part")).applyInArrow(_answer(model.range_bits, model.stretch), "packet long, part int, levels binary")
+    out = scratch.cut(packets.groupBy("packet").cogroup(answers.groupBy("packet")).applyInArrow(_with_levels(shared, result, to_arrow_schema(StructType.fromDDL(shape))), shape))
+    scratch.drop(packets)
+    return out
+
+
 def head_floor(words: DataFrame, most: int, clip: int) -> int:
     """A count that at most ``most`` words reach: the least one up to ``clip``, or else the least of ``THRESHOLDS``, the last of which no word reaches."""
     tops = np.zeros(clip + 1, np.int64)
@@ -278,8 +373,8 @@ def head_floor(words: DataFrame, most: int, clip: int) -> int:
     return next(t for t, n in zip(above, reach, strict=True) if n <= most)
 
 
-def train(docs: DataFrame, scratch: Scratch) -> tuple[Broadcast, Model, DataFrame, int]:
-    """The filter's bits and the model of texts (text), the exact word counts (h, c), and the least count in the model's head."""
+def train(docs: DataFrame, scratch: Scratch) -> tuple[Broadcast | None, DataFrame, Model, DataFrame, int]:
+    """The filter's bits if they are broadcast, its stretches (part, bits), the model of texts (text), the exact word counts (h, c), and the least count in the model's head."""
     spark = scratch.spark
     texts = docs.select("text")
     words = scratch.cut(texts.mapInArrow(_word_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
@@ -287,49 +382,46 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Broadcast, Model, DataFram
     v, n = total["v"], total["n"] or 0
     range_bits = min(20, max(0, int(np.ceil(np.log2(max(1, n) / RANGE_TOKENS)))))
     blocks = texts.mapInArrow(_pair_blocks(range_bits), "part int, names binary, counts binary")
-    shape = "part int, names binary, counts binary, nums array<double>, sums array<double>, inserts array<double>"
+    shape = "part int, names binary, counts binary, nums array<double>, sums array<double>"
     two = scratch.cut(blocks.groupBy("part").applyInPandas(_add_up(MIN_COUNT[1], range_bits), shape))
     one = words.mapInArrow(_word_blocks(range_bits), "part int, names binary, counts binary")
     one = scratch.cut(one.groupBy("part").applyInPandas(_add_up(MIN_COUNT[0], range_bits), shape))
 
-    least = list(MIN_COUNT)
-    inserts = [np.zeros(CLIP + 1), np.zeros(CLIP + 1)]
-    for i, t in enumerate((one, two)):
-        for r in t.select(F.posexplode("inserts")).groupBy("pos").agg(F.sum("col").alias("s")).collect():
-            inserts[i][r["pos"]] = r["s"]
-    needed = lambda: sum(x[k:].sum() for x, k in zip(inserts, least, strict=True)) * BITS
-    while needed() > MOST_BITS and max(least) < CLIP:
-        least = [k + 1 for k in least]
+    values, inserts = [], 0.0
+    for t in (one, two):
+        mean = np.append(0.0, THRESHOLDS)
+        for r in t.select(F.posexplode(F.arrays_zip("nums", "sums"))).groupBy("pos").agg(F.sum("col.nums").alias("n"), F.sum("col.sums").alias("s")).collect():
+            inserts += r["n"] * r["pos"]
+            if r["n"] and r["pos"]:
+                mean[r["pos"]] = r["s"] / r["n"]
+        values.append(mean)
     parts = 1 << range_bits
-    stretch = max(64, int(min(needed(), MOST_BITS)) // parts // 8 * 8)
+    stretch = max(64, int(inserts * BITS) // parts // 8 * 8)
     both = one.select(F.lit(1).alias("order"), "part", "names", "counts").union(two.select(F.lit(2), "part", "names", "counts"))
-    filled = scratch.cut(both.groupBy("part").applyInPandas(_fill(tuple(least), stretch, range_bits), "part int, bits binary"))
-    bits = bytearray(parts * stretch // 8)
-    for r in filled.toLocalIterator():  # MOST_BITS at most
-        bits[r["part"] * stretch // 8 : (r["part"] + 1) * stretch // 8] = r["bits"]
-    shared = spark.sparkContext.broadcast(bytes(bits))
-    del bits
+    filled = scratch.cut(both.groupBy("part").applyInPandas(_fill(MIN_COUNT, stretch, range_bits), "part int, bits binary"))
+    shared = None
+    if parts * stretch <= MOST_BITS:
+        bits = bytearray(parts * stretch // 8)
+        for r in filled.toLocalIterator():
+            bits[r["part"] * stretch // 8 : (r["part"] + 1) * stretch // 8] = r["bits"]
+        shared = spark.sparkContext.broadcast(bytes(bits))
+        del bits
 
     floor = head_floor(words, HEAD, CLIP)
     head = words.where(F.col("c") >= floor).toArrow()
     h, counts = head["h"].to_numpy().view(np.uint64), head["c"].to_numpy()
     order = np.argsort(h)
-    values = []
-    for t in (one, two):
-        mean = np.append(0.0, THRESHOLDS)
-        for r in t.select(F.posexplode(F.arrays_zip("nums", "sums"))).groupBy("pos").agg(F.sum("col.nums").alias("n"), F.sum("col.sums").alias("s")).collect():
-            if r["n"] and r["pos"]:
-                mean[r["pos"]] = r["s"] / r["n"]
-        values.append(mean)
     ends = words.where(F.col("h") == int(END.view(np.int64))).first()
     model = Model(range_bits, stretch, n, v, ends["c"] if ends else 0, values, h[order], counts[order])
     first = spark.sparkContext.broadcast(model)
-    for r in texts.mapInArrow(_pair_use(shared, first), "level int, n long, found long, again long").groupBy("level").agg(*[F.sum(c).alias(c) for c in ("n", "found", "again")]).collect():
+    shape = "level int, n long, found long, again long"
+    used = texts.mapInArrow(_pair_use(shared, first), shape) if shared else looked_up(texts, filled, model, first, lambda m, batch: [_use_rows(_use(m, batch))], shape, scratch)
+    for r in used.groupBy("level").agg(*[F.sum(c).alias(c) for c in ("n", "found", "again")]).collect():
         if r["again"]:
             model.pair_mass[r["level"]] = r["again"] / (r["n"] + 1)
             model.gain[r["level"]] = r["again"] / r["found"]
-    scratch.drop(one, two, filled)
-    return shared, model, words, floor
+    scratch.drop(one, two, used)
+    return shared, filled, model, words, floor
 
 
 def _word_blocks(bits: int):
@@ -350,17 +442,24 @@ def _word_blocks(bits: int):
     return run
 
 
-def _scores(bits, shared, names: list[str]):
+def _score_rows(names: list[str]):
+    def run(model: Model, whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for batch in slices(whole, "text"):
+            if not batch.num_rows:
+                continue
+            n, known, base, score, row, h, times = model.score(batch.column("text"))
+            cut = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (h.view(np.int64), times.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(n), pa.array(known), pa.array(base), pa.array(score), *lists], names=[*names, "n_tokens", "n_known", "base_score", "score", "rare", "times"])
+
+    return run
+
+
+def _scores(bits, shared, result):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value.opened(bits.value)
         for whole in batches:
-            for batch in slices(whole, "text"):
-                if not batch.num_rows:
-                    continue
-                n, known, base, score, row, h, times = model.score(batch.column("text"))
-                cut = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (h.view(np.int64), times.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(n), pa.array(known), pa.array(base), pa.array(score), *lists], names=[*names, "n_tokens", "n_known", "base_score", "score", "rare", "times"])
+            yield from result(model, whole)
 
     return run
 
@@ -369,11 +468,13 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     """Scores of texts (doc_id, text, held_out) under the model of ``training`` texts."""
     spark = ready(docs.sparkSession)
     scratch = Scratch(spark, "lm")
-    bits, model, words, floor = train(training, scratch)
+    bits, filled, model, words, floor = train(training, scratch)
     shared = spark.sparkContext.broadcast(model)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", F.xxhash64("doc_id", "text").alias("row"), "text")
-    names = ["doc_id", "held_out", "row"]
-    first = scratch.cut(keyed.mapInArrow(_scores(bits, shared, names), "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<long>"))
+    result = _score_rows(["doc_id", "held_out", "row"])
+    shape = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<long>"
+    first = scratch.cut(keyed.mapInArrow(_scores(bits, shared, result), shape)) if bits else looked_up(keyed, filled, model, shared, result, shape, scratch)
+    scratch.drop(filled)
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
     rare = first.select(key.alias("id"), "row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("id", "row", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
     found = rare.join(words.where(F.col("c") < floor), "h").dropDuplicates(["id", "row", "h"])  # repeated rows say the same
