@@ -321,6 +321,20 @@ def test_near_vectors_equal_all_pairs(spark):
         assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == want
 
 
+def test_near_vectors_with_concentrated_differences_meet_over_cell_edges(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i, angle in enumerate(rng.uniform(0, 2 * np.pi, 200)):  # all differences lie in one plane of the 64 dimensions
+        x = rng.normal(size=64) * 1e-3
+        x[:2] += np.cos(angle), np.sin(angle)
+        rows.append((i, [float(np.float32(c)) for c in x], 1))
+    df = spark.createDataFrame(rows, T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType())]))
+    want = brute.vector_links(rows, 0.93)
+    assert sum(x[0] for x in want.values()) > 100
+    got = op9_embeddings.near_vectors(df, 0.93, cell_size=50, block=64).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == want
+
+
 # 10 tokens
 
 

@@ -6,11 +6,12 @@ with the smallest hashes); every vector is assigned to its nearest centroid.
 Two vectors with cosine >= t are at most ``sqrt(2 - 2t)`` apart, so a partner
 of a vector is in another centroid's cell only if the vector is about that near
 to the plane halfway to it, and then it is compared there as a guest (towards
-lower cell numbers only, so that a pair of different cells meets once).  How
-near: a difference spread evenly over d dimensions has 1 / sqrt(d) of its
-length along any one line, and ``DEVIATIONS`` times that is searched; with
-``deviations=None`` the whole length is, and no pair is lost whatever the
-vectors, at the cost of nearly all cells for unstructured ones.
+lower cell numbers only, so that a pair of different cells meets once).  The
+whole length of the difference is searched, so no pair is lost whatever the
+vectors, at the cost of nearly all cells for unstructured ones.  With a number
+of ``deviations``, only that many times 1 / sqrt(d) of it is, the share that a
+difference spread evenly over d dimensions has along any one line; a pair with a
+concentrated difference may then be lost.
 
 A cell is cut into blocks of about ``BLOCK`` vectors, and one task compares
 two blocks: a product of two bounded matrices.  It returns per vector the
@@ -42,7 +43,6 @@ CELL = 2048  # vectors a cell has on average
 MOST_CELLS = 4096
 BLOCK = 1024
 ROUNDS = 12
-DEVIATIONS = 5.0
 
 
 def spherical_kmeans(unit: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -140,7 +140,7 @@ def _compare(threshold: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.93, cell_size: int = CELL, block: int = BLOCK, deviations: float | None = DEVIATIONS) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.93, cell_size: int = CELL, block: int = BLOCK, deviations: float | None = None) -> DataFrame:
     """Links and components of vectors (vec_id, embedding, label).
 
     Returns one row per input row: vec_id, n_links, component_id, kept.
