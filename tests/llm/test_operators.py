@@ -155,6 +155,18 @@ def test_repeats_with_edits_null_ids_and_repeated_rows(spark):
         assert r.text == want[r.doc_id][4].decode("utf-8", "ignore") and r.spans == "clash"
 
 
+def test_repeats_of_two_texts_without_id_do_not_depend_on_batches(spark):
+    rng = random.Random(11)
+    passage, tails = prose(rng, n=60), [prose(rng, n=30) for _ in range(3)]
+    same = spark.createDataFrame([(None, passage + tails[0]), (None, passage + tails[1])], "doc_id long, text string").coalesce(1)
+    other = spark.createDataFrame([(1, passage + tails[2])], "doc_id long, text string")
+    for df in (same.union(other), same.union(other).coalesce(1), same.repartition(2, "text").union(other)):
+        got = op4_suffix_dedup.remove_repeats(df).collect()
+        texts = sorted(r.text for r in got if r.doc_id is None)
+        assert [r.text for r in got if r.doc_id == 1] == [passage + tails[2]]
+        assert texts == sorted(tails[:2])
+
+
 # 5 preference
 
 

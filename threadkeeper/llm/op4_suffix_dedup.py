@@ -99,9 +99,9 @@ def _settle(doc, th, p, n, ah, ch):
     same = np.zeros(len(order), bool)
     same[1:] = (k[1:] == k[:-1]) & (ah[order][1:] == ah[order][:-1])
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-    tie = (d == d[head]) & (at == at[head])  # a repeated row: not earlier, says nothing new
+    tie = (d == d[head]) & (at == at[head])  # not earlier; a repeated row says nothing new, another text of the id does
     again = same & ~tie
-    rest = np.sort(order[~same])
+    rest = np.sort(order[~same | (tie & (th[order] != th[order][head]))])
     spans = np.sort(order[again])
     sd, st, sp, sn = doc[spans], th[spans], p[spans], n[spans]
     start = np.ones(len(spans), bool)
