@@ -140,3 +140,10 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL of the unsigned CRC-32 of an ASCII string (null for null)."""
+    bit = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END"
+    byte = f"list_reduce(range(8)::UBIGINT[], lambda x, k: {bit}, xor(s, c))"
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda c: ascii(c)::UBIGINT), lambda s, c: {byte}, 4294967295::UBIGINT), 4294967295::UBIGINT)"
