@@ -101,3 +101,95 @@ def vector_links(rows, threshold):
                 links[b] += 1
                 s.join(a, b)
     return {v: (links[v], s.find(v), s.find(v) == v) for v, _, _ in rows}
+
+
+# ---------------------------------------------------------------------------
+# tries, quality counts, Merkle trees
+# ---------------------------------------------------------------------------
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def rebuilt(rows):
+    """Turn lists by conversation, rebuilt from their base conversation, of (conv_id, turn, role, text)."""
+    convs = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            convs[c].append((turn is not None, turn or 0, sha(f"{len(role.encode())}:", role, text), (role, text)))
+    turns = {c: [x[3] for x in sorted(v)] for c, v in convs.items()}
+    out = {}
+    for c, own in turns.items():
+        h = crc(c) % 9
+        base = turns.get(c - (abs(c) % 5 if c > 0 else -(abs(c) % 5)), [])
+        out[c] = tuple(base[:h] + own[h:])
+    return out
+
+
+def trie_nodes(turns):
+    members, kids = defaultdict(list), defaultdict(list)
+    for c, s in turns.items():
+        for d in range(len(s) + 1):
+            members[s[:d]].append(c)
+    for s in members:
+        if s:
+            kids[s[:-1]].append(s)
+    leaves, saved, out = {}, {}, []
+    for s in sorted(members, key=len, reverse=True):
+        leaves[s] = sum(leaves[k] for k in kids[s]) or 1
+        saved[s] = sum(saved[k] for k in kids[s]) + ((len(members[s]) - 1) * len(s[-1][1].encode()) if s else 0)
+        ends = ",".join(str(c) for c in sorted(members[s]) if len(turns[c]) == len(s))
+        out.append((min(members[s]), len(s), min(members[s[:-1]]) if s else None, len(members[s]), len(kids[s]), leaves[s], saved[s], sha(ends)))
+    return sorted(out, key=str)
+
+
+def quality_counts(text):
+    ws, lines = WORD.findall(text or ""), [x for x in (text or "").split("\n") if WORD.search(x)]
+    at = defaultdict(list)
+    for i in range(len(ws) - 7):
+        at[tuple(ws[i : i + 8])].append(i)
+    covered = {j for starts in at.values() if len(starts) > 1 for i in starts for j in range(i, i + 8)}
+    n_symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return len(ws), sum(map(len, ws)), n_symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def merkle_rows(rows):
+    """(doc_id, leaf, subroot, root, proof, folded, verified) of (doc_id, text, lang, source, n_chars)."""
+
+    def value(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    def leaf(d, t, lang, s, n):
+        return sha(*map(value, (d, s, lang, n, t)))
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([sha(*out[-1][i : i + 2]) for i in range(0, len(out[-1]), 2)])
+        return out
+
+    def path(tree, i):
+        out = []
+        for nodes in tree[:-1]:
+            out.append(("".join(nodes[i ^ 1 : (i ^ 1) + 1]), i % 2))
+            i //= 2
+        return out
+
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[2]].append((leaf(*r), r))
+    langs = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = []
+    for lang in langs:
+        groups[lang].sort(key=lambda x: (x[1][0] is not None, x[1][0] or 0, x[0]))
+        trees.append(levels([h for h, _ in groups[lang]]))
+    top = levels([t[-1][0] for t in trees])
+    out = []
+    for k, lang in enumerate(langs):
+        for i, (h, (d, t, _, s, n)) in enumerate(groups[lang]):
+            steps = path(trees[k], i) + path(top, k)
+            node = leaf(d, t, lang, s, n if n is None or d is None or crc(d) % 7 else n + 1)
+            for sibling, right in steps:
+                node = sha(sibling, node) if right else sha(node, sibling)
+            out.append((d, h, trees[k][-1][0], top[-1][0], sha(*[x for x, _ in steps]), node, node == top[-1][0]))
+    return sorted(out, key=str)
