@@ -34,6 +34,11 @@ ORACLE["src_landing_pruned"] = (
     + "SELECT id, subreddit, feed_pos, observed_at FROM win WHERE CAST(observed_at AS DATE) >= CAST(make_timestamp(CAST(" + S.CUTOFF_S + " * 1000000 AS BIGINT)) AS DATE)"
 )
 ORACLE["src_hot_top50"] = _with(*EV, S.HOT_SQL) + "SELECT id, subreddit, feed_pos, observed_at FROM hot"
+ORACLE["src_hot_polls"] = (
+    _with(S.event_observations(), S.GOOD_SQL)
+    + ", r AS (SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY feed_pos) AS rk FROM good WHERE feed_pos % 2 = 0) "
+    "SELECT 'h' || feed_pos AS id, subreddit, feed_pos, " + S.RUN + " AS observed_at FROM r WHERE rk <= 50 AND created_utc >= " + str(float(S.ANCHOR_S - 24 * 3600))
+)
 ORACLE["src_failed_sources"] = (
     _with(*EV)
     + ", manifest AS (SELECT DISTINCT subreddit, subreddit <> 'src3' AS ok FROM good) "
@@ -400,7 +405,10 @@ ORACLE["top_dry_run_sample"] = (
     + "SELECT id, subreddit, substring(title, 1, 60) AS title_preview, score, num_comments FROM np "
     "ORDER BY created_utc DESC, id LIMIT 5"
 )
-ORACLE["str_intake"] = _with(*EV) + "SELECT DISTINCT id, subreddit FROM good WHERE created_utc >= " + S.CUTOFF_S
+ORACLE["str_intake"] = (
+    _with(*EV, S.WINDOW_SQL, S.HOT_SQL, "both_ AS (SELECT * FROM win UNION ALL SELECT * FROM hot)", S.latest_cte("lat", "both_"), S.normalize_posts("lat", "np"))
+    + "SELECT * FROM np"
+)
 
 
 # ---------------------------------------------------------------------------

@@ -55,8 +55,15 @@ def src_hot_top50(spark, d):
     return I.hot_top(_events_good(spark, d), P).select("id", "subreddit", "feed_pos", "observed_at")
 
 
+def src_hot_polls(spark, d):
+    """SRC-2, TOP-2: two polls of every source's hot feed in one day; the 50
+    first entries of the later one, none of the earlier, then the cutoff."""
+    good, _ = I.split_rejects(A.hot_polls(spark, d))
+    return I.hot_top(good, P.with_(time_window_hours=24)).select("id", "subreddit", "feed_pos", "observed_at")
+
+
 def src_failed_sources(spark, d):
-    """SRC-4: configured sources with no delivered rows in the window."""
+    """SRC-4: configured sources whose poll failed, or that were not polled, by the run's manifest."""
     polled = _events_good(spark, d).select("subreddit").distinct()
     ok = F.col("subreddit") != "src3"
     manifest = polled.select("subreddit", ok.alias("ok"), F.when(~ok, F.lit("HTTP 429")).alias("error"))
@@ -716,15 +723,14 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 def str_intake(spark, d):
-    """STR-1: de-duplicating intake stream (watermark + dropDuplicatesWithinWatermark)."""
-    from threadkeeper.streaming.stream import intake_stream
+    """STR-1, SET-1: the intake that the stateful feed streams show once all
+    polls have landed, several files at a time and not in order of time."""
+    from threadkeeper.streaming.feeds import current_intake, run_feeds
 
     root = _scratch(spark, "intake")
-    obs = A.event_observations(spark, d).withColumn("day", F.to_date("observed_at"))
-    # one landed file group per observation day
-    obs.repartition(8, "day").drop("day").write.parquet(f"{root}/landing")
-    out = intake_stream(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt", P, files_per_trigger=2)
-    return out.select("id", "subreddit")
+    A.event_observations(spark, d).repartition(8, F.to_date("observed_at")).write.parquet(f"{root}/landing")
+    run_feeds(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt", P, files_per_trigger=3)
+    return current_intake(spark, f"{root}/out", P)
 
 
 SYNC_DAYS = ("2024-01-31 16:00:00", "2024-02-01 16:00:00", "2024-02-02 16:00:00")

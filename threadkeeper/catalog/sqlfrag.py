@@ -191,7 +191,7 @@ def event_observations(name: str = "raw_obs") -> str:
         "0 AS total_awards_received, true AS is_self, false AS is_video, false AS is_original_content, "
         "false AS over_18, false AS spoiler, false AS stickied, false AS locked, false AS archived, "
         "'self' AS thumbnail, CASE WHEN event_type = 'click' THEN 'hot' ELSE 'new' END AS feed, "
-        "CAST(event_id AS BIGINT) AS feed_pos, ts AS observed_at FROM events)"
+        "CAST(event_id AS BIGINT) AS feed_pos, make_timestamp(epoch_us(ts) - epoch_us(ts) % 43200000000) AS observed_at FROM events)"
     )
 
 
@@ -377,9 +377,9 @@ GOOD_SQL = (
 
 WINDOW_SQL = "win AS (SELECT * FROM good WHERE feed = 'new' AND created_utc >= " + CUTOFF_S + ")"
 HOT_SQL = (
-    "hot AS (SELECT * EXCLUDE (rk_, day_) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY subreddit ORDER BY feed_pos, observed_at) AS rk_ "
-    "FROM (SELECT *, max(CAST(observed_at AS DATE)) OVER (PARTITION BY subreddit) AS day_ FROM good WHERE feed = 'hot') "
-    "WHERE CAST(observed_at AS DATE) = day_) WHERE rk_ <= 50 AND created_utc >= " + CUTOFF_S + ")"
+    "hot AS (SELECT * EXCLUDE (rk_, newest_) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY subreddit ORDER BY feed_pos, id) AS rk_ "
+    "FROM (SELECT *, max(observed_at) OVER (PARTITION BY subreddit) AS newest_ FROM good WHERE feed = 'hot') "
+    "WHERE observed_at = newest_) WHERE rk_ <= 50 AND created_utc >= " + CUTOFF_S + ")"
 )
 
 

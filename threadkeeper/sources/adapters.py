@@ -28,6 +28,7 @@ from threadkeeper.session import prepare
 ANCHOR_TS = "2024-01-31 16:00:00"
 ANCHOR_S = epoch_micros(ANCHOR_TS) // 1_000_000
 HOUR_S = 3600
+POLL_MICROS = 12 * HOUR_S * 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -229,11 +230,21 @@ def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "thumbnail": F.lit("self"),
         "feed": F.when(F.col("event_type") == "click", F.lit("hot")).otherwise(F.lit("new")),
         "feed_pos": F.col("event_id"),
-        "observed_at": F.col("ts").cast("timestamp"),
+        # two polls a day: an event is listed by the poll before it
+        "observed_at": F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp")) % POLL_MICROS),
     }
     return e.select(*_shape(exprs, RAW_POST_SCHEMA))
 
 
+def hot_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as an entry of one of two hot feeds of one day: the poll of
+    the run time or the one before."""
+    late = F.col("feed_pos") % 2 == 0
+    at = run_ts_lit(ANCHOR_S * 1_000_000) - F.when(late, F.make_dt_interval()).otherwise(F.make_dt_interval(F.lit(0), F.lit(12)))
+    entries = event_observations(spark, sf_dir).withColumn("id", F.concat(F.lit("h"), "feed_pos"))
+    return entries.withColumn("feed", F.lit("hot")).withColumn("observed_at", at)
+
+
 # ---------------------------------------------------------------------------
 # queue adapter: events error rows -> queue rows (one per (post_id, action))
 # ---------------------------------------------------------------------------

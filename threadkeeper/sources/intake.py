@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from threadkeeper.functions import columns as C
 from threadkeeper.params import EXCLUDED_AUTHORS, SyncParams
-from threadkeeper.schemas import COMMENT_COLS, POST_COLS, RAW_COMMENT_SCHEMA, RAW_POST_SCHEMA
+from threadkeeper.schemas import COMMENT_COLS, POST_COLS, RAW_COMMENT_SCHEMA, RAW_POST_COLS, RAW_POST_SCHEMA
 
 CORRUPT = "_corrupt_record"
 
@@ -146,31 +146,38 @@ def window_scan(raw: DataFrame, params: SyncParams) -> DataFrame:
 
 def hot_top(raw: DataFrame, params: SyncParams) -> DataFrame:
     """SRC-2 / TOP-2: first ``hot_limit`` entries of each source's latest
-    engagement feed, then the same inclusive cutoff (applied after the top-N).
+    engagement feed (its newest snapshot), then the same inclusive cutoff
+    (applied after the top-N).
 
-    The latest feed of a source is its last landed day; the days are one small
-    row per source, so the landing is filtered before it is ranked."""
+    Newest snapshot first, then feed position: the limit is a group limit ahead
+    of the shuffle, so a map partition sends ``hot_limit`` rows of a source at
+    most; entries of older snapshots that fill up a short feed go afterwards."""
     hot = in_sources(raw, params).where(F.col("feed") == "hot")
-    days = hot.groupBy("subreddit").agg(F.max(F.to_date("observed_at")).alias("_day"))
-    hot = hot.join(days, "subreddit").where(F.to_date("observed_at") == F.col("_day")).select(*raw.columns)
-    w = Window.partitionBy("subreddit").orderBy("feed_pos", "observed_at")
-    top = hot.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= params.hot_limit).drop("_rk")
-    return top.where(F.col("created_utc") >= F.lit(cutoff_seconds(params)))
+    source = Window.partitionBy("subreddit")
+    w = source.orderBy(F.col("observed_at").desc_nulls_last(), "feed_pos", "id")
+    top = hot.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= params.hot_limit)
+    newest = top.withColumn("_newest", F.max("observed_at").over(source)).where(F.col("observed_at").eqNullSafe(F.col("_newest")))
+    return newest.drop("_rk", "_newest").where(F.col("created_utc") >= F.lit(cutoff_seconds(params)))
 
 
-def obs_order() -> list[Column]:
-    return [F.col("observed_at"), (F.col("feed") == "hot"), F.col("feed_pos")]
+def row_tie(columns: list[str]) -> Column:
+    """Decides between observations that agree in time, feed and position."""
+    return F.xxhash64(*[F.col(c) for c in RAW_POST_COLS if c in columns])
+
+
+def obs_order(columns: list[str]) -> list[Column]:
+    return [F.col("observed_at"), (F.col("feed") == "hot"), F.col("feed_pos"), row_tie(columns)]
 
 
 def latest_observation(obs: DataFrame) -> DataFrame:
     """WIN-3: one row per post id: latest observation, 'hot' over 'new' at the
-    same instant, then the later feed position.
+    same instant, then the later feed position, then a hash of the row.
 
     A limit of one per id is planned as a WindowGroupLimit that also runs
     before the shuffle: a post observed millions of times sends one row per
     map partition.
     """
-    w = Window.partitionBy("id").orderBy(*[c.desc_nulls_last() for c in obs_order()])
+    w = Window.partitionBy("id").orderBy(*[c.desc_nulls_last() for c in obs_order(obs.columns)])
     return obs.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") == 1).drop("_nth")
 
 
