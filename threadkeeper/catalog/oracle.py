@@ -638,3 +638,130 @@ ORACLE["str_sync"] = (
     "SELECT post_id, CAST(1 AS INTEGER) AS update_count, 'new' AS status, '" + S.DOC_ID_PREFIX + "' || post_id AS contextual_doc_id "
     "FROM f WHERE age0 <= 432000 AND NOT del"
 )
+
+
+# ---------------------------------------------------------------------------
+# A whole run over orders: one row per order, a CTE per step.  Documents keep
+# the deterministic id; deliveries of attempt 1 fail for k % 19 = 7.
+# ---------------------------------------------------------------------------
+def _run_step(name: str, src: str, **cols: str) -> str:
+    """``src`` with columns replaced or added."""
+    return name + " AS (SELECT * REPLACE (" + ", ".join(v + " AS " + c for c, v in cols.items()) + ") FROM " + src + ")"
+
+
+def _sent(src: str, name: str, cond: str, ok: str, c_found: str, c_diff: str) -> str:
+    """Classify where ``cond`` holds (LIFE-2): a = action, ok = its delivery."""
+    return (
+        name + " AS (SELECT * EXCLUDE (a, ok), CASE WHEN NOT coalesce(is_on AND (" + cond + "), false) THEN NULL WHEN today THEN 'NOOP' WHEN cnt < 0 THEN 'SKIP' "
+        "WHEN NOT found THEN 'WAIT' WHEN gone THEN 'DEL' WHEN coalesce(h, '') <> f_hash THEN 'RE' "
+        "WHEN " + c_found + " AND " + c_diff + " AND hasdoc THEN 'META' ELSE 'SKIP' END AS a, " + ok + " AS ok FROM " + src + ")"
+    )
+
+
+_UPD = "(a = 'SKIP' OR a = 'META' OR (a = 'RE' AND ok))"
+
+
+def _updated(src: str, name: str, **more: str) -> str:
+    t = lambda c, x: "CASE WHEN coalesce(" + c + ", false) THEN " + x
+    add = lambda col, c: col + " + CASE WHEN coalesce(" + c + ", false) THEN 1 ELSE 0 END"
+    again = "(a = 'WAIT' OR (a = 'RE' AND NOT ok))"
+    cols = dict(
+        cnt=t(_UPD, "cnt + 1 ELSE cnt END"), today=t(_UPD, "true ELSE today END"), st=t("a = 'RE' AND ok", "'updating' ELSE st END"),
+        h=t("a = 'RE' AND ok", "f_hash ELSE h END"), is_on="is_on AND coalesce(a <> 'DEL', true)",
+        content=t("a = 'RE' AND ok", "true WHEN coalesce(a = 'DEL' AND hasdoc AND ok, false) THEN false ELSE content END"),
+        hasdoc="hasdoc OR coalesce(a = 'RE' AND ok, false)",
+        ev="CASE WHEN a = 'DEL' THEN 'del' WHEN a = 'META' AND ok THEN 'meta' WHEN a = 'RE' THEN 're' ELSE ev END",
+        ev_cnt="CASE WHEN (a = 'META' AND ok) OR a = 'RE' THEN cnt + 1 ELSE ev_cnt END",
+        u_there="u_there OR coalesce(" + again + ", false)", u_sched=t(again + " AND NOT u_there", "0 ELSE u_sched END"),
+        u_prio=t(again + " AND NOT u_there", "0 ELSE u_prio END"), u_att=t(again + " AND NOT u_there", "0 ELSE u_att END"),
+        n_updated=add("n_updated", "(a = 'META' AND ok) OR (a = 'RE' AND ok)"), n_re=add("n_re", "a = 'RE' AND ok"),
+        n_skip=add("n_skip", "a = 'SKIP' OR (a = 'META' AND NOT ok)"), n_del=add("n_del", "a = 'DEL'"),
+        n_err=add("n_err", "a = 'RE' AND NOT ok"), n_queued=add("n_queued", again),
+    )
+    return _run_step(name, src, **(cols | more))
+
+
+def _queue_pass(src: str, n: str, ok: str) -> list[str]:
+    due = "coalesce({0}_there AND {0}_att < 5 AND {0}_sched <= 0, false)"
+    seen = "(CASE WHEN ev IS NULL THEN c_found ELSE ev <> 'del' END)"
+    ing = "di AND " + seen
+    made = "(" + ing + " AND " + ok + " AND NOT is_on)"
+    back = lambda q, f, e: dict([
+        (q + "_there", q + "_there AND (NOT d" + q + " OR coalesce(" + f + ", false))"), (q + "_att", "CASE WHEN d" + q + " AND coalesce(" + f + ", false) THEN " + q + "_att + 1 ELSE " + q + "_att END"),
+        (q + "_err", "CASE WHEN d" + q + " AND coalesce(" + f + ", false) THEN " + e + " ELSE " + q + "_err END"),
+        (q + "_sched", "CASE WHEN d" + q + " AND coalesce(" + f + ", false) THEN 5 * CAST(pow(2, " + q + "_att) AS BIGINT) ELSE " + q + "_sched END"),
+    ])
+    return [
+        _run_step(n + "a", src, di=due.format("i"), du=due.format("u")),
+        _run_step(
+            n + "b", n + "a", n_ing="n_ing + CASE WHEN " + ing + " AND " + ok + " THEN 1 ELSE 0 END", content="content OR (" + ing + " AND " + ok + ")",
+            hasdoc="hasdoc OR (" + ing + " AND " + ok + ")", is_on="is_on OR " + made, cnt="CASE WHEN " + made + " THEN -1 ELSE cnt END",
+            st="CASE WHEN " + made + " THEN 'new' ELSE st END", today="today OR " + made, h="CASE WHEN " + made + " THEN f_hash ELSE h END",
+            age="CASE WHEN " + made + " THEN 0 ELSE age END", **back("i", "(" + seen + " AND NOT " + ok + ")", "'HTTP 503'"),
+        ),
+        _sent(n + "b", n + "c", "du AND st <> 'frozen'", ok, seen, "(k % 3 = 0 AND ev IS NULL)"),
+        _updated(n + "c", n + "d"),
+        _run_step(n, n + "d", **back("u", "(a = 'WAIT' OR (a = 'RE' AND NOT ok))", "CASE WHEN a = 'WAIT' THEN 'refresh failed' ELSE 'sync failed' END")),
+    ]
+
+
+_OK1 = "(k % 19 <> 7)"
+_MISSING = "(is_on AND coalesce(h, '') = '' AND st <> 'frozen')"
+_NEW = "(in_win AND NOT is_on)"
+FULL_RUN = (
+    *LARGE_P, *LARGE_C, S.fragments_cte("frags", "comments"), disc_cte("comments"),
+    "w0 AS (SELECT p.*, o_key AS k, " + S.content_hash("p.title", "p.selftext", "f.fragments") + " AS f_hash, o_key % 17 <> 3 AS found, "
+    "p.author = '[deleted]' OR p.selftext IN ('[deleted]', '[removed]') AS gone FROM (SELECT *, CAST(substring(id, 2) AS BIGINT) AS o_key FROM posts) p "
+    "LEFT JOIN frags f ON f.post_id = p.id)",
+    "w1 AS (SELECT *, found AND epoch_us(created_utc) >= " + S.CUTOFF_S + " * 1000000 AS in_win, k % 5 <> 0 AS is_on, k % 5 <> 0 AS c_found, "
+    "CAST(k % 4 - 1 AS INTEGER) AS cnt, CASE WHEN k % 4 = 3 THEN 'updating' WHEN k % 29 = 0 THEN 'frozen' ELSE 'new' END AS st, "
+    "k % 11 = 0 AS today, k % 40 AS age, k % 5 <> 0 AND k % 13 <> 6 AS hasdoc, CASE WHEN k % 23 = 0 THEN '' WHEN k % 6 = 1 THEN 'stale' ELSE f_hash END AS h, "
+    "k % 13 = 0 AND k % 2 = 0 AS i_there, k % 13 = 0 AND k % 2 = 1 AS u_there, CAST(k % 6 AS INTEGER) AS i_att, CAST(k % 6 AS INTEGER) AS u_att, "
+    "CAST(k % 3 AS INTEGER) AS i_prio, CAST(k % 3 AS INTEGER) AS u_prio, (1 - k % 3) * 60 AS i_sched, (1 - k % 3) * 60 AS u_sched, "
+    "CAST(NULL AS VARCHAR) AS i_err, CAST(NULL AS VARCHAR) AS u_err, CAST(NULL AS VARCHAR) AS ev, 0 AS ev_cnt, false AS content, CAST(NULL AS VARCHAR) AS a, false AS ok, "
+    "false AS di, false AS du, 0 AS n_new, 0 AS n_updated, 0 AS n_frozen, 0 AS n_del, 0 AS n_ing, 0 AS n_re, 0 AS n_skip, 0 AS n_err, 0 AS n_queued FROM w0)",
+    *_queue_pass("w1", "q1", _OK1),
+    "r0 AS (SELECT * EXCLUDE (a, ok), CASE WHEN NOT " + _MISSING + " THEN NULL WHEN NOT found THEN 'FAIL' WHEN gone THEN 'DEL' ELSE 'RE' END AS a, " + _OK1 + " AS ok FROM q1)",
+    _run_step(
+        "r1", "r0", h="CASE WHEN a = 'RE' AND ok THEN f_hash ELSE h END", today="today OR coalesce(a = 'RE' AND ok, false)", is_on="is_on AND coalesce(a <> 'DEL', true)",
+        content="CASE WHEN a = 'RE' AND ok THEN true WHEN a = 'DEL' AND hasdoc AND ok THEN false ELSE content END", hasdoc="hasdoc OR coalesce(a = 'RE' AND ok, false)",
+        ev="CASE WHEN a = 'DEL' THEN 'del' WHEN a = 'RE' THEN 're' ELSE ev END", ev_cnt="CASE WHEN a = 'RE' THEN cnt ELSE ev_cnt END",
+        n_re="n_re + CASE WHEN a = 'RE' AND ok THEN 1 ELSE 0 END", n_del="n_del + CASE WHEN a = 'DEL' THEN 1 ELSE 0 END",
+    ),
+    _run_step(
+        "n1", "r1", is_on="is_on OR (" + _NEW + " AND " + _OK1 + ")", cnt="CASE WHEN " + _NEW + " AND " + _OK1 + " THEN -1 ELSE cnt END",
+        st="CASE WHEN " + _NEW + " AND " + _OK1 + " THEN 'new' ELSE st END", today="today OR (" + _NEW + " AND " + _OK1 + ")",
+        age="CASE WHEN " + _NEW + " AND " + _OK1 + " THEN 0 ELSE age END", h="CASE WHEN " + _NEW + " AND " + _OK1 + " THEN f_hash ELSE h END",
+        hasdoc="CASE WHEN " + _NEW + " THEN " + _OK1 + " OR hasdoc ELSE hasdoc END", content="content OR (" + _NEW + " AND " + _OK1 + ")",
+        ev="CASE WHEN " + _NEW + " THEN 'new' ELSE ev END", ev_cnt="CASE WHEN " + _NEW + " THEN 0 ELSE ev_cnt END",
+        i_there="i_there OR (" + _NEW + " AND NOT " + _OK1 + ")",
+        i_att="CASE WHEN NOT i_there AND " + _NEW + " AND NOT " + _OK1 + " THEN 0 ELSE i_att END",
+        i_prio="CASE WHEN " + _NEW + " AND NOT " + _OK1 + " THEN CASE WHEN i_there THEN greatest(i_prio, 1) ELSE 1 END ELSE i_prio END",
+        i_sched="CASE WHEN NOT i_there AND " + _NEW + " AND NOT " + _OK1 + " THEN 0 ELSE i_sched END",
+        n_new="n_new + CASE WHEN " + _NEW + " AND " + _OK1 + " THEN 1 ELSE 0 END", n_ing="n_ing + CASE WHEN " + _NEW + " AND " + _OK1 + " THEN 1 ELSE 0 END",
+        n_err="n_err + CASE WHEN " + _NEW + " AND NOT " + _OK1 + " THEN 1 ELSE 0 END", n_queued="n_queued + CASE WHEN " + _NEW + " AND NOT " + _OK1 + " THEN 1 ELSE 0 END",
+    ),
+    _sent("n1", "u0", "st <> 'frozen' AND cnt < 2", _OK1, "c_found", "(k % 3 = 0)"),
+    _updated("u0", "u1"),
+    _run_step("z1", "u1", st="CASE WHEN is_on AND cnt >= 2 THEN 'frozen' ELSE st END", today="today OR (is_on AND st <> 'frozen' AND cnt >= 2)",
+              n_frozen="n_frozen + CASE WHEN is_on AND st <> 'frozen' AND cnt >= 2 THEN 1 ELSE 0 END"),
+    *_queue_pass("z1", "q2", "true"),
+    "fin AS (SELECT *, is_on AND age > 30 AS expired, CASE WHEN ev IS NULL THEN c_found ELSE ev <> 'del' END AS cached FROM q2)",
+)
+ORACLE["life_full_run"] = (
+    _with(*FULL_RUN)
+    + "SELECT 'tracked' AS kind, id AS key, CAST(cnt AS BIGINT) AS n, concat_ws('|', st, CASE WHEN hasdoc THEN '" + S.DOC_ID_PREFIX + "' || id ELSE '-' END, h, "
+    "CASE WHEN today THEN '0' ELSE '24' END) AS value FROM fin WHERE is_on AND NOT expired "
+    "UNION ALL SELECT 'post', id, CASE WHEN ev IS NULL THEN score - CAST(k % 3 = 0 AS INTEGER) ELSE score END, CAST(CASE WHEN ev IS NULL THEN 0 ELSE ev_cnt END AS VARCHAR) "
+    "FROM fin WHERE cached AND (NOT (SELECT bool_or(expired) FROM fin) OR (is_on AND NOT expired)) "
+    "UNION ALL SELECT 'comments', c.post_id, count(*), NULL FROM comments c JOIN fin ON fin.id = c.post_id WHERE cached AND NOT expired "
+    "AND (is_on OR NOT (SELECT bool_or(expired) FROM fin)) GROUP BY 2 "
+    "UNION ALL SELECT 'queue', id, i_att, concat_ws('|', 'ingest', i_prio, coalesce(i_err, '-'), i_sched) FROM fin WHERE i_there "
+    "UNION ALL SELECT 'queue', id, u_att, concat_ws('|', 'update', u_prio, coalesce(u_err, '-'), u_sched) FROM fin WHERE u_there "
+    "UNION ALL SELECT 'document', '" + S.DOC_ID_PREFIX + "' || p.id, CAST(strlen(x.html) AS BIGINT), md5(x.html) "
+    "FROM (SELECT * REPLACE (CASE WHEN found THEN score ELSE score - CAST(k % 3 = 0 AS INTEGER) END AS score) FROM fin WHERE content) p, "
+    "LATERAL (SELECT " + post_html("p", "(SELECT discussion FROM disc WHERE disc.post_id = p.id)") + " AS html) x "
+    "UNION ALL SELECT 'counter', unnest(['posts_scraped', 'new_posts', 'updated_posts', 'frozen_posts', 'posts_deleted', 'documents_ingested', "
+    "'documents_reingested', 'skipped_unchanged', 'sync_errors', 'queued_for_retry']), unnest([count_if(in_win), sum(n_new), sum(n_updated), sum(n_frozen), sum(n_del), "
+    "sum(n_ing), sum(n_re), sum(n_skip), sum(n_err), sum(n_queued)]), NULL FROM fin"
+)

@@ -575,10 +575,29 @@ def life_queue(spark, d):
 
 
 def life_full_run(spark, d):
-    """LIFE-11, MUT-9: a full run at scale (orders + lineitem): final tracked."""
+    """LIFE-11, MUT-9, SNK-1..5, AGG-8: a full run at scale (orders + lineitem):
+    all its state, the rendered documents it leaves and its counters as long rows."""
     state, obs, sinks = SC.orders(spark, d, P)
     res = L.run(state, obs, sinks, P)
-    return _tracked_out(res.state.tracked)
+    st = res.state
+
+    def rows(df, kind, key, n, value):
+        return df.select(F.lit(kind).alias("kind"), key.alias("key"), n.cast("bigint").alias("n"), value.cast("string").alias("value"))
+
+    c = F.col
+    age = (F.lit(P.run_micros) - F.unix_micros("last_updated")) / F.lit(3_600_000_000)
+    hours = (F.unix_micros("scheduled_for") - F.lit(P.run_micros)) / F.lit(60_000_000)
+    tracked = F.concat_ws("|", "status", F.coalesce("contextual_doc_id", F.lit("-")), "content_hash", age.cast("int").cast("string"))
+    queued = F.concat_ws("|", "action", c("priority").cast("string"), F.coalesce("last_error", F.lit("-")), hours.cast("int").cast("string"))
+    per_post = st.comments.groupBy("post_id").agg(F.count(F.lit(1)).alias("n"))
+    counters = res.counters.select(F.explode(F.map_from_arrays(F.array(*[F.lit(x) for x in ST.COUNTERS]), F.array(*ST.COUNTERS))))
+    none = F.lit(None)
+    out = rows(st.tracked, "tracked", c("post_id"), c("update_count"), tracked)
+    out = out.unionByName(rows(st.posts, "post", c("id"), c("score"), c("update_count")))
+    out = out.unionByName(rows(per_post, "comments", c("post_id"), c("n"), none))
+    out = out.unionByName(rows(st.queue, "queue", c("post_id"), c("attempts"), queued))
+    out = out.unionByName(rows(res.documents, "document", c("doc_id"), c("size_bytes"), F.md5("html")))
+    return out.unionByName(rows(counters, "counter", c("key"), c("value"), none))
 
 
 def life_run_state(spark, d):

@@ -77,10 +77,10 @@ def delivery(ops: DataFrame, sink_results: DataFrame, attempt: int = 1) -> DataF
     return j.withColumn("ok", F.coalesce(F.col("_ok"), F.lit(True))).withColumn("result_doc_id", F.when(F.col("ok"), kept)).drop("_ok", "returned_doc_id")
 
 
-def undelivered_deletes(ops: DataFrame, run: Column) -> DataFrame:
-    """Failed DELETEs, to be sent again: (post_id, doc_key, error, failed_at).
+def undelivered_deletes(ops: DataFrame, run: Column, *more: str) -> DataFrame:
+    """Failed DELETEs, to be sent again: (post_id, doc_key, error, failed_at) and ``more``.
     The post is gone from every other table, so this is what remembers the document."""
-    return ops.where((F.col("op") == OP_DELETE) & ~F.col("ok")).select("post_id", "doc_key", "error", run.alias("failed_at"))
+    return ops.where((F.col("op") == OP_DELETE) & ~F.col("ok")).select("post_id", "doc_key", "error", run.alias("failed_at"), *more)
 
 
 def redelivery(pending: DataFrame) -> DataFrame:
@@ -90,7 +90,8 @@ def redelivery(pending: DataFrame) -> DataFrame:
 
 def apply_to_index(index: DataFrame, box: DataFrame) -> DataFrame:
     """SNK-5: apply delivered operations (one per document: the latest by
-    ``seq``) to the index (doc_id, post_id, html, metadata_json, size_bytes).
+    ``seq``) to the index (doc_id, post_id, html, metadata_json, size_bytes and,
+    if both have it, day).
 
     ``box`` holds successful operations with ``result_doc_id``.  INGEST and
     REINGEST put the document under the id the index returned; a REINGEST also
@@ -101,11 +102,12 @@ def apply_to_index(index: DataFrame, box: DataFrame) -> DataFrame:
     w = Window.partitionBy("doc_key").orderBy(F.col("seq").desc(), rank[F.col("op")].desc())
     last = box.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     content = F.col("op").isin(OP_INGEST, OP_REINGEST)
-    cols = ["post_id", "html", "metadata_json", "size_bytes"]
+    day = [c for c in ("day",) if c in box.columns and c in index.columns]
+    cols = ["post_id", "html", "metadata_json", "size_bytes", *day]
     made = last.where(content).select(F.col("result_doc_id").alias("doc_id"), *cols)
     removed = last.where(content | (F.col("op") == OP_DELETE)).select(F.col("doc_key").alias("doc_id"))
     gone = removed.union(made.select("doc_id")).distinct()
     meta = last.where(F.col("op") == OP_SET_METADATA).select(F.col("doc_key").alias("doc_id"), F.col("metadata_json").alias("n_metadata_json"))
     kept = index.join(gone, "doc_id", "left_anti").join(meta, "doc_id", "left")
-    kept = kept.select("doc_id", "post_id", "html", F.coalesce("n_metadata_json", "metadata_json").alias("metadata_json"), "size_bytes")
+    kept = kept.select("doc_id", "post_id", "html", F.coalesce("n_metadata_json", "metadata_json").alias("metadata_json"), "size_bytes", *day)
     return kept.unionByName(made)

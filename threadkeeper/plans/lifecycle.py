@@ -4,13 +4,14 @@ LIFE-1..13, JN-1/2/4/5, FLT-3/5/6/8/10/11, SNK-6.
 
 A run folds phases over the state (tracked, post cache, comment cache,
 queue): queue -> hash repair -> new posts -> updates -> freeze -> queue ->
-retention.  Each phase is one DataFrame transformation:
+retention.  ``run`` does it as one fold over a wide row per post
+(``plans.onepass``).  The phases below are the same rules as transformations of
+whole tables, usable one by one (and for a run with a ``queue_limit``):
 
-* the *tracked* table is the state machine; a phase joins it once with its
-  inputs on ``post_id`` and projects the new row with a CASE chain;
+* a phase joins *tracked* once with its inputs on ``post_id`` and projects the
+  new row with a CASE chain;
 * the large *post / comment caches* are never rewritten per phase: phases
-  emit save / delete events and ``apply_cache_events`` applies them once at
-  the end (one shuffle of each cache per run);
+  emit save / delete events and ``apply_cache_events`` applies them once;
 * a queue phase takes every due item (or ``queue_limit`` of them) in the same
   set-based way; which side of its joins is small is left to the optimizer's
   measured sizes.
@@ -24,7 +25,7 @@ import logging
 import time
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadkeeper.functions import columns as C
@@ -199,22 +200,27 @@ def classify(
         F.col("upvote_ratio").alias("c_upvote_ratio"),
     )
     j = cand.join(fresh, "post_id", "left").join(cached, "post_id", "left")
-    content_changed = F.coalesce(F.col("content_hash"), F.lit("")) != F.col("f_hash")  # FLT-11
-    meta_changed = F.col("c_found").isNotNull() & (  # FLT-10
-        ~F.col("c_score").eqNullSafe(F.col("f_score"))
-        | ~F.col("c_num_comments").eqNullSafe(F.col("f_num_comments"))
-        | ~F.col("c_upvote_ratio").eqNullSafe(F.col("f_upvote_ratio"))
+    return j.withColumn("action", update_action(params, lambda c: F.col("f_" + c), lambda c: F.col("c_" + c)))
+
+
+def update_action(params: SyncParams, fresh, cached) -> Column:
+    """The classifier's rule over a tracked row's columns; ``fresh`` and ``cached``
+    give the columns (found, score, ...) of the observation and the cached post."""
+    content_changed = F.coalesce(F.col("content_hash"), F.lit("")) != fresh("hash")  # FLT-11
+    meta_changed = cached("found").isNotNull() & (  # FLT-10
+        ~cached("score").eqNullSafe(fresh("score"))
+        | ~cached("num_comments").eqNullSafe(fresh("num_comments"))
+        | ~cached("upvote_ratio").eqNullSafe(fresh("upvote_ratio"))
     )
-    action = (
+    return (
         F.when(today_guard(params), F.lit(NOOP))
         .when(F.col("update_count") < params.refresh_at_count, F.lit(SKIP))
-        .when(F.col("f_found").isNull(), F.lit(ENQUEUE))
-        .when(F.col("f_deleted"), F.lit(DELETE))
+        .when(fresh("found").isNull(), F.lit(ENQUEUE))
+        .when(fresh("deleted"), F.lit(DELETE))
         .when(F.lit(params.always_reingest_on_refresh) | content_changed, F.lit(REINGEST))
         .when(meta_changed & F.col("contextual_doc_id").isNotNull(), F.lit(SET_METADATA))
         .otherwise(F.lit(SKIP))
     )
-    return j.withColumn("action", action)
 
 
 def _ops_for(actions: DataFrame) -> DataFrame:
@@ -528,25 +534,108 @@ def document_rows(obs: Observation, posts: DataFrame) -> DataFrame:
 
 def delivered_outbox(ops: DataFrame, obs: Observation, posts: DataFrame, comments: DataFrame) -> DataFrame:
     """The latest delivered operation of each document, with its content (SNK-1..4)."""
-    last = ops.where("ok").groupBy("doc_key").agg(F.max_by(F.struct("seq", "post_id", "op", "result_doc_id"), "seq").alias("o")).select("doc_key", "o.*")
+    # metadata set after a delivery of the content is part of that delivery; in a queue pass the ingest comes first
+    done = F.max(F.when(F.col("op").isin(O.OP_INGEST, O.OP_REINGEST), F.col("seq"))).over(Window.partitionBy("doc_key"))
+    sent = ops.where("ok").withColumn("_content", done).where((F.col("op") != O.OP_SET_METADATA) | F.col("_content").isNull() | (F.col("seq") < F.col("_content")))
+    order = F.struct("seq", (F.col("op") != O.OP_INGEST).alias("after"))
+    last = sent.groupBy("doc_key").agg(F.max_by(F.struct("seq", "post_id", "op", "result_doc_id"), order).alias("o")).select("doc_key", "o.*")
     box = O.outbox(last.select("post_id", "op", "doc_key"), document_rows(obs, posts), comments)
     return box.join(last.select("doc_key", "seq", "result_doc_id"), "doc_key")
 
 
+MODES = {
+    "full": ["queue", "repair", "new", "update", "freeze", "queue2", "retention"],
+    "scrape": ["new"],
+    "update": ["queue", "update", "freeze"],
+    "queue": ["queue"],
+}
+INDEX = "doc_id string, post_id string, html string, metadata_json string, size_bytes bigint, day date"
+PENDING = "post_id string, doc_key string, error string, failed_at timestamp, day date"
+
+
 def run(
-    state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mode: str = "full", checkpoint: bool = True, index: DataFrame | None = None
+    state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mode: str = "full", index: DataFrame | None = None, pending: DataFrame | None = None
 ) -> RunResult:
-    """LIFE-11 (mode 'full') and LIFE-12 ('scrape', 'update', 'queue').
-
-    ``index`` is the document index before the run (doc_id, post_id, html,
-    metadata_json, size_bytes; empty if not given).  Outbox, documents and
-    statistics are part of the result; documents are rendered when they are
-    written.
+    """LIFE-11 (mode 'full') and LIFE-12 ('scrape', 'update', 'queue', 'dry').
 
     Order: queue -> hash repair -> new -> update -> freeze -> queue ->
-    retention.  The tracked table and queue are cut (reliable checkpoint in
-    the shared checkpoint folder) after each phase so the plan stays small
-    and a lost executor only recomputes the current phase.
+    retention, as one fold over a wide row per post (``plans.onepass``), written
+    once; the comment cache is the only other table written.  Mode 'dry' writes
+    nothing and changes nothing: its actions say what a scrape would ingest.
+
+    ``index`` is the document index before the run and ``pending`` the failed
+    DELETEs of earlier runs, which are sent again first (SNK-4).  Documents are
+    rendered when outbox or documents are written.  A queue with a
+    ``queue_limit`` takes the first items over all posts, which no row can
+    decide alone: such a run goes phase by phase (``run_by_phases``).
+    """
+    from threadkeeper.plans import onepass
+
+    if mode == "dry":
+        return dry_run(state, obs, params, index, pending)
+    if params.queue_limit is not None:
+        return run_by_phases(state, obs, sinks, params, mode, index=index, pending=pending)
+    f = onepass.fold(state, obs, sinks, params, MODES[mode], cut_lineage)
+    comments = cut_lineage(onepass.comment_rows(f, state.comments, obs.comments, True))
+    after = State(tracked=onepass.tracked_rows(f), posts=onepass.post_rows(f), comments=comments, queue=onepass.queue_rows(f))
+    # retention takes comments of documents that were delivered before it
+    shown = onepass.comment_rows(f, state.comments, obs.comments, False) if f.expired else comments
+    counters = state.tracked.sparkSession.createDataFrame([tuple(f.counters.values())], ", ".join(f"{c} bigint" for c in COUNTERS))
+    days = f.rows.select("post_id", F.to_date("created_utc").alias("day"))
+    return _result(state, after, obs, sinks, params, onepass.action_rows(f), onepass.outbox_rows(f, shown), days, counters, onepass.by_source(f), index, pending)
+
+
+def dry_run(state: State, obs: Observation, params: SyncParams, index: DataFrame | None = None, pending: DataFrame | None = None) -> RunResult:
+    """LIFE-12: what a scrape would ingest.  No write, no delivery, no change."""
+    spark = state.tracked.sparkSession
+    new = obs.intake.where(in_update_window(params)).join(state.tracked.select(F.col("post_id").alias("id")), "id", "left_anti")
+    none = F.lit(None).cast("string")
+    actions = new.select(
+        F.lit(30).alias("seq"), F.lit("dry").alias("phase"), F.col("id").alias("post_id"), F.lit("WOULD_INGEST").alias("action"), none.alias("op"),
+        none.alias("doc_key"), F.lit(True).alias("ok"), none.alias("result_doc_id"), none.alias("error"), *_counters(),
+    )
+    index = spark.createDataFrame([], INDEX) if index is None else index
+    pending = spark.createDataFrame([], PENDING) if pending is None else pending
+    counters = obs.intake.agg(*[(F.count(F.lit(1)) if c == "posts_scraped" else F.lit(0)).cast("bigint").alias(c) for c in COUNTERS])
+    box = spark.createDataFrame([], "doc_key string, post_id string, op string, html string, metadata_json string, size_bytes bigint, seq int, result_doc_id string, day date")
+    return RunResult(
+        state=state, actions=actions, ops=actions.limit(0), outbox=box, documents=index, pending_deletes=pending, counters=counters,
+        by_source=scraped_new_by_subreddit(obs.intake, state.tracked.limit(0)), totals=db_stats(state.tracked, state.comments, state.queue),
+    )
+
+
+def _result(state, after, obs, sinks, params, actions, box, days, counters, by_source, index, pending) -> RunResult:
+    spark = state.tracked.sparkSession
+    index = spark.createDataFrame([], INDEX) if index is None else index
+    pending = spark.createDataFrame([], PENDING) if pending is None else pending
+    ops = actions.where(F.col("op").isNotNull()).select("seq", "phase", "post_id", "op", "doc_key", "ok", "result_doc_id", "error")
+    # SNK-4: DELETEs that failed earlier go out before anything of this run
+    again = O.delivery(pending.select("post_id", F.lit(O.OP_DELETE).alias("op"), "doc_key", "day").distinct(), sinks)
+    resent = again.where("ok").select(
+        "doc_key", "post_id", "op", F.lit(None).cast("string").alias("html"), F.lit(None).cast("string").alias("metadata_json"),
+        F.lit(None).cast("bigint").alias("size_bytes"), F.lit(0).alias("seq"), "result_doc_id", "day",
+    )
+    box = box.unionByName(resent)
+    failed = O.undelivered_deletes(ops, _run(params)).join(days, "post_id", "left")
+    still = O.undelivered_deletes(again, _run(params), "day").unionByName(failed)
+    # a document that this run put in place again, or deleted, is no longer owed a DELETE
+    settled = ops.where("ok").select("doc_key").distinct()
+    return RunResult(
+        state=after, actions=actions, ops=ops, outbox=box, documents=O.apply_to_index(index, box),
+        pending_deletes=still.join(settled, "doc_key", "left_anti").dropDuplicates(["doc_key"]).select("post_id", "doc_key", "error", "failed_at", "day"),
+        counters=counters, by_source=by_source, totals=db_stats(after.tracked, after.comments, after.queue),
+    )
+
+
+def run_by_phases(
+    state: State, obs: Observation, sinks: DataFrame, params: SyncParams, mode: str = "full", checkpoint: bool = True, index: DataFrame | None = None,
+    pending: DataFrame | None = None,
+) -> RunResult:
+    """The same run phase by phase over whole tables.
+
+    The tracked table and queue are cut (reliable checkpoint in the shared
+    checkpoint folder) after each phase so the plan stays small and a lost
+    executor only recomputes the current phase.
     """
     spark = state.tracked.sparkSession
     before = state.posts, state.comments
@@ -564,14 +653,8 @@ def run(
     def events_add(ev):
         return events.unionByName(ev.select(*EMPTY_EVENTS_COLS), allowMissingColumns=False)
 
-    phases = {
-        "full": ["queue", "repair", "new", "update", "freeze", "queue2", "retention"],
-        "scrape": ["new"],
-        "update": ["queue", "update", "freeze"],
-        "queue": ["queue"],
-    }[mode]
     st = state
-    for ph in phases:
+    for ph in MODES[mode]:
         t0 = time.time()
         if ph in ("queue", "queue2"):
             st, ev, ac = phase_queue(st, obs, sinks, params, events, seq=10 if ph == "queue" else 60, attempt=1 if ph == "queue" else 2)
@@ -605,22 +688,20 @@ def run(
         st = State(
             tracked=cut_lineage(st.tracked), posts=cut_lineage(st.posts), comments=cut_lineage(st.comments), queue=cut_lineage(st.queue)
         )
-    ops = actions.where(F.col("op").isNotNull()).select("seq", "phase", "post_id", "op", "doc_key", "ok", "result_doc_id")
-    if index is None:
-        index = spark.createDataFrame([], "doc_id string, post_id string, html string, metadata_json string, size_bytes bigint")
-    box = delivered_outbox(ops, obs, *before)
+    ops = actions.where(F.col("op").isNotNull())
+    days = _days(state, obs)
+    box = delivered_outbox(ops, obs, *before).join(days, "post_id", "left")
     created = st.tracked.join(state.tracked.select("post_id"), "post_id", "left_anti")
-    return RunResult(
-        state=st,
-        actions=actions,
-        ops=ops,
-        outbox=box,
-        documents=O.apply_to_index(index, box),
-        pending_deletes=O.undelivered_deletes(ops.withColumn("error", F.lit(None).cast("string")), _run(params)),
-        counters=run_counters(actions),
-        by_source=scraped_new_by_subreddit(obs.intake, created),
-        totals=db_stats(st.tracked, st.comments, st.queue),
-    )
+    by_source = scraped_new_by_subreddit(obs.intake, created)
+    if "error" not in actions.columns:
+        actions = actions.withColumn("error", F.lit(None).cast("string"))
+    return _result(state, st, obs, sinks, params, actions, box, days, run_counters(actions), by_source, index, pending)
+
+
+def _days(state: State, obs: Observation) -> DataFrame:
+    """(post_id, day of creation) of every post a run may touch."""
+    created = state.tracked.select("post_id", "created_utc").union(state.posts.select("id", "created_utc")).union(obs.intake.select("id", "created_utc"))
+    return created.groupBy("post_id").agg(F.to_date(F.min("created_utc")).alias("day"))
 
 
 def _events_schema(state: State):
