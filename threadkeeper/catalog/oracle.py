@@ -487,6 +487,21 @@ ORACLE["snk_apply_index"] = (
     "AND doc_id NOT IN (SELECT doc_id FROM made) UNION ALL SELECT doc_id, post_id, size_bytes FROM made"
 )
 
+# Day 1 applies the delivered operations to the index of all stored documents; a failed DELETE leaves its document there, owed,
+# and day 2 removes it.  Day 2 also re-ingests the posts that day 1 only skipped (rule 7); the index moves those of doc_id % 7 = 2 to another id.
+ORACLE["life_two_days"] = (
+    _with(*DOCS)
+    + ", idx AS (SELECT contextual_doc_id AS doc_id, post_id, CAST(2 AS BIGINT) AS size_bytes, md5('v0') AS html_md5 FROM doc_tracked WHERE contextual_doc_id IS NOT NULL), "
+    "html AS (SELECT o.post_id, o.doc_key, o.op, " + post_html("p", "CAST(NULL AS VARCHAR)") + " AS html "
+    "FROM ops2 o JOIN doc_fresh p ON p.id = o.post_id WHERE o.op IN ('INGEST', 'REINGEST')), "
+    "made AS (SELECT d.result_doc_id AS doc_id, h.post_id, CAST(strlen(h.html) AS BIGINT) AS size_bytes, md5(h.html) AS html_md5 "
+    "FROM html h JOIN delivered d ON d.doc_key = h.doc_key AND d.op = h.op WHERE d.ok), "
+    "gone AS (SELECT doc_key FROM delivered WHERE ok AND op IN ('DELETE', 'REINGEST') UNION SELECT doc_id FROM made), "
+    "one AS (SELECT * FROM idx WHERE doc_id NOT IN (SELECT doc_key FROM gone) UNION ALL SELECT * FROM made) "
+    "SELECT one.*, d.doc_key IS NOT NULL AS owed, d.doc_key IS NULL AND NOT (k.rule = 7 AND k.doc_id % 7 = 2) AS there_later, CAST(0 AS BIGINT) AS owed_later FROM one "
+    "JOIN doc_base k ON k.post_id = one.post_id LEFT JOIN (SELECT doc_key FROM delivered WHERE op = 'DELETE' AND NOT ok) d ON d.doc_key = one.doc_id"
+)
+
 # Deliveries over documents: operations by doc_id % 4, reports by doc_id % 5 (1 failed, 2 another id, 3 a failure and then another id).
 SINK_CASE = (
     "sops AS (SELECT doc_id % 4 AS k, 'd' || doc_id AS post_id, doc_id, CASE doc_id % 4 WHEN 0 THEN 'INGEST' WHEN 1 THEN 'REINGEST' "

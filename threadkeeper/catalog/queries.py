@@ -621,6 +621,36 @@ def life_documents(spark, d):
     return L.run(state, obs, sinks, P).documents.select("doc_id", "post_id", "size_bytes", F.md5("html").alias("html_md5"))
 
 
+def life_two_days(spark, d):
+    """SNK-4, SNK-5, LIFE-11 across runs: two daily runs over documents on a
+    document table; the DELETEs that fail on day 1 take effect on day 2."""
+    from threadkeeper.plans.doctable import DocumentTable
+
+    state, obs, sinks = SC.docs(spark, d, P)
+    state = SC.stored(state)
+    table = DocumentTable(spark, _scratch(spark, "doctable"))
+    # the index before day 1: the document of every tracked post that has one
+    first = state.tracked.where(F.col("contextual_doc_id").isNotNull()).select(
+        "post_id", F.lit(O.OP_INGEST).alias("op"), F.col("contextual_doc_id").alias("doc_key"), F.col("contextual_doc_id").alias("result_doc_id"),
+        F.lit(0).alias("seq"), F.lit("v0").alias("html"), F.lit("{}").alias("metadata_json"), F.lit(2).cast("bigint").alias("size_bytes"),
+        F.to_date("created_utc").alias("day"),
+    )
+    table.merge(first)
+    day1 = L.run(state, obs, sinks, P, mode="update", index=table.documents(), pending=table.pending())
+    table.apply(day1)
+    after1 = cut_lineage(table.documents().select("doc_id", "post_id", "size_bytes", F.md5("html").alias("html_md5")))
+    owed1 = cut_lineage(table.pending().select("doc_key", F.lit(True).alias("owed")))
+    # day 2: the index takes everything
+    later = P.at(DAYS[1])
+    day2 = L.run(SC.stored(day1.state), obs, sinks.where("ok"), later, mode="update", index=table.documents(), pending=table.pending())
+    table.apply(day2)
+    after2 = table.documents().select("doc_id", F.lit(True).alias("there"))
+    j = after1.join(owed1.withColumnRenamed("doc_key", "doc_id"), "doc_id", "left").join(after2, "doc_id", "left")
+    left = table.pending().agg(F.count(F.lit(1)).alias("owed_later"))
+    return j.select("doc_id", "post_id", "size_bytes", "html_md5", F.coalesce("owed", F.lit(False)).alias("owed"), F.col("there").isNotNull().alias("there_later"),
+                    left.select("owed_later").scalar().alias("owed_later"))
+
+
 def life_queue_tracked(spark, d):
     """LIFE-10, JN-5: ingests that fail in the phase "new" and succeed in the
     queue pass of the same run; the created rows are hashed from this run's
