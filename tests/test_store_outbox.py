@@ -20,7 +20,7 @@ def test_store_versions_and_replay(spark):
     import uuid
 
     root = f"{checkpoint_dir(spark)}/store-test-{uuid.uuid4().hex}"
-    store = StateStore(spark, root, partitions=4)
+    store = StateStore(spark, root)
     assert store.current_version() is None
     assert store.write(_state(spark, 3), "b1", "2024-01-31 16:00:00") == 0
     assert store.write(_state(spark, 5), "b2", "2024-02-01 16:00:00") == 1

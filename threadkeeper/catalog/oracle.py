@@ -650,7 +650,7 @@ ORACLE["str_sync"] = (
     "WITH f AS (SELECT 't' || conv_id AS post_id, "
     "(conv_id % 17 = 0) OR (conv_id % 23 = 5 AND conv_id % 6 <> 2) AS del, "
     "(conv_id % 97) * 3600 + (conv_id % 7) * 60 - (conv_id % 4) * 0.25 AS age0 FROM conversations WHERE turn = 0) "
-    "SELECT post_id, CAST(1 AS INTEGER) AS update_count, 'new' AS status, '" + S.DOC_ID_PREFIX + "' || post_id AS contextual_doc_id "
+    "SELECT post_id, CAST(1 AS INTEGER) AS update_count, 'new' AS status, '" + S.DOC_ID_PREFIX + "' || post_id AS contextual_doc_id, true AS has_document "
     "FROM f WHERE age0 <= 432000 AND NOT del"
 )
 

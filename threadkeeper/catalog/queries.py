@@ -786,23 +786,30 @@ SYNC_DAYS = ("2024-01-31 16:00:00", "2024-02-01 16:00:00", "2024-02-02 16:00:00"
 
 
 def str_sync(spark, d):
-    """STR-2: one lifecycle run per landed daily snapshot (foreachBatch), state
-    versions committed with the batch id."""
+    """STR-2: three landed daily snapshots; the second lands in two pieces with
+    a sync in between, and its manifest with the first.  The state and whether
+    the document table holds each post's document."""
+    from threadkeeper.plans.doctable import DocumentTable
     from threadkeeper.plans.store import StateStore
-    from threadkeeper.streaming.stream import sync_stream
+    from threadkeeper.streaming.stream import SnapshotSync, write_manifest
 
     root = _scratch(spark, "sync")
     params = P.with_(time_window_hours=24 * 5, update_window_days=5)
     state, _, sinks = SC.conv(spark, d, params)
-    store = StateStore(spark, f"{root}/state")
+    store, documents = StateStore(spark, f"{root}/state"), DocumentTable(spark, f"{root}/documents")
     empty = L.State(tracked=state.tracked.limit(0), posts=state.posts.limit(0), comments=state.comments.limit(0), queue=state.queue)
     store.write(empty, "initial", SYNC_DAYS[0])
+    sync = SnapshotSync(spark, f"{root}/landing", f"{root}/manifests", A.conv_raw_comments(spark, d), sinks, store, documents, f"{root}/ckpt", params)
     raw = A.conv_raw_posts(spark, d)
-    for ts in SYNC_DAYS:  # each landed snapshot has several files
-        snap = raw.withColumn("observed_at", C.run_ts_lit(params.at(ts).run_micros))
-        snap.repartition(3).write.mode("append").parquet(f"{root}/landing")
-    sync_stream(spark, f"{root}/landing", A.conv_raw_comments(spark, d), sinks, store, f"{root}/ckpt", params)
-    return store.read().tracked.select("post_id", "update_count", "status", "contextual_doc_id")
+    day1, day2, day3 = [raw.withColumn("observed_at", C.run_ts_lit(params.at(ts).run_micros)) for ts in SYNC_DAYS]
+    first_piece = F.xxhash64("id") % 2 == 0
+    for files, manifests in ((day1.unionByName(day2.where(first_piece)), day1.unionByName(day2)), (day2.where(~first_piece).unionByName(day3), day3)):
+        files.repartition(5).write.mode("append").parquet(f"{root}/landing")
+        write_manifest(manifests, f"{root}/manifests")
+        sync.run()
+    there = documents.documents().select(F.col("doc_id").alias("contextual_doc_id"), F.lit(True).alias("there"))
+    rows = store.read().tracked.join(there, "contextual_doc_id", "left")
+    return rows.select("post_id", "update_count", "status", "contextual_doc_id", F.coalesce("there", F.lit(False)).alias("has_document"))
 
 
 QUERIES["str_intake"] = str_intake

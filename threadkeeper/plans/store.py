@@ -10,9 +10,6 @@ table of that version is written, so readers always see one consistent
 version.  A batch id that is already committed is not applied again, which
 makes replays of a micro-batch a no-op.  All I/O goes through Spark, so the
 store works on HDFS / object stores as well as local disks.
-
-``partitions`` fixes the number of files of a version; the files are hashed by
-``post_id``, but they are no catalog buckets, so key joins still shuffle.
 """
 
 from __future__ import annotations
@@ -23,15 +20,14 @@ from pyspark.sql.utils import AnalysisException
 
 from threadkeeper.plans.lifecycle import State
 
+COMMIT = "version int, batch_id string, run_ts string"
 TABLES = ("tracked", "posts", "comments", "queue")
-KEYS = {"tracked": "post_id", "posts": "id", "comments": "post_id", "queue": "post_id"}
 
 
 class StateStore:
-    def __init__(self, spark: SparkSession, root: str, partitions: int | None = None):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.partitions = partitions
 
     def _log(self) -> DataFrame | None:
         try:
@@ -48,6 +44,11 @@ class StateStore:
         row = log.agg(F.max("version").alias("v")).first()
         return None if row is None or row["v"] is None else int(row["v"])
 
+    def batches(self) -> DataFrame:
+        """(version, batch_id, run_ts) of every commit."""
+        log = self._log()
+        return self.spark.createDataFrame([], COMMIT) if log is None else log
+
     def has_batch(self, batch_id: str) -> bool:
         log = self._log()
         return log is not None and log.where(F.col("batch_id") == batch_id).limit(1).count() > 0
@@ -67,9 +68,7 @@ class StateStore:
         v = 0 if cur is None else cur + 1
         for name in TABLES:
             df: DataFrame = getattr(state, name)
-            if self.partitions:
-                df = df.repartition(self.partitions, KEYS[name])
             df.write.mode("overwrite").parquet(f"{self.root}/{name}/v={v}")
-        commit = self.spark.createDataFrame([(v, batch_id, run_ts)], "version int, batch_id string, run_ts string")
+        commit = self.spark.createDataFrame([(v, batch_id, run_ts)], COMMIT)
         commit.coalesce(1).write.mode("append").parquet(f"{self.root}/_versions")
         return v
