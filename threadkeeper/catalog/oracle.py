@@ -321,10 +321,13 @@ ORACLE["mut_replace_comments"] = (
     "UNION ALL SELECT post_id, id FROM comments2 WHERE post_id IN (SELECT id FROM saved)"
 )
 ORACLE["mut_delete_cascade"] = (
-    _with(S.events_tracked())
-    + ", del AS (SELECT id AS post_id FROM ev_ref WHERE deleted) "
-    "SELECT post_id, post_id IN (SELECT post_id FROM ev_tracked) AS existed FROM del "
-    "UNION ALL SELECT post_id, CAST(NULL AS BOOLEAN) AS existed FROM ev_tracked WHERE post_id NOT IN (SELECT post_id FROM del)"
+    _with(*CONV)
+    + ", known AS (SELECT id FROM posts WHERE CAST(substring(id, 2) AS BIGINT) % 4 = 0), "
+    "del AS (SELECT id FROM raw_posts WHERE author IS NULL OR coalesce(selftext, '') IN ('[deleted]', '[removed]')), "
+    "left_ AS (SELECT id FROM known WHERE id NOT IN (SELECT id FROM del)) "
+    "SELECT 'deleted' AS kind, id AS key, id IN (SELECT id FROM known) AS existed FROM del "
+    "UNION ALL SELECT unnest(['tracked', 'post']), id, CAST(NULL AS BOOLEAN) FROM left_ "
+    "UNION ALL SELECT 'comment', id, NULL FROM comments WHERE post_id IN (SELECT id FROM left_)"
 )
 ORACLE["mut_retention"] = (
     "WITH tr AS (SELECT 'o' || o_orderkey AS post_id, o_orderkey % 40 AS age FROM orders WHERE o_orderkey % 5 <> 0), "
@@ -780,3 +783,15 @@ ORACLE["life_full_run"] = (
     "'documents_reingested', 'skipped_unchanged', 'sync_errors', 'queued_for_retry']), unnest([count_if(in_win), sum(n_new), sum(n_updated), sum(n_frozen), sum(n_del), "
     "sum(n_ing), sum(n_re), sum(n_skip), sum(n_err), sum(n_queued)]), NULL FROM fin"
 )
+
+ORACLE["life_queue_mode"] = ORACLE["life_queue"]
+ORACLE["life_dry_run"] = (
+    _CONV_RUN + "SELECT id AS post_id, 'WOULD_INGEST' AS action, (SELECT count(*) FROM intake_n) AS posts_scraped FROM cand"
+)
+ORACLE["src_quarantine"] = "SELECT 'missing url' AS reason, count(*) AS n FROM events WHERE event_id % 97 = 0 HAVING count(*) > 0"
+ORACLE["doc_metadata_nulls"] = (
+    _with(*CONV)
+    + "SELECT id, CAST(CASE WHEN k % 3 = 0 THEN 0 ELSE score END AS VARCHAR) AS score, CAST(CASE WHEN k % 5 = 0 THEN 0 ELSE num_comments END AS VARCHAR) AS num_comments, "
+    "CAST(CASE WHEN k % 7 = 0 THEN 0 ELSE total_awards_received END AS VARCHAR) AS total_awards_received, link_flair_text AS flair "
+    "FROM (SELECT *, CAST(substring(id, 2) AS BIGINT) AS k FROM posts)"
+)

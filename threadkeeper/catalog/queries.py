@@ -19,6 +19,7 @@ from threadkeeper.operators import stats as ST
 from threadkeeper.params import DOC_ID_PREFIX, SyncParams
 from threadkeeper.plans import lifecycle as L
 from threadkeeper.plans import scenarios as SC
+from threadkeeper.schemas import QUEUE_SCHEMA, TRACKED_SCHEMA
 from threadkeeper.session import cut_lineage, wall_clock
 from threadkeeper.sources import adapters as A
 from threadkeeper.sources import intake as I
@@ -90,6 +91,17 @@ def src_rejects(spark, d):
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+def src_quarantine(spark, d):
+    """SRC-7 in a run: rejects with their reasons, committed beside the state."""
+    from threadkeeper.plans.store import StateStore
+
+    store = StateStore(spark, _scratch(spark, "quarantine"))
+    state = L.State(*[spark.createDataFrame([], x) for x in (TRACKED_SCHEMA, "id string", "post_id string", QUEUE_SCHEMA)])
+    obs = L.observe(A.event_observations(spark, d), SC.empty_raw_comments(spark), P)
+    store.write(state, "day1", P.run_ts, obs.rejects)
+    return store.rejects().groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def src_cached_post(spark, d):
     """SRC-8, JN-3, AGG-1: cached post with its comments nested, best first."""
     state, _, _ = SC.conv(spark, d, P)
@@ -331,6 +343,16 @@ def doc_metadata(spark, d):
     return _conv_posts(spark, d).select(*D.metadata_columns())
 
 
+def doc_metadata_nulls(spark, d):
+    """FN-14: landed null counts reach the metadata as zero."""
+    raw = A.conv_raw_posts(spark, d)
+    raw = raw.withColumn("score", F.when(F.col("feed_pos") % 3 != 0, F.col("score"))).withColumn("num_comments", F.when(F.col("feed_pos") % 5 != 0, F.col("num_comments")))
+    raw = raw.withColumn("total_awards_received", F.when(F.col("feed_pos") % 7 != 0, F.col("total_awards_received")))
+    return I.normalize_posts(raw).select("id", D.metadata_json().alias("record")).select(
+        "id", *[F.get_json_object("record", f"$.{c}").alias(c) for c in ("score", "num_comments", "total_awards_received", "flair")]
+    )
+
+
 # ---------------------------------------------------------------------------
 # state mutations
 # ---------------------------------------------------------------------------
@@ -366,11 +388,17 @@ def mut_replace_comments(spark, d):
 
 
 def mut_delete_cascade(spark, d):
-    """MUT-4: cascade delete of deleted posts; reports whether tracked existed."""
-    state, obs, _ = SC.events(spark, d, P)
+    """MUT-4: cascade delete of deleted posts, tracked or not: what is left of
+    the three tables, and for each deleted post whether a tracked row existed."""
+    state, obs, _ = SC.conv(spark, d, P)
     ids = obs.refresh.where(F.col("deleted")).select(F.col("id").alias("post_id"))
-    _, _, tracked, existed = S.delete_cascade(state.posts, state.comments, state.tracked, ids)
-    return existed.unionByName(tracked.select("post_id", F.lit(None).cast("boolean").alias("existed")))
+    posts, comments, tracked, existed = S.delete_cascade(state.posts, state.comments, state.tracked, ids)
+
+    def rows(df, kind, key, existed=F.lit(None)):
+        return df.select(F.lit(kind).alias("kind"), F.col(key).alias("key"), existed.cast("boolean").alias("existed"))
+
+    out = rows(existed, "deleted", "post_id", F.col("existed")).unionByName(rows(tracked, "tracked", "post_id"))
+    return out.unionByName(rows(posts, "post", "id")).unionByName(rows(comments, "comment", "id"))
 
 
 def mut_enqueue(spark, d):
@@ -673,6 +701,21 @@ def life_modes(spark, d):
     return out
 
 
+def life_queue_mode(spark, d):
+    """LIFE-12, LIFE-10: a queue-only run over a filled queue."""
+    state, obs, sinks = SC.events(spark, d, P)
+    res = L.run(state, obs, sinks, P, mode="queue")
+    return res.state.queue.select("post_id", "action", "attempts", "last_error", "scheduled_for")
+
+
+def life_dry_run(spark, d):
+    """LIFE-12: a dry run lists what a scrape would ingest, and changes nothing."""
+    state, obs, sinks = SC.conv(spark, d, P)
+    res = L.run(state, obs, sinks, P, mode="dry")
+    scraped = res.counters.select("posts_scraped").scalar()
+    return res.actions.select("post_id", "action", scraped.alias("posts_scraped"))
+
+
 DAYS = ("2024-01-31 16:00:00", "2024-02-01 16:00:00", "2024-02-02 16:00:00", "2024-02-03 16:00:00")
 
 

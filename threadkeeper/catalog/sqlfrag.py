@@ -78,7 +78,7 @@ def conv_raw_posts(name: str = "raw_posts") -> str:
         name + " AS (SELECT "
         "'t' || " + k + " AS id, " + sub + " AS subreddit, "
         "CASE WHEN " + k + " % 17 <> 0 THEN 'u' || (" + k + " % 29) END AS author, "
-        "substring(text, 1, 60) AS title, "
+        "text AS title, "
         "CASE WHEN " + k + " % 6 = 2 THEN NULL WHEN " + k + " % 23 = 5 THEN '[removed]' ELSE text END AS selftext, "
         "CASE WHEN " + k + " % 6 <> 2 THEN '" + SITE + "' || " + perm + " "
         "ELSE 'https://media.example.com/p' || " + k + " || CASE WHEN " + k + " % 4 = 0 THEN '.png' ELSE '' END END AS url, "
@@ -211,7 +211,7 @@ def event_queue(name: str = "queue0") -> str:
 def doc_base(name: str = "doc_base") -> str:
     return (
         name + " AS (SELECT doc_id, doc_id % 10 AS rule, 'd' || doc_id AS post_id, source AS subreddit, "
-        "'a' || (doc_id % 37) AS author, substring(text, 1, 60) AS title, text AS selftext, "
+        "'a' || (doc_id % 37) AS author, text AS title, text AS selftext, "
         "CAST(doc_id % 100 AS INTEGER) AS score, CAST(n_chars % 50 AS INTEGER) AS num_comments, "
         "CAST(doc_id % 100 AS DOUBLE) / 100 AS upvote_ratio FROM documents)"
     )

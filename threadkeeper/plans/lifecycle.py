@@ -69,6 +69,7 @@ class Observation:
     intake: DataFrame  # window ∪ hot, latest per id, normalised + content_hash
     refresh: DataFrame  # latest observation of every id, normalised + deleted + content_hash
     comments: DataFrame  # normalised, bot-filtered, capped comments
+    rejects: DataFrame | None = None  # malformed rows with the reason (SRC-7)
 
 
 @dataclass
@@ -94,7 +95,7 @@ def observe(raw_posts: DataFrame, raw_comments: DataFrame, params: SyncParams, w
     only their rows are then reduced, normalised and fingerprinted for it,
     however much history the landing holds.
     """
-    good, _rejects = I.split_rejects(raw_posts)
+    good, rejects = I.split_rejects(raw_posts)
     comments = cut_lineage(I.normalize_comments(raw_comments, params))
     seen = good if wanted is None else good.join(wanted.select(F.col("post_id").alias("id")).distinct(), "id", "left_semi")
     # FLT-4 runs on the raw row, before the author default is applied.
@@ -103,7 +104,7 @@ def observe(raw_posts: DataFrame, raw_comments: DataFrame, params: SyncParams, w
     frags = cut_lineage(comment_fragments(comments.select("post_id", "id", "body")))
     refresh = cut_lineage(_with_hash(refresh, frags=frags))
     intake = cut_lineage(_with_hash(I.intake_posts(good, params), frags=frags))
-    return Observation(intake=intake, refresh=refresh, comments=comments)
+    return Observation(intake=intake, refresh=refresh, comments=comments, rejects=I.quarantine(rejects))
 
 
 def refresh_ids(state: State, params: SyncParams) -> DataFrame:

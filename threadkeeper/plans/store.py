@@ -60,8 +60,13 @@ class StateStore:
         t = {name: self.spark.read.parquet(f"{self.root}/{name}/v={v}") for name in TABLES}
         return State(**t)
 
-    def write(self, state: State, batch_id: str, run_ts: str) -> int:
-        """Write every table of ``state`` as the next version, then commit."""
+    def rejects(self, version: int | None = None) -> DataFrame:
+        """SRC-7: the landed rows that the run of a version could not take, with the reason."""
+        v = self.current_version() if version is None else version
+        return self.spark.read.parquet(f"{self.root}/rejects/v={v}")
+
+    def write(self, state: State, batch_id: str, run_ts: str, rejects: DataFrame | None = None) -> int:
+        """Write every table of ``state`` (and the run's rejects) as the next version, then commit."""
         if self.has_batch(batch_id):
             return self.current_version()  # replay: already applied
         cur = self.current_version()
@@ -69,6 +74,8 @@ class StateStore:
         for name in TABLES:
             df: DataFrame = getattr(state, name)
             df.write.mode("overwrite").parquet(f"{self.root}/{name}/v={v}")
+        if rejects is not None:
+            rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/v={v}")
         commit = self.spark.createDataFrame([(v, batch_id, run_ts)], COMMIT)
         commit.coalesce(1).write.mode("append").parquet(f"{self.root}/_versions")
         return v

@@ -62,7 +62,7 @@ def conv_raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id": F.concat(F.lit("t"), k),
         "subreddit": sub,
         "author": F.when(k % 17 != 0, F.concat(F.lit("u"), k % 29)),
-        "title": F.substring("text", 1, 60),
+        "title": F.col("text"),
         "selftext": F.when(k % 6 == 2, F.lit(None)).when(k % 23 == 5, F.lit("[removed]")).otherwise(F.col("text")),
         "url": F.when(is_self, F.concat(F.lit(SITE), permalink)).otherwise(
             F.concat(F.lit("https://media.example.com/p"), k, F.when(k % 4 == 0, F.lit(".png")).otherwise(F.lit("")))
@@ -311,7 +311,7 @@ def doc_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("d"), k).alias("post_id"),
         F.col("source").alias("subreddit"),
         F.concat(F.lit("a"), k % 37).alias("author"),
-        F.substring("text", 1, 60).alias("title"),
+        F.col("text").alias("title"),
         F.col("text").alias("selftext"),
         (k % 100).cast("int").alias("score"),
         (F.col("n_chars") % 50).cast("int").alias("num_comments"),

@@ -45,10 +45,12 @@ def first_window_day(params: SyncParams) -> str:
     return dt.datetime.fromtimestamp(cutoff_seconds(params), tz=dt.timezone.utc).strftime("%Y-%m-%d")
 
 
+REQUIRED = ["id", "subreddit", "title", "url", "permalink", "score", "upvote_ratio", "num_comments", "created_utc"]
+
+
 def post_is_valid(df: DataFrame) -> Column:
-    required = ["id", "subreddit", "title", "url", "permalink", "score", "upvote_ratio", "num_comments", "created_utc"]
     ok = F.lit(True)
-    for c in required:
+    for c in REQUIRED:
         ok = ok & F.col(c).isNotNull()
     if CORRUPT in df.columns:
         ok = ok & F.col(CORRUPT).isNull()
@@ -65,6 +67,14 @@ def split_rejects(raw_posts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def quarantine(rejects: DataFrame) -> DataFrame:
+    """Rejected rows with the reason: "malformed", or the required fields that are missing."""
+    reason = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED])
+    if CORRUPT in rejects.columns:
+        return rejects.withColumn("reason", F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed")).otherwise(F.concat(F.lit("missing "), reason)))
+    return rejects.withColumn(CORRUPT, F.lit(None).cast("string")).withColumn("reason", F.concat(F.lit("missing "), reason))
+
+
 # ---------------------------------------------------------------------------
 # Normalisation (PRJ-1, PRJ-2)
 # ---------------------------------------------------------------------------

@@ -105,4 +105,4 @@ class SnapshotSync:
         result = L.run(state, obs, self.sinks, p, index=self.documents.documents(), pending=self.documents.pending())
         # documents first: applied again after a failure they end the same
         self.documents.apply(result)
-        self.store.write(result.state, f"snapshot-{micros}", run_ts)
+        self.store.write(result.state, f"snapshot-{micros}", run_ts, obs.rejects)
