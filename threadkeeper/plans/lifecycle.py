@@ -100,10 +100,12 @@ def observe(raw_posts: DataFrame, raw_comments: DataFrame, params: SyncParams, w
     seen = good if wanted is None else good.join(wanted.select(F.col("post_id").alias("id")).distinct(), "id", "left_semi")
     # FLT-4 runs on the raw row, before the author default is applied.
     refresh = I.normalize_posts(I.latest_observation(seen.withColumn("deleted", C.is_deleted_raw("author", "selftext"))), "deleted")
-    # one aggregation of the comments serves both fingerprints
-    frags = cut_lineage(comment_fragments(comments.select("post_id", "id", "body")))
-    refresh = cut_lineage(_with_hash(refresh, frags=frags))
-    intake = cut_lineage(_with_hash(I.intake_posts(good, params), frags=frags))
+    window = I.intake_posts(good, params).withColumn("deleted", F.lit(None).cast("boolean"))
+    # one join and one write serve both: the kinds are partitions of the written table
+    both = refresh.withColumn("kind", F.lit("refresh")).unionByName(window.withColumn("kind", F.lit("window")))
+    both = cut_lineage(_with_hash(both, comments), "kind")
+    refresh = both.where(F.col("kind") == "refresh").drop("kind")
+    intake = both.where(F.col("kind") == "window").drop("kind", "deleted")
     return Observation(intake=intake, refresh=refresh, comments=comments, rejects=I.quarantine(rejects))
 
 
@@ -113,9 +115,8 @@ def refresh_ids(state: State, params: SyncParams) -> DataFrame:
     return due.union(state.queue.select("post_id"))
 
 
-def _with_hash(posts: DataFrame, comments: DataFrame | None = None, frags: DataFrame | None = None) -> DataFrame:
-    if frags is None:
-        frags = comment_fragments(comments.select("post_id", "id", "body"))
+def _with_hash(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    frags = comment_fragments(comments.select("post_id", "id", "body"))
     j = posts.join(frags.withColumnRenamed("post_id", "id"), "id", "left")
     return j.withColumn("content_hash", content_hash("title", "selftext", "fragments")).drop("fragments", "n_comments")
 

@@ -72,25 +72,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, *partition_by: str) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder
     and continue from the written files.
 
     Survives the loss of executors (the data lives on the shared file
     system, not in executor memory or local disks), keeps later plans small,
     and gives the next joins real file-size statistics for AQE's broadcast /
-    skew decisions.
+    skew decisions.  ``partition_by`` columns become partitions that later
+    filters prune.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tk-{uuid.uuid4().hex}"
     t0 = time.time()
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     if log.isEnabledFor(logging.DEBUG):
         import traceback
 
         caller = traceback.extract_stack(limit=3)[0]
         log.debug("materialised %s:%s in %.2fs", caller.name, caller.lineno, time.time() - t0)
-    return spark.read.parquet(path)
+    # the schema is known: no footer is read for it, an empty table works too
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def wall_clock(df: DataFrame) -> DataFrame:
