@@ -1,5 +1,6 @@
 """Lifecycle decisions on the documents snapshot pair and over several days."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from threadkeeper.params import SyncParams
@@ -69,10 +70,46 @@ def test_rerun_same_day_changes_nothing(spark, sf):
     assert sorted(map(tuple, first.tracked.select(*cols).collect())) == sorted(map(tuple, second.tracked.select(*cols).collect()))
 
 
-def test_full_run_invariants(spark, sf):
+@pytest.fixture(scope="module")
+def orders_run(spark, sf):
     p = SyncParams()
     state, obs, sinks = SC.orders(spark, sf, p)
+    return p, state, obs, sinks, L.run(state, obs, sinks, p)
+
+
+def rows(df, *without):
+    df = df.drop(*without)
+    return sorted(str(tuple(r)) for r in df.select(*sorted(df.columns)).collect())
+
+
+def test_one_pass_equals_the_phases(orders_run):
+    p, state, obs, sinks, one = orders_run
+    by_phases = L.run_by_phases(state, obs, sinks, p)
+    for table in ("tracked", "posts", "comments", "queue"):
+        assert rows(getattr(one.state, table)) == rows(getattr(by_phases.state, table)) != []
+    for part in ("actions", "outbox", "documents", "counters", "by_source"):
+        assert rows(getattr(one, part), "error") == rows(getattr(by_phases, part), "error") != []
+
+
+def test_a_run_writes_few_tables_and_a_dry_run_none(spark, sf, monkeypatch):
+    p = SyncParams()
+    state, obs, sinks = SC.conv(spark, sf, p)
+    writes = []
+    real = L.cut_lineage
+    monkeypatch.setattr(L, "cut_lineage", lambda df, *by: writes.append(1) or real(df, *by))
+    L.observe(SC.A.conv_raw_posts(spark, sf), SC.A.conv_raw_comments(spark, sf), p, L.refresh_ids(state, p))
     res = L.run(state, obs, sinks, p)
+    assert len(writes) <= 6
+    assert "acts" not in res.counters.columns and res.counters.count() == 1
+    writes.clear()
+    dry = L.run(state, obs, sinks, p, mode="dry")
+    assert not writes and dry.state is state and dry.ops.count() == 0 and dry.outbox.count() == 0
+    would = {r.post_id for r in dry.actions.collect()}
+    assert would == {r.post_id for r in res.actions.where("phase = 'new'").collect()} != set()
+
+
+def test_full_run_invariants(orders_run):
+    p, _, obs, _, res = orders_run
     t = res.state.tracked.collect()
     ids = [r.post_id for r in t]
     assert len(ids) == len(set(ids))  # one tracked row per post
@@ -96,11 +133,37 @@ def test_full_run_invariants(spark, sf):
     assert len(q) == len(set(q))
 
 
-def test_stream_equals_batch(spark, sf):
-    """STR-2: three landed daily snapshots through foreachBatch give the same
-    tracked state as three batch runs on the same days."""
-    from threadkeeper.catalog.queries import SYNC_DAYS, life_day_progression, str_sync
-
-    streamed = {(r.post_id, r.update_count, r.status) for r in str_sync(spark, sf).collect()}
-    batch = {(r.post_id, r.update_count, r.status) for r in life_day_progression(spark, sf).where(F.col("day") == len(SYNC_DAYS)).collect()}
-    assert streamed and streamed == batch
+def test_a_snapshot_waits_until_it_is_whole(spark, sf):
+    """STR-2: pieces, late manifests, order and replays."""
+    import uuid
+
+    from threadkeeper.functions import columns as C
+    from threadkeeper.plans.doctable import DocumentTable
+    from threadkeeper.plans.store import StateStore
+    from threadkeeper.session import checkpoint_dir
+    from threadkeeper.sources import adapters as A
+    from threadkeeper.streaming.stream import SnapshotSync, write_manifest
+
+    root = f"{checkpoint_dir(spark)}/sync-{uuid.uuid4().hex}"
+    p = SyncParams().with_(time_window_hours=24 * 5, update_window_days=5)
+    state, _, sinks = SC.conv(spark, sf, p)
+    store, documents = StateStore(spark, f"{root}/state"), DocumentTable(spark, f"{root}/documents")
+    store.write(L.State(state.tracked.limit(0), state.posts.limit(0), state.comments.limit(0), state.queue), "initial", p.run_ts)
+    raw = A.conv_raw_posts(spark, sf)
+    one, two = [raw.withColumn("observed_at", C.run_ts_lit(p.at(t).run_micros)) for t in ("2024-01-31 16:00:00", "2024-02-01 16:00:00")]
+    make = lambda ckpt: SnapshotSync(spark, f"{root}/landing", f"{root}/manifests", A.conv_raw_comments(spark, sf), sinks, store, documents, f"{root}/{ckpt}", p)
+    half = F.xxhash64("id") % 2 == 0
+    one.where(half).write.mode("append").parquet(f"{root}/landing")
+    two.write.mode("append").parquet(f"{root}/landing")
+    write_manifest(one.unionByName(two), f"{root}/manifests")
+    sync = make("ckpt")
+    sync.run()  # the first snapshot lacks rows, the second waits for it
+    assert store.current_version() == 0 and sync.waiting().where("landed < n_rows").count() == 1
+    one.where(~half).write.mode("append").parquet(f"{root}/landing")
+    sync.run()
+    assert store.current_version() == 2 and sync.waiting().count() == 0
+    young = {r.id for r in L.I.normalize_posts(raw).where(L.in_update_window(p)).collect()}
+    assert young <= {r.post_id for r in store.read(1).tracked.collect()}  # no post of either piece is lost
+    assert {r.post_id for r in documents.documents().collect()} >= young
+    make("other").run()  # a new checkpoint applies nothing twice
+    assert store.current_version() == 2

@@ -795,3 +795,8 @@ ORACLE["doc_metadata_nulls"] = (
     "CAST(CASE WHEN k % 7 = 0 THEN 0 ELSE total_awards_received END AS VARCHAR) AS total_awards_received, link_flair_text AS flair "
     "FROM (SELECT *, CAST(substring(id, 2) AS BIGINT) AS k FROM posts)"
 )
+
+ORACLE["src_refresh_pruned"] = (
+    _with(S.events_tracked())
+    + "SELECT l.id, l.observed_at, l.feed, l.feed_pos, l.url FROM ev_latest l JOIN ev_tracked t ON t.post_id = l.id WHERE t.status <> 'frozen' AND t.update_count < 2"
+)

@@ -887,5 +887,20 @@ def src_landing_pruned(spark, d):
     return I.window_scan(good, P).select("id", "subreddit", "feed_pos", "observed_at")
 
 
+def src_refresh_pruned(spark, d):
+    """SRC-5 over a landing of many days: the last observation of every due post,
+    reading the days on which they were last seen only."""
+    root = _scratch(spark, "landing-refresh")
+    obs = A.event_observations(spark, d).withColumn("observed_date", F.to_date("observed_at"))
+    obs.repartition("observed_date").write.partitionBy("observed_date").parquet(f"{root}/landing")
+    landing = I.read_days(spark, f"{root}/landing")
+    state, _, _ = SC.events(spark, d, P)
+    seen = cut_lineage(I.seen_days(None, landing))
+    wanted = state.tracked.where(L.due_for_update(P)).select("post_id")
+    good, _ = I.split_rejects(I.refresh_scan(landing, wanted, seen))
+    return I.latest_observation(good).select("id", "observed_at", "feed", "feed_pos", "url")
+
+
+QUERIES["src_refresh_pruned"] = src_refresh_pruned
 QUERIES["src_landing_json"] = src_landing_json
 QUERIES["src_landing_pruned"] = src_landing_pruned

@@ -109,6 +109,17 @@ def observe(raw_posts: DataFrame, raw_comments: DataFrame, params: SyncParams, w
     return Observation(intake=intake, refresh=refresh, comments=comments, rejects=I.quarantine(rejects))
 
 
+def observe_landing(landing: DataFrame, raw_comments: DataFrame, params: SyncParams, state: State, seen: DataFrame) -> Observation:
+    """``observe`` over a landing of many days (``intake.read_days``): the window
+    reads the days that can hold its posts, the refresh the days on which the
+    posts it wants were last seen (``intake.seen_days``, after this landing)."""
+    wanted = refresh_ids(state, params)
+    since = F.lit(I.first_window_day(params)).cast("date")
+    recent = landing.where(F.col("observed_date") >= since)
+    older = I.refresh_scan(landing.where(F.col("observed_date") < since), wanted, seen)
+    return observe(recent.unionByName(older.select(*recent.columns)).drop("observed_date"), raw_comments, params, wanted)
+
+
 def refresh_ids(state: State, params: SyncParams) -> DataFrame:
     """Posts whose observation a run may need: due for an update, without a hash, or queued."""
     due = state.tracked.where(due_for_update(params) | missing_hash()).select("post_id")

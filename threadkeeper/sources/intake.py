@@ -39,6 +39,31 @@ def read_landing(spark: SparkSession, path: str, kind: str = "posts", fmt: str =
     return raw if since is None else raw.where(F.col("observed_date") >= F.lit(since).cast("date")).drop("observed_date")
 
 
+def read_days(spark: SparkSession, path: str) -> DataFrame:
+    """A landing of posts partitioned by ``observed_date``, with that column."""
+    return spark.read.schema(T.StructType([*RAW_POST_SCHEMA.fields, T.StructField("observed_date", T.DateType())])).parquet(path)
+
+
+def seen_days(seen: DataFrame | None, landing: DataFrame, since: str | None = None) -> DataFrame:
+    """(post_id, day) of the last landed day of every post (valid rows), after
+    the days from ``since`` on (all without it) have landed; ``seen`` is what earlier runs kept."""
+    new = landing if since is None else landing.where(F.col("observed_date") >= F.lit(since).cast("date"))
+    new = new.where(post_is_valid(new)).select(F.col("id").alias("post_id"), F.col("observed_date").alias("day"))
+    both = new if seen is None else new.unionByName(seen.select("post_id", "day"))
+    return both.groupBy("post_id").agg(F.max("day").alias("day"))
+
+
+def refresh_scan(landing: DataFrame, wanted: DataFrame, seen: DataFrame) -> DataFrame:
+    """SRC-5: the landed rows of ``wanted`` (post_id) on the day each was last
+    seen.  The days are few values, so the join with them prunes the landing's
+    partitions at run time, however many days it holds."""
+    at = wanted.select("post_id").distinct().join(seen.where(F.col("day").isNotNull()), "post_id")
+    days = at.select(F.col("day").alias("observed_date")).distinct()
+    rows = landing.join(days, "observed_date", "left_semi")
+    last = at.select(F.col("post_id").alias("id"), F.col("day").alias("observed_date"))
+    return rows.join(last, ["id", "observed_date"], "left_semi")
+
+
 def first_window_day(params: SyncParams) -> str:
     """The first landed day that can hold posts of the window: a post created
     at or after the cutoff is not observed before it."""
