@@ -23,7 +23,6 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from threadkeeper.plans.lifecycle import State
 
@@ -39,12 +38,11 @@ class StateStore:
         self.buckets = buckets
 
     def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(COMMIT).parquet(f"{self.root}/_versions")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":  # an unreadable log is no empty store
-                raise
+        log = f"{self.root}/_versions"
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(log)
+        if not target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target):
             return None
+        return self.spark.read.schema(COMMIT).parquet(log)
 
     def current_version(self) -> int | None:
         log = self._log()
