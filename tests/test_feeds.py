@@ -54,6 +54,12 @@ def test_streams_equal_the_batch_after_every_landing(spark, tmp_path):
     assert same_as_batch(spark, root)["x"] == 1
 
 
+def test_one_post_observed_by_many_files_in_one_trigger(spark, tmp_path):
+    rows = [post("a", "new", i, 9 - i % 7, score=i) for i in range(40)] + [post("b", "new", i, 3, score=i) for i in range(40)]
+    spark.createDataFrame(rows, RAW_POST_SCHEMA).repartition(6).write.parquet(f"{tmp_path}/landing")
+    assert same_as_batch(spark, str(tmp_path)) == {"a": 34, "b": 39}
+
+
 def test_state_of_a_post_is_freed_when_it_left_the_window(spark, tmp_path):
     root = str(tmp_path)
     wide = P.with_(time_window_hours=26)

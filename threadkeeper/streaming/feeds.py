@@ -74,7 +74,7 @@ def _keep_latest(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState)
         return
     best, created = None, 0
     for f in frames:
-        row = f.loc[f[ORDER].apply(tuple, axis=1).idxmax()]
+        row = f.sort_values(ORDER, kind="stable").iloc[-1]
         order = tuple(int(row[c]) for c in ORDER)
         if best is None or order > best[0]:
             best = order, row["payload"]
