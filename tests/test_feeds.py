@@ -60,6 +60,14 @@ def test_one_post_observed_by_many_files_in_one_trigger(spark, tmp_path):
     assert same_as_batch(spark, str(tmp_path)) == {"a": 34, "b": 39}
 
 
+def test_a_post_at_the_edge_of_the_window_is_not_late(spark, tmp_path):
+    root = str(tmp_path)
+    land(spark, root, [post("edge", "new", 1, 5, created_ago=26), post("newest", "new", 2, 5, created_ago=0)])
+    assert same_as_batch(spark, root) == {"edge": 1, "newest": 1}
+    land(spark, root, [post("edge", "new", 1, 2, created_ago=26, score=8)])
+    assert same_as_batch(spark, root) == {"edge": 8, "newest": 1}
+
+
 def test_state_of_a_post_is_freed_when_it_left_the_window(spark, tmp_path):
     root = str(tmp_path)
     wide = P.with_(time_window_hours=26)

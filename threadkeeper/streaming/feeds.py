@@ -5,7 +5,7 @@ Two streams over one landing keep, with the batch's own rules (SRC-1..3):
 * ``post``: the latest new-feed observation of every post in the window.  The
   state of a post is the order of the observation it last put out, so an older
   observation that lands late changes nothing and a newer one goes out again.
-  The watermark follows the newest creation time at a window's distance, and an
+  The watermark follows the newest creation time just beyond a window's distance, and an
   event-time timer frees a post's state once it has passed the post's own: from
   then on the post is out of the window and its rows are late.
 * ``hot``: the first ``hot_limit`` entries of every source's newest hot
@@ -95,7 +95,8 @@ def _keep_latest(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState)
 def post_changes(landing: DataFrame, params: SyncParams) -> DataFrame:
     rows = _messages(landing, params).where((F.col("feed") == "new") & (F.col("created_utc") >= F.lit(I.cutoff_seconds(params))))
     rows = rows.select("id", C.epoch_to_ts("created_utc").alias("created_ts"), *ORDER, "payload")
-    reduced = rows.mapInPandas(_latest_in_batch, POST).withWatermark("created_ts", f"{params.window_hours} hours")
+    # a row at the watermark is late, one at the cutoff is in the window: a second between them
+    reduced = rows.mapInPandas(_latest_in_batch, POST).withWatermark("created_ts", f"{params.window_hours * 3600 + 1} seconds")
     return reduced.groupBy("id").applyInPandasWithState(
         _keep_latest, CHANGES, "observed bigint, feed_pos bigint, tie bigint, version bigint",
         "append", GroupStateTimeout.EventTimeTimeout,
