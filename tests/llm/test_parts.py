@@ -8,9 +8,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from threadkeeper.llm import op2_language, op3_minhash, op4_suffix_dedup, op6_toxicity, op7_fingerprint, op8_lm, op9_embeddings
+from threadkeeper.llm import op2_language, op3_minhash, op4_suffix_dedup, op6_toxicity, op7_fingerprint, op8_lm, op9_embeddings, op10_bpe
 from threadkeeper.llm import words as W
-from threadkeeper.llm.op10_bpe import Transducer, tokenizer_path
+from threadkeeper.llm.op10_bpe import PIECE, Transducer, tokenizer_path
 
 from . import brute
 
@@ -207,6 +207,30 @@ def test_bpe_streams_long_pre_tokens_and_long_texts(bpe):
         assert np.frombuffer(b"".join(mine.encode(text)), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_cuts_long_texts_without_blanks_and_holds_little_at_once(bpe):
+    mine, lib = bpe
+    rng = random.Random(2)
+    chinese = "".join(rng.choice("的一是不了人我在有他这中大来上，。1") for _ in range(400_000))
+    code = "".join(rng.choice(["x'", "'s", "(a)", "=12", "''ll", "\t", "b_", "'", "9'd", "\n\n "]) for _ in range(100_000))
+    word = "".join(rng.choice("abcdefghé") for _ in range(150_000))
+    for text in (chinese, code, word):
+        chunks = list(mine.encode(text))
+        assert np.frombuffer(b"".join(chunks), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+        assert max(map(len, chunks)) <= 4 * 4 * PIECE
+        assert "".join(mine.decode(chunks)) == text
+    assert max(map(len, mine.pieces(chinese))) <= PIECE + 1000 and max(map(len, mine.pieces(code))) <= PIECE + 1000
+    assert "".join(mine.pieces(code)) == code
+
+
+def test_bpe_memo_keeps_the_words_in_use(bpe, monkeypatch):
+    mine, lib = bpe
+    monkeypatch.setattr(op10_bpe, "MEMO", 8)
+    texts = [f"word{chr(97 + i)} again{chr(98 + i)} again{chr(97 + i)} " + "y" * 70 * (i % 2) for i in range(20)]
+    for _ in range(2):
+        for text, chunks in zip(texts, mine.encode_all(texts), strict=True):
+            assert np.frombuffer(b"".join(chunks), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_compatibility_is_what_merging_says(bpe):
     mine, _ = bpe
     rng = random.Random(1)

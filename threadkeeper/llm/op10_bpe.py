@@ -11,12 +11,19 @@ path.  The longest token of the merge list is the lookahead that suffices to
 extend the state, so memory is that many positions plus tokens not yet stable,
 whatever the length of a pre-token.
 
-Texts are cut into pieces at places where the pattern must end a match, so a
-long text is never matched whole.  Short pre-tokens repeat, so their ids are
-kept in a bounded memo.
+The tokens that end at a position come, longest first, from a suffix-link
+automaton of all tokens (one step a byte).
 
-Decoding concatenates token bytes piece by piece through an incremental UTF-8
-state machine; ill-formed input gives U+FFFD for each maximal part.
+Texts are cut into pieces at places where the pattern must end a match whatever
+stands around them (before white space, and where letters, digits and other
+symbols meet), so a long text is never matched whole, and a pre-token without
+such a place is streamed: beside the text, memory is bounded.  Short pre-tokens
+repeat, so their ids are kept in a bounded memo, which keeps the words of the
+latest texts when it is full.
+
+Decoding gathers token bytes from one flat table, chunk by chunk, through an
+incremental UTF-8 state machine; ill-formed input gives U+FFFD for each maximal
+part.
 
 Defined results: null and empty texts give no ids and decode to the empty
 text; added tokens (special ones too) are taken out of the text first, the
@@ -30,7 +37,9 @@ import codecs
 import hashlib
 import json
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +52,11 @@ from .words import slices
 # Fixed value of byte-level BPE: how text is cut before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE = 1 << 16  # code points matched at once
-MEMO = 1 << 17  # pre-tokens whose ids are kept
+MEMO = 1 << 19  # pre-tokens whose ids are kept
 MEMO_LENGTH = 64
-# a match can't go on over a boundary between one of these and a blank that is followed by a letter
-CUT = regex.compile(r"(?<=\p{L}) (?=\p{L})")
+CHUNK = 1 << 14  # ids of a long pre-token that are held at once
+# no match goes on over one of these places, nor does it depend on what follows there
+CUT = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=[\p{L}\p{N}])")
 
 
 def byte_symbols() -> dict[str, int]:
@@ -85,6 +95,57 @@ class Transducer:
         self.half: dict[int, tuple[int, int, int] | None] = {}
         self.memo: dict[str, bytes] = {}
         self.sizes = {t: len(b) for b, t in self.tokens.items()}
+        self.link()
+        top = max(self.bytes_of, default=-1) + 1
+        self.flat = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(top)), np.uint8)
+        self.width = np.array([len(self.bytes_of.get(i, b"")) for i in range(top)], np.int64)
+        self.place = np.cumsum(self.width) - self.width
+
+    def link(self) -> None:
+        """The automaton of all tokens: a state is the longest prefix of a token that ends at a position."""
+        self.go: dict[int, int] = {}  # state << 8 | byte -> state
+        token: list[int | None] = [None]
+        for data, t in self.tokens.items():
+            state = 0
+            for b in data:
+                key = state << 8 | b
+                if key not in self.go:
+                    self.go[key] = len(token)
+                    token.append(None)
+                state = self.go[key]
+            token[state] = t
+        self.back = [0] * len(token)  # the longest proper suffix that is a state too
+        self.found: list[tuple[tuple[int, int], ...]] = [()] * len(token)  # (token, length) that end in a state, longest first
+        self.jump: dict[int, int] = {}  # steps over suffix links, bounded
+        edges: dict[int, list[int]] = {}
+        for key in self.go:
+            edges.setdefault(key >> 8, []).append(key)
+        level = [0]
+        while level:
+            below = []
+            for state in level:
+                for key in edges.get(state, ()):
+                    new, at = self.go[key], self.back[state]
+                    if state:
+                        while at and at << 8 | key & 255 not in self.go:
+                            at = self.back[at]
+                        self.back[new] = self.go.get(at << 8 | key & 255, 0)
+                    own = token[new]
+                    more = self.found[self.back[new]]
+                    self.found[new] = more if own is None else ((own, len(self.bytes_of[own])), *more)
+                    below.append(new)
+            level = below
+
+    def step(self, state: int, byte: int) -> int:
+        """The state after one more byte, over suffix links."""
+        key = first = state << 8 | byte
+        while key >> 8 and key not in self.go:
+            key = self.back[key >> 8] << 8 | byte
+        new = self.go.get(key, 0)
+        if len(self.jump) >= MEMO:
+            self.jump.clear()
+        self.jump[first] = new
+        return new
 
     def merge(self, data: bytes, least: int = 1) -> list[int]:
         """The merge list applied to a short byte string, until ``least`` ids are left."""
@@ -154,27 +215,27 @@ class Transducer:
             self.pairs[key] = known
         return known
 
-    def ending(self, data: bytes, end: int, ends: list[int] | dict[int, int]) -> int:
+    def ending(self, state: int, end: int, ends: list[int] | dict[int, int]) -> int:
         """The token that ends at a position: the longest that fits after the one before it."""
-        tokens, pairs = self.tokens, self.pairs
-        for start in range(max(0, end - self.longest), end):
-            t = tokens.get(data[start:end])
-            if t is not None:
-                if start == 0:
-                    return t
-                left = ends[start]
-                fits = pairs.get(left << 32 | t)
-                if self.compatible(left, t) if fits is None else fits:
-                    return t
+        pairs = self.pairs
+        for t, size in self.found[state]:
+            if size == end:
+                return t
+            left = ends[end - size]
+            fits = pairs.get(left << 32 | t)
+            if self.compatible(left, t) if fits is None else fits:
+                return t
         raise ValueError("the vocabulary lacks a byte")
 
     def stream(self, data: bytes) -> Iterator[int]:
         """Ids of one pre-token, emitted as soon as they are stable."""
         longest = self.longest
         ends: dict[int, int] = {}  # position -> token that ends there
-        done = 0  # everything before is emitted
-        for end in range(1, len(data) + 1):
-            ends[end] = self.ending(data, end, ends)
+        done = state = 0  # everything before done is emitted
+        for end, byte in enumerate(data, 1):
+            key = state << 8 | byte
+            state = self.go[key] if key in self.go else self.step(state, byte)
+            ends[end] = self.ending(state, end, ends)
             if end - done >= 4 * longest:
                 # what lies on the paths of all positions that a later token can start from
                 common: list[tuple[int, int]] | None = None
@@ -199,30 +260,49 @@ class Transducer:
     def prepare(self, words: set[str]) -> None:
         """Puts the ids of short pre-tokens into the memo.  In order, a word goes on
         from the state at the prefix it shares with the word before."""
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        before, ends = b"", [0]
-        ending, size = self.ending, self.sizes
-        for word, data in sorted(((w, w.encode("utf-8", "replace")) for w in words.difference(self.memo) if len(w) <= MEMO_LENGTH), key=lambda x: x[1]):
-            same = 0
-            for x, y in zip(before, data):  # noqa: B905
-                if x != y:
-                    break
-                same += 1
-            del ends[same + 1 :]
+        memo = self.memo
+        if len(memo) >= MEMO:
+            memo = self.memo = {w: memo[w] for w in words if w in memo}
+        before, ends, states = b"", [0], [0]
+        go, jump, found, pairs, size = self.go, self.jump, self.found, self.pairs, self.sizes
+        for data, word in sorted((w.encode("utf-8", "replace"), w) for w in words if w not in memo and len(w) <= MEMO_LENGTH):
+            same = len(commonprefix((before, data)))
+            del ends[same + 1 :], states[same + 1 :]
+            state = states[-1]
             for end in range(same + 1, len(data) + 1):
-                ends.append(ending(data, end, ends))
+                key = state << 8 | data[end - 1]
+                new = go.get(key)
+                if new is None:
+                    new = jump.get(key)
+                    if new is None:
+                        new = self.step(state, data[end - 1])
+                state = new
+                for t, n in found[state]:
+                    if n == end:
+                        break
+                    left = ends[end - n]
+                    fits = pairs.get(left << 32 | t)
+                    if self.compatible(left, t) if fits is None else fits:
+                        break
+                ends.append(t)
+                states.append(state)
             path, p = [], len(data)
             while p:
                 path.append(ends[p])
                 p -= size[ends[p]]
             path.reverse()
-            self.memo[word] = struct.pack(f"<{len(path)}I", *path)
+            memo[word] = struct.pack(f"<{len(path)}I", *path)
             before = data
 
-    def packed(self, word: str) -> bytes:
+    def packed(self, word: str) -> Iterator[bytes]:
+        """Ids of one pre-token, a bounded number at once."""
         known = self.memo.get(word)
-        return np.fromiter(self.stream(word.encode("utf-8", "replace")), "<u4").tobytes() if known is None else known
+        if known is not None:
+            yield known
+            return
+        ids = self.stream(word.encode("utf-8", "replace"))
+        while part := list(islice(ids, CHUNK)):
+            yield struct.pack(f"<{len(part)}I", *part)
 
     def pieces(self, text: str) -> Iterator[str]:
         """A long text in pieces whose matches are the text's."""
@@ -251,31 +331,38 @@ class Transducer:
                 for piece in self.pieces(part):
                     words = self.pattern.findall(piece)
                     self.prepare(set(words))
-                    yield b"".join(map(self.packed, words))
-
-    def encode_all(self, texts: list[str]) -> list[list[bytes]]:
-        """Chunks of ids for several texts; their new pre-tokens are prepared together."""
+                    known = []
+                    for w in words:
+                        if len(w) <= MEMO_LENGTH:
+                            known.append(self.memo[w])
+                            continue
+                        yield b"".join(known)
+                        known = []
+                        yield from self.packed(w)
+                    yield b"".join(known)
+
+    def encode_all(self, texts: list[str]) -> Iterator[Iterable[bytes]]:
+        """Chunks of ids for several texts, one text after the other; their new pre-tokens are prepared together."""
         plain = [len(t) <= PIECE and not (self.split and self.split.search(t)) for t in texts]
         words = [self.pattern.findall(t) if ok else [] for t, ok in zip(texts, plain, strict=True)]
         self.prepare(set().union(*words))
-        known, packed = self.memo.__getitem__, self.packed
-        out = []
         for t, ok, w in zip(texts, plain, words, strict=True):
             if not ok:
-                out.append(list(self.encode(t)))
+                yield self.encode(t)
                 continue
             try:
-                out.append([b"".join(map(known, w))])
+                yield [b"".join(map(self.memo.__getitem__, w))]
             except KeyError:  # a long pre-token is among them, or another text emptied the memo
-                out.append([b"".join(map(packed, w))])
-        return out
+                yield self.encode(t)
 
-    def decode(self, chunks: Iterator[bytes]) -> Iterator[str]:
+    def decode(self, chunks: Iterable[bytes]) -> Iterator[str]:
         """Text of packed ids, chunk by chunk."""
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        bytes_of = self.bytes_of.__getitem__
         for chunk in chunks:
-            yield machine.decode(b"".join(map(bytes_of, np.frombuffer(chunk, "<u4").tolist())))
+            ids = np.frombuffer(chunk, "<u4")
+            width = self.width[ids]
+            ends = np.cumsum(width)
+            yield machine.decode(self.flat[np.arange(width.sum()) + np.repeat(self.place[ids] - ends + width, width)].tobytes())
         yield machine.decode(b"", True)
 
 
@@ -287,15 +374,24 @@ def _round_trip(path: str, names: list[str], full: bool):
                 n, ids_sha, text_sha, ids = [], [], [], []
                 for chunks in t.encode_all([x or "" for x in batch.column("text").to_pylist()]):
                     a, b = hashlib.sha256(), hashlib.sha256()
-                    for c in chunks:
-                        a.update(c)
-                    for s in t.decode(iter(chunks)):
+                    size, own = 0, []
+
+                    def seen(chunks=chunks, a=a, own=own):
+                        nonlocal size
+                        for c in chunks:
+                            a.update(c)
+                            size += len(c)
+                            if full:
+                                own.append(c)
+                            yield c
+
+                    for s in t.decode(seen()):
                         b.update(s.encode("utf-8"))
-                    n.append(sum(map(len, chunks)) // 4)
+                    n.append(size // 4)
                     ids_sha.append(a.hexdigest())
                     text_sha.append(b.hexdigest())
                     if full:
-                        ids.append(np.frombuffer(b"".join(chunks), "<u4").astype(np.int32))
+                        ids.append(np.frombuffer(b"".join(own), "<u4").astype(np.int32))
                 cols = [*[batch.column(c) for c in names], pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
                 if full:
                     cols.append(pa.array(ids, pa.list_(pa.int32())))
