@@ -347,6 +347,43 @@ def test_near_vectors_with_concentrated_differences_meet_over_cell_edges(spark):
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == want
 
 
+def test_near_vectors_of_reused_ids_keep_their_links(spark):
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(2, 16)).tolist()
+    rows = [(5, x, 1), (5, y, 1), (2, [c + 1e-3 for c in x], 1), (3, [c - 1e-3 for c in y], 1), (9, y, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in op9_embeddings.near_vectors(df, 0.93).collect())
+    assert got == [(2, 1, 2, True), (3, 2, 3, True), (5, 1, 2, False), (5, 2, 3, False), (9, 2, 3, False)]
+
+
+def linked_vectors(kind, dims, n, seed):
+    """Pairs at cosine 0.93 to 0.99 whose differences are spread, lie in two components, or lie in the eight dimensions that carry most of the spread."""
+    rng = np.random.default_rng(seed)
+    scale = np.where(np.arange(dims) < 8, 1.0, 0.05) if kind == "low rank" else np.ones(dims)
+    x = rng.normal(size=(n // 2, dims)) * scale
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    d = rng.normal(size=x.shape) * scale
+    if kind == "two components":
+        d[np.argsort(rng.random(x.shape), axis=1).argsort(axis=1) >= 2] = 0
+    d -= (d * x).sum(axis=1, keepdims=True) * x
+    d /= np.linalg.norm(d, axis=1, keepdims=True)
+    cos = rng.uniform(0.93, 0.99, (n // 2, 1))
+    return np.concatenate([x, cos * x + np.sqrt(1 - cos**2) * d])
+
+
+@pytest.mark.parametrize("kind", ["spread", "two components", "low rank"])
+def test_near_vectors_recall_over_many_cells(spark, kind):
+    unit = linked_vectors(kind, 64, 1500, 11)
+    true = unit @ unit.T >= 0.93
+    np.fill_diagonal(true, False)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(unit)], "vec_id long, embedding array<double>, label int")
+    links = {d: {r.vec_id: r.n_links for r in op9_embeddings.near_vectors(df, 0.93, cell_size=60, block=100, deviations=d).collect()} for d in (op9_embeddings.DEVIATIONS, None)}
+    want = true.sum(axis=1)
+    assert want.sum() >= 1400 and all(links[None][i] == n for i, n in enumerate(want))
+    assert all(links[op9_embeddings.DEVIATIONS][i] <= n for i, n in enumerate(want))
+    assert sum(links[op9_embeddings.DEVIATIONS].values()) >= 0.99 * want.sum()
+
+
 # 10 tokens
 
 
