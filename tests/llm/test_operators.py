@@ -121,6 +121,17 @@ def test_near_duplicate_groups_with_rows_out_of_line(spark):
             assert (r.n_shingles, r.component_id, r.kept) == want[r.doc_id]
 
 
+def test_near_duplicates_of_reused_ids_keep_their_links(spark):
+    a, b = " ".join(f"a{i}" for i in range(200)), " ".join(f"b{i}" for i in range(200))
+    rows = [(5, a), (5, b), (8, a + " end"), (3, b + " end"), (9, a), (5, "alone among all"), (7, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = op3_minhash.near_duplicates(df, 3, 85).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == [
+        (3, 199, 3, True), (5, 1, 5, True), (5, 198, 3, False), (5, 198, 5, True), (7, 198, 3, False), (8, 199, 5, False), (9, 198, 5, False)
+    ]
+    assert sorted(map(tuple, op3_minhash.stage(spark, df, "").collect())) == sorted([(3, b + " end"), (5, a), (5, "alone among all")])
+
+
 def test_near_dedup_stage_keeps_one_of_each_group(spark, docs, sf_dir, corpus):
     twice = docs.unionByName(docs.where("doc_id in (3, 112)"))
     out = op3_minhash.stage(spark, twice, sf_dir)

@@ -24,7 +24,8 @@ component, so the components are those of all candidate pairs.
 Defined results: without words (or text) the set is empty and the row is a
 component of its own; rows without doc_id take no part (component null, kept);
 repeated rows have equal sets and share a component, all rows with its
-smallest doc_id are kept; an empty table gives an empty result.  Extra columns
+smallest doc_id are kept; rows that share a doc_id with other texts are linked
+each by its own set; an empty table gives an empty result.  Extra columns
 of the input are not read.
 """
 
@@ -199,8 +200,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     """Components of documents (doc_id, text) whose shingle sets have
     100 * intersection >= percent * union, confirmed on the full sets.
 
-    Returns one row per row of ``docs``: doc_id, n_shingles, component_id, kept
-    and th, a hash of the text.
+    Returns one row per row of ``docs``: doc_id, n_shingles, component_id, kept,
+    th, a hash of the text, and group, a name of the component that tells
+    components apart whose smallest doc_id is the same, reused one.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
@@ -211,20 +213,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     feats = scratch.cut(hashed.mapInArrow(_features(shingle, bands, rows), "doc_id long, th long, n long, k1 long, k2 long, bands array<long>"))
     linked = feats.where("n > 0 and doc_id is not null")
     classes = scratch.cut(linked.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
-    # one row per class; a doc_id that is smallest in two classes (repeated with another text) stands for both
-    nodes = classes.groupBy("rep").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2", F.col("rep").alias("doc_id"))
-    reps = linked.join(nodes, ["k1", "k2", "doc_id"]).dropDuplicates(["k1", "k2", "doc_id"])
-    reps = scratch.cut(reps.select("k1", "k2", F.col("doc_id").alias("rep"), "bands"))
+    # one row per class, which goes by the name of its set: a doc_id may be smallest in several
+    reps = linked.join(classes.withColumnRenamed("rep", "doc_id"), ["k1", "k2", "doc_id"]).dropDuplicates(["k1", "k2"])
+    reps = scratch.cut(reps.select(F.col("k1").alias("rep"), "k2", "doc_id", "bands"))
     keys = reps.select(F.explode("bands").alias("key"), "rep")
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("key", "hub")
     shared = scratch.cut(keys.join(hubs, "key").distinct())
     wanted = shared.select("rep").distinct()
-    near = scratch.cut(reps.select("rep", "k1", "k2").join(wanted, "rep", "left_semi"))
+    near = scratch.cut(reps.select("rep", "k2", "doc_id").join(wanted, "rep", "left_semi"))
     # the comparison lets Spark build its runtime Bloom filter of the wanted ids, ahead of the shuffle of texts
-    texts = docs.join(near.where(F.col("rep") >= -(1 << 63)).select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    texts = docs.join(near.where(F.col("doc_id") >= -(1 << 63)).select("doc_id"), "doc_id", "left_semi")
     sets = texts.mapInArrow(_sets(shingle), f"doc_id long, k1 long, k2 long, members array<long>, {', '.join(f'{s} long' for s in SKETCH)}")
-    sets = sets.join(near.withColumnRenamed("rep", "doc_id"), ["doc_id", "k1", "k2"], "left_semi").dropDuplicates(["doc_id", "k1", "k2"])
-    sets = scratch.cut(sets.drop("k1", "k2").withColumnRenamed("doc_id", "rep"))
+    sets = sets.withColumnRenamed("k1", "rep").join(near, ["doc_id", "rep", "k2"], "left_semi").dropDuplicates(["rep", "k2"])
+    sets = scratch.cut(sets.drop("doc_id", "k2"))
 
     def side(name: str, full: bool = False) -> DataFrame:
         own = [F.col(s).alias(f"{name}_{s}") for s in SKETCH] + [F.col("members").alias(f"{name}_set")] * full
@@ -270,12 +271,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         all_ = members.select(F.col("key").alias("other"), F.col("rep").alias("b"), F.col("label").alias("lb")).join(side("b", True), "b")
         across = rest.join(all_, (F.col("key") == F.col("other")) & (F.col("la") != F.col("lb")) & near_enough & similar(F.col("a_set"), F.col("b_set"), percent))
         labels = joined(labels, across.select("a", "b").distinct())
-    nodes = labels.select(F.col("rep").alias("node"), F.col("label").alias("component"))
-
-    named = classes.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
+    least = classes.join(labels.withColumnRenamed("rep", "k1"), "k1").groupBy("label").agg(F.min("rep").alias("component"))
+    named = labels.join(least, "label").select(F.col("rep").alias("k1"), "component", "label")
+    named = classes.join(named, "k1", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"), F.coalesce("label", "k1").alias("group"))
     out = feats.select("doc_id", "th", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
     component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "th")
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "th", "group")
     scratch.drop(shared, near, sets, links, members, reps)
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
 
@@ -310,6 +311,6 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (five words a shingle, similarity 0.8)."""
     docs, named = shield(docs, "doc_id", "text")
     found = near_duplicates(docs).where("kept and doc_id is not null")
-    one = found.groupBy("doc_id").agg(F.min("th").alias("th"))  # of repeated rows one stays
+    one = found.groupBy("doc_id", "group").agg(F.min("th").alias("th"))  # of repeated rows one stays
     kept = docs.withColumn("th", F.xxhash64("text")).join(one, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
     return named(kept.select(*docs.columns).unionByName(docs.where("doc_id is null")))
