@@ -281,7 +281,7 @@ def test_language_model_scores(spark, sf_dir, corpus):
 def test_language_model_looks_rare_words_up(spark, docs, corpus, monkeypatch):
     monkeypatch.setattr(op8_lm, "HEAD", 5)
     flagged = docs.unionByName(docs.where("doc_id = 7")).withColumn("held_out", F.lit(False))
-    rows = op8_lm.score(flagged, flagged).collect()
+    rows = op8_lm.score(flagged).collect()
     c = Counter(w for r in [*corpus, corpus[7]] for w in [*brute.words(r[1]), "</end>"])
     n, v = sum(c.values()), len(c)
     text = {r[0]: r[1] for r in corpus}
@@ -299,29 +299,55 @@ def test_language_model_counts_the_most_frequent_words_when_none_fits_the_head(s
     monkeypatch.setattr(op8_lm, "head_floor", lambda words, most, clip: chosen.append(choose(words, most, 3)) or chosen[-1])
     for head in (0, 5):
         monkeypatch.setattr(op8_lm, "HEAD", head)
-        for r in op8_lm.score(flagged, flagged).collect():
+        for r in op8_lm.score(flagged).collect():
             w = [*brute.words(text[r.doc_id]), "</end>"]
             assert r.n_known == len(w) and r.base_score == pytest.approx(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w))
     assert chosen[0] > max(c.values()) and 3 < chosen[1] <= max(c.values())
     assert sum(x >= chosen[1] for x in c.values()) <= 5
 
 
-def test_language_model_is_the_same_when_its_filter_is_not_broadcast(spark, docs, corpus, monkeypatch):
-    from threadkeeper.llm.common import Scratch
-
+def test_language_model_scores_equal_a_plain_model_whether_its_filter_is_broadcast_or_not(spark, docs, corpus, monkeypatch):
+    rows = [*corpus, corpus[7]]
     flagged = docs.unionByName(docs.where("doc_id = 7")).withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
-    training = flagged.where("not held_out")
-    monkeypatch.setattr(op8_lm, "RANGE_TOKENS", 4000)  # several hash ranges
-    bits, _, model, _, _ = op8_lm.train(training, Scratch(spark, "t"))
-    texts = pa.array([r[1] for r in training.select("doc_id", "text").collect()], pa.string())
-    h, n = np.unique(np.concatenate([op8_lm.pairs(*op8_lm.tokens(texts))]), return_counts=True)
-    assert model.range_bits > 1 and (op8_lm.Filter(np.frombuffer(bits.value, np.uint8), model.range_bits, model.stretch).levels(h) >= op8_lm.level(n)).all()
-    want = sorted(map(tuple, op8_lm.score(flagged, training).collect()))
-    for most in (0, 1 << 12):
-        monkeypatch.setattr(op8_lm, "MOST_BITS", most)
-        got = sorted(map(tuple, op8_lm.score(flagged, training).collect()))
-        assert [r[:5] for r in got] == [r[:5] for r in want]
-        assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-12)
+    monkeypatch.setattr(op8_lm, "RANGE_BYTES", 40_000)  # several hash ranges
+    monkeypatch.setattr(op8_lm, "PACKET", 20_000)  # and packets
+    monkeypatch.setattr(op8_lm, "BITS", 64)  # hardly a false positive
+    got = sorted(map(tuple, op8_lm.score(flagged).collect()))
+    other = sorted(map(tuple, op8_lm.score(flagged, broadcast=True).collect()))
+    assert [r[:5] for r in got] == [r[:5] for r in other]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in other], rtol=1e-12)
+
+    texts = {r[0]: [*brute.words(r[1]), None] for r in corpus}
+    one, two = Counter(), Counter()
+    learn = [texts[r[0]] for r in rows if brute.crc(r[0]) % 5 != 1]
+    for w in learn:
+        one.update(w)
+        two.update(zip([0, *w], w))
+    level = lambda n: int(op8_lm.level(np.array([n]))[0])
+    means = []
+    for c in (one, two):
+        n = np.array(list(c.values()))
+        q = op8_lm.level(n)
+        means.append({x: n[q == x].mean() for x in set(q.tolist())})
+    n, v, start = sum(one.values()), len(one), one[None]
+    use = {}
+    for w in learn:
+        for a, b in zip([0, *w], w):
+            x = use.setdefault(level(one[a] if a != 0 else start), [0, 0, 0])
+            x[0] += 1
+            x[1] += 1
+            x[2] += level(two[a, b]) >= level(2)
+    for r in got:
+        want = 0.0
+        w = texts[r[0]]
+        for a, b in zip([0, *w], w):
+            before = level(one[a] if a != 0 else start)
+            total, found, again = use.get(before, (0, 0, 0))
+            mass, gain = (again / (total + 1), again / found) if again else (0.0, 0.0)
+            history = start if a == 0 else max(1.0, means[0].get(before, 0.0))
+            pair = min(1.0, means[1].get(level(two[a, b]), 0.0) / history)
+            want += math.log10(gain * pair + (1 - mass) * (means[0].get(level(one[b]), 0.0) + 0.5) / (n + 0.5 * (v + 1)))
+        assert r[6] == pytest.approx(min(0.0, want), rel=1e-3, abs=1e-6)
 
 
 # 9 embeddings

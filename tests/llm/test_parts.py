@@ -1,6 +1,7 @@
 """The operators' numeric parts against plain versions."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -135,30 +136,43 @@ def test_fingerprints_do_not_depend_on_the_batch():
 
 def test_log_frequency_filter_reads_levels_back():
     rng = np.random.default_rng(0)
-    h = rng.integers(0, 1 << 63, 3000, dtype=np.uint64) << np.uint64(1)
-    n = rng.integers(1, 2000, 3000)
-    bits, parts = 2, 4
-    stretch = int(op8_lm.level(n).sum()) * op8_lm.BITS // parts // 8 * 8
-    whole = np.zeros(parts * stretch // 8, np.uint8)
-    import pandas as pd
-
-    for part in range(parts):
-        own = (h >> np.uint64(62)) == part
-        rows = pd.DataFrame({"part": [part], "order": [1], "names": [op8_lm.pack(h[own], bits).tobytes()], "counts": [n[own].astype("<u4").tobytes()]})
-        whole[part * stretch // 8 : (part + 1) * stretch // 8] = np.frombuffer(op8_lm._fill((1, 1), stretch, bits)(rows)["bits"][0], np.uint8)
-    f = op8_lm.Filter(whole, bits, stretch)
-    got, want = f.levels(h), op8_lm.level(n)
+    keys = np.unique(rng.integers(0, 1 << 33, 3000, dtype=np.uint64))
+    n, ranges = rng.integers(0, 2000, len(keys)), rng.integers(0, 4, len(keys))
+    n[::3] = 0  # asked for but never counted
+    want = op8_lm.level(n)
+    filled = [op8_lm.Filter.stretch(keys[ranges == r], want[ranges == r], op8_lm.BITS) for r in range(4)]
+    f = op8_lm.Filter(np.concatenate(filled), np.array([8 * len(x) for x in filled]))
+    got = f.levels(keys, ranges)
     assert (got >= want).all() and (got > want).mean() < 0.05
-    absent = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
-    assert (f.levels(absent) > 0).mean() < 0.05
 
 
-def test_packed_hashes_come_back():
-    h = np.array([0, 1 << 63, 0xFFFFFFFFFFFFFFFF, 0x123456789ABCDEF0], np.uint64)
-    for bits in (0, 3, 12):
-        for x in h:
-            back = op8_lm.unpack(op8_lm.pack(np.array([x]), bits).tobytes(), int(x) >> (64 - bits) if bits else 0, bits)
-            assert op8_lm.Filter.known_bits(np.array([x]), bits)[0] == back[0]
+def test_a_range_adds_counts_up_and_answers_every_packet():
+    texts = pa.array(["a b a b a", "b c", None, "a " * 700], pa.string())
+    learn = [True, False, True, True]
+    asked = []
+    for packet, rows in enumerate(([0, 1], [2, 3], [0])):
+        batch = pa.RecordBatch.from_arrays([texts.take(pa.array(rows)), pa.array([learn[r] for r in rows])], names=["text", "learn"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as out:
+            out.write_batch(batch)
+        sent = pa.RecordBatch.from_arrays([pa.array([packet]), pa.array([sink.getvalue().to_pybytes()])], names=["packet", "texts"])
+        asked += op8_lm._ask(0)(iter([sent]))
+    table = pa.Table.from_batches(asked)
+    got = {r["packet"]: r for r in op8_lm._answer(False, 64)(table).to_pylist()}
+    counts = Counter("a b a b a </s>".split() * 2 + ["</s>"] + ["a"] * 700 + ["</s>"])
+    for packet, words in ((0, "a b c </s>"), (1, "a </s>"), (2, "a b </s>")):
+        assert got[packet]["words"] == len(words.split())
+        assert sorted(got[packet]["levels"][: got[packet]["words"]]) == sorted(op8_lm.level(np.array([counts[w] for w in words.split()])))
+    assert sum(got[None]["sums"][: op8_lm.LEVELS]) == sum(counts.values()) == sum(got[None]["sums"][op8_lm.LEVELS :])
+
+
+def test_words_of_one_length_that_a_polynomial_confuses_have_their_own_hashes():
+    thue = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    words = [thue, thue.translate({97: "b", 98: "a"}), thue[:512], thue[512:], *("x" * n for n in range(1, 130))]
+    h, _ = W.word_hashes(pa.array(words, pa.string()))
+    assert len(set(h.tolist())) == len(words) - (thue[:512] == thue[512:])
+    upper, _ = W.word_hashes(pa.array([w.upper() for w in words], pa.string()))
+    assert (upper == h).all()
 
 
 def test_spherical_kmeans_finds_separate_directions():

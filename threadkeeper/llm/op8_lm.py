@@ -5,32 +5,36 @@ Counts of words and word pairs of the training texts are quantised to levels
 an n-gram of level q goes into a Bloom filter q times, once for each level
 1..q.  A reader probes level 1, 2, ... until one is missing, so a count costs
 bits by the logarithm of its size, and a false positive lifts it one level.
-Every n-gram goes in, and the filter has ``BITS`` bits an insertion.  Counts
-come from the whole training corpus: each Arrow batch sums its own n-grams,
-sends them in a packed block for each hash range, and one bounded group per
-range adds them up and later fills its own stretch of the filter.  A filter of
-up to ``MOST_BITS`` (64 MB) is broadcast.  The stretches of a larger one stay
-where they are: batches of texts send the hashes of their n-grams to the ranges
-and get the levels back, which gives the same scores.
+Every n-gram goes in, and the filter has ``BITS`` bits an insertion.
+
+Texts travel in packets of about ``PACKET`` bytes.  A packet sends each hash
+range the names (32 bits below the range) of its distinct n-grams with their
+counts in training texts.  One group per range, bounded by the size of a range,
+adds the counts up, fills its own stretch of the filter, probes it for every
+name it got and sends each packet its levels back: one exchange counts, fills
+and looks up.  The levels of all tokens are written, and both the model's pair
+masses and the scores are read from them.  With ``broadcast`` the stretches go
+to the driver and are broadcast whole instead, which gives the same scores;
+it is for filters known to be small, and no size switches it on.
 
     p(w)     = (c(w) + 0.5) / (N + 0.5 * (V + 1))
     p(w | v) = g * c(v w) / c(v) + (1 - l) * p(w)
 
 A level stands for the mean of the counts that have it, so p(w) sums to one
-but for false positives.  l and g belong to the level of v and come from a
-second pass over the training texts: l is the share of tokens after such words
-that would still be found as a pair if the token itself weren't counted, and
-g = l / (share of tokens found as a pair), which hands exactly the mass l to
-pairs.
+but for false positives.  l and g belong to the level of v: l is the share of
+training tokens after such words that would still be found as a pair if the
+token itself weren't counted, and g = l / (share of tokens found as a pair),
+which hands exactly the mass l to pairs.
 
 The base score needs exact counts of single words.  Words with at least the
 count that at most ``HEAD`` words have are broadcast; the others are looked up
 by a join on the word, for the few tokens outside the head.
 
 Defined results: a null text is empty and has one token, the end; a null
-doc_id counts as an empty one for the fold; repeated rows get equal results;
-without training texts N is 0 and every token unknown; an empty table gives an
-empty result.  Extra columns of the input are not read.
+doc_id counts as an empty one for the fold; a null held_out neither teaches nor
+changes a score; repeated rows get equal results; without training texts N is 0
+and every token unknown; an empty table gives an empty result.  Extra columns
+of the input are not read.
 """
 
 from __future__ import annotations
@@ -38,30 +42,27 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 from .common import Scratch, ready, table
 from .op2_language import fold
-from .words import mix, slices, word_hashes
+from .words import mix, slices, text_buffer, word_hashes
 
-MIN_COUNT = (1, 1)  # of words and of word pairs that the filter keeps
 BITS = 10
 PROBES = 4
-MOST_BITS = 1 << 29  # of a filter that is broadcast
-ASKING = 1 << 22  # bytes of text whose n-grams are looked up together
+PACKET = 1 << 23  # bytes of text whose n-grams are counted and looked up together
+RANGE_BYTES = 6 << 20  # bytes of text for each hash range
 HEAD = 1 << 19
-RANGE_TOKENS = 1 << 20  # tokens a hash range has about
 BASE = 1.5
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
 THRESHOLDS = np.array(sorted({int(np.ceil(BASE**i)) for i in range(100)}), np.float64)
 LEVELS = len(THRESHOLDS) + 1  # with level 0: not there
+CLIP = 1024  # counts told apart when the least one of the head is chosen
+LOW = np.uint64(0xFFFFFFFF)
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -97,267 +98,270 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "c"])
 
 
-def pack(h: np.ndarray, bits: int) -> np.ndarray:
-    """The 48 bits of a hash below its range, as bytes."""
-    return np.ascontiguousarray((h << np.uint64(bits)).view(np.uint8).reshape(-1, 8)[:, 2:])
-
-
-def unpack(raw: bytes, part: int, bits: int) -> np.ndarray:
-    """Hashes of a block; the 16 - bits lowest bits are gone."""
-    b = np.zeros((len(raw) // 6, 8), np.uint8)
-    b[:, 2:] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    h = b.view(np.uint64).ravel() >> np.uint64(bits)
-    return h | np.uint64(part << (64 - bits)) if bits else h
-
-
-def _pair_blocks(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.uint64)
-        for whole in batches:
-            for batch in slices(whole, "text", 1 << 24):
-                found = np.concatenate([pairs(*tokens(part.column("text"))) for part in slices(batch, "text")])
-                h, n = np.unique(found, return_counts=True)
-                cut = np.append(np.searchsorted(h, edges), len(h))
-                some = np.flatnonzero(np.diff(cut))
-                names, counts = pack(h, bits), n.astype("<u4")
-                for i in range(0, len(some), 256):
-                    own = some[i : i + 256]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own.astype(np.int32)), pa.array([names[cut[p] : cut[p + 1]].tobytes() for p in own], pa.binary()), pa.array([counts[cut[p] : cut[p + 1]].tobytes() for p in own], pa.binary())],
-                        names=["part", "names", "counts"],
-                    )
-
-    return run
-
-
-def _add_up(least: int, bits: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        part = int(rows["part"].iloc[0])
-        h = np.concatenate([unpack(x, part, bits) for x in rows["names"]])
-        n = np.concatenate([np.frombuffer(x, "<u4") for x in rows["counts"]]).astype(np.int64)
-        order = np.argsort(h, kind="stable")
-        h, n = h[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-        total = np.add.reduceat(n, first) if len(first) else n
-        keep = total >= least
-        h, total = h[first][keep], total[keep]
-        return pd.DataFrame({"part": [part], "names": [pack(h, bits).tobytes()], "counts": [np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], "nums": [np.bincount(level(total), minlength=LEVELS).tolist()], "sums": [np.bincount(level(total), weights=total, minlength=LEVELS).tolist()]})
-
-    return run
-
-
-CLIP = 1024  # counts told apart when the least one of the head is chosen
-
-
 class Filter:
-    """The bits of a log-frequency filter, from hash range ``first`` on; each range has a stretch of its own."""
+    """The bits of a log-frequency filter: a stretch for each hash range."""
 
-    def __init__(self, bits: np.ndarray, range_bits: int, stretch: int, first: int = 0):
-        self.bits, self.range_bits, self.stretch, self.first = bits, np.uint64(range_bits), np.uint64(stretch), np.uint64(first)
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray):
+        """``bits`` packed by bytes; ``sizes`` of the stretches in bits, multiples of 8."""
+        self.bits, self.sizes = bits, sizes.astype(np.uint64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     @staticmethod
-    def places(h: np.ndarray, q: int, stretch: int) -> Iterator[np.ndarray]:
-        """Where level q of each hash is marked, inside its stretch."""
-        a = mix(h + np.uint64(q * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF))
+    def places(keys: np.ndarray, q: int, size: np.ndarray) -> Iterator[np.ndarray]:
+        """Where level q of each key is marked, inside its stretch."""
+        a = mix(keys + np.uint64(q * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF))
         b = (a >> np.uint64(32)) | np.uint64(1)
-        a = a & np.uint64(0xFFFFFFFF)
         for i in range(PROBES):
-            yield (a + np.uint64(i) * b) % np.uint64(stretch)
-
-    @staticmethod
-    def known_bits(h: np.ndarray, range_bits: int) -> np.ndarray:
-        """The bits of a hash that blocks carry."""
-        drop = max(0, 16 - range_bits)
-        return h >> np.uint64(drop) << np.uint64(drop)
-
-    def levels(self, h: np.ndarray) -> np.ndarray:
-        h = self.known_bits(h, int(self.range_bits))
-        out = np.zeros(len(h), np.int64)
-        if not len(self.bits):
-            return out
-        base = ((h >> (np.uint64(64) - self.range_bits)) - self.first) * self.stretch if self.range_bits else np.zeros(len(h), np.uint64)
-        left = np.arange(len(h))
-        for q in range(1, len(THRESHOLDS) + 1):
-            hl, bl = h[left], base[left]
+            yield ((a + np.uint64(i) * b & LOW) * size) >> np.uint64(32)
+
+    @classmethod
+    def stretch(cls, keys: np.ndarray, levels: np.ndarray, per_insertion: int) -> np.ndarray:
+        """The filled bytes of one range."""
+        marked = np.zeros(max(8, int(levels.sum()) * per_insertion // 64 + 1) * 64, bool)
+        for q in range(1, int(levels.max(initial=0)) + 1):
+            keys, levels = keys[levels >= q], levels[levels >= q]
+            for place in cls.places(keys, q, np.uint64(len(marked))):
+                marked[place] = True
+        return np.packbits(marked, bitorder="little")
+
+    def levels(self, keys: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys), np.uint8)
+        left, base, size = np.arange(len(keys)), self.starts[ranges], self.sizes[ranges]
+        for q in range(1, LEVELS):
             hit = np.ones(len(left), bool)
-            for place in self.places(hl, q, int(self.stretch)):
-                at = place + bl
+            for place in self.places(keys, q, size):
+                at = place + base
                 hit &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            left = left[hit]
+            left, keys, base, size = left[hit], keys[hit], base[hit], size[hit]
             if not len(left):
                 break
             out[left] = q
         return out
 
 
-class Known:
-    """Levels that were looked up, of ascending hashes."""
-
-    def __init__(self, h: np.ndarray, found: np.ndarray):
-        self.h, self.found = h, found
-
-    def levels(self, h: np.ndarray) -> np.ndarray:
-        return self.found[np.searchsorted(self.h, h)].astype(np.int64)
-
+def names(h: np.ndarray, bits: int) -> np.ndarray:
+    """What packets send of a hash: its range and the 32 bits below."""
+    return h >> np.uint64(32 - bits)
 
-def _fill(least: tuple[int, int], stretch: int, range_bits: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        part = int(rows["part"].iloc[0])
-        bits = np.zeros(-(-stretch // 8), np.uint8)
-        for order, names, counts in zip(rows["order"], rows["names"], rows["counts"], strict=True):
-            h, n = unpack(names, part, range_bits), np.frombuffer(counts, "<u4")
-            keep = n >= least[order - 1]
-            h, q = Filter.known_bits(h[keep], range_bits), level(n[keep])
-            for j in range(1, int(q.max(initial=0)) + 1):
-                for place in Filter.places(h[q >= j], j, stretch):
-                    np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.left_shift(np.uint8(1), (place & np.uint64(7)).astype(np.uint8)))
-        return pd.DataFrame({"part": [part], "bits": [bits.tobytes()]})
 
-    return run
-
-
-class Model:
-    """What scoring needs on a worker: N, V, what levels stand for, and the head
-    of exact word counts; the filter's bits are a broadcast of their own."""
-
-    def __init__(self, range_bits: int, stretch: int, n: int, v: int, texts: int, values: list[np.ndarray], head: np.ndarray, counts: np.ndarray):
-        self.range_bits, self.stretch, self.n, self.v, self.texts, self.values, self.head, self.counts = range_bits, stretch, n, v, texts, values, head, counts
-        self.pair_mass, self.gain = np.zeros(LEVELS), np.zeros(LEVELS)
-        self.filter: Filter | Known | None = None
-
-    def opened(self, bits: bytes) -> Model:
-        if self.filter is None:
-            self.filter = Filter(np.frombuffer(bits, np.uint8), self.range_bits, self.stretch)
-        return self
-
-    def read(self, column: pa.Array) -> tuple[np.ndarray, ...]:
-        """Distinct tokens and their levels; per token: which one, level of the token before it, level of the pair; and cuts."""
-        toks, cuts = tokens(column)
-        words, at = np.unique(toks, return_inverse=True)
-        seen = self.filter.levels(words)
-        before = np.empty(len(toks), np.int64)
-        before[1:] = seen[at][:-1]
-        before[cuts[:-1]] = level(np.array([self.texts]))[0]  # a text's start was seen as often as there are texts
-        return words, seen, at, before, self.filter.levels(pairs(toks, cuts)), cuts
-
-    def pair_use(self, column: pa.Array) -> np.ndarray:
-        """(level of the token before, [tokens, in a known pair, in one that is known without this token])."""
-        _, _, _, before, two, _ = self.read(column)
-        again = level(np.array([MIN_COUNT[1] + 1]))[0]
-        return np.stack([np.bincount(before, weights=w, minlength=LEVELS) for w in (np.ones(len(two)), two > 0, two >= again)], axis=1)
-
-    def score(self, column: pa.Array) -> tuple[np.ndarray, ...]:
-        """Per text: tokens, known ones, base score, score; and (text, hash, times) of tokens outside the head."""
-        words, seen, at, before, two, cuts = self.read(column)
-        rank = np.minimum(np.searchsorted(self.head, words), max(0, len(self.head) - 1))
-        in_head = self.head[rank] == words if len(self.head) else np.zeros(len(words), bool)
-        exact = np.where(in_head, self.counts[rank] if len(self.head) else 0, 0)
-        denominator = self.n + 0.5 * (self.v + 1)
-        base = np.log10((exact + 0.5) / denominator)[at]
-        one = ((self.values[0][seen] + 0.5) / denominator)[at]
-        history = np.maximum(self.values[0][before], 1.0)
-        history[cuts[:-1]] = max(1, self.texts)
-        pair = np.minimum(1.0, self.values[1][two] / history)
-        logp = np.log10(self.gain[before] * pair + (1 - self.pair_mass[before]) * one)
-        known = in_head & (exact > 0)
-        row = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
-        out = ~in_head[at]
-        key, times = np.unique(row[out] * (len(words) + 1) + at[out], return_counts=True)
-        add = np.add.reduceat
-        return np.diff(cuts), add(known[at].astype(np.int64), cuts[:-1]), add(base, cuts[:-1]), np.minimum(add(logp, cuts[:-1]), 0.0), key // (len(words) + 1), words[key % (len(words) + 1)], times
+def key(name: np.ndarray, pair: np.ndarray | bool) -> np.ndarray:
+    """A name as the filter of its range knows it; words and pairs are apart."""
+    return name & LOW | np.asarray(pair).astype(np.uint64) << np.uint64(32)
 
 
-def _use(model: Model, batch: pa.RecordBatch) -> np.ndarray:
-    return sum((model.pair_use(part.column("text")) for part in slices(batch, "text")), np.zeros((LEVELS, 3)))
-
-
-def _use_rows(total: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.arange(LEVELS, dtype=np.int32)), *[pa.array(total[:, i].astype(np.int64)) for i in range(3)]], names=["level", "n", "found", "again"])
-
-
-def _pair_use(bits, shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value.opened(bits.value)
-        yield _use_rows(sum((_use(model, batch) for batch in batches), np.zeros((LEVELS, 3))))
-
-    return run
+def tally(name: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct names, ascending; how often each is in texts to learn from)."""
+    x = np.sort(name << np.uint64(1) | learn.astype(np.uint64))
+    first = np.flatnonzero(np.concatenate([[True], x[1:] >> np.uint64(1) != x[:-1] >> np.uint64(1)]))
+    return x[first] >> np.uint64(1), np.add.reduceat((x & np.uint64(1)).astype(np.int64), first)
 
 
 def _packets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts by numbered packets, each one Arrow stream."""
+    """Texts by numbered packets, each one compressed Arrow stream, with its bytes of text."""
     part, n = TaskContext.get().partitionId(), 0
     for whole in batches:
-        for batch in slices(whole, "text", ASKING):
+        for batch in slices(whole, "text", PACKET):
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema) as out:
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 out.write_batch(batch)
-            yield pa.RecordBatch.from_arrays([pa.array([part << 32 | n], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["packet", "texts"])
+            yield pa.RecordBatch.from_arrays([pa.array([part << 32 | n], pa.int64()), pa.array([len(text_buffer(batch.column("text"))[0])], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["packet", "bytes", "texts"])
             n += 1
 
 
-def _packed(texts: bytes) -> tuple[pa.RecordBatch, np.ndarray]:
-    """The texts of a packet, and the hashes of their words and pairs."""
+def grams(texts: pa.Buffer) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts of a packet; hashes of their tokens and pairs, and the first token of each text and the end."""
     batch = pa.ipc.open_stream(texts).read_next_batch()
-    found = []
+    toks, two, sizes = [], [], []
     for part in slices(batch, "text"):
-        toks, cuts = tokens(part.column("text"))
-        found += [np.unique(toks), np.unique(pairs(toks, cuts))]
-    return batch, np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+        t, cuts = tokens(part.column("text"))
+        toks.append(t)
+        two.append(pairs(t, cuts))
+        sizes.append(np.diff(cuts))
+    return batch, np.concatenate(toks), np.concatenate(two), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
 
 def _ask(bits: int):
+    """Distinct n-grams of each packet by hash range: words first, then pairs; counts of 255 and more stand in ``big``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.uint64)
+        edges = np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32)
         for whole in batches:
             for packet, texts in zip(whole.column("packet").to_pylist(), whole.column("texts"), strict=True):
-                _, h = _packed(texts.as_buffer())
-                cut = np.append(np.searchsorted(h, edges), len(h))
-                some, names = np.flatnonzero(np.diff(cut)), pack(h, bits)
-                for i in range(0, len(some), 256):
-                    own = some[i : i + 256]
-                    yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array([packet] * len(own), pa.int64()), pa.array([names[cut[p] : cut[p + 1]].tobytes() for p in own], pa.binary())], names=["part", "packet", "names"])
+                batch, toks, two, cuts = grams(texts.as_buffer())
+                learn = np.repeat(batch.column("learn").to_numpy(zero_copy_only=False), np.diff(cuts))
+                found = []
+                for h in (toks, two):
+                    name, n = tally(names(h, bits), learn)
+                    found.append((name.astype("<u4"), n, np.searchsorted(name, edges)))
+                del toks, two, learn
+                rows = []
+                for part in np.flatnonzero(sum(np.diff(cut) for _, _, cut in found)).tolist():
+                    own = [(name[cut[part] : cut[part + 1]], n[cut[part] : cut[part + 1]]) for name, n, cut in found]
+                    n = np.concatenate([n for _, n in own])
+                    rows.append((part, packet, len(own[0][0]), b"".join(name.tobytes() for name, _ in own), np.minimum(n, 255).astype(np.uint8).tobytes(), n[n >= 255].astype("<i8").tobytes()))
+                for i in range(0, len(rows), 256):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i : i + 256], strict=True), ASKED.types, strict=True)], schema=ASKED)
 
     return run
 
 
-def _answer(bits: int, stretch: int):
-    """Levels of the hashes that packets ask of one range, in their order."""
+ASKED = pa.schema([("part", pa.int32()), ("packet", pa.int64()), ("words", pa.int32()), ("names", pa.binary()), ("counts", pa.binary()), ("big", pa.binary())])
+ANSWER = pa.schema([("packet", pa.int64()), ("part", pa.int32()), ("words", pa.int32()), ("levels", pa.binary()), ("nums", pa.list_(pa.int64())), ("sums", pa.list_(pa.int64()))])
+ANSWERED = "packet long, part int, words int, levels binary, nums array<long>, sums array<long>"
+
+
+def _answer(whole: bool, per_insertion: int):
+    """One range: the levels of the names of each packet, and a row without a packet that tells
+    how many n-grams have each level and the sum of their counts (words, then pairs).  With
+    ``whole`` only that row, and the bits of the range as its levels."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        part = asked.column("part")[0].as_py()
+        words = asked.column("words").to_numpy()
+        sent = asked.column("names").to_pylist()
+        size = np.array([len(x) // 4 for x in sent])
+        ends = np.cumsum(size)
+        pair = np.arange(ends[-1]) - np.repeat(ends - size, size) >= np.repeat(words, size)
+        keys, at = np.unique(key(np.frombuffer(b"".join(sent), "<u4").astype(np.uint64), pair), return_inverse=True)
+        n = np.frombuffer(b"".join(asked.column("counts").to_pylist()), np.uint8).astype(np.int64)
+        n[n == 255] = np.frombuffer(b"".join(asked.column("big").to_pylist()), "<i8")
+        count = np.bincount(at, weights=n).astype(np.int64)
+        have = level(count)
+        bits = Filter.stretch(keys, have, per_insertion)
+        of = have + LEVELS * (keys >> np.uint64(32)).astype(np.int64)
+        nums, sums = np.bincount(of, minlength=2 * LEVELS), np.bincount(of, weights=count, minlength=2 * LEVELS).astype(np.int64)
+        own = ([None], [part], [None], [bits.tobytes() if whole else None], [nums.tolist()], [sums.tolist()])
+        if not whole:
+            found = Filter(bits, np.array([8 * len(bits)])).levels(keys, np.zeros(len(keys), np.int64))[at]
+            rows = ([x.tobytes() for x in np.split(found, ends[:-1])], [None] * len(sent), [None] * len(sent))
+            own = tuple([*x, *y] for x, y in zip((asked.column("packet").to_pylist(), [part] * len(sent), words.tolist(), *rows), own, strict=True))
+        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(own, ANSWER.types, strict=True)], schema=ANSWER)
 
-    def run(asked: pa.Table, own: pa.Table) -> pa.Table:
-        found = []
-        if asked.num_rows:
-            part = asked.column("part")[0].as_py()
-            filled = Filter(np.frombuffer(own.column("bits")[0].as_py() if own.num_rows else b"", np.uint8), bits, stretch, part)
-            found = [filled.levels(unpack(x, part, bits)).astype(np.uint8).tobytes() for x in asked.column("names").to_pylist()]
-        return pa.table({"packet": asked.column("packet"), "part": asked.column("part"), "levels": pa.array(found, pa.binary())})
+    return run
+
+
+class Head:
+    """What reading a packet needs on a worker: N, V and the exact counts of frequent words."""
+
+    def __init__(self, n: int, v: int, h: np.ndarray, counts: np.ndarray):
+        self.n, self.v, self.h, self.counts = n, v, h, counts
+
+    def exact(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which words are in the head, their counts or 0)."""
+        if not len(self.h):
+            return np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+        rank = np.minimum(np.searchsorted(self.h, words), len(self.h) - 1)
+        there = self.h[rank] == words
+        return there, np.where(there, self.counts[rank], 0)
+
+
+LEVELLED = "doc_id long, held_out boolean, row long, learn boolean, n_tokens long, n_known long, base_score double, rare array<long>, times array<long>, seen binary, two binary"
+
+
+def _levelled(head: Head, texts: pa.Buffer, bits: int, found) -> pa.RecordBatch:
+    """The texts of a packet with the levels of their tokens and pairs; ``found`` gives the levels of distinct names (words, pairs)."""
+    batch, toks, two, cuts = grams(texts)
+    words, at = np.unique(toks, return_inverse=True)
+    name = names(words, bits)
+    new = np.concatenate([[True], name[1:] != name[:-1]])
+    two, pair_at = np.unique(names(two, bits), return_inverse=True)
+    of_words, of_pairs = found(name[new], two)
+    seen, two = of_words[np.cumsum(new) - 1][at], of_pairs[pair_at]
+    in_head, exact = head.exact(words)
+    base = np.log10((exact + 0.5) / (head.n + 0.5 * (head.v + 1)))[at]
+    known = (in_head & (exact > 0))[at]
+    row = np.repeat(np.arange(batch.num_rows), np.diff(cuts))
+    out = ~in_head[at]
+    which, times = np.unique(row[out] * (len(words) + 1) + at[out], return_counts=True)
+    cut = pa.array(np.searchsorted(which // (len(words) + 1), np.arange(batch.num_rows + 1)).astype(np.int32))
+    rare = words[which % (len(words) + 1)].view(np.int64)
+    lists = [pa.ListArray.from_arrays(cut, pa.array(x)) for x in (rare, times.astype(np.int64))]
+    levels = [pa.array([x[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()) for x in (seen, two)]
+    sums = [pa.array(np.diff(cuts)), pa.array(np.add.reduceat(known.astype(np.int64), cuts[:-1])), pa.array(np.add.reduceat(base, cuts[:-1]))]
+    keep = ["doc_id", "held_out", "row", "learn"]
+    return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *sums, *lists, *levels], names=[*keep, "n_tokens", "n_known", "base_score", "rare", "times", "seen", "two"])
+
+
+def _with_answers(bits: int, shared: Broadcast):
+    def run(packet: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = answers.select(["part", "words", "levels"]).sort_by("part").to_pylist()
+        levels = [np.frombuffer(b"".join(x), np.uint8) for x in ([r["levels"][: r["words"]] for r in rows], [r["levels"][r["words"] :] for r in rows])]
+        return pa.Table.from_batches([_levelled(shared.value, texts.as_buffer(), bits, lambda words, two: levels) for texts in packet.column("texts")])
 
     return run
 
 
-def _with_levels(shared, result, shape: pa.Schema):
-    """``result`` (model, texts) of each packet, with the levels that its ranges gave."""
+def _with_filter(bits: int, shared: Broadcast, filled: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = Filter(*filled.value)
 
-    def run(packet: pa.Table, answers: pa.Table) -> pa.Table:
-        model, out = shared.value, []
-        for texts in packet.column("texts"):
-            batch, h = _packed(texts.as_buffer())
-            got = answers.sort_by("part").column("levels").to_pylist()
-            model.filter = Known(h, np.frombuffer(b"".join(got), np.uint8))
-            out += result(model, batch)
-        model.filter = None
-        return pa.Table.from_batches(out) if out else shape.empty_table()
+        def found(words: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
+            return [whole.levels(key(x, pair), (x >> np.uint64(32)).astype(np.int64)) for x, pair in ((words, False), (two, True))]
+
+        for batch in batches:
+            for texts in batch.column("texts"):
+                yield _levelled(shared.value, texts.as_buffer(), bits, found)
 
     return run
 
 
-def looked_up(texts: DataFrame, filled: DataFrame, model: Model, shared: Broadcast, result, shape: str, scratch: Scratch) -> DataFrame:
-    """``result`` of all texts under a filter whose stretches (part, bits) aren't broadcast."""
-    packets = scratch.cut(texts.mapInArrow(_packets, "packet long, texts binary"))
-    asked = packets.mapInArrow(_ask(model.range_bits), "part int, packet long, names binary")
-    answers = asked.groupBy("part").cogroup(filled.groupBy("part")).applyInArrow(_answer(model.range_bits, model.stretch), "packet long, part int, levels binary")
-    out = scratch.cut(packets.groupBy("packet").cogroup(answers.groupBy("packet")).applyInArrow(_with_levels(shared, result, to_arrow_schema(StructType.fromDDL(shape))), shape))
-    scratch.drop(packets)
-    return out
+class Model:
+    """What levels stand for: counts of words and pairs, and the pair mass after each level."""
+
+    def __init__(self, n: int, v: int, texts: int, values: list[np.ndarray]):
+        self.n, self.v, self.texts, self.values = n, v, texts, values
+        self.pair_mass, self.gain = np.zeros(LEVELS), np.zeros(LEVELS)
+
+    def read(self, batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """Per token: its level, that of the token before it, that of the pair; and the first token of each text and the end."""
+        seen, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8) for c in ("seen", "two"))
+        cuts = np.concatenate([[0], np.cumsum(batch.column("n_tokens").to_numpy())])
+        before = np.empty_like(seen)
+        before[1:] = seen[:-1]
+        before[cuts[:-1]] = level(np.array([self.texts]))[0]  # a text's start was seen as often as there are texts
+        return seen, before, two, cuts
+
+    def pair_use(self, batch: pa.RecordBatch) -> np.ndarray:
+        """(level of the token before, [tokens, in a known pair, in one that is known without this token])."""
+        _, before, two, _ = self.read(batch)
+        again = level(np.array([2]))[0]
+        return np.stack([np.bincount(before, weights=w, minlength=LEVELS) for w in (np.ones(len(two)), two > 0, two >= again)], axis=1).astype(np.int64)
+
+    def score(self, batch: pa.RecordBatch) -> np.ndarray:
+        seen, before, two, cuts = self.read(batch)
+        one = ((self.values[0] + 0.5) / (self.n + 0.5 * (self.v + 1)))[seen]
+        history = np.maximum(self.values[0], 1.0)[before]
+        history[cuts[:-1]] = max(1, self.texts)
+        pair = np.minimum(1.0, self.values[1][two] / history)
+        logp = np.log10(self.gain[before] * pair + (1 - self.pair_mass[before]) * one)
+        return np.minimum(np.add.reduceat(logp, cuts[:-1]), 0.0)
+
+
+def _tokens_at_once(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    at = np.concatenate([[0], np.cumsum(batch.column("n_tokens").to_numpy())])
+    row = 0
+    while row < batch.num_rows:
+        end = max(row + 1, int(np.searchsorted(at, at[row] + most, "right")) - 1)
+        yield batch.slice(row, end - row)
+        row = end
+
+
+def _pair_use(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = sum((model.pair_use(part) for batch in batches for part in _tokens_at_once(batch)), np.zeros((LEVELS, 3), np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(LEVELS, dtype=np.int32)), *[pa.array(total[:, i]) for i in range(3)]], names=["level", "n", "found", "again"])
+
+    return run
+
+
+def _scores(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = ["doc_id", "held_out", "row", "n_tokens", "n_known", "base_score"]
+        for batch in batches:
+            for part in _tokens_at_once(batch):
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(model.score(part))], names=[*kept, "score"])
+
+    return run
 
 
 def head_floor(words: DataFrame, most: int, clip: int) -> int:
@@ -373,114 +377,63 @@ def head_floor(words: DataFrame, most: int, clip: int) -> int:
     return next(t for t, n in zip(above, reach, strict=True) if n <= most)
 
 
-def train(docs: DataFrame, scratch: Scratch) -> tuple[Broadcast | None, DataFrame, Model, DataFrame, int]:
-    """The filter's bits if they are broadcast, its stretches (part, bits), the model of texts (text), the exact word counts (h, c), and the least count in the model's head."""
+def levelled(docs: DataFrame, scratch: Scratch, broadcast: bool) -> tuple[DataFrame, Model, DataFrame, int]:
+    """All texts with the levels of their tokens, the model, the exact word counts (h, c), and the least count in the broadcast head."""
     spark = scratch.spark
-    texts = docs.select("text")
-    words = scratch.cut(texts.mapInArrow(_word_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
+    packets = scratch.cut(docs.mapInArrow(_packets, "packet long, bytes long, texts binary"))
+    words = scratch.cut(docs.where("learn").select("text").mapInArrow(_word_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
     total = words.agg(F.count("*").alias("v"), F.sum("c").alias("n")).first()
     v, n = total["v"], total["n"] or 0
-    range_bits = min(20, max(0, int(np.ceil(np.log2(max(1, n) / RANGE_TOKENS)))))
-    blocks = texts.mapInArrow(_pair_blocks(range_bits), "part int, names binary, counts binary")
-    shape = "part int, names binary, counts binary, nums array<double>, sums array<double>"
-    two = scratch.cut(blocks.groupBy("part").applyInPandas(_add_up(MIN_COUNT[1], range_bits), shape))
-    one = words.mapInArrow(_word_blocks(range_bits), "part int, names binary, counts binary")
-    one = scratch.cut(one.groupBy("part").applyInPandas(_add_up(MIN_COUNT[0], range_bits), shape))
-
-    values, inserts = [], 0.0
-    for t in (one, two):
-        mean = np.append(0.0, THRESHOLDS)
-        for r in t.select(F.posexplode(F.arrays_zip("nums", "sums"))).groupBy("pos").agg(F.sum("col.nums").alias("n"), F.sum("col.sums").alias("s")).collect():
-            inserts += r["n"] * r["pos"]
-            if r["n"] and r["pos"]:
-                mean[r["pos"]] = r["s"] / r["n"]
-        values.append(mean)
-    parts = 1 << range_bits
-    stretch = max(64, int(inserts * BITS) // parts // 8 * 8)
-    both = one.select(F.lit(1).alias("order"), "part", "names", "counts").union(two.select(F.lit(2), "part", "names", "counts"))
-    filled = scratch.cut(both.groupBy("part").applyInPandas(_fill(MIN_COUNT, stretch, range_bits), "part int, bits binary"))
-    shared = None
-    if parts * stretch <= MOST_BITS:
-        bits = bytearray(parts * stretch // 8)
-        for r in filled.toLocalIterator():
-            bits[r["part"] * stretch // 8 : (r["part"] + 1) * stretch // 8] = r["bits"]
-        shared = spark.sparkContext.broadcast(bytes(bits))
-        del bits
-
+    size = packets.agg(F.sum("bytes")).first()[0] or 0
+    bits = min(20, max(0, int(np.ceil(np.log2(max(1, size) / RANGE_BYTES)))))
+    asked = packets.select("packet", "texts").mapInArrow(_ask(bits), "part int, packet long, words int, names binary, counts binary, big binary")
+    answers = scratch.cut(asked.groupBy("part").applyInArrow(_answer(broadcast, BITS), ANSWERED))
+
+    values = [np.append(0.0, THRESHOLDS) for _ in range(2)]
+    stats = answers.where("packet is null").select(F.posexplode(F.arrays_zip("nums", "sums")))
+    for r in stats.groupBy("pos").agg(F.sum("col.nums").alias("n"), F.sum("col.sums").alias("s")).collect():
+        if r["n"] and r["pos"] % LEVELS:
+            values[r["pos"] // LEVELS][r["pos"] % LEVELS] = r["s"] / r["n"]
     floor = head_floor(words, HEAD, CLIP)
     head = words.where(F.col("c") >= floor).toArrow()
     h, counts = head["h"].to_numpy().view(np.uint64), head["c"].to_numpy()
     order = np.argsort(h)
     ends = words.where(F.col("h") == int(END.view(np.int64))).first()
-    model = Model(range_bits, stretch, n, v, ends["c"] if ends else 0, values, h[order], counts[order])
-    first = spark.sparkContext.broadcast(model)
-    shape = "level int, n long, found long, again long"
-    used = texts.mapInArrow(_pair_use(shared, first), shape) if shared else looked_up(texts, filled, model, first, lambda m, batch: [_use_rows(_use(m, batch))], shape, scratch)
+    model = Model(n, v, ends["c"] if ends else 0, values)
+
+    shared = spark.sparkContext.broadcast(Head(n, v, h[order], counts[order]))
+    if broadcast:
+        stretches = {r["part"]: r["levels"] for r in answers.select("part", "levels").toLocalIterator()}
+        whole = [stretches.get(part, b"\0") for part in range(1 << bits)]
+        filled = spark.sparkContext.broadcast((np.frombuffer(b"".join(whole), np.uint8), np.array([8 * len(x) for x in whole])))
+        out = packets.select("texts").mapInArrow(_with_filter(bits, shared, filled), LEVELLED)
+    else:
+        given = answers.where("packet is not null").select("packet", "part", "words", "levels")
+        out = packets.select("packet", "texts").groupBy("packet").cogroup(given.groupBy("packet")).applyInArrow(_with_answers(bits, shared), LEVELLED)
+    out = scratch.cut(out)
+    scratch.drop(packets, answers)
+    used = out.where("learn").select("n_tokens", "seen", "two").mapInArrow(_pair_use(model), "level int, n long, found long, again long")
     for r in used.groupBy("level").agg(*[F.sum(c).alias(c) for c in ("n", "found", "again")]).collect():
         if r["again"]:
             model.pair_mass[r["level"]] = r["again"] / (r["n"] + 1)
             model.gain[r["level"]] = r["again"] / r["found"]
-    scratch.drop(one, two, used)
-    return shared, filled, model, words, floor
-
-
-def _word_blocks(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h, n = batch.column("h").to_numpy().view(np.uint64), batch.column("c").to_numpy()
-            order = np.argsort(h)
-            h, n = h[order], np.minimum(n[order], 0xFFFFFFFF).astype("<u4")
-            part = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
-            own, first = np.unique(part, return_index=True)
-            cut = np.append(first, len(h))
-            names = pack(h, bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own.astype(np.int32)), pa.array([names[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()), pa.array([n[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())],
-                names=["part", "names", "counts"],
-            )
-
-    return run
-
-
-def _score_rows(names: list[str]):
-    def run(model: Model, whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for batch in slices(whole, "text"):
-            if not batch.num_rows:
-                continue
-            n, known, base, score, row, h, times = model.score(batch.column("text"))
-            cut = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (h.view(np.int64), times.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(n), pa.array(known), pa.array(base), pa.array(score), *lists], names=[*names, "n_tokens", "n_known", "base_score", "score", "rare", "times"])
-
-    return run
-
-
-def _scores(bits, shared, result):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value.opened(bits.value)
-        for whole in batches:
-            yield from result(model, whole)
-
-    return run
+    return out, model, words, floor
 
 
-def score(docs: DataFrame, training: DataFrame) -> DataFrame:
-    """Scores of texts (doc_id, text, held_out) under the model of ``training`` texts."""
+def score(docs: DataFrame, broadcast: bool = False) -> DataFrame:
+    """Scores of texts (doc_id, text, held_out) under the model of those not held out."""
     spark = ready(docs.sparkSession)
     scratch = Scratch(spark, "lm")
-    bits, filled, model, words, floor = train(training, scratch)
-    shared = spark.sparkContext.broadcast(model)
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", F.xxhash64("doc_id", "text").alias("row"), "text")
-    result = _score_rows(["doc_id", "held_out", "row"])
-    shape = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<long>"
-    first = scratch.cut(keyed.mapInArrow(_scores(bits, shared, result), shape)) if bits else looked_up(keyed, filled, model, shared, result, shape, scratch)
-    scratch.drop(filled)
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    rare = first.select(key.alias("id"), "row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("id", "row", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
+    learn = F.coalesce(~F.col("held_out"), F.lit(False))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", F.xxhash64("doc_id", "text").alias("row"), learn.alias("learn"), "text")
+    first, model, words, floor = levelled(keyed, scratch, broadcast)
+    id_ = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    rare = first.select(id_.alias("id"), "row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("id", "row", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
     found = rare.join(words.where(F.col("c") < floor), "h").dropDuplicates(["id", "row", "h"])  # repeated rows say the same
     found = found.groupBy("id", "row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10((F.col("c") + 0.5) / 0.5)).alias("gain"))
-    out = first.drop("rare", "times").withColumn("id", key).join(found, ["id", "row"], "left")
-    return out.select(
+    scored = first.select("doc_id", "held_out", "row", "n_tokens", "n_known", "base_score", "seen", "two")
+    scored = scored.mapInArrow(_scores(model), "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double")
+    return scored.withColumn("id", id_).join(found, ["id", "row"], "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -494,4 +447,4 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by the model of those outside the fold crc32 mod 5 = 1."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", fold(F.col("doc_id"), 5) == 1)
-    return score(docs, docs.where("not held_out"))
+    return score(docs)

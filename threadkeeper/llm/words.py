@@ -7,6 +7,7 @@ own UTF-8 buffer, a bounded number of bytes at a time.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64))
-FOLDED_VALUE = BYTE_VALUE.copy()
-FOLDED_VALUE[ord("A") : ord("Z") + 1] = BYTE_VALUE[ord("a") : ord("z") + 1]
+FOLDED = np.arange(256, dtype=np.uint8)
+FOLDED[ord("A") : ord("Z") + 1] += 32
+BLOCKS = 64
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 NO_LETTER = np.zeros(256, bool)  # ASCII but for letters; bytes of other code points stay in words
@@ -94,29 +97,25 @@ def word_bounds(data: np.ndarray, at: np.ndarray, blanks: np.ndarray = SPACE) ->
     return np.flatnonzero(word & before), np.flatnonzero(word & after) + 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = FOLDED_VALUE) -> np.ndarray:
-    """64-bit hash of each byte span; ``starts`` ascend and spans don't overlap."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + STEP, "right")))
-        lo, hi = int(starts[i]), int(ends[j - 1])
-        if hi - lo <= STEP:
-            s = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(values[data[lo:hi]] * POW[: hi - lo], out=s[1:])
-            a, b = starts[i:j] - lo, ends[i:j] - lo
-            out[i:j] = (s[b] - s[a]) * INV[a]
-        else:  # one span longer than STEP: by pieces
-            total = np.uint64(0)
-            scale = 1
-            for p in range(lo, hi, STEP):
-                piece = values[data[p : min(hi, p + STEP)]]
-                part = int((piece * POW[: len(piece)]).sum(dtype=np.uint64))
-                total = np.uint64((int(total) + part * scale) % (1 << 64))
-                scale = scale * int(POW[STEP]) % (1 << 64)
-            out[i] = total
-        i = j
-    return mix(out)
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte span with A-Z folded; equal bytes get equal hashes.
+
+    Spans of up to ``BLOCKS`` bytes are mixed eight bytes at a time, so spans of
+    one length up to eight never collide; a longer one gets its BLAKE2 digest."""
+    size = ends - starts
+    folded = np.zeros(len(data) + 8, np.uint8)
+    folded[: len(data)] = FOLDED[data]
+    eight = np.ndarray(len(data) + 1, "<u8", folded, strides=(1,))  # the eight bytes from each position on
+    out = mix(size.astype(np.uint64) + _MULT)
+    left = np.flatnonzero(size <= BLOCKS)
+    for k in range(0, BLOCKS, 8):
+        left = left[size[left] > k]
+        if not len(left):
+            break
+        out[left] = mix(out[left] ^ (eight[starts[left] + k] & LOW_BYTES[np.minimum(size[left] - k, 8)]))
+    for i in np.flatnonzero(size > BLOCKS):
+        out[i] = int.from_bytes(hashlib.blake2b(folded[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
 
 
 def word_hashes(column: pa.Array, blanks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
