@@ -350,6 +350,15 @@ def test_language_model_scores_equal_a_plain_model_whether_its_filter_is_broadca
         assert r[6] == pytest.approx(min(0.0, want), rel=1e-3, abs=1e-6)
 
 
+def test_language_model_with_nulls_empty_texts_repeated_ids_and_clashing_columns(spark):
+    shape = "doc_id long, text string, held_out boolean, row string, learn int"
+    assert op8_lm.score(spark.createDataFrame([], shape)).collect() == []
+    rows = [(None, None, False, "x", 1), (1, "", False, "x", 1), (1, "a b", True, "x", 1), (None, "A b " * 3, None, "x", 1), (2, "漢 b", False, "x", 1)]
+    got = op8_lm.score(spark.createDataFrame(rows, shape)).collect()
+    assert Counter(tuple(r[:5]) for r in got) == Counter([(None, False, 1, 1, 5), (1, False, 1, 1, 5), (1, True, 3, 2, 5), (None, None, 7, 4, 5), (2, False, 3, 3, 5)])
+    assert [tuple(r) for r in op8_lm.score(spark.createDataFrame([rows[2]], shape)).collect()] == [(1, True, 3, 0, 0, 0.0, 0.0)]
+
+
 # 9 embeddings
 
 
