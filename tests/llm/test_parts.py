@@ -54,6 +54,25 @@ def test_bands_miss_few_pairs_at_the_threshold():
         assert (1 - threshold**rows) ** bands <= 1e-5 and bands <= 32
 
 
+def test_a_refused_pair_meets_once_with_its_full_sets_however_many_bands_it_shares(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    tried = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(ok):
+        tried.add(1)
+        return ok
+
+    plain = op3_minhash.similar
+    monkeypatch.setattr(op3_minhash, "similar", lambda a, b, percent: counted(plain(a, b, percent)))
+    words = [f"w{i}" for i in range(100)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:91] + [f"x{i}" for i in range(9)]))]  # 91 of 109 words: just below 85 %
+    out = op3_minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=1, percent=85)
+    assert sorted((r["doc_id"], r["component_id"]) for r in out.collect()) == [(1, 1), (2, 2)]
+    assert tried.value == 3  # with the band's hub, with its second hub, and across components
+
+
 def test_suffix_automaton_knows_exactly_the_substrings():
     rng = random.Random(3)
     text = [rng.randrange(1, 4) for _ in range(40)]

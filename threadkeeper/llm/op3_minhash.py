@@ -15,8 +15,10 @@ Candidates that share a band are never paired with each other all at once:
    band's largest one get a hub of their own (by hash, so bands differ), and
    every member of another component is paired with it in the same way;
 3. in bands that still hold several components, members outside the largest
-   one meet the members of other components; sketch and full sets are tested
-   inside that join, so that only links come out of it.
+   one meet the members of other components, each pair in one of the bands it
+   shares: semi-joins by sketch first, then those that a sketch paired meet
+   once more with their full sets.  Both tests are made inside the joins, so
+   that only members and links come out of them.
 
 After these, every candidate pair was confirmed, refused, or lies inside one
 component, so the components are those of all candidate pairs.
@@ -216,7 +218,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     # one row per class, which goes by the name of its set: a doc_id may be smallest in several
     reps = linked.join(classes.withColumnRenamed("rep", "doc_id"), ["k1", "k2", "doc_id"]).dropDuplicates(["k1", "k2"])
     reps = scratch.cut(reps.select(F.col("k1").alias("rep"), "k2", "doc_id", "bands"))
-    keys = reps.select(F.explode("bands").alias("key"), "rep")
+    # dealt by key once, for the hubs and for the join with them
+    keys = reps.select(F.explode("bands").alias("key"), "rep").repartition("key")
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("key", "hub")
     shared = scratch.cut(keys.join(hubs, "key").distinct())
     wanted = shared.select("rep").distinct()
@@ -267,10 +270,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         labels = joined(labels, confirmed(pairs))
         members = several(labels)
     if not members.isEmpty():
-        rest = members.where("label <> largest").select("key", F.col("rep").alias("a"), F.col("label").alias("la")).join(side("a", True), "a")
-        all_ = members.select(F.col("key").alias("other"), F.col("rep").alias("b"), F.col("label").alias("lb")).join(side("b", True), "b")
-        across = rest.join(all_, (F.col("key") == F.col("other")) & (F.col("la") != F.col("lb")) & near_enough & similar(F.col("a_set"), F.col("b_set"), percent))
-        labels = joined(labels, across.select("a", "b").distinct())
+        bands_of = members.groupBy("rep").agg(F.collect_list("key").alias("keys"))
+        tagged = scratch.cut(members.join(bands_of, "rep"))
+
+        def sides(some: DataFrame, full: bool) -> tuple[DataFrame, DataFrame, Column]:
+            """Members outside the largest component, all members, and when two of other components
+            meet: in one of the bands they share, if their sketches let them by."""
+            rest = some.where("label <> largest").select("key", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("keys").alias("ka")).join(side("a", full), "a")
+            all_ = some.select(F.col("key").alias("other"), F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("keys").alias("kb"), (F.col("label") == F.col("largest")).alias("main")).join(side("b", full), "b")
+            pair = (F.col("key") == F.col("other")) & (F.col("la") != F.col("lb")) & (F.col("main") | (F.col("a") < F.col("b"))) & near_enough
+            return rest, all_, pair & (F.array_min(F.array_intersect("ka", "kb")) == F.col("key"))
+
+        # by sketch alone first, a member once however many it meets: only these send their full sets to the bands
+        rest, all_, meet = sides(tagged, False)
+        met = rest.join(all_, meet, "left_semi").select("key", F.col("a").alias("rep"))
+        met = met.union(all_.join(rest, meet, "left_semi").select(F.col("other").alias("key"), F.col("b").alias("rep")))
+        rest, all_, meet = sides(scratch.cut(tagged.join(scratch.cut(met.distinct()), ["key", "rep"], "left_semi")), True)
+        labels = joined(labels, rest.join(all_, meet & similar(F.col("a_set"), F.col("b_set"), percent)).select("a", "b").distinct())
     least = classes.join(labels.withColumnRenamed("rep", "k1"), "k1").groupBy("label").agg(F.min("rep").alias("component"))
     named = labels.join(least, "label").select(F.col("rep").alias("k1"), "component", "label")
     named = classes.join(named, "k1", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"), F.coalesce("label", "k1").alias("group"))
