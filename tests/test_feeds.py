@@ -88,3 +88,33 @@ def test_rows_are_reduced_before_the_shuffle(spark):
     f = pd.DataFrame({"id": ["a"] * 1000, "subreddit": "s", "observed": [5] * 999 + [6], "feed_pos": range(1000), "tie": 0, "payload": "{}"})
     assert len(next(feeds._latest_in_batch(iter([f])))) == 1
     assert len(feeds._newest_top(f, 3)) == 1 and len(feeds._newest_top(f[:999], 3)) == 3
+
+
+def test_a_post_takes_its_latest_row_without_sorting_frames(monkeypatch):
+    import pandas as pd
+
+    class State:
+        hasTimedOut, exists, kept, timer = False, False, None, None
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def update(self, value):
+            self.kept = value
+
+        def setTimeoutTimestamp(self, ms):
+            self.timer = ms
+
+    def frame(*rows):
+        f = pd.DataFrame(rows, columns=["observed", "feed_pos", "tie", "payload"])
+        return f.assign(id="a", created_ts=pd.Timestamp("2024-01-31 10:00:00"))
+
+    def refuse(*_, **__):
+        raise AssertionError("a frame of a few rows is sorted for every post and micro-batch")
+
+    monkeypatch.setattr(pd.DataFrame, "sort_values", refuse)
+    state = State()
+    frames = [frame((5, 9, 9, "old"), (6, 1, -4, "late"), (6, 1, 3, "best"), (6, 0, 8, "early")), frame((6, 1, 2, "tie"), (feeds.NO_TIME, 7, 7, "never"))]
+    (out,) = feeds._keep_latest(("a",), iter(frames), state)
+    assert out["payload"].tolist() == ["best"] and out["version"].tolist() == [1]
+    assert state.kept == (6, 1, 3, 1) and state.timer == int(pd.Timestamp("2024-01-31 10:00:00").timestamp() * 1000) + 1

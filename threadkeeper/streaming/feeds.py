@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,28 +69,44 @@ def _latest_in_batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield f.sort_values(ORDER, kind="stable").drop_duplicates("id", keep="last")
 
 
+def _last_row(f: pd.DataFrame) -> int:
+    """Place of the row that comes last in ORDER (of equal ones the last).
+
+    A call per post and micro-batch: arrays, as sorting a frame of a few rows costs more than all else."""
+    first, *more = [f[c].to_numpy() for c in ORDER]
+    at = np.flatnonzero(first == first.max())
+    for values in more:
+        if len(at) == 1:
+            break
+        of = values[at]
+        at = at[of == of.max()]
+    return int(at[-1])
+
+
 def _keep_latest(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     if state.hasTimedOut:
         state.remove()
         return
-    best, created = None, 0
+    best = None
     for f in frames:
-        row = f.sort_values(ORDER, kind="stable").iloc[-1]
-        order = tuple(int(row[c]) for c in ORDER)
+        at = _last_row(f)
+        order = tuple(int(f[c].array[at]) for c in ORDER)
         if best is None or order > best[0]:
-            best = order, row["payload"]
-            created = int(row["created_ts"].timestamp() * 1000)
-    leaves = created + 1  # the watermark is a window behind the newest post
-    if best is None or leaves <= state.getCurrentWatermarkMs():
+            best = order, f, at
+    if best is None:
+        return
+    order, f, at = best
+    leaves = int(f["created_ts"].array[at].timestamp() * 1000) + 1  # the watermark is a window behind the newest post
+    if leaves <= state.getCurrentWatermarkMs():
         return  # the post has left the window
     version = 0
     if state.exists:
         *last, version = state.get
-        if best[0] <= tuple(last):
+        if order <= tuple(last):
             return
-    state.update((*best[0], version + 1))
+    state.update((*order, version + 1))
     state.setTimeoutTimestamp(leaves)
-    yield pd.DataFrame({"key": [key[0]], "entry": [""], "version": [version + 1], "removed": [False], "payload": [best[1]]})
+    yield pd.DataFrame({"key": [key[0]], "version": [version + 1], "payload": [f["payload"].array[at]]})
 
 
 def post_changes(landing: DataFrame, params: SyncParams) -> DataFrame:
@@ -97,10 +114,11 @@ def post_changes(landing: DataFrame, params: SyncParams) -> DataFrame:
     rows = rows.select("id", C.epoch_to_ts("created_utc").alias("created_ts"), *ORDER, "payload")
     # a row at the watermark is late, one at the cutoff is in the window: a second between them
     reduced = rows.mapInPandas(_latest_in_batch, POST).withWatermark("created_ts", f"{params.window_hours * 3600 + 1} seconds")
-    return reduced.groupBy("id").applyInPandasWithState(
-        _keep_latest, CHANGES, "observed bigint, feed_pos bigint, tie bigint, version bigint",
+    latest = reduced.groupBy("id").applyInPandasWithState(
+        _keep_latest, "key string, version bigint, payload string", "observed bigint, feed_pos bigint, tie bigint, version bigint",
         "append", GroupStateTimeout.EventTimeTimeout,
     )
+    return latest.select("key", F.lit("").alias("entry"), "version", F.lit(False).alias("removed"), "payload")
 
 
 # ---------------------------------------------------------------------------
