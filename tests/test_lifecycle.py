@@ -167,3 +167,23 @@ def test_a_snapshot_waits_until_it_is_whole(spark, sf):
     assert {r.post_id for r in documents.documents().collect()} >= young
     make("other").run()  # a new checkpoint applies nothing twice
     assert store.current_version() == 2
+
+
+def test_the_written_fold_holds_a_documents_texts_once(spark, sf):
+    from threadkeeper.plans import onepass
+    from threadkeeper.session import cut_lineage
+
+    written, params = [], SyncParams()
+
+    def cut(df):
+        written.append(cut_lineage(df))
+        return written[-1]
+
+    state, obs, sinks = SC.docs(spark, sf, params)
+    f = onepass.fold(state, obs, sinks, params, L.MODES["update"], cut)
+    raw, shown = (r.where("doc is not null and cache is not null") for r in (written[0], f.rows))
+    assert raw.count() > 0 and all(p.endswith(".zstd.parquet") for p in raw.inputFiles())
+    assert raw.where("doc.title <=> cache.title and doc.title is not null").count() == 0
+    assert raw.where("doc.selftext <=> cache.selftext and doc.selftext is not null").count() == 0
+    fresh = obs.refresh.selectExpr("id", "title as t", "selftext as s")
+    assert shown.select("doc.*").join(fresh, "id").where("not title <=> t or not selftext <=> s").count() == 0

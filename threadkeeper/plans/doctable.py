@@ -73,7 +73,7 @@ class DocumentTable:
         new = cut_lineage(rows)
         # partitions of even size: a day that holds much is written by several tasks
         dealt = new.hint("rebalance", "day")
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(self.paths[name])
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("day").parquet(self.paths[name])
         left = {r["day"] for r in new.select("day").distinct().collect()}
         for day in days:  # a partition without rows is not overwritten
             if day not in left:

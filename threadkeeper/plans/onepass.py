@@ -32,6 +32,7 @@ from threadkeeper.plans import lifecycle as L
 from threadkeeper.schemas import CACHED_COMMENT_COLS, CACHED_POST_COLS, POST_COLS, QUEUE_COLS, TRACKED_COLS
 
 ITEM_COLS = [c for c in QUEUE_COLS if c not in ("post_id", "action")]
+TEXTS = ("title", "selftext")
 TRACKED = [c for c in TRACKED_COLS if c != "post_id"]
 ACT = (
     "struct<seq:int,phase:string,action:string,op:string,doc_key:string,ok:boolean,result_doc_id:string,error:string,"
@@ -338,10 +339,17 @@ def fold(state: L.State, obs: L.Observation, sinks: DataFrame, params: SyncParam
         F.col("ev").isNotNull().alias("touched"), F.coalesce(F.col("ev.kind") != "del", F.lit(False)).alias("saved"), F.coalesce(old, F.lit(False)).alias("expired"),
         F.when(content, document_post(F.col("cache"))).alias("doc"),
     )
+    # a document shows the cached texts as a rule: these are written once, in the cached copy
+    out = out.withColumns({f"_{c}": F.col(f"doc.{c}").eqNullSafe(F.col(f"cache.{c}")) for c in TEXTS})
+    for c in TEXTS:
+        out = out.withColumn("doc", F.col("doc").withField(c, F.when(~F.col(f"_{c}"), F.col(f"doc.{c}"))))
     seen = Observation(f"run-{uuid.uuid4().hex}")
     count = lambda c: F.sum(F.size(F.filter("acts", lambda a: a[c])))
     counts = [F.coalesce(count(c), F.lit(0)).cast("bigint").alias(c) for c in COUNTERS]
     rows = cut(out.observe(seen, *counts, F.count_if("expired").alias("expired")))
+    for c in TEXTS:
+        rows = rows.withColumn("doc", F.col("doc").withField(c, F.when(F.col(f"_{c}"), F.col(f"cache.{c}")).otherwise(F.col(f"doc.{c}"))))
+    rows = rows.drop(*[f"_{c}" for c in TEXTS])
     got = seen.get
     return Folded(rows, {c: got[c] for c in COUNTERS}, got["expired"])
 

@@ -85,7 +85,9 @@ def cut_lineage(df: DataFrame, *partition_by: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tk-{uuid.uuid4().hex}"
     t0 = time.time()
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    # written texts are most of a run's bytes: zstd keeps them smaller than the default
+    writer = df.write.option("compression", "zstd")
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
     writer.parquet(path)
     if log.isEnabledFor(logging.DEBUG):
         import traceback
