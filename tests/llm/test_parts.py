@@ -73,6 +73,28 @@ def test_a_refused_pair_meets_once_with_its_full_sets_however_many_bands_it_shar
     assert tried.value == 3  # with the band's hub, with its second hub, and across components
 
 
+def test_a_class_gives_its_set_from_one_text_however_often_its_id_is_used(spark, monkeypatch):
+    computed = spark.sparkContext.accumulator(0)
+    plain = op3_minhash._sets
+
+    def counted(size):
+        run = plain(size)
+
+        def rows(batches):
+            for batch in run(batches):
+                computed.add(batch.num_rows)
+                yield batch
+
+        return rows
+
+    monkeypatch.setattr(op3_minhash, "_sets", counted)
+    a, b = [f"a{i}" for i in range(100)], [f"b{i}" for i in range(100)]
+    docs = [(1, " ".join(a))] * 5 + [(1, "  ".join(a)), (1, " ".join(b)), (1, "alone"), (2, " ".join([*a, "end"])), (2, " ".join([*b, "end"]))]
+    out = op3_minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=1, percent=85)
+    assert sorted((r["doc_id"], r["component_id"]) for r in out.collect()) == [(1, 1)] * 8 + [(2, 1)] * 2
+    assert computed.value == 4  # a and b, with and without an end
+
+
 def test_suffix_automaton_knows_exactly_the_substrings():
     rng = random.Random(3)
     text = [rng.randrange(1, 4) for _ in range(40)]

@@ -175,11 +175,11 @@ def _sets(size: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 values, offsets = shingle_sets(part.column("text"), size)
-                k1, k2 = set_keys(values, offsets)
+                k1, _ = set_keys(values, offsets)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
                 sketch = odd_sketches(min_hashes(values, offsets, SAMPLES))
-                cols = [part.column("doc_id"), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))]]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "k1", "k2", "members", *SKETCH])
+                cols = [pa.array(k1.view(np.int64)), lists, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))]]
+                yield pa.RecordBatch.from_arrays(cols, names=["rep", "members", *SKETCH])
 
     return run
 
@@ -214,21 +214,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     hashed = docs.withColumn("th", F.xxhash64("text"))
     feats = scratch.cut(hashed.mapInArrow(_features(shingle, bands, rows), "doc_id long, th long, n long, k1 long, k2 long, bands array<long>"))
     linked = feats.where("n > 0 and doc_id is not null")
-    classes = scratch.cut(linked.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
-    # one row per class, which goes by the name of its set: a doc_id may be smallest in several
-    reps = linked.join(classes.withColumnRenamed("rep", "doc_id"), ["k1", "k2", "doc_id"]).dropDuplicates(["k1", "k2"])
-    reps = scratch.cut(reps.select(F.col("k1").alias("rep"), "k2", "doc_id", "bands"))
+    # one row per class, which goes by the name of its set: a doc_id may be smallest in several; equal sets have equal bands
+    low = linked.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "th")).alias("low"), F.first("bands").alias("bands"))
+    reps = scratch.cut(low.select(F.col("k1").alias("rep"), "k2", "low.*", "bands"))
+    classes = scratch.cut(reps.select(F.col("rep").alias("k1"), "k2", F.col("doc_id").alias("rep"), "th"))
+    rows_ = scratch.cut(feats.drop("bands"))
+    scratch.drop(feats)
     # dealt by key once, for the hubs and for the join with them
     keys = reps.select(F.explode("bands").alias("key"), "rep").repartition("key")
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("key", "hub")
     shared = scratch.cut(keys.join(hubs, "key").distinct())
     wanted = shared.select("rep").distinct()
-    near = scratch.cut(reps.select("rep", "k2", "doc_id").join(wanted, "rep", "left_semi"))
-    # the comparison lets Spark build its runtime Bloom filter of the wanted ids, ahead of the shuffle of texts
-    texts = docs.join(near.where(F.col("doc_id") >= -(1 << 63)).select("doc_id"), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets(shingle), f"doc_id long, k1 long, k2 long, members array<long>, {', '.join(f'{s} long' for s in SKETCH)}")
-    sets = sets.withColumnRenamed("k1", "rep").join(near, ["doc_id", "rep", "k2"], "left_semi").dropDuplicates(["rep", "k2"])
-    sets = scratch.cut(sets.drop("doc_id", "k2"))
+    near = scratch.cut(reps.select("rep", "doc_id", "th").join(wanted, "rep", "left_semi"))
+    scratch.drop(reps)
+    # the comparison lets Spark build its runtime Bloom filter of the wanted ids, ahead of the shuffle of texts;
+    # a class is computed from its first text, so its set needs no more shuffle
+    texts = hashed.join(near.where(F.col("doc_id") >= -(1 << 63)).select("doc_id", "th"), ["doc_id", "th"], "left_semi").distinct()
+    sets = scratch.cut(texts.mapInArrow(_sets(shingle), f"rep long, members array<long>, {', '.join(f'{s} long' for s in SKETCH)}"))
 
     def side(name: str, full: bool = False) -> DataFrame:
         own = [F.col(s).alias(f"{name}_{s}") for s in SKETCH] + [F.col("members").alias(f"{name}_set")] * full
@@ -290,10 +292,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     least = classes.join(labels.withColumnRenamed("rep", "k1"), "k1").groupBy("label").agg(F.min("rep").alias("component"))
     named = labels.join(least, "label").select(F.col("rep").alias("k1"), "component", "label")
     named = classes.join(named, "k1", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"), F.coalesce("label", "k1").alias("group"))
-    out = feats.select("doc_id", "th", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
+    out = rows_.join(named, ["k1", "k2"], "left")
     component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id"))
     out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "th", "group")
-    scratch.drop(shared, near, sets, links, members, reps)
+    scratch.drop(shared, near, sets, links, members)
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
 
 
