@@ -9,7 +9,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from threadkeeper.llm import op2_language, op3_minhash, op4_suffix_dedup, op6_toxicity, op7_fingerprint, op8_lm, op9_embeddings, op10_bpe
+from threadkeeper import session
+from threadkeeper.llm import common, op2_language, op3_minhash, op4_suffix_dedup, op6_toxicity, op7_fingerprint, op8_lm, op9_embeddings, op10_bpe
 from threadkeeper.llm import words as W
 from threadkeeper.llm.op10_bpe import PIECE, Transducer, tokenizer_path
 
@@ -95,6 +96,44 @@ def test_a_class_gives_its_set_from_one_text_however_often_its_id_is_used(spark,
     assert computed.value == 4  # a and b, with and without an end
 
 
+def test_shingling_gives_back_the_model_that_a_worker_held():
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1]), "text": ["a b c d"], "th": pa.array([7])})
+    for run in (op3_minhash._features(3, 2, 2), op3_minhash._sets(3)):
+        common.worker_model("another operator's", lambda: [0] * 1000)
+        assert [b.num_rows for b in run(iter([batch]))] == [1]
+        assert not common._MODEL
+
+
+def test_many_near_but_unlinked_texts_meet_in_few_tasks(spark, monkeypatch):
+    """Small partitions count as skewed here, as on a large table."""
+    conf = {
+        "spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    monkeypatch.setitem(session.RUNTIME_CONF, "spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr(op3_minhash, "BLOCK", 32)
+    words = [f"w{i}" for i in range(100)]
+    docs = [(i, " ".join([*words[: 95 - i % 2], *(f"x{i}-{k}" for k in range(9))])) for i in range(120)]  # about 84 % of each pair's words are shared
+    docs += [(200, docs[7][1] + " end"), (201, docs[110][1] + " end")]
+    old = {k: spark.conf.get(k, None) for k in conf}
+    group = "few-tasks"
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        got = op3_minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=1, percent=85).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {r.doc_id: r.component_id for r in got} == {i: i for i in range(120)} | {200: 7, 201: 110}
+    seen = spark.sparkContext.statusTracker()
+    stages = {s for j in seen.getJobIdsForGroup(group) for s in seen.getJobInfo(j).stageIds}
+    tasks = [info.numTasks for s in stages if (info := seen.getStageInfo(s))]
+    assert max(tasks) <= 100
+
+
 def test_suffix_automaton_knows_exactly_the_substrings():
     rng = random.Random(3)
     text = [rng.randrange(1, 4) for _ in range(40)]

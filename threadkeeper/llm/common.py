@@ -37,6 +37,11 @@ def worker_model(key: object, build: Callable[[], object]) -> object:
     return _MODEL[key]
 
 
+def release_models() -> None:
+    """Gives back the memory of a model that a reused worker still holds for an operator before."""
+    _MODEL.clear()
+
+
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 

@@ -41,13 +41,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, shield, table
+from .common import Scratch, components, release_models, shield, table
 from .words import mix, slices, text_buffer, word_hashes
 
 SAMPLES = 1024
 SKETCH_BITS = 2048
 DEVIATIONS = 4.5  # a pair at the threshold is refused by its sketch beyond so many
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
+BLOCK = 512  # members of a band that meet as many others in one block
 MISS = 1e-5  # chance that no band holds a pair at the threshold
 
 
@@ -155,6 +156,7 @@ def odd_sketches(minima: np.ndarray) -> np.ndarray:
 
 def _features(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_models()
         for batch in batches:
             for part in slices(batch, "text"):
                 values, offsets = shingle_sets(part.column("text"), size)
@@ -172,6 +174,7 @@ def _features(size: int, bands: int, rows: int):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_models()
         for batch in batches:
             for part in slices(batch, "text"):
                 values, offsets = shingle_sets(part.column("text"), size)
@@ -198,6 +201,17 @@ def sketch_distance(a: str, b: str) -> Column:
     return out
 
 
+def block_count(members: Column) -> Column:
+    return F.greatest(F.ceil(members / BLOCK), F.lit(1)).cast("int")
+
+
+def in_blocks(members: DataFrame, name: str, own: str, others: str) -> DataFrame:
+    """Members by their block (own, of as many as column ``own`` says) and once
+    for each block of the other side (each)."""
+    dealt = members.withColumn("own", F.pmod(F.xxhash64(name), F.col(own)).cast("int"))
+    return dealt.withColumn("each", F.explode(F.sequence(F.lit(0), F.col(others) - 1))).drop(own, others)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """Components of documents (doc_id, text) whose shingle sets have
     100 * intersection >= percent * union, confirmed on the full sets.
@@ -287,7 +301,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         rest, all_, meet = sides(tagged, False)
         met = rest.join(all_, meet, "left_semi").select("key", F.col("a").alias("rep"))
         met = met.union(all_.join(rest, meet, "left_semi").select(F.col("other").alias("key"), F.col("b").alias("rep")))
-        rest, all_, meet = sides(scratch.cut(tagged.join(scratch.cut(met.distinct()), ["key", "rep"], "left_semi")), True)
+        some = scratch.cut(tagged.join(scratch.cut(met.distinct()), ["key", "rep"], "left_semi"))
+        rest, all_, meet = sides(some, True)
+        # a band's pairs are dealt in blocks of both sides, so that neither a task nor the number of tasks grows with a band
+        blocks = some.groupBy("key").agg(block_count(F.count_if(F.expr("label <> largest"))).alias("n"), block_count(F.count("*")).alias("m"))
+        rest = in_blocks(rest.join(blocks, "key"), "a", "n", "m").withColumnsRenamed({"own": "i", "each": "j"}).repartition("key", "i", "j")
+        all_ = in_blocks(all_.join(blocks.withColumnRenamed("key", "other"), "other"), "b", "m", "n").withColumnsRenamed({"own": "y", "each": "x"}).repartition("other", "x", "y")
+        meet = meet & (F.col("i") == F.col("x")) & (F.col("j") == F.col("y"))
         labels = joined(labels, rest.join(all_, meet & similar(F.col("a_set"), F.col("b_set"), percent)).select("a", "b").distinct())
     least = classes.join(labels.withColumnRenamed("rep", "k1"), "k1").groupBy("label").agg(F.min("rep").alias("component"))
     named = labels.join(least, "label").select(F.col("rep").alias("k1"), "component", "label")
