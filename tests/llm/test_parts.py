@@ -1,7 +1,10 @@
 """The operators' numeric parts against plain versions."""
 
 import random
+import re
+import sys
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +107,19 @@ def test_shingling_gives_back_the_model_that_a_worker_held():
         assert not common._MODEL
 
 
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_stages_give_back_what_their_worker_freed():
+    own = lambda: int(re.search(r"Pss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) >> 10
+    path = tokenizer_path()
+    common.worker_model(("tokens", path), lambda: Transducer(path))
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1]), "text": ["a b c d"]})
+    held = [bytes(2000) for _ in range(100_000)]  # 200 MB, below what the heap maps one by one
+    held = held[-1:]  # what stays last keeps the heap from shrinking by itself
+    before = own()
+    assert [b.num_rows for b in op10_bpe._round_trip(path, ["doc_id"], True)(iter([batch]))] == [1]
+    assert own() < before - 100
+
+
 def test_many_near_but_unlinked_texts_meet_in_few_tasks(spark, monkeypatch):
     """Small partitions count as skewed here, as on a large table."""
     conf = {

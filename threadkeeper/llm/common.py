@@ -8,10 +8,13 @@ folder), cut lineage by writing Parquet into the shared checkpoint folder
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +35,7 @@ def worker_model(key: object, build: Callable[[], object]) -> object:
     """The model that a Python worker holds: the last one asked for, so that a
     worker reused by another operator gives its memory back."""
     if key not in _MODEL:
-        _MODEL.clear()
+        release_models()
         _MODEL[key] = build()
     return _MODEL[key]
 
@@ -40,6 +43,27 @@ def worker_model(key: object, build: Callable[[], object]) -> object:
 def release_models() -> None:
     """Gives back the memory of a model that a reused worker still holds for an operator before."""
     _MODEL.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Returns what a worker has freed to the system.  Arrow's pool and the C
+    heap keep it otherwise, and a reused or idle worker stays as large as its
+    largest batch ever made it."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):  # glibc's
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A worker's function over Arrow batches that gives back what was freed before it and by it."""
+
+    def leaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return leaner
 
 
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])

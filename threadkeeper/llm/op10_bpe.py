@@ -46,7 +46,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ready, table, worker_model
+from .common import lean, ready, table, worker_model
 from .words import slices
 
 # Fixed value of byte-level BPE: how text is cut before merging.
@@ -370,7 +370,7 @@ def _round_trip(path: str, names: list[str], full: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = worker_model(("tokens", path), lambda: Transducer(path))
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 22):
+            for batch in slices(whole, "text", 1 << 20):
                 n, ids_sha, text_sha, ids = [], [], [], []
                 for chunks in t.encode_all([x or "" for x in batch.column("text").to_pylist()]):
                     a, b = hashlib.sha256(), hashlib.sha256()
@@ -397,7 +397,7 @@ def _round_trip(path: str, names: list[str], full: bool):
                     cols.append(pa.array(ids, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, names=[*names, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * full])
 
-    return run
+    return lean(run)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:

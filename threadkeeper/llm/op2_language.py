@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ready, shield, table, worker_model
+from .common import lean, ready, shield, table, worker_model
 from .words import slices
 
 SAMPLE_TEXTS = 64
@@ -196,7 +196,7 @@ def _predict(samples, key: int, names: list[str]):
                 lang, score = parser.predict(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(lang, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
 
-    return run
+    return lean(run)
 
 
 def learn(docs: DataFrame) -> dict[str, list[str]]:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, release_models, shield, table
+from .common import Scratch, components, lean, release_models, shield, table
 from .words import mix, slices, text_buffer, word_hashes
 
 SAMPLES = 1024
@@ -169,7 +169,7 @@ def _features(size: int, bands: int, rows: int):
                     names=["doc_id", "th", "n", "k1", "k2", "bands"],
                 )
 
-    return run
+    return lean(run)
 
 
 def _sets(size: int):
@@ -184,7 +184,7 @@ def _sets(size: int):
                 cols = [pa.array(k1.view(np.int64)), lists, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))]]
                 yield pa.RecordBatch.from_arrays(cols, names=["rep", "members", *SKETCH])
 
-    return run
+    return lean(run)
 
 
 def similar(a: Column, b: Column, percent: int) -> Column:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, shield, table
+from .common import Scratch, lean, shield, table
 from .words import BYTE_VALUE, INV, POW, STEP, mix, slices, text_buffer
 
 WINDOW = 100
@@ -137,7 +137,7 @@ def _runs(window: int, gram: int):
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["ah", "ch", "ord", "th", "pn", "settled"])
 
-    return run
+    return lean(run)
 
 
 def _windows(window: int):
@@ -172,7 +172,7 @@ def _windows(window: int):
                     cols = [names[0][y].view(np.int64), names[1][y].view(np.int64), batch.column("ord").to_numpy()[row[y]], batch.column("th").to_numpy()[row[y]], (start[y] - at[row[y]]).astype(np.int32)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["w1", "w2", "ord", "th", "p"])
 
-    return run
+    return lean(run)
 
 
 OTHER_VALUE = mix(BYTE_VALUE + np.uint64(0x51ED270B7A649F53))
@@ -245,7 +245,7 @@ def _digest(window: int):
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return run
+    return lean(run)
 
 
 def _kept_text(window: int, names: list[str]):
@@ -256,7 +256,7 @@ def _kept_text(window: int, names: list[str]):
                 kept = [b"".join(pieces).decode("utf-8", "ignore") for *_, pieces in _remaining(batch, window)]
                 yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()) if c == "text" else batch.column(c) for c in names], names=names)
 
-    return run
+    return lean(run)
 
 
 def with_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
