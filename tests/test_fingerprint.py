@@ -1,8 +1,12 @@
 """HASH-1: fixed digests for awkward texts, and the SQL oracle over the fixture."""
 
+import json
+
 import duckdb
+from pyspark.sql import functions as F
 
-from threadkeeper.functions.fingerprint import fingerprint_posts
+from threadkeeper.functions import fingerprint
+from threadkeeper.functions.fingerprint import fingerprint_posts, json_string
 
 TRICKY = [
     ('Quote " and \\ backslash', "line\nbreak\r\ttab\b\f end\n"),
@@ -47,3 +51,15 @@ def test_flagship_matches_sql_on_fixture(spark, sf):
     want = {r[0]: r[1] for r in con.sql(ORACLE["hash_content"]).select("post_id, content_hash").fetchall()}
     got = {r.post_id: r.content_hash for r in hash_content(spark, sf).collect()}
     assert got == want and got
+
+
+def test_only_texts_that_need_it_are_escaped(spark):
+    """The check takes every character for safe or not as Python's JSON does, wherever it stands."""
+    some = [chr(i) for i in range(1, 0x300)] + ["\u2028", "\uffff", "😀"]
+    texts = [t for c in some for t in (c, f"ab{c}", f"{c}ab", f"a{c}b")] + ["", "plain text", "a]b^c-d&&e[f"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", json_string("t").alias("j"), F.col("t").rlike(fingerprint._SAFE_ONLY).alias("safe"))
+    rows = df.collect()
+    assert len(rows) == len(texts) + 1
+    for r in rows:
+        want = None if r.t is None else json.dumps(r.t).replace("\x7f", "\\u007f")
+        assert (r.j, r.safe) == (want, None if r.t is None else want == f'"{r.t}"')

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from threadkeeper.params import SyncParams
+from threadkeeper.params import EXCLUDED_AUTHORS, SyncParams
 from threadkeeper.schemas import RAW_COMMENT_SCHEMA, RAW_POST_SCHEMA
 from threadkeeper.sources import intake as I
 
@@ -116,3 +116,15 @@ def test_landing_is_pruned_by_day(spark, sf):
 
     plan = src_landing_pruned(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(observed_date" in plan and "observed_date" in plan.split("PartitionFilters")[1][:120]
+
+
+def test_bots_are_found_whatever_their_case(spark):
+    names = sorted(EXCLUDED_AUTHORS)
+    kelvin = [n.replace("k", "\u212a") for n in names]  # folds to k
+    authors = [*names, *map(str.upper, names), *map(str.swapcase, names), *kelvin, "İ" + names[0][1:], names[0] + " ", "someone", "", None]
+    df = spark.createDataFrame([(a,) for a in authors], "a string")
+    plain = F.lower("a").isin(*{n.lower() for n in names})
+    rows = df.select("a", I.is_bot(F.col("a")).alias("got"), plain.alias("want")).collect()
+    assert [(r.a, r.got) for r in rows] == [(r.a, r.want) for r in rows] and any(r.got for r in rows)
+    # only names of a bot's length are folded
+    assert "char_length" in str(I.is_bot(F.col("a")))

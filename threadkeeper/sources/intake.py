@@ -122,8 +122,12 @@ def normalize_posts(raw: DataFrame, *extra: str) -> DataFrame:
 
 
 def is_bot(author_after_default: Column) -> Column:
-    """FLT-2: case-insensitive match against the excluded names."""
-    return F.lower(author_after_default).isin(*sorted({a.lower() for a in EXCLUDED_AUTHORS}))
+    """FLT-2: case-insensitive match against the excluded names.
+
+    Only a name as long as one of them is folded (folding to ASCII keeps the
+    number of code points)."""
+    names = sorted({a.lower() for a in EXCLUDED_AUTHORS})
+    return F.char_length(author_after_default).isin(*sorted(set(map(len, names)))) & F.lower(author_after_default).isin(*names)
 
 
 def comment_is_valid() -> Column:
