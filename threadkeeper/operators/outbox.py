@@ -30,6 +30,13 @@ def outbox(ops: DataFrame, posts: DataFrame, comments: DataFrame) -> DataFrame:
     other_ops = ops.where(~F.col("op").isin(OP_INGEST, OP_REINGEST))
     p = posts.withColumnRenamed("id", "post_id")
     needs_html = content_ops.join(p, "post_id", "inner").withColumnRenamed("post_id", "id")
+    meta = other_ops.join(p, "post_id", "left").withColumnRenamed("post_id", "id")
+    return filled(needs_html, meta, comments)
+
+
+def filled(needs_html: DataFrame, meta: DataFrame, comments: DataFrame, *more: str) -> DataFrame:
+    """Outbox rows of operations (op, doc_key and ``more``) that hold the columns
+    of their post: ``needs_html`` with their document, ``meta`` without."""
     wanted = needs_html.select("id").withColumnRenamed("id", "post_id")
     rendered = D.render(needs_html, comments.join(wanted, "post_id", "left_semi"))
     with_html = rendered.select(
@@ -39,8 +46,8 @@ def outbox(ops: DataFrame, posts: DataFrame, comments: DataFrame) -> DataFrame:
         F.col("html"),
         D.metadata_json().alias("metadata_json"),
         C.size_bytes("html").alias("size_bytes"),
+        *more,
     )
-    meta = other_ops.join(p, "post_id", "left").withColumnRenamed("post_id", "id")
     meta_rows = meta.select(
         F.col("id").alias("post_id"),
         "op",
@@ -48,6 +55,7 @@ def outbox(ops: DataFrame, posts: DataFrame, comments: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("html"),
         F.when(F.col("op") == OP_SET_METADATA, D.metadata_json()).alias("metadata_json"),
         F.lit(None).cast("bigint").alias("size_bytes"),
+        *more,
     )
     return with_html.unionByName(meta_rows)
 
@@ -98,13 +106,34 @@ def apply_to_index(index: DataFrame, box: DataFrame) -> DataFrame:
     removes the one it replaces (``doc_key``).  SET_METADATA replaces metadata
     only, DELETE removes the document; of an unknown one both leave nothing.
     """
+    w = Window.partitionBy("doc_key").orderBy(*newest_first())
+    return put(index, box.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn"))
+
+
+def newest_first() -> list[Column]:
     rank = F.create_map(*[x for k, v in OP_RANK.items() for x in (F.lit(k), F.lit(v))])
-    w = Window.partitionBy("doc_key").orderBy(F.col("seq").desc(), rank[F.col("op")].desc())
-    last = box.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return [F.col("seq").desc(), rank[F.col("op")].desc()]
+
+
+def still_last(box: DataFrame, sent: DataFrame) -> DataFrame:
+    """``box`` (an operation per post and document) without those that a later
+    one of another post for the same document replaces.  ``sent`` holds the
+    keys of all operations: they are compared, the contents stay where they are."""
+    w = Window.partitionBy("doc_key").orderBy(*newest_first(), "post_id")
+    old = sent.select("post_id", "doc_key", "op", "seq").withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") > 1)
+    old = old.groupBy("post_id").agg(F.collect_set(F.struct("doc_key", "seq")).alias("_old"))
+    kept = F.col("_old").isNull() | ~F.array_contains("_old", F.struct("doc_key", "seq"))
+    return box.join(old, "post_id", "left").where(kept).drop("_old")
+
+
+def put(index: DataFrame | None, last: DataFrame) -> DataFrame:
+    """The index (none: an empty one) after the last operation of each document."""
     content = F.col("op").isin(OP_INGEST, OP_REINGEST)
-    day = [c for c in ("day",) if c in box.columns and c in index.columns]
+    day = [c for c in ("day",) if c in last.columns and (index is None or c in index.columns)]
     cols = ["post_id", "html", "metadata_json", "size_bytes", *day]
     made = last.where(content).select(F.col("result_doc_id").alias("doc_id"), *cols)
+    if index is None:
+        return made
     removed = last.where(content | (F.col("op") == OP_DELETE)).select(F.col("doc_key").alias("doc_id"))
     gone = removed.union(made.select("doc_id")).distinct()
     meta = last.where(F.col("op") == OP_SET_METADATA).select(F.col("doc_key").alias("doc_id"), F.col("metadata_json").alias("n_metadata_json"))

@@ -43,7 +43,7 @@ from threadkeeper.params import (
     SyncParams,
 )
 from threadkeeper.schemas import CACHED_COMMENT_COLS, CACHED_POST_COLS, POST_COLS, TRACKED_COLS
-from threadkeeper.session import cut_lineage
+from threadkeeper.session import cut_buckets, cut_lineage
 from threadkeeper.sources import intake as I
 
 log = logging.getLogger("threadkeeper.lifecycle")
@@ -96,14 +96,14 @@ def observe(raw_posts: DataFrame, raw_comments: DataFrame, params: SyncParams, w
     however much history the landing holds.
     """
     good, rejects = I.split_rejects(raw_posts)
-    comments = cut_lineage(I.normalize_comments(raw_comments, params))
+    comments = cut_buckets(I.normalize_comments(raw_comments, params), "post_id")
     seen = good if wanted is None else good.join(wanted.select(F.col("post_id").alias("id")).distinct(), "id", "left_semi")
     # FLT-4 runs on the raw row, before the author default is applied.
     refresh = I.normalize_posts(I.latest_observation(seen.withColumn("deleted", C.is_deleted_raw("author", "selftext"))), "deleted")
     window = I.intake_posts(good, params).withColumn("deleted", F.lit(None).cast("boolean"))
     # one join and one write serve both: the kinds are partitions of the written table
     both = refresh.withColumn("kind", F.lit("refresh")).unionByName(window.withColumn("kind", F.lit("window")))
-    both = cut_lineage(_with_hash(both, comments), "kind")
+    both = cut_buckets(_with_hash(both, comments), "id", "kind")
     refresh = both.where(F.col("kind") == "refresh").drop("kind")
     intake = both.where(F.col("kind") == "window").drop("kind", "deleted")
     return Observation(intake=intake, refresh=refresh, comments=comments, rejects=I.quarantine(rejects))
@@ -588,14 +588,15 @@ def run(
         return dry_run(state, obs, params, index, pending)
     if params.queue_limit is not None:
         return run_by_phases(state, obs, sinks, params, mode, index=index, pending=pending)
-    f = onepass.fold(state, obs, sinks, params, MODES[mode], cut_lineage)
-    comments = cut_lineage(onepass.comment_rows(f, state.comments, obs.comments, True))
-    after = State(tracked=onepass.tracked_rows(f), posts=onepass.post_rows(f), comments=comments, queue=onepass.queue_rows(f))
+    f = onepass.fold(state, obs, sinks, params, MODES[mode], lambda w: cut_buckets(w, "post_id"))
     # retention takes comments of documents that were delivered before it
-    shown = onepass.comment_rows(f, state.comments, obs.comments, False) if f.expired else comments
+    shown = cut_buckets(onepass.comment_rows(f, state.comments, obs.comments), "post_id")
+    comments = shown.where("kept").select(*CACHED_COMMENT_COLS)
+    after = State(tracked=onepass.tracked_rows(f), posts=onepass.post_rows(f), comments=comments, queue=onepass.queue_rows(f))
     counters = state.tracked.sparkSession.createDataFrame([tuple(f.counters.values())], ", ".join(f"{c} bigint" for c in COUNTERS))
     days = f.rows.select("post_id", F.to_date("created_utc").alias("day"))
-    return _result(state, after, obs, sinks, params, onepass.action_rows(f), onepass.outbox_rows(f, shown), days, counters, onepass.by_source(f), index, pending)
+    sent = onepass.sent_rows(f)
+    return _result(state, after, obs, sinks, params, onepass.action_rows(f), onepass.outbox_rows(sent, shown), days, counters, onepass.by_source(f), index, pending, sent)
 
 
 def dry_run(state: State, obs: Observation, params: SyncParams, index: DataFrame | None = None, pending: DataFrame | None = None) -> RunResult:
@@ -617,24 +618,28 @@ def dry_run(state: State, obs: Observation, params: SyncParams, index: DataFrame
     )
 
 
-def _result(state, after, obs, sinks, params, actions, box, days, counters, by_source, index, pending) -> RunResult:
-    spark = state.tracked.sparkSession
-    index = spark.createDataFrame([], INDEX) if index is None else index
-    pending = spark.createDataFrame([], PENDING) if pending is None else pending
+def _result(state, after, obs, sinks, params, actions, box, days, counters, by_source, index, pending, sent=None) -> RunResult:
+    """``sent``, if given, holds the keys of ``box``, which then has an operation per post and document."""
     ops = actions.where(F.col("op").isNotNull()).select("seq", "phase", "post_id", "op", "doc_key", "ok", "result_doc_id", "error")
-    # SNK-4: DELETEs that failed earlier go out before anything of this run
-    again = O.delivery(pending.select("post_id", F.lit(O.OP_DELETE).alias("op"), "doc_key", "day").distinct(), sinks)
-    resent = again.where("ok").select(
-        "doc_key", "post_id", "op", F.lit(None).cast("string").alias("html"), F.lit(None).cast("string").alias("metadata_json"),
-        F.lit(None).cast("bigint").alias("size_bytes"), F.lit(0).alias("seq"), "result_doc_id", "day",
-    )
-    box = box.unionByName(resent)
-    failed = O.undelivered_deletes(ops, _run(params)).join(days, "post_id", "left")
-    still = O.undelivered_deletes(again, _run(params), "day").unionByName(failed)
+    still = O.undelivered_deletes(ops, _run(params)).join(days, "post_id", "left")
+    last = None if sent is None else O.still_last(box, sent)
+    if pending is not None:
+        # SNK-4: DELETEs that failed earlier go out before anything of this run
+        again = O.delivery(pending.select("post_id", F.lit(O.OP_DELETE).alias("op"), "doc_key", "day").distinct(), sinks)
+        resent = again.where("ok").select(
+            "doc_key", "post_id", "op", F.lit(None).cast("string").alias("html"), F.lit(None).cast("string").alias("metadata_json"),
+            F.lit(None).cast("bigint").alias("size_bytes"), F.lit(0).alias("seq"), "result_doc_id", "day",
+        )
+        box = box.unionByName(resent)
+        still = O.undelivered_deletes(again, _run(params), "day").unionByName(still)
+        if sent is not None:
+            last = last.unionByName(resent.dropDuplicates(["doc_key"]).join(sent.select("doc_key"), "doc_key", "left_anti"))
+    if sent is None:
+        index = state.tracked.sparkSession.createDataFrame([], INDEX) if index is None else index
     # a document that this run put in place again, or deleted, is no longer owed a DELETE
     settled = ops.where("ok").select("doc_key").distinct()
     return RunResult(
-        state=after, actions=actions, ops=ops, outbox=box, documents=O.apply_to_index(index, box),
+        state=after, actions=actions, ops=ops, outbox=box, documents=O.apply_to_index(index, box) if sent is None else O.put(index, last),
         pending_deletes=still.join(settled, "doc_key", "left_anti").dropDuplicates(["doc_key"]).select("post_id", "doc_key", "error", "failed_at", "day"),
         counters=counters, by_source=by_source, totals=db_stats(after.tracked, after.comments, after.queue),
     )

@@ -12,7 +12,9 @@ save or delete of the cached copy in ``ev``.
 The folded table is written once.  The run's counters and the number of rows
 that retention expires are observed by that write (``DataFrame.observe``), and
 tracked table, post cache, queue, actions, outbox and statistics are narrow
-projections of what was written; only the comments need one more join.
+projections of what was written; only the comments need one more join.  The
+observation and both tables that a run writes are bucketed by the post's id, so
+the joins, aggregates and documents of a run move keys, no texts.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from threadkeeper.functions import columns as C
@@ -373,27 +375,37 @@ def queue_rows(f: Folded) -> DataFrame:
     return rows.select("post_id", "x.action", "x.i.*").select(*QUEUE_COLS)
 
 
-def comment_rows(f: Folded, comments: DataFrame, observed: DataFrame, retained: bool) -> DataFrame:
-    """The comment cache: replaced where a post was saved (MUT-3), gone where it
-    was deleted (MUT-4) and, if ``retained``, where retention took it (MUT-9)."""
-    gone = F.col("expired") | (F.col("cache").isNotNull() & ~F.col("on") & F.lit(bool(f.expired))) if retained else F.lit(False)
-    marks = f.rows.select("post_id", "touched", "saved", gone.alias("gone"))
-    old = comments.join(marks.where("touched or gone").select("post_id"), "post_id", "left_anti")
-    new = observed.join(marks.where("saved and not gone").select("post_id"), "post_id", "left_semi")
-    return old.select(*CACHED_COMMENT_COLS).unionByName(new.select(*CACHED_COMMENT_COLS))
+def comment_rows(f: Folded, comments: DataFrame, observed: DataFrame) -> DataFrame:
+    """The comments that the run's documents show: replaced where a post was
+    saved (MUT-3), gone where it was deleted (MUT-4).  Those that retention
+    takes from the cache (MUT-9) are not ``kept``."""
+    gone = F.col("expired") | (F.col("cache").isNotNull() & ~F.col("on") & F.lit(bool(f.expired)))
+    any_of = {"touched": F.col("touched"), "saved": F.col("saved"), "gone": gone, "stays": F.col("saved") & ~gone}
+    marks = f.rows.groupBy("post_id").agg(*[F.bool_or(v).alias(k) for k, v in any_of.items()])
+    old = comments.join(marks.where("touched or gone"), "post_id", "left").where(~F.coalesce("touched", F.lit(False)))
+    old = old.select(*CACHED_COMMENT_COLS, (~F.coalesce("gone", F.lit(False))).alias("kept"))
+    new = observed.join(marks.where("saved"), "post_id").select(*CACHED_COMMENT_COLS, F.col("stays").alias("kept"))
+    return old.unionByName(new)
 
 
 def action_rows(f: Folded) -> DataFrame:
     return f.rows.select("post_id", F.explode("acts").alias("a")).select("a.seq", "a.phase", "post_id", "a.action", "a.op", "a.doc_key", "a.ok", "a.result_doc_id", "a.error", *[f"a.{c}" for c in COUNTERS])
 
 
-def outbox_rows(f: Folded, comments: DataFrame) -> DataFrame:
-    """SNK-1..4: the last delivered operation of each document with its content."""
+def sent_rows(f: Folded) -> DataFrame:
+    """The last delivered operation of each document of a post, with the post as it shows it."""
     sent = f.rows.where(F.size("sent") > 0).select("post_id", F.explode("sent").alias("a"), "doc", F.to_date("created_utc").alias("day"))
     ops = sent.select("post_id", "a.op", "a.doc_key", "a.seq", "a.result_doc_id", "day", "doc")
-    posts = ops.where(F.col("op") != O.OP_DELETE).select("doc.*").dropDuplicates(["id"])
-    box = O.outbox(ops.select("post_id", "op", "doc_key"), posts, comments)
-    return box.join(ops.select("doc_key", "seq", "result_doc_id", "day"), "doc_key")
+    w = Window.partitionBy("post_id", "doc_key").orderBy(*O.newest_first())
+    return ops.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
+def outbox_rows(sent: DataFrame, comments: DataFrame) -> DataFrame:
+    """SNK-1..4: the operations of ``sent_rows`` with their content."""
+    more = ("seq", "result_doc_id", "day")
+    ops = sent.select("op", "doc_key", *more, F.col("post_id").alias("id"), F.col("doc.id").alias("_doc"), *[f"doc.{c}" for c in POST_COLS if c != "id"])
+    content = F.col("op").isin(O.OP_INGEST, O.OP_REINGEST)
+    return O.filled(ops.where(content & F.col("_doc").isNotNull()), ops.where(~content), comments, *more)
 
 
 def by_source(f: Folded) -> DataFrame:

@@ -19,7 +19,7 @@ from threadkeeper.functions import columns as C
 from threadkeeper.functions.fingerprint import content_hash
 from threadkeeper.params import DOC_ID_PREFIX, SITE, SyncParams
 from threadkeeper.plans.lifecycle import Observation, State, observe, refresh_ids
-from threadkeeper.session import cut_lineage
+from threadkeeper.session import cut_buckets, cut_lineage
 from threadkeeper.schemas import (
     CACHED_COMMENT_COLS,
     CACHED_POST_COLS,
@@ -188,7 +188,6 @@ def orders(spark: SparkSession, d: str, params: SyncParams) -> tuple[State, Obse
         F.when(k % 23 == 0, F.lit("")).when(k % 6 == 1, F.lit("stale")).otherwise(F.col("content_hash")).alias("content_hash"),
     )
     posts = cache_rows(base.withColumn("score", F.col("score") - (k % 3 == 0).cast("int")), run - F.make_dt_interval(F.lit(1)), F.lit(0))
-    comments = obs.comments.join(base.select(F.col("id").alias("post_id")), "post_id", "left_semi").select(*CACHED_COMMENT_COLS)
     queue_src = keys.where(k % 13 == 0)
     queue = queue_src.select(
         F.abs(F.xxhash64("id")).alias("id"), F.col("id").alias("post_id"), F.lit("queued").alias("subreddit"),
@@ -198,7 +197,10 @@ def orders(spark: SparkSession, d: str, params: SyncParams) -> tuple[State, Obse
         (run - F.make_dt_interval((k % 5).cast("int"))).alias("created_at"),
         (run - F.make_dt_interval(F.lit(0), (k % 3).cast("int") - 1)).alias("scheduled_for"),
     )
-    state = stored(State(tracked=tracked, posts=posts, comments=comments, queue=queue))
+    tracked, posts = cut_buckets(tracked, "post_id"), cut_buckets(posts, "id")
+    # the cached comments of the tracked posts lie in the observed table already
+    comments = obs.comments.join(tracked.select("post_id"), "post_id", "left_semi").select(*CACHED_COMMENT_COLS)
+    state = State(tracked=tracked, posts=posts, comments=comments, queue=cut_lineage(queue))
     sk = keys.select(F.concat(F.lit(DOC_ID_PREFIX), F.col("id")).alias("doc_key"), k)
     sinks = sink_rows(sk, k % 19 == 7)
     return state, obs, sinks

@@ -8,6 +8,8 @@ import tempfile
 import time
 import uuid
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,6 +74,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+@contextmanager
+def _settings(spark: SparkSession, conf: dict[str, str]):
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+# Nothing reads the shuffle files of a write again: they go when it ends, not
+# when the driver happens to collect its garbage.
+CUT_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# A bucketed table is read bucket by bucket even if no join gains by it, so a
+# task of the write holds whole buckets.
+BUCKET_CONF = CUT_CONF | {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+
+
 def cut_lineage(df: DataFrame, *partition_by: str) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder
     and continue from the written files.
@@ -88,7 +110,8 @@ def cut_lineage(df: DataFrame, *partition_by: str) -> DataFrame:
     # written texts are most of a run's bytes: zstd keeps them smaller than the default
     writer = df.write.option("compression", "zstd")
     writer = writer.partitionBy(*partition_by) if partition_by else writer
-    writer.parquet(path)
+    with _settings(spark, CUT_CONF):
+        writer.parquet(path)
     if log.isEnabledFor(logging.DEBUG):
         import traceback
 
@@ -98,6 +121,24 @@ def cut_lineage(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_buckets(df: DataFrame, key: str, *partition_by: str) -> DataFrame:
+    """``cut_lineage`` to one of Spark's bucketed tables: later joins,
+    aggregates and windows on ``key`` read it without a shuffle.
+
+    There are as many buckets as shuffle partitions.  ``df`` is laid out by
+    ``key`` already (it ends in an exchange, a join or a bucketed read by it);
+    any other result is written right too, but in many small files.
+    """
+    spark = df.sparkSession
+    name = f"tk_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("compression", "zstd").option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}")
+    writer = writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    with _settings(spark, BUCKET_CONF):
+        writer.saveAsTable(name)
+    return spark.table(name).select(*df.columns)
+
+
 def wall_clock(df: DataFrame) -> DataFrame:
     """Present UTC instants as timezone-free wall-clock values.
 

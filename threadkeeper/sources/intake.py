@@ -147,20 +147,17 @@ def normalize_comments(raw: DataFrame, params: SyncParams) -> DataFrame:
     ``max_comments`` rows per map partition.
     """
     if not params.include_comments or params.max_comments <= 0:
-        return _comment_projection(raw.where(F.lit(False)))
+        return _comment_projection(raw.where(F.lit(False)).withColumn("edited", C.edited_flag("edited")))
     author = C.author_or_deleted("author")
     kept = raw.where(~F.coalesce(F.col("is_placeholder"), F.lit(False)) & ~is_bot(author) & comment_is_valid())
     w = Window.partitionBy("post_id").orderBy("listing_pos", "id")
-    capped = kept.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= params.max_comments).drop("_rn")
+    flat = kept.withColumns({"author": author, "edited": C.edited_flag("edited")})  # the flag is narrower than the time
+    capped = flat.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= params.max_comments).drop("_rn")
     return _comment_projection(capped)
 
 
 def _comment_projection(df: DataFrame) -> DataFrame:
-    exprs = {
-        "author": C.author_or_deleted("author"),
-        "created_utc": C.epoch_to_ts("created_utc"),
-        "edited": C.edited_flag("edited"),
-    }
+    exprs = {"created_utc": C.epoch_to_ts("created_utc")}
     return df.select(*[exprs.get(c, F.col(c)).alias(c) for c in COMMENT_COLS])
 
 
