@@ -70,6 +70,7 @@ class Observation:
     refresh: DataFrame  # latest observation of every id, normalised + deleted + content_hash
     comments: DataFrame  # normalised, bot-filtered, capped comments
     rejects: DataFrame | None = None  # malformed rows with the reason (SRC-7)
+    buckets: bool = False  # its tables are bucketed by the post's id, and a run's are too
 
 
 @dataclass
@@ -88,25 +89,31 @@ class RunResult:
 # ---------------------------------------------------------------------------
 # Observation
 # ---------------------------------------------------------------------------
-def observe(raw_posts: DataFrame, raw_comments: DataFrame, params: SyncParams, wanted: DataFrame | None = None) -> Observation:
+def observe(raw_posts: DataFrame, raw_comments: DataFrame, params: SyncParams, wanted: DataFrame | None = None, buckets: bool = False) -> Observation:
     """Intake and refresh rows of a landing.
 
     ``wanted`` (post_id) are the posts that the run may refresh (``refresh_ids``);
     only their rows are then reduced, normalised and fingerprinted for it,
-    however much history the landing holds.
+    however much history the landing holds.  With ``buckets`` the observation
+    is written as bucketed tables (``cut_buckets``), which the run joins by post
+    without shuffling them again, and so are the tables that the run writes.
     """
     good, rejects = I.split_rejects(raw_posts)
-    comments = cut_buckets(I.normalize_comments(raw_comments, params), "post_id")
+    comments = _cut(I.normalize_comments(raw_comments, params), buckets, "post_id")
     seen = good if wanted is None else good.join(wanted.select(F.col("post_id").alias("id")).distinct(), "id", "left_semi")
     # FLT-4 runs on the raw row, before the author default is applied.
     refresh = I.normalize_posts(I.latest_observation(seen.withColumn("deleted", C.is_deleted_raw("author", "selftext"))), "deleted")
     window = I.intake_posts(good, params).withColumn("deleted", F.lit(None).cast("boolean"))
     # one join and one write serve both: the kinds are partitions of the written table
     both = refresh.withColumn("kind", F.lit("refresh")).unionByName(window.withColumn("kind", F.lit("window")))
-    both = cut_buckets(_with_hash(both, comments), "id", "kind")
+    both = _cut(_with_hash(both, comments), buckets, "id", "kind")
     refresh = both.where(F.col("kind") == "refresh").drop("kind")
     intake = both.where(F.col("kind") == "window").drop("kind", "deleted")
-    return Observation(intake=intake, refresh=refresh, comments=comments, rejects=I.quarantine(rejects))
+    return Observation(intake=intake, refresh=refresh, comments=comments, rejects=I.quarantine(rejects), buckets=buckets)
+
+
+def _cut(df: DataFrame, buckets: bool, key: str, *partition_by: str) -> DataFrame:
+    return cut_buckets(df, key, *partition_by) if buckets else cut_lineage(df, *partition_by)
 
 
 def observe_landing(landing: DataFrame, raw_comments: DataFrame, params: SyncParams, state: State, seen: DataFrame) -> Observation:
@@ -588,9 +595,9 @@ def run(
         return dry_run(state, obs, params, index, pending)
     if params.queue_limit is not None:
         return run_by_phases(state, obs, sinks, params, mode, index=index, pending=pending)
-    f = onepass.fold(state, obs, sinks, params, MODES[mode], lambda w: cut_buckets(w, "post_id"))
+    f = onepass.fold(state, obs, sinks, params, MODES[mode], lambda w: _cut(w, obs.buckets, "post_id"))
     # retention takes comments of documents that were delivered before it
-    shown = cut_buckets(onepass.comment_rows(f, state.comments, obs.comments), "post_id")
+    shown = _cut(onepass.comment_rows(f, state.comments, obs.comments), obs.buckets, "post_id")
     comments = shown.where("kept").select(*CACHED_COMMENT_COLS)
     after = State(tracked=onepass.tracked_rows(f), posts=onepass.post_rows(f), comments=comments, queue=onepass.queue_rows(f))
     counters = state.tracked.sparkSession.createDataFrame([tuple(f.counters.values())], ", ".join(f"{c} bigint" for c in COUNTERS))

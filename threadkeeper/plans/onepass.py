@@ -12,9 +12,9 @@ save or delete of the cached copy in ``ev``.
 The folded table is written once.  The run's counters and the number of rows
 that retention expires are observed by that write (``DataFrame.observe``), and
 tracked table, post cache, queue, actions, outbox and statistics are narrow
-projections of what was written; only the comments need one more join.  The
-observation and both tables that a run writes are bucketed by the post's id, so
-the joins, aggregates and documents of a run move keys, no texts.
+projections of what was written; only the comments need one more join.  Over a
+bucketed observation both tables that a run writes are bucketed by the post's
+id too, so its joins, aggregates and documents move keys, no texts.
 """
 
 from __future__ import annotations

@@ -172,10 +172,10 @@ def orders(spark: SparkSession, d: str, params: SyncParams) -> tuple[State, Obse
     k = F.col("o_orderkey")
     keys = A.table(spark, d, "orders").select(F.concat(F.lit("o"), k).alias("id"), k)
     # one observation of everything; the landed snapshot lacks 1 in 17 orders
-    seen = observe(raw, raw_c, params)
+    seen = observe(raw, raw_c, params, buckets=True)
     gone = keys.where(k % 17 == 3).select("id")
     obs = Observation(
-        intake=seen.intake.join(gone, "id", "left_anti"), refresh=seen.refresh.join(gone, "id", "left_anti"), comments=seen.comments
+        intake=seen.intake.join(gone, "id", "left_anti"), refresh=seen.refresh.join(gone, "id", "left_anti"), comments=seen.comments, buckets=seen.buckets
     )
     base = seen.refresh.join(keys, "id").where(k % 5 != 0)
     tracked = base.select(
